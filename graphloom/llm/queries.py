@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, packing, sharding
+from . import line_dedup, mixing, packing, sharding, substring_dedup
 from .common import table
 
 
@@ -51,14 +51,40 @@ def op7_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op9_de_bruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.col("_n_words").alias("n_words"), F.col("_n_removed").alias("n_removed"), F.sha2("_kept", 256).alias("kept_sha256"))
+
+
+OP9_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), win AS (
+  SELECT doc_id, i, md5(array_to_string(list_slice(w, i, i + 49), ' ')) AS h FROM d, unnest(range(1, len(w) - 48)) AS t(i)
+), f AS (
+  SELECT h, min(doc_id) AS source FROM win GROUP BY h
+), c AS (
+  SELECT DISTINCT doc_id, i + j AS p FROM win JOIN f USING (h), range(50) AS r(j) WHERE source < doc_id
+), k AS (
+  SELECT d.doc_id, p, w[p] AS word FROM d, unnest(range(1, len(w) + 1)) AS t(p)
+), s AS (
+  SELECT k.doc_id, string_agg(word, ' ' ORDER BY k.p) AS kept, count(*) AS n FROM k LEFT JOIN c ON c.doc_id = k.doc_id AND c.p = k.p
+  WHERE c.p IS NULL GROUP BY k.doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN s USING (doc_id)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_pivotal": op1_mix_pivotal,
         "op3_virtual_slots": op3_virtual_slots,
         "op4_line_chunks": op4_line_chunks,
         "op7_best_fit": op7_best_fit,
+        "op9_de_bruijn": op9_de_bruijn,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_chunks": OP4_SQL}
+    return {"op4_line_chunks": OP4_SQL, "op9_de_bruijn": OP9_SQL}
