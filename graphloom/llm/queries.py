@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, packing, sharding, substring_dedup
+from . import line_dedup, mixing, near_dup, packing, sharding, substring_dedup
 from .common import table
 
 
@@ -51,6 +51,31 @@ def op7_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op8_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80).drop("th")
+
+
+OP8_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 3), ' ') AS g FROM d, unnest(range(1, greatest(len(w) - 2, 2))) AS t(i) WHERE len(w) > 0
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL
+), e AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 80 * (x.n + y.n - common)
+), r AS (
+  SELECT a AS doc_id, a AS other FROM e UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.other
+)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(least(d.doc_id, m.least_id), d.doc_id)::BIGINT AS component_id,
+  coalesce(least(d.doc_id, m.least_id), d.doc_id) = d.doc_id AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT doc_id, min(other) AS least_id FROM r GROUP BY doc_id) m USING (doc_id)
+"""
+
+
 def op9_de_bruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", F.col("_n_words").alias("n_words"), F.col("_n_removed").alias("n_removed"), F.sha2("_kept", 256).alias("kept_sha256"))
@@ -82,9 +107,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_virtual_slots": op3_virtual_slots,
         "op4_line_chunks": op4_line_chunks,
         "op7_best_fit": op7_best_fit,
+        "op8_chosen_path": op8_chosen_path,
         "op9_de_bruijn": op9_de_bruijn,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_chunks": OP4_SQL, "op9_de_bruijn": OP9_SQL}
+    return {"op4_line_chunks": OP4_SQL, "op8_chosen_path": OP8_SQL, "op9_de_bruijn": OP9_SQL}
