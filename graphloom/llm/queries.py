@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, near_dup, packing, sharding, substring_dedup
+from . import line_dedup, media, mixing, near_dup, packing, sharding, substring_dedup, topk
 from .common import table
 
 
@@ -15,6 +15,15 @@ def op1_mix_pivotal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op2_avi_mjpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = media.read_media(media.store_texts(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    size = F.octet_length("payload")
+    return read.select(
+        "doc_id", "n_bytes", size.cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"),
+        F.crc32(F.substring("payload", size - 63, F.lit(64))).alias("tail_crc32"), "media_bytes", "media_sha256", "feature", F.size("clips").alias("n_clips"),
+    )
+
+
 def op3_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"))
 
@@ -47,6 +56,24 @@ FROM documents d LEFT JOIN r USING (doc_id)
 """
 
 
+def op6_dual_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", topk.scaled(F.col("embedding")).alias("v"))
+    return topk.top_k(vectors.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id"), vectors, 20)
+
+
+OP6_SQL = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, p.vec_id, list_inner_product(q.v, p.v)::BIGINT AS score FROM v q JOIN v p ON q.vec_id <> p.vec_id WHERE q.vec_id % 20 = 0
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
 def op7_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -104,8 +131,10 @@ FROM d LEFT JOIN s USING (doc_id)
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_pivotal": op1_mix_pivotal,
+        "op2_avi_mjpeg": op2_avi_mjpeg,
         "op3_virtual_slots": op3_virtual_slots,
         "op4_line_chunks": op4_line_chunks,
+        "op6_dual_tree": op6_dual_tree,
         "op7_best_fit": op7_best_fit,
         "op8_chosen_path": op8_chosen_path,
         "op9_de_bruijn": op9_de_bruijn,
@@ -113,4 +142,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_chunks": OP4_SQL, "op8_chosen_path": OP8_SQL, "op9_de_bruijn": OP9_SQL}
+    return {"op4_line_chunks": OP4_SQL, "op6_dual_tree": OP6_SQL, "op8_chosen_path": OP8_SQL, "op9_de_bruijn": OP9_SQL}
