@@ -4,11 +4,12 @@ The nodes are the k-mers of words (k = ``KMER``) that have the least hash in a
 stretch of k-mers as long as a window holds; any window of ``WINDOW`` words so holds a
 node, and equal windows hold the same one. A path between two neighbouring nodes does
 not branch, so all the windows that start on it are one edge: compacted, named by
-the hash of all the words they cover. An edge that also begins in a document with a smaller
-doc_id settles all its windows at once. Only the first copy of an edge is opened
-again into windows, and only where a node is found in several documents, since
-two edges that differ may still share some windows. What is settled is carried as source
-coordinates (document, words from, to).
+the hash of all the words they cover. Joins find edges that also begin in a document with a smaller
+doc_id, which settles all their windows at once. What is left are the ends
+of repeated stretches, where edges differ but share some windows: windows are
+opened only there, around nodes that an unsettled window shares with a smaller doc_id, and
+in the documents that hold these nodes. All is carried as source coordinates
+(document, words from, to).
 
 Equality is that of two independent 64-bit hashes of the words and their number.
 
@@ -58,9 +59,10 @@ def nodes(runs: Runs, window: int, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def edges(places: np.ndarray, n: int, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Window starts from, to (exclusive) of each edge."""
-    cuts = np.unique(np.concatenate([[0], places[places <= n - window], [n - window + 1]]))
-    return cuts[:-1], cuts[1:]
+    """Window starts from, to (exclusive) of the edges that begin at 0 and at each node; none (to = from) beyond the last window."""
+    lo = np.unique(np.concatenate([[0], places]))
+    hi = np.minimum(np.append(lo[1:], n), n - window + 1)
+    return lo, np.maximum(lo, hi)
 
 
 def _batches(fields: list[tuple[str, pa.DataType]], rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
@@ -93,86 +95,109 @@ def _same(value: int, n: int) -> np.ndarray:
     return np.full(n, value, np.int64)
 
 
-def _node_rows(window: int, k: int):
+_ROWS = [(c, pa.int64()) for c in ("h", "h1", "h2", "doc_id", "th")] + [("lo", pa.int32()), ("hi", pa.int32()), ("node", pa.bool_())]
+
+
+def _graph_rows(window: int, k: int):
+    """A row for each node with the edge that begins there, and for a document's first edge."""
+
     def run(batches):
         def rows():
             for words, doc_id, th in _documents(batches, "doc_id", "th"):
-                if len(words) >= window:
-                    at, h = nodes(Runs(word_hashes(words)), window, k)
-                    yield signed(h), _same(doc_id, len(at)), _same(th, len(at)), at.astype(np.int32)
+                if doc_id is None or len(words) < window:
+                    continue
+                runs = Runs(word_hashes(words))
+                at, _ = nodes(runs, window, k)
+                lo, hi = edges(at, runs.n, window)
+                end = np.where(hi > lo, hi + window - 1, lo)
+                n = len(lo)
+                yield (
+                    signed(runs.hash(lo, lo + k)), signed(runs.hash(lo, end)), signed(runs.hash(lo, end, 1)), _same(doc_id, n), _same(th, n),
+                    lo.astype(np.int32), hi.astype(np.int32), np.isin(lo, at),
+                )
 
-        yield from _batches([("h", pa.int64()), ("doc_id", pa.int64()), ("th", pa.int64()), ("at", pa.int32())], rows())
+        yield from _batches(_ROWS, rows())
 
     return run
 
 
-def _candidates(at: np.ndarray, shared: list[int], n: int, window: int, k: int) -> np.ndarray:
-    """For each window start, whether the window holds a shared node."""
-    near = np.zeros(n - window + 2, np.int64)
-    shared = np.asarray(shared)
-    np.add.at(near, np.maximum(shared - (window - k), 0), 1)
-    np.add.at(near, np.minimum(shared + 1, n - window + 1), -1)
-    return np.cumsum(near)[:-1] > 0
+def _starts(n: int, lo: list[int], hi: list[int]) -> np.ndarray:
+    """For each window start below n, whether an interval [lo, hi) holds it."""
+    open_ = np.zeros(n + 1, np.int64)
+    np.add.at(open_, np.clip(np.array(lo, np.int64), 0, n), 1)
+    np.add.at(open_, np.clip(np.array(hi, np.int64), 0, n), -1)
+    return np.cumsum(open_)[:-1] > 0
 
 
-def _edge_rows(window: int, k: int):
-    def run(batches):
-        def rows():
-            for words, doc_id, th, shared in _documents(batches, "doc_id", "th", "shared"):
-                runs = Runs(word_hashes(words))
-                at, _ = nodes(runs, window, k)
-                lo, hi = edges(at, runs.n, window)
-                held = np.concatenate([[0], np.cumsum(_candidates(at, shared, runs.n, window, k))])
-                some = held[hi] > held[lo]
-                lo, hi = lo[some], hi[some]
-                end = hi + window - 1
-                yield signed(runs.hash(lo, end)), signed(runs.hash(lo, end, 1)), _same(doc_id, len(lo)), _same(th, len(lo)), lo.astype(np.int32), hi.astype(np.int32)
+def _sink_nodes(window: int, k: int):
+    """Hashes of nodes shared with a smaller doc_id that some unsettled window may hold."""
 
-        yield from _batches([(c, pa.int64()) for c in ("h1", "h2", "doc_id", "th")] + [("lo", pa.int32()), ("hi", pa.int32())], rows())
+    def run(batches):
+        for batch in batches:
+            out = []
+            for shared, settled in zip(batch.column("shared").to_pylist(), batch.column("settled").to_pylist(), strict=True):
+                n = max(s["at"] for s in shared) + 1
+                done = _starts(n, [s["lo"] for s in settled or ()], [s["hi"] for s in settled or ()])
+                held = np.concatenate([[0], np.cumsum(~done)])
+                out += [s["h"] for s in shared if s["smaller"] and held[s["at"] + 1] > held[max(0, s["at"] - (window - k))]]
+            yield pa.record_batch([pa.array(out, pa.int64())], names=["h"])
 
     return run
 
 
 def _window_rows(window: int, k: int):
+    """The unsettled windows that hold an opened node."""
+
     def run(batches):
         def rows():
-            for words, doc_id, th, shared, spans in _documents(batches, "doc_id", "th", "shared", "spans"):
-                runs = Runs(word_hashes(words))
-                at, _ = nodes(runs, window, k)
-                near = _candidates(at, shared, runs.n, window, k)
-                start = np.concatenate([np.arange(s["lo"], s["hi"]) for s in spans])
-                start = start[near[start]]
-                yield signed(runs.hash(start, start + window)), signed(runs.hash(start, start + window, 1)), _same(doc_id, len(start)), _same(th, len(start)), start.astype(np.int32)
+            for words, doc_id, th, opened, settled in _documents(batches, "doc_id", "th", "opened", "settled"):
+                n = len(words) - window + 1
+                near = _starts(n, [at - (window - k) for at in opened], [at + 1 for at in opened])
+                done = _starts(n, [s["lo"] for s in settled or ()], [s["hi"] for s in settled or ()])
+                start = np.flatnonzero(near & ~done)
+                if len(start):
+                    runs = Runs(word_hashes(words))
+                    yield signed(runs.hash(start, start + window)), signed(runs.hash(start, start + window, 1)), _same(doc_id, len(start)), _same(th, len(start)), start.astype(np.int32)
 
         yield from _batches([(c, pa.int64()) for c in ("h1", "h2", "doc_id", "th")] + [("lo", pa.int32())], rows())
 
     return run
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("_th", F.xxhash64("text"))
+
+
+def _on_key(docs: DataFrame, more: DataFrame, how: str) -> DataFrame:
+    """Joins more, keyed by (doc_id, th), to keyed documents. Always dealt by that key: one shuffle of the texts serves all such joins."""
+    more = more.withColumnsRenamed({"doc_id": "_d", "th": "_t"}).hint("merge")
+    return docs.join(more, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_t")), how).drop("_d", "_t")
+
+
 def repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = KMER) -> DataFrame:
     """(doc_id, th, spans): the words [lo, hi) of a document in windows that a smaller doc_id has too.
 
-    th is xxhash64 of the text. A document's texts are dealt by (doc_id, th) once
-    and read by each later step from the same shuffle.
+    th is xxhash64 of the text.
     """
-    keyed = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("th"), "text")
-    found = stage(keyed.mapInArrow(_node_rows(window, k), "h long, doc_id long, th long, at int"))
-    shared = found.groupBy("h").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("h")
-    shared = found.join(stage(shared), "h").groupBy("doc_id", "th").agg(F.collect_set("at").alias("shared"))
-    shared = stage(shared)
-    paths = keyed.join(shared, ["doc_id", "th"]).mapInArrow(_edge_rows(window, k), "h1 long, h2 long, doc_id long, th long, lo int, hi int")
-    paths = stage(paths)
-    first = paths.groupBy("h1", "h2").agg(F.min("doc_id").alias("source"))
-    paths = stage(paths.join(first, ["h1", "h2"]).select("doc_id", "th", "lo", "hi", "source"))
-    settled = paths.where("source < doc_id").select("doc_id", "th", "lo", (F.col("hi") + window - 1).alias("hi"), "source")
-    # windows matter only in documents that hold an edge nobody had before
-    opened = paths.where("source = doc_id").groupBy("doc_id", "th").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
-    again = keyed.join(shared.join(opened, ["doc_id", "th"]), ["doc_id", "th"])
-    windows = stage(again.mapInArrow(_window_rows(window, k), "h1 long, h2 long, doc_id long, th long, lo int"))
-    first = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last")).where("source < last")
-    late = windows.join(stage(first.select("h1", "h2", "source")), ["h1", "h2"]).where("source < doc_id")
-    single = late.select("doc_id", "th", "lo", (F.col("lo") + window).alias("hi"), "source")
-    return settled.union(single).groupBy("doc_id", "th").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
+    key = ["doc_id", "th"]
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
+    schema = "h long, h1 long, h2 long, doc_id long, th long, lo int, hi int, node boolean"
+    graph = stage(texts.mapInArrow(_graph_rows(window, k), schema))
+    several = lambda rows, *by: rows.groupBy(*by).agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most")
+    found = graph.where("node").select("h", *key, F.col("lo").alias("at"))
+    shared = stage(found.join(several(found, "h"), "h").select("h", *key, "at", (F.col("least") < F.col("doc_id")).alias("smaller")))
+    paths = graph.where("hi > lo").select("h1", "h2", *key, "lo", "hi")
+    settled = stage(paths.join(several(paths, "h1", "h2"), ["h1", "h2"]).where("least < doc_id").groupBy(*key).agg(F.collect_set(F.struct("lo", "hi")).alias("settled")))
+    by_doc = shared.groupBy(*key).agg(F.collect_set(F.struct("at", "h", "smaller")).alias("shared"))
+    sinks = by_doc.join(settled, key, "left").select("shared", "settled").mapInArrow(_sink_nodes(window, k), "h long").distinct()
+    opened = shared.join(stage(sinks), "h").groupBy(*key).agg(F.collect_set("at").alias("opened"))
+    opened = stage(opened.join(settled, key, "left"))
+    again = _on_key(_keyed(docs.select("doc_id", "text")), opened, "inner").withColumnRenamed("_th", "th").withColumn("doc_id", F.col("doc_id").cast("long"))
+    windows = again.mapInArrow(_window_rows(window, k), "h1 long, h2 long, doc_id long, th long, lo int")
+    late = windows.join(several(windows, "h1", "h2"), ["h1", "h2"]).where("least < doc_id")
+    single = late.groupBy(*key).agg(F.collect_set(F.struct("lo", (F.col("lo") + window).alias("hi"))).alias("spans"))
+    whole = settled.select(*key, F.transform("settled", lambda s: F.struct(s["lo"].alias("lo"), (s["hi"] + (window - 1)).alias("hi"))).alias("spans"))
+    return whole.union(single).groupBy(*key).agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 def _remove(batches):
@@ -198,7 +223,7 @@ def _remove(batches):
 
 def dedup_substrings(docs: DataFrame, window: int = WINDOW, k: int = KMER) -> DataFrame:
     """``docs`` with ``_n_words``, ``_n_removed`` and ``_kept``, the words that stay joined by one space."""
-    spans = stage(repeated_spans(docs, window, k)).select(F.col("doc_id").alias("_d"), F.col("th").alias("_th"), F.col("spans").alias("_spans"))
-    joined = docs.join(spans, (F.col("doc_id") == F.col("_d")) & (F.xxhash64("text") == F.col("_th")), "left").drop("_d", "_th")
+    spans = repeated_spans(docs, window, k).withColumnRenamed("spans", "_spans")
+    joined = _on_key(_keyed(docs), spans, "left").drop("_th")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return joined.mapInArrow(_remove, f"{fields}, _n_words long, _n_removed long, _kept string")
