@@ -270,7 +270,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     weight = wanted.groupBy("label").agg(F.sum("n_shingles").alias("weight"), F.count("*").alias("members"))
     wanted = stage(wanted.join(weight, "label"))
     total = wanted.agg(F.sum("n_shingles")).first()[0] or 0
-    suspects = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("h"))).dropDuplicates(["cls"])
+    suspects = texts.join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("h"))).dropDuplicates(["cls"])
     crowd = (F.col("weight") > GROUP_SHINGLES) | (F.col("members") > GROUP_CLASSES)
     buckets = max(1, -(-total // BUCKET_SHINGLES))
     small = suspects.where(~crowd).select(F.pmod(F.xxhash64("label"), F.lit(buckets)).alias("bucket"), "label", "cls", "text")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, media, mixing, near_dup, packing, sharding, substring_dedup, topk
+from . import line_dedup, media, mixing, near_dup, packing, sharding, substring_dedup, topk, toxicity
 from .common import table
 
 
@@ -128,6 +128,16 @@ FROM d LEFT JOIN s USING (doc_id)
 """
 
 
+def op10_noisy_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    out = toxicity.score(docs, model)
+    return out.select(
+        "doc_id", (toxicity.fold(F.col("doc_id")) == 0).alias("held_out"), F.col("_score").alias("score"),
+        (F.col("_score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_pivotal": op1_mix_pivotal,
@@ -138,6 +148,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_best_fit": op7_best_fit,
         "op8_chosen_path": op8_chosen_path,
         "op9_de_bruijn": op9_de_bruijn,
+        "op10_noisy_channel": op10_noisy_channel,
     }
 
 
