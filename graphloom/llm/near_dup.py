@@ -254,7 +254,7 @@ def _links_of_crowds(crowds: DataFrame, size: int, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, th, n_shingles, component_id, kept for each row; th is xxhash64 of the text.
+    """doc_id, th, n_shingles, component_id, kept, part for each row; th is xxhash64 of the text, part names the component.
 
     Linked are texts whose sets of ``size``-word shingles have at least ``percent`` % in common.
     """
@@ -280,9 +280,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         links = connected_components(links).toDF("a", "b")
     labels = stage(links.toDF("cls", "part"))
     least = classes.select("cls", F.col("least.doc_id").alias("doc_id")).join(labels, "cls", "left").withColumn("part", F.coalesce("part", "cls"))
-    least = stage(least.withColumn("doc_id", F.col("doc_id")))
+    least = stage(least)
     parts = least.groupBy("part").agg(F.min("doc_id").alias("component_id"))
-    known = stage(least.join(parts, "part").select("cls", "component_id"))
+    known = stage(least.join(parts, "part").select("cls", "component_id", "part"))
     out = rows.drop("sig").join(known, "cls", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
-    return out.select("doc_id", "th", "n_shingles", "component_id", kept.alias("kept"))
+    return out.select("doc_id", "th", "n_shingles", "component_id", kept.alias("kept"), "part")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, media, mixing, near_dup, packing, sharding, substring_dedup, topk, toxicity
+from . import html_text, line_dedup, media, mixing, near_dup, packing, sharding, substring_dedup, topk, toxicity
 from .common import table
 
 
@@ -56,6 +56,11 @@ FROM documents d LEFT JOIN r USING (doc_id)
 """
 
 
+def op5_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_text.extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", F.col("_text").alias("text"))
+
+
 def op6_dual_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", topk.scaled(F.col("embedding")).alias("v"))
     return topk.top_k(vectors.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id"), vectors, 20)
@@ -79,7 +84,7 @@ def op7_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80).drop("th")
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80).drop("th", "part")
 
 
 OP8_SQL = r"""
@@ -144,6 +149,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_avi_mjpeg": op2_avi_mjpeg,
         "op3_virtual_slots": op3_virtual_slots,
         "op4_line_chunks": op4_line_chunks,
+        "op5_html_layout": op5_html_layout,
         "op6_dual_tree": op6_dual_tree,
         "op7_best_fit": op7_best_fit,
         "op8_chosen_path": op8_chosen_path,
