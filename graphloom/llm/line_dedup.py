@@ -3,8 +3,8 @@
 A rolling hash over the hashes of two neighbouring lines ends a chunk where it
 is divisible by ``DIVISOR``, so an inserted line moves only the chunk it is in.
 A chunk of several lines that also occurs elsewhere stays where it comes
-first (by doc_id, then text hash, then position) and is removed from every other place, once its
-bytes are found equal to those of the first.
+first (by doc_id, then text hash, then position) and is removed from every other
+place, once all chunks of its hash are found to have the same bytes.
 
 Defined results: null and empty texts stay as they are; a chunk of one line or
 without a visible character is never removed; rows with a null doc_id come
@@ -49,25 +49,37 @@ def n_lines(chunk: Column) -> Column:
     return F.length(chunk) - F.length(F.replace(chunk, F.lit("\n"), F.lit(""))) + 1
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("_th", F.xxhash64("text"))
+
+
 def repeated_chunks(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
-    """(doc_id, th, drop): the numbers of the chunks to remove from each document that has any."""
+    """(_d, _t, _drop): doc_id, hash of the text, and the numbers of the chunks to remove from it.
+
+    Places of chunks, without texts, find the repeated hashes; the bytes behind these are then
+    grouped, and a hash that stands for different bytes removes nothing.
+    """
+    solid = lambda body: (n_lines(body) > 1) & body.rlike(r"[^\s]")
     rows = docs.where(F.col("text").contains("\n")).select("doc_id", F.xxhash64("text").alias("th"), F.posexplode(chunks_of(F.col("text"), divisor)).alias("no", "body"))
-    rows = rows.where((n_lines(F.col("body")) > 1) & F.col("body").rlike(r"[^\s]"))
-    rows = rows.withColumn("h", F.xxhash64("body")).withColumn("place", F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "th", "no"))
-    # places only, no texts: added up before the shuffle, so a frequent chunk is one row a task
+    rows = rows.where(solid(F.col("body"))).select("doc_id", "th", "no", F.xxhash64("body").alias("h"))
+    rows = stage(rows).withColumn("place", F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "th", "no"))
+    # added up before the shuffle, so a frequent chunk is one row a task
     known = rows.groupBy("h").agg(F.min("place").alias("first"), F.max("place").alias("last")).where(F.col("first") != F.col("last"))
-    known = stage(known.select("h", "first"))
-    again = rows.join(known, "h")
-    firsts = again.where(F.col("place") == F.col("first")).groupBy("h").agg(F.first("body").alias("first_body"))
-    lost = again.join(stage(firsts), "h").where((F.col("body") == F.col("first_body")) & (F.col("place") != F.col("first")))
-    return lost.groupBy("doc_id", "th").agg(F.array_sort(F.collect_set("no")).alias("drop"))
+    again = stage(rows.join(known.select("h", "first"), "h").select("h", "doc_id", "th", "no", (F.col("place") != F.col("first")).alias("late")))
+    marks = again.groupBy(F.col("doc_id").alias("_d"), F.col("th").alias("_t")).agg(F.collect_set(F.struct("no", "h")).alias("marks"))
+    bodies = _keyed(docs).select("doc_id", "_th", "text").join(marks.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_t")))
+    bodies = bodies.select("marks", F.posexplode(chunks_of(F.col("text"), divisor)).alias("no", "body"))
+    bodies = bodies.withColumn("mark", F.filter("marks", lambda m: m["no"] == F.col("no"))).where(F.size("mark") > 0)
+    distinct = bodies.groupBy(F.col("mark")[0]["h"].alias("h"), "body").agg(F.lit(1).alias("one"))
+    unlike = distinct.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    lost = again.where("late").join(unlike, "h", "left_anti")
+    return lost.groupBy(F.col("doc_id").alias("_d"), F.col("th").alias("_t")).agg(F.collect_set("no").alias("_drop"))
 
 
 def dedup_lines(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
     """``docs`` with repeated chunks removed from ``text``, and ``_removed_lines``: how many lines went."""
-    drop = stage(repeated_chunks(docs, divisor)).select(F.col("doc_id").alias("_d"), F.col("th").alias("_th"), "drop")
-    drop = drop.withColumnRenamed("drop", "_drop")
-    joined = docs.join(drop, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_th")), "left")
+    drop = repeated_chunks(docs, divisor).hint("merge")
+    joined = _keyed(docs).join(drop, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_t")), "left")
     parts = chunks_of(F.col("text"), divisor)
     kept = F.filter(parts, lambda _, i: ~F.array_contains(F.col("_drop"), i))
     text = F.when(F.col("_drop").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
