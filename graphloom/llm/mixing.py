@@ -142,7 +142,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, cap: float = CAP) -
     """The mixture itself: every row of ``docs`` as often as it is taken, with all its columns."""
     names = docs.columns
     units = round_copies(docs, weights, cap).select(F.col("k").alias("_mix_k"), F.col("m").alias("_mix_m"), F.col("total").alias("_mix_total"))
-    keyed = docs.withColumn("_mix_k", F.xxhash64("doc_id", "source", "text")).join(units, "_mix_k")
+    keyed = docs.withColumn("_mix_k", F.xxhash64("doc_id", "source", "text")).join(units.hint("merge"), "_mix_k")
     alike = Window.partitionBy("_mix_k").orderBy(F.lit(1))
     j = F.when(F.col("_mix_m") == 1, 1).otherwise(F.row_number().over(alike))
     copies = keyed.withColumn("_mix_c", _dealt(F.col("_mix_total"), F.col("_mix_m"), j)).where("_mix_c > 0")
