@@ -135,4 +135,4 @@ def keywords(chunks: DataFrame, k: int = 5, least: int = 3) -> DataFrame:
     from pyspark.sql import Window
 
     place = F.row_number().over(Window.partitionBy("chunk_idx").orderBy("score", "w"))
-    return f.withColumn("score", F.round(score, 9)).withColumn("pos", 1_000_000 + place).where(place <= k).select("chunk_idx", "pos", F.upper("w").alias("name"), "score")
+    return f.withColumn("score", F.round(score, 9)).withColumn("place", place).where(F.col("place") <= k).withColumn("pos", 1_000_000 + F.col("place")).select("chunk_idx", "pos", F.upper("w").alias("name"), "score")

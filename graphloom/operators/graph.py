@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 def incident(edges: DataFrame) -> DataFrame:
     """Each edge twice, seen from either end: (at, other, edge columns)."""
-    out = edges.select(F.col("source").alias("at"), F.col("target").alias("other"), "*")
-    return out.union(edges.select(F.col("target").alias("at"), F.col("source").alias("other"), "*"))
+    ends = F.array(F.struct(F.col("source").alias("at"), F.col("target").alias("other")), F.struct(F.col("target").alias("at"), F.col("source").alias("other")))
+    return edges.select(F.inline(ends), "*")
 
 
 def entity(nodes: DataFrame, name: str) -> DataFrame:

@@ -20,7 +20,8 @@ def entity_candidates(hits: DataFrame, bridge: DataFrame) -> DataFrame:
 
 def fuse(dense: DataFrame, lexical: DataFrame, entity: DataFrame, most: int = CHUNKS) -> DataFrame:
     """(query_id, place, chunk_idx): candidates one source after the other, each chunk once, the first ``most``."""
-    parts = [c.select("query_id", F.lit(p).alias("source"), "rank", "chunk_idx") for p, c in enumerate((dense, lexical, entity))]
+    # keys are written as new expressions: a union that takes its parts for equally partitioned can fail once AQE has coalesced one of them
+    parts = [c.select((F.col("query_id") + 0).alias("query_id"), F.lit(p).alias("source"), "rank", "chunk_idx") for p, c in enumerate((dense, lexical, entity))]
     every = parts[0].unionByName(parts[1]).unionByName(parts[2])
     first = every.groupBy("query_id", "chunk_idx").agg(F.min(F.struct("source", "rank")).alias("at"))
     order = Window.partitionBy("query_id").orderBy("at", "chunk_idx")

@@ -93,8 +93,10 @@ def entity_chunks(entities: DataFrame) -> DataFrame:
 
 
 def upsert(old: DataFrame, new: DataFrame, *key: str) -> DataFrame:
-    """New rows, and the old ones whose key is not among them."""
-    return new.unionByName(old.join(new.select(*key), list(key), "left_anti"))
+    """New rows, and the old ones whose (text) key is not among them."""
+    # as in fuse: keys are new expressions, so the union relies on no partitioning
+    fresh = new.withColumns({k: F.concat(F.col(k), F.lit("")) for k in key})
+    return fresh.unionByName(old.join(new.select(*key), list(key), "left_anti"))
 
 
 def graph_nodes(nodes: DataFrame) -> DataFrame:

@@ -47,7 +47,7 @@ NODES_SQL = f"""{EDGES_SQL}, t AS (
   FROM entities e JOIN bt USING (name) JOIN ed USING (name) GROUP BY e.name
 )"""
 SEED_SQL = f"""{NODES_SQL}, seed AS (SELECT name FROM nodes ORDER BY frequency DESC, name LIMIT 3),
-inc AS (SELECT source AS at, target AS other FROM edges UNION SELECT target, source FROM edges)"""
+inc AS (SELECT source AS here, target AS other FROM edges UNION SELECT target, source FROM edges)"""
 
 
 def entities(spark: SparkSession, d: str) -> DataFrame:
@@ -138,7 +138,7 @@ WITH {ENTITIES_SQL}, s AS (
 ), b AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY chunk_idx ORDER BY score, w) AS n FROM f) WHERE n <= 5
 )
-SELECT chunk_idx, upper(w) AS name FROM b WHERE NOT EXISTS (SELECT 1 FROM entities e WHERE e.chunk_idx = b.chunk_idx AND e.name = upper(w))
+SELECT chunk_idx, upper(replace(w, 'ß', 'ss')) AS name FROM b WHERE NOT EXISTS (SELECT 1 FROM entities e WHERE e.chunk_idx = b.chunk_idx AND e.name = upper(w))
 """
 )
 def keyword_anti(spark: SparkSession, d: str) -> DataFrame:
@@ -190,22 +190,22 @@ def entity_relationships(spark: SparkSession, d: str) -> DataFrame:
 
 
 _NEIGHBORS = """, found AS (
-  SELECT DISTINCT near.seed, e.source, e.relation, e.target FROM near JOIN edges e ON e.source = near.at OR e.target = near.at
+  SELECT DISTINCT near.seed, e.source, e.relation, e.target FROM near JOIN edges e ON e.source = near.here OR e.target = near.here
 )
 SELECT seed, source, relation, target FROM (SELECT *, row_number() OVER (PARTITION BY seed ORDER BY source, relation, target) AS r FROM found) WHERE r <= 50"""
 
 
-@query(f"WITH {SEED_SQL}, near AS (SELECT name AS seed, name AS at FROM seed){_NEIGHBORS}")
+@query(f"WITH {SEED_SQL}, near AS (SELECT name AS seed, name AS here FROM seed){_NEIGHBORS}")
 def neighbors_d1(spark: SparkSession, d: str) -> DataFrame:
     return graph.neighbors(edges(spark, d), seeds(spark, d), 1).select("seed", "source", "relation", "target")
 
 
-@query(f"WITH {SEED_SQL}, near AS (SELECT name AS seed, name AS at FROM seed UNION SELECT name, other FROM seed JOIN inc ON at = name){_NEIGHBORS}")
+@query(f"WITH {SEED_SQL}, near AS (SELECT name AS seed, name AS here FROM seed UNION SELECT name, other FROM seed JOIN inc ON here = name){_NEIGHBORS}")
 def neighbors_d2(spark: SparkSession, d: str) -> DataFrame:
     return graph.neighbors(edges(spark, d), seeds(spark, d), 2).select("seed", "source", "relation", "target")
 
 
-_SUB_SQL = f"{SEED_SQL}, sub AS (SELECT name FROM seed UNION SELECT other FROM seed JOIN inc ON at = name)"
+_SUB_SQL = f"{SEED_SQL}, sub AS (SELECT name FROM seed UNION SELECT other FROM seed JOIN inc ON here = name)"
 
 
 @query(f"WITH {_SUB_SQL} SELECT source, target, relation FROM edges WHERE source IN (SELECT name FROM sub) AND target IN (SELECT name FROM sub)")

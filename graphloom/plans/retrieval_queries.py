@@ -124,9 +124,9 @@ _FUSED = f"""{_DENSE}, {_BM25}, {_ENTITY}, cand AS (
   UNION ALL SELECT query_id, 1, rank, chunk_idx FROM bm WHERE rank <= 4
   UNION ALL SELECT query_id, 2, rank, chunk_idx FROM eh JOIN (SELECT DISTINCT name, chunk_idx FROM entities) USING (name) WHERE rank <= 3
 ), firsts AS (
-  SELECT query_id, chunk_idx, min(source * 1000000 + rank) AS at FROM cand GROUP BY ALL
+  SELECT query_id, chunk_idx, min(source * 1000000 + rank) AS spot FROM cand GROUP BY ALL
 ), fused AS (
-  SELECT query_id, place::INTEGER AS place, chunk_idx FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY at, chunk_idx) AS place FROM firsts) WHERE place <= 6
+  SELECT query_id, place::INTEGER AS place, chunk_idx FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY spot, chunk_idx) AS place FROM firsts) WHERE place <= 6
 )"""
 
 
