@@ -29,7 +29,7 @@ BLOCK = 64
 SIDE, PER_FRAME = 32, 16
 FPS = 25
 BINS = 16
-#: A cut needs a difference this many standard deviations above the mean of the last SHOT_SPAN, and this share of the pixels.
+#: A cut needs a difference this many standard deviations above the mean of the last SHOT_SPAN that were no cuts, and this share of the pixels.
 SHOT_SPAN, SHOT_SIGMA, SHOT_LEAST = 8, 3.0, 0.25
 _SOME_BYTES = 4 << 20
 
@@ -310,11 +310,13 @@ def histograms(grey: np.ndarray, frame: np.ndarray, n: int) -> np.ndarray:
 def shots(hist: np.ndarray) -> list[int]:
     """First frames of the shots."""
     change = np.abs(np.diff(hist, axis=0)).sum(axis=1) / (2 * np.maximum(hist[1:].sum(axis=1), 1))
-    cuts = [0]
+    cuts, calm = [0], []
     for i, c in enumerate(change.tolist()):
-        before = change[max(0, i - SHOT_SPAN) : i]
-        if c > SHOT_LEAST and (not len(before) or c > before.mean() + SHOT_SIGMA * before.std()):
+        before = np.array(calm[-SHOT_SPAN:])
+        if c > SHOT_LEAST and (not calm or c > before.mean() + SHOT_SIGMA * before.std()):
             cuts.append(i + 1)
+        else:
+            calm.append(c)
     return cuts
 
 
