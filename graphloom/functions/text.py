@@ -120,6 +120,6 @@ def json_objects(c: Column) -> Column:
     Elements are parsed one by one, so one that is no object is left out and not the whole.
     """
     span = F.regexp_extract(F.coalesce(c, F.lit("")), r"(\[[\s\S]*\])", 1)
-    whole = F.try_parse_json(span)
+    whole = F.try_parse_json(F.concat(F.lit('{"v":'), span, F.lit("}")))  # wrapped, so that text behind the array is an error
     elements = F.from_json(F.when(whole.isNotNull(), span), "array<string>", {"allowSingleQuotes": "false"})
     return F.coalesce(F.filter(elements, lambda x: F.ltrim(x).startswith("{")), F.array().cast("array<string>"))

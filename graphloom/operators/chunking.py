@@ -222,5 +222,5 @@ def number(chunks: DataFrame, *order: str) -> DataFrame:
     inside = F.coalesce(F.sum("_n").over(Window.partitionBy("_part").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = counts.withColumn("_in", inside).join(parts.withColumn("_before", before), "_part").select(F.col(key).alias("_k"), (F.col("_before") + F.col("_in")).alias("_offset"))
     numbered = chunks.join(offsets, F.col(key).eqNullSafe(F.col("_k")))
-    place = F.row_number().over(Window.partitionBy(key).orderBy(*order[1:])) - 1
+    place = F.row_number().over(Window.partitionBy(key).orderBy(*order)) - 1
     return numbered.withColumn("chunk_idx", (F.col("_offset") + place).cast("long")).drop("_k", "_offset")

@@ -64,7 +64,7 @@ def with_retry(call: Callable[[], str], attempts: int = 5, wait: float = 1.0, mo
     return ""
 
 
-def call_extractor(chunks: DataFrame, make: Callable[[], Extractor], workers: int | None = None, limit: int = 6000) -> DataFrame:
+def call_extractor(chunks: DataFrame, make: Callable[[], Extractor], workers: int | None = None, limit: int = 6000, attempts: int = 5, wait: float = 1.0) -> DataFrame:
     """(chunk_idx, entities_json, relations_json) of (chunk_idx, content). ``make`` runs once a task; relations are asked for only where entities are found."""
     def run(batches: Iterator[pa.RecordBatch]):
         extractor = make()
@@ -72,12 +72,12 @@ def call_extractor(chunks: DataFrame, make: Callable[[], Extractor], workers: in
             found, related = [], []
             for text in b.column("content").to_pylist():
                 cut = (text or "")[:limit]
-                found.append(with_retry(lambda cut=cut: extractor.entities(cut)))
+                found.append(with_retry(lambda cut=cut: extractor.entities(cut), attempts, wait))
                 try:
                     known = [e for e in json.loads(found[-1] or "[]") if isinstance(e, dict)]
                 except ValueError:
                     known = []
-                related.append(with_retry(lambda cut=cut, known=known: extractor.relations(cut, known)) if known else "[]")
+                related.append(with_retry(lambda cut=cut, known=known: extractor.relations(cut, known), attempts, wait) if known else "[]")
             yield pa.record_batch([b.column("chunk_idx"), pa.array(found, pa.string()), pa.array(related, pa.string())], names=["chunk_idx", "entities_json", "relations_json"])
 
     dealt = chunks.repartition(workers) if workers else chunks
