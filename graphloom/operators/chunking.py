@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import markers, text as T
+from ..functions.lineage import cut
 from . import structure
 
 MIN, TARGET, MAX, TAIL = 800, 1000, 1200, 400
@@ -194,7 +195,7 @@ def build_chunks(
     """
     keys = ["doc_id", "path", "passage_no", "doc_number"]
     p = passages.withColumn("passage_no", F.coalesce("passage_no", F.lit(0)))
-    clean = structure.clean_paragraphs(p.where(F.length(T.strip("content")) > 0), keys).where(F.length(T.strip("content")) > 0)
+    clean = cut(structure.clean_paragraphs(p.where(F.length(T.strip("content")) > 0), keys).where(F.length(T.strip("content")) > 0))
     legal = token_blocks(structure.units(clean.where(markers.has_markers(F.col("content"))), keys), keys, count, least, target, most, tail)
     legal = legal.withColumn("content", T.normalize_text(F.col("content"))).where(F.length("content") >= LEGAL_CHARS)
     legal = legal.select(*keys, F.col("block_no").alias("chunk_index"), "content", "start_marker", "end_marker", F.coalesce(F.nullif("start_level", F.lit("")), F.lit("preamble")).alias("semantic_level"), "hierarchy_path")
@@ -205,7 +206,8 @@ def build_chunks(
     flat = flat.select(*keys, "chunk_index", "content", empty.alias("start_marker"), empty.alias("end_marker"), F.lit("paragraph").alias("semantic_level"), F.lit("Văn bản").alias("hierarchy_path"))
     chunks = legal.unionByName(flat).withColumn("base_id", T.range_id(F.col("doc_number"), F.col("start_marker"), F.col("end_marker")))
     order = ["path", "passage_no", "chunk_index"]
-    chunks = unique_ids(chunks, "base_id", *order).drop("base_id")
+    chunks = unique_ids(cut(chunks), "base_id", *order).drop("base_id")
+    chunks = cut(chunks)  # numbering reads them for its counts, too
     return number(chunks.withColumn("tokens", T.n_tokens(F.col("content"))), "path", "passage_no", "chunk_index")
 
 
