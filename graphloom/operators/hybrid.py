@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import graph
+from .extract import with_retry
 from .structure import joined
 
 DENSE, LEXICAL, ENTITY = 4, 4, 3
@@ -57,3 +61,21 @@ def contexts(questions: DataFrame, fused: DataFrame, chunks: DataFrame, entities
         "query_id", "context", F.concat(F.lit(rules), "context", F.lit("\n\nQuestion: "), "query", F.lit("\nAnswer:")).alias("prompt"),
         F.coalesce("num_chunks", F.lit(0)).alias("num_chunks"), F.size(names).alias("num_entities"), F.size(lines).alias("num_relationships"),
     )
+
+
+def answer(contexts: DataFrame, make: Callable[[], Callable[[str], str]], workers: int | None = None, attempts: int = 5, wait: float = 1.0) -> DataFrame:
+    """contexts with ``my_answer`` of any model of a prompt; ``make`` runs once a task, a call that keeps failing answers nothing."""
+    def run(batches):
+        model = make()
+        for b in batches:
+            said = [with_retry(lambda p=p: model(p), attempts, wait) for p in b.column("prompt").to_pylist()]
+            yield pa.record_batch([*b.columns, pa.array(said, pa.string())], names=[*b.schema.names, "my_answer"])
+
+    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in contexts.schema.fields)
+    return (contexts.repartition(workers) if workers else contexts).mapInArrow(run, f"{fields}my_answer string")
+
+
+def evaluation(questions: DataFrame, answered: DataFrame) -> DataFrame:
+    """One row a question with its answer and the true counts of what its context held."""
+    info = F.struct("num_entities", "num_chunks", "num_relationships", F.col("context").alias("context_recall"))
+    return questions.join(answered.select("query_id", "my_answer", info.alias("debug_info")), "query_id", "left")

@@ -61,3 +61,10 @@ def matching(chunks: DataFrame, anywhere: list[str], exact: list[str], preview:
 def path_matching(chunks: DataFrame, phrase: str) -> DataFrame:
     """Chunks under a heading that holds the phrase."""
     return chunks.where(F.contains(F.lower("hierarchy_path"), F.lit(phrase.lower())))
+
+
+def tree_profile(units: DataFrame, *keys: str) -> DataFrame:
+    """One row: headings per document (mean, least, most) and depth of their paths (mean, most)."""
+    depth = F.when(F.col("hierarchy_path") == "", 0).otherwise(F.size(F.split("hierarchy_path", " > ")))
+    per = units.groupBy(*keys).agg(F.count("*").alias("n"), F.max(depth).alias("depth"))
+    return per.agg(F.round(F.avg("n"), 6).alias("mean"), F.min("n").alias("least"), F.max("n").alias("most"), F.round(F.avg("depth"), 6).alias("mean_depth"), F.max("depth").alias("most_depth"))

@@ -43,14 +43,14 @@ def clean_paragraphs(df: DataFrame, keys: Sequence[str], text: str = "content")
     return lines.groupBy(*keys).agg(joined("place", "p", "\n\n").alias(text))
 
 
-def units(df: DataFrame, keys: Sequence[str], text: str = "content") -> DataFrame:
+def units(df: DataFrame, keys: Sequence[str], text: str = "content", rules: list = markers.RULES, sep: str = " > ") -> DataFrame:
     """Parses headings: (keys, unit_no, level, marker, content, hierarchy_path).
 
     A heading closes the unit before and clears all lower levels. A level counts in the
     path if it was set after every higher level was last set.
     """
     lines = df.select(*keys, F.posexplode(F.split(text, "\n", -1)).alias("line_no", "line"))
-    lines = lines.withColumn("m", markers.classify(F.col("line"))).withColumn("no", F.sum((F.col("m.level") != "").cast("int")).over(_ordered(keys, "line_no")))
+    lines = lines.withColumn("m", markers.classify(F.col("line"), rules)).withColumn("no", F.sum((F.col("m.level") != "").cast("int")).over(_ordered(keys, "line_no")))
     first = F.min_by("m", "line_no")
     u = lines.groupBy(*keys, "no").agg(first.alias("m"), strip(joined("line_no", "line", "\n")).alias("content"))
     w = _ordered(keys, "no")
@@ -61,10 +61,18 @@ def units(df: DataFrame, keys: Sequence[str], text: str = "content") -> DataFram
         at, cut = F.max(F.when(here, F.col("no"))).over(w), F.coalesce(F.max(F.when(above, F.col("no"))).over(w), F.lit(-1))
         label = F.last(F.when(here, F.col("m.label")), ignorenulls=True).over(w)
         parts.append(F.when(at > cut, label))
-    u = u.withColumn("hierarchy_path", F.concat_ws(" > ", *parts))
+    u = u.withColumn("hierarchy_path", F.concat_ws(sep, *parts))
     return u.where("content <> ''").select(*keys, F.col("no").alias("unit_no"), F.col("m.level").alias("level"), F.col("m.label").alias("marker"), "content", "hierarchy_path")
 
 
+def titled_passages(df: DataFrame, keys: Sequence[str], text: str = "content", least: int = 10) -> DataFrame:
+    """(keys, passage, context_title, passage_id, content): passages under titles of five levels; short ones drop out."""
+    u = units(df, keys, text, markers.TITLES, " - ").where(F.length("content") >= least)
+    title = F.when(F.col("hierarchy_path") == "", F.lit("Phần mở đầu")).otherwise(F.col("hierarchy_path"))
+    name = F.regexp_replace(F.translate(title, " -", "__"), "[^A-Za-z0-9_À-ỹ]", "")
+    return u.select(*keys, F.col("unit_no").alias("passage"), title.alias("context_title"), name.alias("passage_id"), "content")
+
+
 def unit_texts(df: DataFrame, keys: Sequence[str], text: str = "content") -> DataFrame:
     """(keys, unit_no, content): parsed units where there are headings, else paragraphs, else the text."""
     legal = units(df.where(markers.has_markers(F.col(text))), keys, text).select(*keys, "unit_no", "content")

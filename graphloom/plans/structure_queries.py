@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import markers, text as T
-from ..operators import chunking, structure
+from ..operators import chunking, stats, structure
 from .base import LEGAL_SQL, STRIP, documents, legal, query
-from .text_queries import LINES_SQL
+from .text_queries import lines_sql
 
 _UNIT_STRIP = STRIP("string_agg(line, chr(10) ORDER BY line_no)")
 _PARTS = []
@@ -18,21 +18,41 @@ for _rank, _level in enumerate(markers.LEVELS):
         f"CASE WHEN max(CASE WHEN level = '{_level}' THEN no END) OVER w > coalesce(max(CASE WHEN level IN ({_above}) THEN no END) OVER w, -1) "
         f"THEN last_value(CASE WHEN level = '{_level}' THEN marker END IGNORE NULLS) OVER w END"
     )
-UNITS_SQL = f"""{LINES_SQL}, numbered AS (
+def units_sql(rules: list, sep: str) -> str:
+    return f"""{lines_sql(rules)}, numbered AS (
   SELECT *, sum(CASE WHEN level <> '' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY line_no) AS no FROM lines
 ), grouped AS (
   SELECT doc_id, no, arg_min(level, line_no) AS level, arg_min(label, line_no) AS marker, {_UNIT_STRIP} AS content FROM numbered GROUP BY doc_id, no
 ), units AS (
-  SELECT doc_id, no::BIGINT AS unit_no, level, marker, content, concat_ws(' > ', {", ".join(_PARTS)}) AS hierarchy_path
+  SELECT doc_id, no::BIGINT AS unit_no, level, marker, content, concat_ws('{sep}', {", ".join(_PARTS)}) AS hierarchy_path
   FROM grouped WINDOW w AS (PARTITION BY doc_id ORDER BY no ROWS UNBOUNDED PRECEDING)
 )"""
 
 
+UNITS_SQL = units_sql(markers.RULES, " > ")
+
+
 @query(f"WITH {UNITS_SQL} SELECT * FROM units WHERE content <> ''")
 def legal_units(spark: SparkSession, d: str) -> DataFrame:
     return structure.units(legal(spark, d), ["doc_id"])
 
 
+@query(
+    f"""WITH {units_sql(markers.TITLES, ' - ')}, t AS (SELECT *, CASE WHEN hierarchy_path = '' THEN 'Phần mở đầu' ELSE hierarchy_path END AS title FROM units WHERE length(content) >= 10)
+SELECT doc_id, unit_no AS passage, title AS context_title, regexp_replace(replace(replace(title, ' ', '_'), '-', '_'), '[^A-Za-z0-9_À-ỹ]', '', 'g') AS passage_id, content FROM t"""
+)
+def titled_passages(spark: SparkSession, d: str) -> DataFrame:
+    return structure.titled_passages(legal(spark, d), ["doc_id"])
+
+
+@query(
+    f"""WITH {UNITS_SQL}, p AS (SELECT doc_id, count(*) AS n, max(CASE WHEN hierarchy_path = '' THEN 0 ELSE len(string_split(hierarchy_path, ' > ')) END)::INTEGER AS depth FROM units WHERE content <> '' GROUP BY doc_id)
+SELECT round(avg(n), 6) AS mean, min(n) AS least, max(n) AS most, round(avg(depth), 6) AS mean_depth, max(depth) AS most_depth FROM p"""
+)
+def tree_profile(spark: SparkSession, d: str) -> DataFrame:
+    return stats.tree_profile(structure.units(legal(spark, d), ["doc_id"]), "doc_id")
+
+
 def _spread(spark: SparkSession, d: str) -> DataFrame:
     """Documents with every word of up to twelve letters that ends a sentence as a paragraph of its own."""
     return documents(spark, d).select("doc_id", F.regexp_replace("text", r" ", "\n\n").alias("content"))

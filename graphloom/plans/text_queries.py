@@ -109,20 +109,23 @@ def eval_questions(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "conversations").select("conv_id", "turn", T.query_text(F.col("text")).alias("dense"), T.question(F.col("text"), case).alias("question"))
 
 
-_STRIPPED = STRIP("line")
-_CASES = {"level": "", "label": ""}
-for _level, _pattern, _label in markers.RULES:
-    _p = _pattern.replace("(?iu)", "(?i)").replace("'", "''")
-    _CASES["level"] += f" WHEN regexp_matches(s, '{_p}') THEN '{_level}'"
-    _CASES["label"] += f" WHEN regexp_matches(s, '{_p}') THEN " + ("s" if _label is None else f"'{_label}' || regexp_extract(s, '{_p}', 1)")
-LINES_SQL = f"""{LEGAL_SQL}, raw AS (
+def lines_sql(rules: list) -> str:
+    """SQL of the lines of the legal view with level and label by these rules."""
+    level, label = "", ""
+    for name, pattern, before in rules:
+        p = pattern.replace("(?iu)", "(?i)").replace("'", "''")
+        level += f" WHEN regexp_matches(s, '{p}') THEN '{name}'"
+        label += f" WHEN regexp_matches(s, '{p}') THEN " + ("s" if before is None else f"'{before}' || regexp_extract(s, '{p}', 1)")
+    return f"""{LEGAL_SQL}, raw AS (
   SELECT doc_id, unnest(string_split(content, chr(10))) AS line, generate_subscripts(string_split(content, chr(10)), 1) - 1 AS line_no FROM legal
 ), lines AS (
-  SELECT doc_id, line_no, line, CASE{_CASES["level"]} ELSE '' END AS level, CASE{_CASES["label"]} ELSE '' END AS label
-  FROM (SELECT *, {_STRIPPED} AS s FROM raw)
+  SELECT doc_id, line_no, line, CASE{level} ELSE '' END AS level, CASE{label} ELSE '' END AS label FROM (SELECT *, {STRIP("line")} AS s FROM raw)
 )"""
 
 
+LINES_SQL = lines_sql(markers.RULES)
+
+
 @query(f"WITH {LINES_SQL} SELECT doc_id, line_no::INTEGER AS line_no, level, label FROM lines")
 def marker_classify(spark: SparkSession, d: str) -> DataFrame:
     lines = legal(spark, d).select("doc_id", F.posexplode(F.split("content", "\n", -1)).alias("line_no", "line"))

@@ -103,6 +103,17 @@ def test_fusion_by_priority(spark):
     assert [r["chunk_idx"] for r in got] == [1, 2, 3, 4, 5, 6]
 
 
+def test_answers(spark):
+    c = spark.createDataFrame([(0, "p0", "c", 1, 2, 3), (1, "bad", "c", 0, 0, 0)], "query_id long, prompt string, context string, num_chunks int, num_entities int, num_relationships int")
+
+    def make():
+        return lambda prompt: {"p0": "yes"}[prompt]
+
+    q = spark.createDataFrame([(0, "q0"), (1, "q1"), (2, "q2")], "query_id long, query string")
+    rows = {r["query_id"]: r for r in hybrid.evaluation(q, hybrid.answer(c, make, attempts=1)).collect()}
+    assert rows[0]["my_answer"] == "yes" and rows[1]["my_answer"] == "" and rows[2]["my_answer"] is None and rows[0]["debug_info"]["num_entities"] == 2
+
+
 def test_search_strategies(spark, monkeypatch):
     import numpy as np
 
