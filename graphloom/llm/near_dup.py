@@ -7,8 +7,8 @@ its tokens, so that two similar sets go on together with a high chance and two
 unlike ones part. A step takes ``STEP`` tokens at once; ``TREES`` (first level) and
 ``BRANCHES`` (below) independent choices bring the chance that a pair of
 the least similarity meets in no node under 0.1 %. A node with few classes
-is compared exhaustively by the embedding. A crowded node first sets aside what is all but
-equal to a leader; the rest branches on.
+is compared exhaustively by the embedding. A crowded node first sets aside what is much
+like one of its leaders, in a group with it; the rest branches on.
 
 All this only says which classes may be linked, with a wide margin: classes that may be linked form a
 suspect group, and in each group links are confirmed on the full sets until no
@@ -42,8 +42,11 @@ BRANCHES = 8
 DEPTH = 3
 #: Classes of a node that are compared with each other.
 NODE = 64
-#: Least estimated similarity of a suspect pair; and from where on a class is set aside as its leader's copy.
-SUSPECT, COPY = 0.5, 0.85
+#: Classes of a crowded node that all its classes are compared with.
+LEADERS = 8
+#: Least estimated similarity of a suspect pair, and of a class and its leader; and from where on a class is set aside as a leader's copy.
+#: What is linked with a class set aside is so near that leader as to be its suspect, and so in one group with both.
+SUSPECT, LEADER_SUSPECT, COPY = 0.5, 0.4, 0.7
 #: A group of more shingles or classes than these is tested in blocks.
 GROUP_SHINGLES, GROUP_CLASSES = 6_000_000, 30_000
 BUCKET_SHINGLES = 2_000_000
@@ -130,12 +133,21 @@ def _compare_nodes(batches):
         yield pa.record_batch([pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["a", "b"])
 
 
-def _to_leader(batches):
-    """Crowded nodes: the share of tokens a class has in common with its node's leader."""
+def _to_leaders(batches):
+    """Crowded nodes: a class's first suspect leader, other leaders this joins to that one, and the largest share of tokens it has in common with one."""
     for batch in batches:
-        alike = (_matrix(batch.column("sig").to_pylist()) == _matrix(batch.column("leader_sig").to_pylist())).mean(axis=1) if batch.num_rows else np.empty(0)
-        names = ["path", "cls", "sig", "leader"]
-        yield pa.record_batch([*(batch.column(c) for c in names), pa.array(alike, pa.float64())], names=[*names, "alike"])
+        sig = _matrix(batch.column("sig").to_pylist())
+        edges, alike, joined = [], [], set()
+        for cls, own, leaders in zip(batch.column("cls").to_pylist(), sig, batch.column("leaders").to_pylist(), strict=True):
+            same = (_matrix([x["sig"] for x in leaders]) == own).mean(axis=1)
+            near = [leaders[i]["cls"] for i in np.flatnonzero(same >= LEADER_SUSPECT)]
+            new = [(near[0], x) for x in near[1:] if (near[0], x) not in joined]
+            joined.update(new)
+            edges.append([{"a": a, "b": b} for a, b in [*((near[0], cls) for _ in near[:1]), *new] if a != b])
+            alike.append(float(same.max()))
+        rest = ["path", "cls", "sig", "first"]
+        pairs = pa.array(edges, pa.list_(pa.struct([("a", pa.binary()), ("b", pa.binary())])))
+        yield pa.record_batch([*(batch.column(c) for c in rest), pairs, pa.array(alike, pa.float64())], names=[*rest, "edges", "alike"])
 
 
 def suspect_pairs(classes: DataFrame) -> DataFrame:
@@ -146,13 +158,14 @@ def suspect_pairs(classes: DataFrame) -> DataFrame:
         counts = level.groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
         held = stage(level.join(counts, "path").join(classes, "cls"))
         few = held.where(F.col("n") <= NODE).groupBy("path").agg(F.collect_list(F.struct("cls", "sig")).alias("members"))
-        found = few.mapInArrow(_compare_nodes, "a binary, b binary").distinct()
+        found = few.mapInArrow(_compare_nodes, "a binary, b binary")
         many = held.where(F.col("n") > NODE)
-        leaders = many.groupBy("path").agg(F.min_by(F.struct("cls", "sig"), F.xxhash64("path", "cls")).alias("l"))
-        leaders = stage(leaders.select("path", F.col("l.cls").alias("leader"), F.col("l.sig").alias("leader_sig")))
-        measured = stage(many.join(leaders, "path").mapInArrow(_to_leader, "path long, cls binary, sig binary, leader binary, alike double"))
-        close = measured if depth == DEPTH else measured.where(F.col("alike") >= SUSPECT)
-        found = found.union(close.where("cls <> leader").select("leader", "cls").distinct())
+        lots = many.groupBy("path", F.pmod(F.xxhash64("cls"), F.lit(LEADERS)).alias("lot")).agg(F.min(F.struct("cls", "sig")).alias("l"))
+        leaders = stage(lots.groupBy("path").agg(F.sort_array(F.collect_list("l")).alias("leaders"), F.min("l.cls").alias("first")))
+        measured = stage(many.join(leaders, "path").mapInArrow(_to_leaders, "path long, cls binary, sig binary, first binary, edges array<struct<a:binary,b:binary>>, alike double"))
+        found = found.union(measured.select(F.inline("edges")))
+        if depth == DEPTH:
+            found = found.union(measured.select("cls", "first"))
         pairs = found if pairs is None else pairs.union(found)
         if measured.isEmpty():
             break
