@@ -22,7 +22,7 @@ import math
 import re
 import unicodedata
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterable
 
 import numpy as np
@@ -39,8 +39,12 @@ TERM_BITS = 22
 MIN_DOCS = 5
 LETTERS = 28  # 0: no letter, 1 to 26: a to z, 27: any other
 THRESHOLD = 0.5
-#: A term of this worth, found in this share of the toxic documents, needs no more.
-SURE, FREQUENT = 0.9, 0.02
+#: Least worth of a term: Wilson's lower bound of the share of toxic documents among those that hold it.
+LEAST_WORTH = 0.65
+#: A term of this worth, found in this share of the toxic documents and in at most this share of others, needs no more.
+SURE, FREQUENT, IMPURE = 0.9, 0.02, 0.01
+#: Candidate terms of a document up to which each gets its whole vote.
+SHARED = 12
 
 # fixed values: what a sign may stand for
 STANDS_FOR = {
@@ -250,22 +254,28 @@ def lower_bound(hits: float, n: float, z: float = 2.0) -> float:
     return (p + z * z / (2 * n) - z * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
 
 
-def cover(pairs: Iterable[tuple[int, int]], worth: dict[int, float], documents: int) -> tuple[dict[int, float], int]:
+def cover(pairs: Iterable[tuple[int, int]], worth: dict[int, float], documents: int, pure: set[int] | None = None) -> tuple[dict[int, float], int]:
     """Greedily the terms that cover most documents not covered yet; and how many stay uncovered.
 
-    A term that is both frequent and sure stands on its own, however few documents need it.
+    A document that holds many candidates says little about each, as copies of one text
+    share all their rare words; above ``SHARED`` candidates its vote is split. A pure term
+    (of ``pure``, all if not given) that is both frequent and sure stands on its own, however few documents need it.
     """
+    pairs = list(pairs)
+    held = Counter(doc for doc, _ in pairs)
+    vote = {doc: min(1.0, SHARED / n) for doc, n in held.items()}
     holds = defaultdict(set)
     for doc, bucket in pairs:
         holds[bucket].add(doc)
-    chosen = {b: worth[b] for b, d in holds.items() if worth[b] >= SURE and len(d) >= documents * FREQUENT}
+    votes = lambda docs: sum(map(vote.__getitem__, docs))
+    chosen = {b: worth[b] for b, d in holds.items() if worth[b] >= SURE and (pure is None or b in pure) and votes(d) >= documents * FREQUENT}
     covered = {doc for b in chosen for doc in holds.pop(b)}
     holds = {b: left for b, d in holds.items() if (left := d - covered)}
     least = max(3, documents // 500)
     while holds:
-        gain = {b: len(d) * worth[b] for b, d in holds.items()}
+        gain = {b: votes(d) * worth[b] for b, d in holds.items()}
         best = min(gain, key=lambda b: (-gain[b], b))
-        if len(holds[best]) < least:
+        if votes(holds[best]) < least:
             break
         chosen[best] = worth[best]
         new = holds.pop(best)
@@ -304,10 +314,11 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     count = lambda df, only: df.select("text").mapInArrow(_count_terms(characters, only), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     hits = {r["bucket"]: r["n"] for r in count(toxic, None).where(F.col("n") >= MIN_DOCS).collect()}
     every = count(rows, np.array(sorted(hits), np.int64))
-    worth = {r["bucket"]: lower_bound(hits[r["bucket"]], r["n"]) for r in every.collect()}
-    worth = {b: w for b, w in worth.items() if w >= THRESHOLD}
+    seen = {r["bucket"]: r["n"] for r in every.collect()}
+    worth = {b: w for b, n in seen.items() if (w := lower_bound(hits[b], n)) >= LEAST_WORTH}
+    pure = {b for b in worth if hits[b] >= (1 - IMPURE) * seen[b]}
     pairs = toxic.mapInArrow(_incidence(characters, np.array(sorted(worth), np.int64)), "doc long, bucket long").distinct().collect()
-    terms, left = cover(((r["doc"], r["bucket"]) for r in pairs), worth, n_toxic)
+    terms, left = cover(((r["doc"], r["bucket"]) for r in pairs), worth, n_toxic, pure)
     return Model(characters, terms, min(0.49, left / max(1, n_rows - n_toxic + left)))
 
 
