@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BASE = 1.3
-LEAF = 64
+LEAF, WORTH = 64, 8
 BLOCK = 4096
 GROUP = 4096
 
@@ -37,14 +37,19 @@ def scaled(vector: Column, scale: float = 64.0) -> Column:
 
 
 class _Tree:
-    """A cover tree over the rows of x; node i has centres[i], radius[i], and children or points."""
+    """A cover tree over the rows of x; node i has centres[i], radius[i], and children or points.
+
+    A node stays a leaf where covering it would take a ball for every ``WORTH`` points or
+    fewer: such points are about as far from each other as from the centre, and
+    smaller balls would prune nothing.
+    """
 
     def __init__(self, x: np.ndarray):
         self.x, self.centre, self.radius, self.children, self.points = x, [], [], [], []
         work = [(np.arange(len(x)), 0, -1)]
         while work:
             idx, centre, parent = work.pop()
-            far = np.sqrt(np.maximum(((x[idx] - x[centre]) ** 2).sum(axis=1), 0))
+            far = self._far(idx, centre)
             node = len(self.centre)
             self.centre.append(centre)
             self.radius.append(float(far.max()))
@@ -52,20 +57,29 @@ class _Tree:
             self.points.append(idx)
             if parent >= 0:
                 self.children[parent].append(node)
-            if len(idx) <= LEAF or far.max() == 0:
-                continue
-            reach = far.max() / BASE
-            while len(idx):
-                inside = far <= reach
-                work.append((idx[inside], centre, node))
-                idx = idx[~inside]
-                if len(idx):
-                    centre = idx[0]
-                    far = np.sqrt(((x[idx] - x[centre]) ** 2).sum(axis=1))
+            if len(idx) > LEAF and far.max() > 0:
+                work += [(ball, c, node) for ball, c in self._cover(idx, centre, far, far.max() / BASE)]
         self.radius = np.array(self.radius)
         self.at = x[self.centre]
         self.norm = np.sqrt((self.at**2).sum(axis=1))
 
+    def _far(self, idx: np.ndarray, centre: int) -> np.ndarray:
+        return np.sqrt(((self.x[idx] - self.x[centre]) ** 2).sum(axis=1))
+
+    def _cover(self, idx: np.ndarray, centre: int, far: np.ndarray, reach: float) -> list[tuple[np.ndarray, int]]:
+        """Balls of ``reach`` around some of the points that hold all of them; none if they are too many."""
+        most, balls = len(idx) // WORTH, []
+        while len(idx):
+            if len(balls) == most:
+                return []
+            inside = far <= reach
+            balls.append((idx[inside], centre))
+            idx = idx[~inside]
+            if len(idx):
+                centre = idx[0]
+                far = self._far(idx, centre)
+        return balls
+
 
 def dual_tree(q: np.ndarray, p: np.ndarray, q_ids: np.ndarray, p_ids: np.ndarray, k: int) -> list[list[tuple[int, int]]]:
     """For each row of q its k best rows of p as (score, id), best first; rows of one id never meet."""
@@ -85,10 +99,12 @@ def dual_tree(q: np.ndarray, p: np.ndarray, q_ids: np.ndarray, p_ids: np.ndarray
             continue
         if not a.children[i] and not b.children[j]:
             cols = b.points[j]
-            score = q[mine] @ p[cols].T
-            hits, which = np.nonzero((score >= kth[mine][:, None]) & (q_ids[mine][:, None] != p_ids[cols]))
-            for row in np.unique(hits).tolist():
-                new = which[hits == row]
+            score = np.where(q_ids[mine][:, None] == p_ids[cols], -np.inf, q[mine] @ p[cols].T)
+            enough = np.partition(score, -k, axis=1)[:, -k] if len(cols) > k else np.full(len(mine), -np.inf)
+            hits, which = np.nonzero(score >= np.maximum(np.maximum(kth[mine], enough), -1e300)[:, None])
+            cuts = np.searchsorted(hits, np.arange(len(mine) + 1))
+            for row in np.flatnonzero(np.diff(cuts)).tolist():
+                new = which[cuts[row] : cuts[row + 1]]
                 at = mine[row]
                 pairs = best[at] + list(zip(score[row, new].astype(np.int64).tolist(), p_ids[cols[new]].tolist(), strict=True))
                 pairs.sort(key=lambda s: (-s[0], s[1]))
