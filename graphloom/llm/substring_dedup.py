@@ -32,7 +32,7 @@ from .words import Runs, signed, split_words, word_hashes
 
 WINDOW = 50
 KMER = 12
-_FLUSH = 200_000
+_FLUSH, _ROWS_AT_ONCE = 100_000, 256
 
 
 def _slide(x: np.ndarray, size: int, what) -> np.ndarray:
@@ -86,9 +86,10 @@ def _batches(fields: list[tuple[str, pa.DataType]], rows: Iterator[tuple]) -> It
 
 def _documents(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("text", *names)), strict=True):
-            words = split_words(row[0])
-            yield words, *row[1:]
+        for at in range(0, batch.num_rows, _ROWS_AT_ONCE):
+            some = batch.slice(at, _ROWS_AT_ONCE)
+            for text, *row in zip(*(some.column(c).to_pylist() for c in ("text", *names)), strict=True):
+                yield split_words(text), *row
 
 
 def _same(value: int, n: int) -> np.ndarray:
@@ -201,24 +202,23 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = KMER) -> Data
 
 
 def _remove(batches):
-    for batch in batches:
-        kept, n_words, n_removed = [], [], []
-        for text, spans in zip(batch.column("text").to_pylist(), batch.column("_spans").to_pylist(), strict=True):
-            words = split_words(text)
-            n_words.append(len(words))
-            if spans:
-                gone = np.zeros(len(words) + 1, np.int64)
-                np.add.at(gone, [s["lo"] for s in spans], 1)
-                np.add.at(gone, [s["hi"] for s in spans], -1)
-                stays = np.cumsum(gone)[:-1] == 0
-                words = [w for w, s in zip(words, stays.tolist(), strict=True) if s]
-            n_removed.append(n_words[-1] - len(words))
-            kept.append(b" ".join(words).decode())
-        rest = [c for c in batch.schema.names if c != "_spans"]
-        yield pa.record_batch(
-            [*(batch.column(c) for c in rest), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())],
-            names=[*rest, "_n_words", "_n_removed", "_kept"],
-        )
+    for whole in batches:
+        for at in range(0, whole.num_rows, _ROWS_AT_ONCE):
+            batch = whole.slice(at, _ROWS_AT_ONCE)
+            kept, n_words, n_removed = [], [], []
+            for text, spans in zip(batch.column("text").to_pylist(), batch.column("_spans").to_pylist(), strict=True):
+                words = split_words(text)
+                n_words.append(len(words))
+                if spans:
+                    gone = _starts(len(words), [s["lo"] for s in spans], [s["hi"] for s in spans])
+                    words = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
+                n_removed.append(n_words[-1] - len(words))
+                kept.append(b" ".join(words).decode())
+            rest = [c for c in batch.schema.names if c != "_spans"]
+            yield pa.record_batch(
+                [*(batch.column(c) for c in rest), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())],
+                names=[*rest, "_n_words", "_n_removed", "_kept"],
+            )
 
 
 def dedup_substrings(docs: DataFrame, window: int = WINDOW, k: int = KMER) -> DataFrame:

@@ -8,7 +8,7 @@ import xxhash
 #: Odd multipliers of the two polynomial hashes; wrap-around in 64 bits is meant.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _MASK = (1 << 64) - 1
-_CACHE_WORDS = 1 << 20
+_CACHE_WORDS = 1 << 18
 
 
 class _Hashes(dict):
