@@ -10,10 +10,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.lineage import cut
 from ..functions.text import tokenize
 
 QUERY_BLOCK = 2048
@@ -111,10 +113,16 @@ def exact(queries: DataFrame, vectors: DataFrame, k: int = 5) -> DataFrame:
 class Ivf:
     """An inverted file: k-means cells fitted on a bounded sample, every vector in its nearest cell.
 
-    ``fit_rows`` bounds the sample; ``cells`` and ``probe`` trade recall for work.
+    ``fit_rows`` bounds the sample; ``cells`` trades work for fit. Without ``probe`` results are those of
+    ``exact``: after the cells nearest to a query, all others are searched whose ball (centre and radius)
+    may hold a score as good as the k-th found. A ``probe`` ends the search after so many cells, with
+    whatever recall that gives.
     """
 
-    def __init__(self, vectors: DataFrame, cells: int | None = None, probe: int = 16, fit_rows: int = 100_000, seed: int = 7):
+    FIRST = 16
+    BLOCK, GROUP = 1024, 4096
+
+    def __init__(self, vectors: DataFrame, cells: int | None = None, probe: int | None = None, fit_rows: int = 100_000, seed: int = 7):
         n = vectors.count()
         self.cells, self.probe = cells or min(128, max(1, n // 10)), probe
         share = min(1.0, fit_rows / max(1, n))
@@ -125,29 +133,72 @@ class Ivf:
         fitted = KMeans(k=self.cells, seed=seed, maxIter=10, featuresCol="v").fit(sample.select(array_to_vector(F.col("embedding").cast("array<double>")).alias("v")))
         self.centres = np.array(fitted.clusterCenters())
         self.table = self._celled(vectors.select(F.col("idx").cast("long"), "embedding"), 1)
+        self.radius, self.size = np.full(len(self.centres), -np.inf), np.zeros(len(self.centres), np.int64)
+        for r in self.table.groupBy("cell").agg(F.max("far").alias("radius"), F.count("*").alias("n")).collect():
+            self.radius[r["cell"]], self.size[r["cell"]] = r["radius"], r["n"]
 
-    def _celled(self, df: DataFrame, probe: int) -> DataFrame:
-        """df a row for each of its ``probe`` nearest cells."""
-        centres = self.centres
+    def _celled(self, df: DataFrame, probe: int, kth: str | None = None) -> DataFrame:
+        """df a row for each of its ``probe`` nearest cells, with the distance ``far``; given ``kth``, for each cell after these that may hold such a score."""
+        centres, radius = self.centres, self.radius if kth else None
 
         def run(batches):
             for b in batches:
                 if not b.num_rows:
                     continue
                 x = _matrix(b.column("embedding"))
-                far = (centres**2).sum(axis=1) - 2 * x @ centres.T
-                cell = np.argsort(far, axis=1)[:, :probe]
-                at = pa.array(np.repeat(np.arange(len(x)), cell.shape[1]))
-                yield pa.record_batch([*(c.take(at) for c in b.columns), pa.array(cell.ravel(), pa.int32())], names=[*b.schema.names, "cell"])
+                dot = x @ centres.T
+                far = (x**2).sum(axis=1)[:, None] + (centres**2).sum(axis=1) - 2 * dot
+                order = np.argsort(far, axis=1, kind="stable")
+                take = np.zeros(far.shape, bool)
+                np.put_along_axis(take, order[:, :probe], True, 1)
+                if kth:
+                    bound = dot + radius * np.linalg.norm(x, axis=1)[:, None]
+                    take = ~take & (bound >= b.column(kth).to_numpy()[:, None] - 1e-6)
+                row, cell = np.nonzero(take)
+                far = np.sqrt(np.maximum(far[row, cell], 0))
+                yield pa.record_batch([*(c.take(pa.array(row)) for c in b.columns), pa.array(cell, pa.int32()), pa.array(far)], names=[*b.schema.names, "cell", "far"])
 
         fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.schema.fields)
-        return df.mapInArrow(run, f"{fields}cell int")
+        return df.mapInArrow(run, f"{fields}cell int, far double")
+
+    def _found(self, asked: DataFrame, k: int, queries: int) -> DataFrame:
+        """The best k of each query in each block of its cells; a cell's vectors and queries meet in parts of bounded size."""
+        groups = max(1, -(-queries // self.GROUP))
+        blocks = F.element_at(F.array(*(F.lit(int(max(1, -(-n // self.BLOCK)))) for n in self.size)), F.col("cell") + 1)
+        every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+        q = asked.select("query_id", "embedding", "cell", F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("int").alias("g"), every(blocks).alias("b"))
+        v = self.table.select("idx", "embedding", "cell", F.pmod(F.xxhash64("idx"), blocks).cast("int").alias("b"), every(F.lit(groups)).alias("g"))
+        key = ["cell", "b", "g"]
+        return q.groupBy(*key).cogroup(v.groupBy(*key)).applyInPandas(_block_best(k), "query_id long, idx long, score double")
 
     def search(self, queries: DataFrame, k: int = 5) -> DataFrame:
-        """As ``exact``, within the cells nearest to each query."""
-        q = self._celled(queries.select(F.col("query_id").cast("long"), F.col("embedding").alias("embedding")), self.probe).withColumnRenamed("embedding", "q")
-        dot = F.aggregate(F.zip_with("q", "embedding", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda s, x: s + x)
-        return _ranked(q.join(self.table, "cell").select("query_id", "idx", F.round(dot, 9).alias("score")), k)
+        """As ``exact``; with a ``probe``, within that many cells nearest to each query."""
+        q = queries.select(F.col("query_id").cast("long"), "embedding")
+        n = q.count()
+        first = _ranked(self._found(self._celled(q, self.probe or self.FIRST), k, n), k)
+        if self.probe:
+            return first
+        first = cut(first)
+        kth = first.where(F.col("rank") == k).select("query_id", F.col("score").alias("kth"))
+        held = q.join(kth, "query_id", "left").withColumn("kth", F.coalesce("kth", F.lit(float("-inf"))))
+        more = self._found(self._celled(held, self.FIRST, "kth"), k, n)
+        # the key is written as a new expression in both parts, as in hybrid.fuse
+        parts = [x.select((F.col("query_id") + 0).alias("query_id"), "idx", "score") for x in (first, more)]
+        return _ranked(parts[0].unionByName(parts[1]), k)
+
+
+def _block_best(k: int):
+    """Within a part of a cell: the k best vectors of each query, ties to the smaller idx."""
+    def run(queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
+        if not len(queries) or not len(block):
+            return pd.DataFrame({"query_id": [], "idx": [], "score": []})
+        q, x = (np.stack(t["embedding"].to_numpy()).astype(np.float64) for t in (queries, block))
+        score = np.round(q @ x.T, 9)
+        index = np.broadcast_to(block["idx"].to_numpy(), score.shape)
+        order = np.lexsort((index, -score), axis=1)[:, :k]
+        return pd.DataFrame({"query_id": np.repeat(queries["query_id"].to_numpy(), order.shape[1]), "idx": np.take_along_axis(index, order, 1).ravel(), "score": np.take_along_axis(score, order, 1).ravel()})
+
+    return run
 
 
 #: Search strategies by name.

@@ -131,6 +131,14 @@ def test_search_strategies(spark, monkeypatch):
         vector.search("other", q, v)
 
 
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_the_registered_ivf_query_finds_all_neighbours(spark, sf):
+    from graphloom.plans import registry
+
+    want, got = ([tuple(r) for r in registry.queries()[name](spark, f"/root/testdata/{sf}").orderBy("query_id", "rank").collect()] for name in ("knn_exact", "knn_ivf"))
+    assert got == want
+
+
 def test_embedding_model(spark):
     import numpy as np
 
