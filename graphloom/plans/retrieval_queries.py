@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.lineage import cut
 from ..functions.text import query_text
 from ..operators import bm25, hybrid, kg, vector
 from .base import TOKENS, chunks, query, questions, table
@@ -88,11 +89,12 @@ def _entity_hits(spark: SparkSession, d: str, k: int = hybrid.ENTITY) -> DataFra
     names = kg.bridge(entities(spark, d)).select("name").distinct()
     v = names.select(F.xxhash64("name").alias("idx"), vector.hashed_embedding(F.col("name")).alias("embedding"), "name")
     q = questions(spark, d).select("query_id", vector.hashed_embedding(query_text(F.col("query"))).alias("embedding"))
-    # ties are wide (equal places), so the order by name is settled on all entities of the k best scores' places
+    # ties are wide (equal places), so the order by name is settled on all entities of the k best places; these
+    # are numbered by their first names, so that the places kept among equal scores hold the k smallest names
     from pyspark.sql import Window
 
     places = v.groupBy("embedding").agg(F.min("name").alias("first"))
-    p = places.select(F.xxhash64("embedding").alias("idx"), "embedding", "first")
+    p = cut(places.orderBy("first").select(F.monotonically_increasing_id().alias("idx"), "embedding"))
     near = vector.exact(q, p.select("idx", "embedding"), k)
     held = near.join(p.select("idx", "embedding"), "idx").join(v.select("embedding", "name"), "embedding")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "name")

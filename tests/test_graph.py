@@ -139,6 +139,23 @@ def test_the_registered_ivf_query_finds_all_neighbours(spark, sf):
     assert got == want
 
 
+@pytest.mark.parametrize("name", ["knn_entities", "hybrid_fusion", "hybrid_context"])
+def test_entities_of_many_tied_places(spark, tmp_path, name):
+    import duckdb
+
+    from graphloom.plans import registry
+
+    names = ["".join(chr(97 + (i * m + 5) % 26) for m in (7, 3, 11, 5, 9, 1, 17)).capitalize() for i in range(26)]
+    tables = {"documents": [(i, f"{n} {names[(i + 9) % 26]} w{i}") for i, n in enumerate(names)], "benchmark": [(0, "w3 w4"), (1, "nothing here"), (2, f"{names[4]} w9")]}
+    con = duckdb.connect()
+    for t, rows in tables.items():
+        spark.createDataFrame(rows, f"{'doc_id' if t == 'documents' else 'item_id'} long, text string").coalesce(1).write.parquet(f"{tmp_path}/{t}.parquet")
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    got = registry.queries()[name](spark, str(tmp_path))
+    want = con.sql(registry.oracle_sql()[name])
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(want.fetchall())
+
+
 def test_embedding_model(spark):
     import numpy as np
 
