@@ -169,20 +169,70 @@ def token_blocks(units: DataFrame, keys: Sequence[str], count: Counter = count_w
     return packed.select(*keys, F.posexplode("b").alias("block_no", "b")).select(*keys, "block_no", "b.*")
 
 
+def _taken(events: list[dict]) -> dict:
+    """One base's rows (i) and the first rows of bases named base_j (j), in order, for a base whose own name is free (0) or not (1).
+
+    lost: the j whose name a row of this base took first. steps: the i from which numbers lie one higher.
+    """
+    out = {}
+    for begin in (0, 1):
+        free, held, lost, steps = begin, set(), [], []
+        for e in events:
+            if e["j"] is None:
+                at = free
+                while at in held:
+                    at += 1
+                steps += [e["i"]] * (at - free)
+                free = at + 1
+            elif e["j"] < free:
+                lost.append(e["j"])
+            else:
+                held.add(e["j"])
+        out |= {f"lost{begin}": lost, f"steps{begin}": steps}
+    return out
+
+
+_TAKEN = ("lost0", "steps0", "lost1", "steps1")
+
+
 def unique_ids(df: DataFrame, base: str, *order: str) -> DataFrame:
-    """df with ``id``: base, or base_1, base_2, ... for later ones.
+    """df with ``id``: base, or else base_1, base_2, ..., the first that no row before it has, as a loop over the rows in order gives them.
 
-    An id made so may be another row's base; such a row takes the next free number, settled in rounds
-    over the rows that still clash (few, and fewer each time).
+    A made id base_j can only meet the base of that very name, so a base is settled with the first rows of
+    such bases alone, once for each state of its own name; which of both holds comes down from
+    the base it may be made of, in as many rounds as names are nested.
     """
-    w = Window.partitionBy(base).orderBy(*order)
-    n = F.row_number().over(w) - 1
-    df = df.withColumn("id", F.when(n == 0, F.col(base)).otherwise(F.concat_ws("_", F.col(base), n.cast("string"))))
-    clash = Window.partitionBy("id").orderBy(F.when(F.col("id") == F.col(base), 0).otherwise(1), *order)
-    for _ in range(3):
-        again = F.row_number().over(clash) - 1
-        df = df.withColumn("_again", again).withColumn("id", F.when(F.col("_again") == 0, F.col("id")).otherwise(F.concat_ws("_", "id", F.col("_again").cast("string")))).drop("_again")
-    return df
+    df = cut(df.withColumn("_n", (F.row_number().over(Window.partitionBy(base).orderBy(*order)) - 1).cast("long")))
+    at, made = F.struct(*order).alias("at"), r"(?s)^(.*)_([1-9]\d{0,17})$"
+    firsts = df.where("_n = 0").select(F.col(base).alias("_base"), at)
+    inner = firsts.where(F.col("_base").rlike(made)).select(F.regexp_extract("_base", made, 1).alias("_of"), F.regexp_extract("_base", made, 2).cast("long").alias("j"), "_base", "at")
+    inner = cut(inner.join(firsts.select(F.col("_base").alias("_of")), "_of", "left_semi"))
+    number = lambda n: F.when(n == 0, F.col(base)).otherwise(F.concat_ws("_", base, n.cast("string")))
+    if inner.isEmpty():
+        return df.withColumn("id", number(F.col("_n"))).drop("_n")
+    none = F.lit(None).cast("long")
+    most = inner.groupBy("_of").agg(F.max("j").alias("_most"))
+    rows = df.select(F.col(base).alias("_of"), at, "_n").join(most, "_of").where("_n <= _most").select("_of", F.struct("at", none.alias("j"), F.col("_n").alias("i")).alias("e"))
+    names = inner.select("_of", F.struct("at", "j", none.alias("i")).alias("e"))
+    # the key is written as a new expression in both parts, as in hybrid.fuse
+    every = [x.select(F.concat("_of", F.lit("")).alias("_of"), "e") for x in (rows, names)]
+    events = every[0].unionByName(every[1]).groupBy("_of").agg(F.transform(F.array_sort(F.collect_list("e")), lambda e: F.struct(e["j"].alias("j"), e["i"].alias("i"))).alias("e"))
+    kind = ",".join(f"{c}:array<bigint>" for c in _TAKEN)
+    taken = _with(events, "t", f"struct<{kind}>", pa.struct([(c, pa.list_(pa.int64())) for c in _TAKEN]), "e", lambda e: [_taken(e)])
+    taken = cut(taken.select("_of", F.col("t")[0].alias("t")))
+    lost = [F.array_contains(F.col(f"t.lost{x}"), F.col("j")) for x in (0, 1)]
+    nested = inner.join(taken, "_of").select("_base", "_of", lost[0].alias("_a"), lost[1].alias("_b")).withColumn("_s", F.when(F.col("_a") == F.col("_b"), F.col("_a")))
+    while True:
+        above = nested.select(F.col("_base").alias("_of"), F.col("_s").alias("_up"), F.lit(True).alias("_in"))
+        known = F.when(F.col("_in").isNull(), F.col("_a")).when(F.col("_up"), F.col("_b")).when(~F.col("_up"), F.col("_a"))
+        nested = cut(nested.join(above, "_of", "left").select("_base", "_of", "_a", "_b", F.coalesce("_s", known).alias("_s")))
+        if nested.where("_s is null").isEmpty():
+            break
+    out = df.join(nested.select(F.col("_base").alias(base), "_s"), base, "left").join(taken.withColumnRenamed("_of", base), base, "left")
+    begin = F.coalesce(F.col("_s"), F.lit(False))
+    steps = F.coalesce(F.when(begin, F.col("t.steps1")).otherwise(F.col("t.steps0")), F.array().cast("array<bigint>"))
+    n = F.col("_n") + begin.cast("long") + F.size(F.filter(steps, lambda i: i <= F.col("_n")))
+    return out.withColumn("id", number(n)).drop("_n", "_s", "t").select(*[c for c in df.columns if c != "_n"], "id")
 
 
 def build_chunks(
@@ -204,9 +254,10 @@ def build_chunks(
     flat = flat.where((F.length("content") >= min_chars) | (F.col("n") == 1) & (F.length("content") >= LEGAL_CHARS))
     empty = F.lit("")
     flat = flat.select(*keys, "chunk_index", "content", empty.alias("start_marker"), empty.alias("end_marker"), F.lit("paragraph").alias("semantic_level"), F.lit("Văn bản").alias("hierarchy_path"))
-    chunks = legal.unionByName(flat).withColumn("base_id", T.range_id(F.col("doc_number"), F.col("start_marker"), F.col("end_marker")))
+    start = F.when(F.col("semantic_level") == "paragraph", F.format_string("para_%d", "chunk_index")).otherwise(F.col("start_marker"))
+    chunks = legal.unionByName(flat).withColumn("base_id", T.range_id(F.col("doc_number"), start, F.col("end_marker")))
     order = ["path", "passage_no", "chunk_index"]
-    chunks = unique_ids(cut(chunks), "base_id", *order).drop("base_id")
+    chunks = unique_ids(chunks, "base_id", *order).drop("base_id")
     chunks = cut(chunks)  # numbering reads them for its counts, too
     return number(chunks.withColumn("tokens", T.n_tokens(F.col("content"))), "path", "passage_no", "chunk_index")
 

@@ -111,6 +111,43 @@ def test_unique_ids(spark):
     assert len(set(out)) == 6
 
 
+def ids_by_loop(rows):
+    seen, out = set(), {}
+    for base, n in sorted(rows, key=lambda r: r[1]):
+        made, i = base, 0
+        while made in seen:
+            i += 1
+            made = f"{base}_{i}"
+        seen.add(made)
+        out[n] = made
+    return out
+
+
+@pytest.mark.parametrize("kind", ["few", "all", "random"])
+def test_unique_ids_of_nested_markers_against_a_loop(spark, kind):
+    from itertools import product
+
+    rng = random.Random(5)
+    if kind == "few":
+        bases = ["d_1_1", "d_1_1_1", "d_1_1_1_1"] * 2
+    elif kind == "all":
+        bases = ["_".join(("d", *m)) for size in (2, 3, 4) for m in product("123", repeat=size)] * 4
+    else:
+        bases = ["_".join(("d", *rng.choices(["1", "2", "01", "3"], k=rng.choice([1, 2, 2, 3, 4, 5])))) for _ in range(600)]
+    rng.shuffle(bases)
+    rows = [(b, i) for i, b in enumerate(bases)]
+    got = {r["n"]: r["id"] for r in chunking.unique_ids(spark.createDataFrame(rows, "b string, n long"), "b", "n").collect()}
+    assert got == ids_by_loop(rows) and len(set(got.values())) == len(rows)
+
+
+def test_flat_chunks_are_named_by_their_place(spark):
+    flat = "\n\n".join("đoạn văn " * 300 for _ in range(5))
+    rows = [("d", "p/2", 1, "3/4", flat), ("d", "p/3", 1, "3/4", flat)]
+    chunks = chunking.build_chunks(spark.createDataFrame(rows, "doc_id string, path string, passage_no int, doc_number string, content string")).orderBy("chunk_idx").collect()
+    n = len(chunks) // 2
+    assert n > 1 and [r["id"] for r in chunks] == [f"chunk_3_4_para_{i}{x}" for x in ("", "_1") for i in range(n)]
+
+
 def test_build_chunks(spark):
     legal = "Mở đầu\n" + "\n".join(f"Điều {i}. " + f"nội dung {i} " * 300 for i in range(1, 6))
     flat = "\n\n".join("đoạn văn " * 300 for _ in range(5))
