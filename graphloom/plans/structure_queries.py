@@ -135,7 +135,17 @@ FROM (SELECT *, row_number() OVER (PARTITION BY base_id ORDER BY doc_id, unit_no
 """
 )
 def chunk_ids_dedup(spark: SparkSession, d: str) -> DataFrame:
-    u = structure.units(legal(spark, d), ["doc_id"]).where("level <> 'sub_item'")
+    """Of all units but sub-items; their ids never meet another base, so that SQL can number them."""
+    return _unit_ids(structure.units(legal(spark, d), ["doc_id"]).where("level <> 'sub_item'"))
+
+
+@query()
+def chunk_ids_all(spark: SparkSession, d: str) -> DataFrame:
+    """Of all units; SQL cannot say the loop over ids that other bases have taken."""
+    return _unit_ids(structure.units(legal(spark, d), ["doc_id"]))
+
+
+def _unit_ids(u: DataFrame) -> DataFrame:
     u = u.withColumn("base_id", T.range_id((F.col("doc_id") % 5).cast("string"), F.col("marker"), F.col("marker")))
     return chunking.unique_ids(u, "base_id", "doc_id", "unit_no").select("doc_id", "unit_no", "id")
 

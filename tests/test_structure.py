@@ -140,6 +140,18 @@ def test_unique_ids_of_nested_markers_against_a_loop(spark, kind):
     assert got == ids_by_loop(rows) and len(set(got.values())) == len(rows)
 
 
+def test_ids_of_all_units_against_a_loop(spark, tmp_path):
+    from graphloom.functions import text
+    from graphloom.plans import base, registry
+
+    texts = ["\n".join(["x"] * 5 + [m] + ["x"] * 5 + [n]) for m, n in (("1.2.1 y", "1.2 y"), ("1.2 y", "1.2.1.1 y"), ("1.2.1 y", "1.2.2 y"))]
+    spark.createDataFrame([(i, texts[i % 3]) for i in range(30)], "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    units = structure.units(base.legal(spark, str(tmp_path)), ["doc_id"])
+    bases = units.select(text.range_id((F.col("doc_id") % 5).cast("string"), F.col("marker"), F.col("marker")), F.struct("doc_id", "unit_no"))
+    got = {(r["doc_id"], r["unit_no"]): r["id"] for r in registry.queries()["chunk_ids_all"](spark, str(tmp_path)).collect()}
+    assert got == ids_by_loop([tuple(r) for r in bases.collect()])
+
+
 def test_flat_chunks_are_named_by_their_place(spark):
     flat = "\n\n".join("đoạn văn " * 300 for _ in range(5))
     rows = [("d", "p/2", 1, "3/4", flat), ("d", "p/3", 1, "3/4", flat)]
