@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: A word is a run of characters other than space and U+0009..U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
+#: A key with more than this part of a join's rows is hot: its rows are dealt over several tasks.
+HOT_PARTS = 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,11 +19,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; a temporary one only if it is unset."""
-    path = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.graphloom.shared.dir", None)
+    """The folder that driver and executors share, ``spark.checkpoint.dir``.
+
+    Where it is unset, a temporary folder serves in local mode, where all are one process; anywhere else this is an error.
+    """
+    path = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.graphloom.local.dir", None)
     if not path:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="graphloom-")
-        spark.conf.set("spark.graphloom.shared.dir", path)
+        spark.conf.set("spark.graphloom.local.dir", path)
     return path
 
 
@@ -41,14 +48,25 @@ def stage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread_join(rows: DataFrame, keys: DataFrame, on: list[str], n: str = "n") -> DataFrame:
+    """Inner join of rows with ``keys``, which has one row a key and in ``n`` how many rows have it; no key fills a task.
+
+    A key of more than 1 in HOT_PARTS of all rows is dealt by a hash of the row over as many parts as it
+    is times too large, and its row of ``keys`` goes to each. There are fewer than HOT_PARTS
+    such keys whatever the input, so their list is broadcast. ``keys`` is read twice: pass a written table.
+    """
+    total = keys.agg(F.sum(n)).first()[0] or 0
+    most = F.lit(max(1, total // HOT_PARTS))
+    hot = keys.where(F.col(n) > most).select(*on, F.ceil(F.col(n) / most).alias("_parts"))
+    part = F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod(F.xxhash64(*rows.columns), F.col("_parts"))).cast("int")
+    dealt = rows.join(F.broadcast(hot), on, "left").withColumn("_part", part).drop("_parts")
+    every = F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col(n) / most), F.lit(1)).cast("int") - 1))
+    return dealt.join(keys.withColumn("_part", every).hint("merge"), [*on, "_part"]).drop("_part")
+
+
 def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
 def utf8_bytes(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
-
-
-def unit_interval(*keys: Column) -> Column:
-    """A number in [0, 1) that depends on the keys alone."""
-    return F.shiftrightunsigned(F.xxhash64(*keys), 11) / F.lit(float(1 << 53))

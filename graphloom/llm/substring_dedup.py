@@ -1,37 +1,47 @@
-"""Substring dedup: repeated windows of words, over a compacted de Bruijn graph.
-
-The nodes are the k-mers of words (k = ``KMER``) that have the least hash in a
-stretch of k-mers as long as a window holds; any window of ``WINDOW`` words so holds a
-node, and equal windows hold the same one. A path between two neighbouring nodes does
-not branch, so all the windows that start on it are one edge: compacted, named by
-the hash of all the words they cover. Joins find edges that also begin in a document with a smaller
-doc_id, which settles all their windows at once. What is left are the ends
-of repeated stretches, where edges differ but share some windows: windows are
-opened only there, around nodes that an unsettled window shares with a smaller doc_id, and
-in the documents that hold these nodes. All is carried as source coordinates
-(document, words from, to).
-
-Equality is that of two independent 64-bit hashes of the words and their number.
+"""Substring dedup: repeated windows of words, by compaction of a de Bruijn graph.
+
+The edges of the graph are k-mers of ``WINDOW`` words, its nodes the (``WINDOW`` - 1)-mers
+that these lead from and to. A document is a walk. No edge is handed on alone
+where it need not be: each window holds an anchor, the ``ANCHOR`` words of least hash in it, and
+a walk is cut at its anchors into paths of some twenty edges (equal passages are cut alike), each a row
+with its nodes, the hash of all its words, and its place.
+
+Paths that begin with an anchor no other document has cannot repeat and go no further. Of the others, those
+that occur in several documents make the graph. Their nodes' in- and out-degrees are counted; where a node
+has one path in and one out, and both stand side by side in the source (the smallest doc_id
+that has them), a join makes the first the head of the second, and joins in rounds, each twice as far as
+the one before, compact every such chain into one path. A later document's walk along a compacted path is one span, told by
+coordinates: its own and the source's. The words at the source's coordinates are
+hashed (BLAKE2b), and a span goes only if its own words have that hash.
+
+Compaction ends where paths part inside a stretch between two anchors. There, and only there,
+single edges are opened: those around anchors that an unsettled window shares with a smaller doc_id. Equal
+edges are found by two hashes, of their words' bytes and of their words' hashes.
 
 Defined results: a null text has no words; a document with a null doc_id loses
 nothing and is nobody's source; rows with one doc_id never remove
-words from each other; an empty table gives an empty result; other columns are carried.
+words from each other; an empty table gives an empty result; other columns are carried, whatever their
+names, but for columns called ``_n_words``, ``_n_removed`` or ``_kept``, which the results replace.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import spread_join, stage
 from .words import Runs, signed, split_words, word_hashes
 
 WINDOW = 50
-KMER = 12
+ANCHOR = 12
+#: Coordinates of one source document that are looked up in one go.
+ASKED = 1024
 _FLUSH, _ROWS_AT_ONCE = 100_000, 256
 
 
@@ -45,8 +55,8 @@ def _slide(x: np.ndarray, size: int, what) -> np.ndarray:
     return out
 
 
-def nodes(runs: Runs, window: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of a document's nodes; none if it has no window."""
+def anchors(runs: Runs, window: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of a document's anchors; none if it has no window."""
     if runs.n < window:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
     start = np.arange(runs.n - k + 1)
@@ -58,13 +68,31 @@ def nodes(runs: Runs, window: int, k: int) -> tuple[np.ndarray, np.ndarray]:
     return chosen, h[chosen]
 
 
-def edges(places: np.ndarray, n: int, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Window starts from, to (exclusive) of the edges that begin at 0 and at each node; none (to = from) beyond the last window."""
+def paths(places: np.ndarray, n: int, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges from, to (exclusive) of the paths that begin at 0 and at each anchor; none (to = from) beyond the last edge."""
     lo = np.unique(np.concatenate([[0], places]))
     hi = np.minimum(np.append(lo[1:], n), n - window + 1)
     return lo, np.maximum(lo, hi)
 
 
+class _Spelled:
+    """A document's words joined by one space, to hash the bytes of any run of them."""
+
+    def __init__(self, words: list[bytes]):
+        self.bytes = memoryview(b" ".join(words))
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+        self.ends = ends - 1
+        self.starts = np.concatenate([[0], ends[:-1]])
+
+    def hashes(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """Of the words from lo to hi (exclusive, above lo)."""
+        pairs = zip(self.starts[lo].tolist(), self.ends[hi - 1].tolist(), strict=True)
+        return np.fromiter((xxhash.xxh3_64_intdigest(self.bytes[a:b]) for a, b in pairs), np.uint64, len(lo))
+
+    def digest(self, lo: int, hi: int) -> bytes:
+        return hashlib.blake2b(self.bytes[self.starts[lo] : self.ends[hi - 1]], digest_size=16).digest()
+
+
 def _batches(fields: list[tuple[str, pa.DataType]], rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
     """Joins tuples of equally long arrays into batches of about _FLUSH rows."""
     kept, n = [], 0
@@ -96,49 +124,54 @@ def _same(value: int, n: int) -> np.ndarray:
     return np.full(n, value, np.int64)
 
 
-_ROWS = [(c, pa.int64()) for c in ("h", "h1", "h2", "doc_id", "th")] + [("lo", pa.int32()), ("hi", pa.int32()), ("node", pa.bool_())]
+_PATHS = [(c, pa.int64()) for c in ("h", "word", "node", "to_node", "doc_id", "th")] + [("lo", pa.int32()), ("hi", pa.int32())]
+_KIND = {pa.int64(): "long", pa.int32(): "int", pa.binary(): "binary"}
+
 
+def _ddl(fields: list[tuple[str, pa.DataType]]) -> str:
+    return ", ".join(f"{c} {_KIND[t]}" for c, t in fields)
 
-def _graph_rows(window: int, k: int):
-    """A row for each node with the edge that begins there, and for a document's first edge."""
+
+def _walks(window: int, k: int):
+    """A row for each anchor with the path that begins there, and for a document's first path."""
 
     def run(batches):
         def rows():
             for words, doc_id, th in _documents(batches, "doc_id", "th"):
                 if doc_id is None or len(words) < window:
                     continue
-                runs = Runs(word_hashes(words))
-                at, _ = nodes(runs, window, k)
-                lo, hi = edges(at, runs.n, window)
-                end = np.where(hi > lo, hi + window - 1, lo)
-                n = len(lo)
-                yield (
-                    signed(runs.hash(lo, lo + k)), signed(runs.hash(lo, end)), signed(runs.hash(lo, end, 1)), _same(doc_id, n), _same(th, n),
-                    lo.astype(np.int32), hi.astype(np.int32), np.isin(lo, at),
-                )
-
-        yield from _batches(_ROWS, rows())
+                runs, spelled = Runs(word_hashes(words)), _Spelled(words)
+                at, _ = anchors(runs, window, k)
+                lo, hi = paths(at, runs.n, window)
+                n, some = len(lo), hi > lo
+                word, node, to = np.zeros(n, np.uint64), np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+                a, b = lo[some], hi[some]
+                word[some] = spelled.hashes(a, b + window - 1)
+                node[some], to[some] = runs.hash(a, a + window - 1), runs.hash(b, b + window - 1)
+                yield signed(runs.hash(lo, lo + k)), signed(word), signed(node), signed(to), _same(doc_id, n), _same(th, n), lo.astype(np.int32), hi.astype(np.int32)
+
+        yield from _batches(_PATHS, rows())
 
     return run
 
 
-def _starts(n: int, lo: list[int], hi: list[int]) -> np.ndarray:
-    """For each window start below n, whether an interval [lo, hi) holds it."""
+def _covered(n: int, lo: list[int], hi: list[int]) -> np.ndarray:
+    """For each place below n, whether an interval [lo, hi) holds it."""
     open_ = np.zeros(n + 1, np.int64)
     np.add.at(open_, np.clip(np.array(lo, np.int64), 0, n), 1)
     np.add.at(open_, np.clip(np.array(hi, np.int64), 0, n), -1)
     return np.cumsum(open_)[:-1] > 0
 
 
-def _sink_nodes(window: int, k: int):
-    """Hashes of nodes shared with a smaller doc_id that some unsettled window may hold."""
+def _open_anchors(window: int, k: int):
+    """Hashes of anchors shared with a smaller doc_id that some unsettled window may hold."""
 
     def run(batches):
         for batch in batches:
             out = []
             for shared, settled in zip(batch.column("shared").to_pylist(), batch.column("settled").to_pylist(), strict=True):
                 n = max(s["at"] for s in shared) + 1
-                done = _starts(n, [s["lo"] for s in settled or ()], [s["hi"] for s in settled or ()])
+                done = _covered(n, [s["lo"] for s in settled or ()], [s["hi"] for s in settled or ()])
                 held = np.concatenate([[0], np.cumsum(~done)])
                 out += [s["h"] for s in shared if s["smaller"] and held[s["at"] + 1] > held[max(0, s["at"] - (window - k))]]
             yield pa.record_batch([pa.array(out, pa.int64())], names=["h"])
@@ -146,59 +179,135 @@ def _sink_nodes(window: int, k: int):
     return run
 
 
-def _window_rows(window: int, k: int):
-    """The unsettled windows that hold an opened node."""
+_EDGES = [(c, pa.int64()) for c in ("word", "mix", "doc_id", "th")] + [("lo", pa.int32())]
+
+
+def _open_edges(window: int, k: int):
+    """The unsettled single edges that hold an opened anchor."""
 
     def run(batches):
         def rows():
             for words, doc_id, th, opened, settled in _documents(batches, "doc_id", "th", "opened", "settled"):
                 n = len(words) - window + 1
-                near = _starts(n, [at - (window - k) for at in opened], [at + 1 for at in opened])
-                done = _starts(n, [s["lo"] for s in settled or ()], [s["hi"] for s in settled or ()])
+                near = _covered(n, [at - (window - k) for at in opened], [at + 1 for at in opened])
+                done = _covered(n, [s["lo"] for s in settled or ()], [s["hi"] for s in settled or ()])
                 start = np.flatnonzero(near & ~done)
                 if len(start):
-                    runs = Runs(word_hashes(words))
-                    yield signed(runs.hash(start, start + window)), signed(runs.hash(start, start + window, 1)), _same(doc_id, len(start)), _same(th, len(start)), start.astype(np.int32)
+                    word = _Spelled(words).hashes(start, start + window)
+                    mix = Runs(word_hashes(words)).hash(start, start + window)
+                    yield signed(word), signed(mix), _same(doc_id, len(start)), _same(th, len(start)), start.astype(np.int32)
 
-        yield from _batches([(c, pa.int64()) for c in ("h1", "h2", "doc_id", "th")] + [("lo", pa.int32())], rows())
+        yield from _batches(_EDGES, rows())
 
     return run
 
 
+_LOOKED_UP = [("s_doc", pa.int64()), ("s_th", pa.int64()), ("s_lo", pa.int32()), ("s_hi", pa.int32()), ("digest", pa.binary())]
+
+
+def _look_up(batches):
+    """The digest of the words at each of a source's coordinates."""
+
+    def rows():
+        for words, doc_id, th, asked in _documents(batches, "doc_id", "th", "asked"):
+            spelled, n = _Spelled(words), len(asked)
+            lo, hi = (np.array([a[c] for a in asked], np.int32) for c in ("s_lo", "s_hi"))
+            yield _same(doc_id, n), _same(th, n), lo, hi, np.array([spelled.digest(a, b) for a, b in zip(lo.tolist(), hi.tolist(), strict=True)], object)
+
+    yield from _batches(_LOOKED_UP, rows())
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("_th", F.xxhash64("text"))
+    """(doc_id, th, text, row): the row's place, and all its columns as one."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"))
 
 
-def _on_key(docs: DataFrame, more: DataFrame, how: str) -> DataFrame:
+def _on_key(keyed: DataFrame, more: DataFrame, how: str) -> DataFrame:
     """Joins more, keyed by (doc_id, th), to keyed documents. Always dealt by that key: one shuffle of the texts serves all such joins."""
     more = more.withColumnsRenamed({"doc_id": "_d", "th": "_t"}).hint("merge")
-    return docs.join(more, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_t")), how).drop("_d", "_t")
-
-
-def repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = KMER) -> DataFrame:
-    """(doc_id, th, spans): the words [lo, hi) of a document in windows that a smaller doc_id has too.
+    return keyed.join(more, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t")), how).drop("_d", "_t")
+
+
+def degrees(known: DataFrame) -> DataFrame:
+    """(node, n_in, n_out, before, after): how many different repeated paths lead to and from each node that has both, and the least of each."""
+    source = F.struct("s_doc", "s_th", "s_lo", "s_hi")
+    into = known.groupBy(F.col("to_node").alias("node")).agg(F.count("*").alias("n_in"), F.min(source).alias("before"))
+    out = known.groupBy("node").agg(F.count("*").alias("n_out"), F.min(source).alias("after"))
+    return into.join(out, "node")
+
+
+def compacted(known: DataFrame) -> DataFrame:
+    """``known`` with ``head``: where in its source the nonbranching chain of paths begins that a path belongs to."""
+    inner = degrees(known).where("n_in = 1 and n_out = 1 and before.s_doc = after.s_doc and before.s_th = after.s_th and before.s_hi = after.s_lo")
+    key = ["s_doc", "s_th", "s_lo"]
+    heads = stage(inner.select("after.s_doc", "after.s_th", "after.s_lo", F.col("before.s_lo").alias("head")))
+    while True:
+        further = heads.select("s_doc", "s_th", F.col("s_lo").alias("head"), F.col("head").alias("up"))
+        step = stage(heads.join(further, ["s_doc", "s_th", "head"], "left").select(*key, F.coalesce("up", "head").alias("head"), F.col("up").isNotNull().alias("moved")))
+        heads = step.drop("moved")
+        if step.where("moved").isEmpty():
+            break
+    return known.join(heads, key, "left").withColumn("head", F.coalesce("head", "s_lo"))
+
+
+def _walked(late: DataFrame, window: int) -> DataFrame:
+    """Later documents' paths put together where they go on along one compacted path: (doc_id, th, lo, hi, s_doc, s_th, s_lo, s_hi) in words."""
+    run = ["doc_id", "th", "s_doc", "s_th", "head", "shift"]
+    late = late.withColumn("shift", F.col("lo") - F.col("s_lo"))
+    order = Window.partitionBy(*run).orderBy("lo")
+    begins = (F.coalesce(F.lag("hi").over(order), F.lit(-1)) != F.col("lo")).cast("int")
+    late = late.withColumn("begins", begins).withColumn("no", F.sum("begins").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    spans = late.groupBy(*run, "no").agg(F.min("lo").alias("lo"), (F.max("hi") + (window - 1)).alias("hi"))
+    return spans.select("doc_id", "th", "lo", "hi", "s_doc", "s_th", (F.col("lo") - F.col("shift")).alias("s_lo"), (F.col("hi") - F.col("shift")).alias("s_hi"))
+
+
+def _verified(spans: DataFrame, keyed: DataFrame) -> DataFrame:
+    """Spans with the ``digest`` of the words at their source's coordinates."""
+    at = ["s_doc", "s_th", "s_lo", "s_hi"]
+    asked = stage(spans.groupBy(*at).agg(F.count("*").alias("n")))
+    doc = Window.partitionBy("s_doc", "s_th")
+    part = F.pmod(F.xxhash64("s_lo", "s_hi"), F.ceil(F.count("*").over(doc) / ASKED))
+    wanted = asked.withColumn("part", part).groupBy(F.col("s_doc").alias("doc_id"), F.col("s_th").alias("th"), "part").agg(F.collect_set(F.struct("s_lo", "s_hi")).alias("asked"))
+    # rows equal in doc_id and text are one source
+    found = _on_key(keyed.select("doc_id", "th", "text"), wanted, "inner").mapInArrow(_look_up, _ddl(_LOOKED_UP)).groupBy(*at).agg(F.first("digest").alias("digest"))
+    return spread_join(spans, stage(found.join(asked, at)), at)
+
+
+def repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR) -> DataFrame:
+    """(doc_id, th, spans): the words [lo, hi) of a document in windows that a smaller doc_id has too, and, for spans of several, the digest of the source's words.
 
     th is xxhash64 of the text.
     """
     key = ["doc_id", "th"]
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
-    schema = "h long, h1 long, h2 long, doc_id long, th long, lo int, hi int, node boolean"
-    graph = stage(texts.mapInArrow(_graph_rows(window, k), schema))
-    several = lambda rows, *by: rows.groupBy(*by).agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most")
-    found = graph.where("node").select("h", *key, F.col("lo").alias("at"))
-    shared = stage(found.join(several(found, "h"), "h").select("h", *key, "at", (F.col("least") < F.col("doc_id")).alias("smaller")))
-    paths = graph.where("hi > lo").select("h1", "h2", *key, "lo", "hi")
-    settled = stage(paths.join(several(paths, "h1", "h2"), ["h1", "h2"]).where("least < doc_id").groupBy(*key).agg(F.collect_set(F.struct("lo", "hi")).alias("settled")))
-    by_doc = shared.groupBy(*key).agg(F.collect_set(F.struct("at", "h", "smaller")).alias("shared"))
-    sinks = by_doc.join(settled, key, "left").select("shared", "settled").mapInArrow(_sink_nodes(window, k), "h long").distinct()
-    opened = shared.join(stage(sinks), "h").groupBy(*key).agg(F.collect_set("at").alias("opened"))
-    opened = stage(opened.join(settled, key, "left"))
-    again = _on_key(_keyed(docs.select("doc_id", "text")), opened, "inner").withColumnRenamed("_th", "th").withColumn("doc_id", F.col("doc_id").cast("long"))
-    windows = again.mapInArrow(_window_rows(window, k), "h1 long, h2 long, doc_id long, th long, lo int")
-    late = windows.join(several(windows, "h1", "h2"), ["h1", "h2"]).where("least < doc_id")
-    single = late.groupBy(*key).agg(F.collect_set(F.struct("lo", (F.col("lo") + window).alias("hi"))).alias("spans"))
-    whole = settled.select(*key, F.transform("settled", lambda s: F.struct(s["lo"].alias("lo"), (s["hi"] + (window - 1)).alias("hi"))).alias("spans"))
-    return whole.union(single).groupBy(*key).agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    keyed = _keyed(docs)
+    walks = stage(keyed.select(*key, "text").mapInArrow(_walks(window, k), _ddl(_PATHS)))
+    least, most, n = F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count("*").alias("n")
+    several = lambda rows, *by: stage(rows.groupBy(*by).agg(least, most, n).where("least < most").drop("most"))
+    anchored = several(walks, "h")
+    shared = stage(spread_join(walks, anchored, ["h"]).withColumn("smaller", F.col("least") < F.col("doc_id")).drop("least", "n"))
+    path = ["word", "node", "to_node"]
+    source = F.min(F.struct("doc_id", "th", "lo", "hi")).alias("s")
+    edges = shared.where("hi > lo").select(*path, *key, "lo", "hi")
+    known = edges.groupBy(*path).agg(source, most, n).where("s.doc_id < most")
+    known = stage(known.select(*path, F.col("s.doc_id").alias("s_doc"), F.col("s.th").alias("s_th"), F.col("s.lo").alias("s_lo"), F.col("s.hi").alias("s_hi"), "n"))
+    known = stage(compacted(known).select(*path, "s_doc", "s_th", "s_lo", "head", "n"))
+    late = spread_join(edges, known, path).where("s_doc < doc_id")
+    spans = stage(_walked(late.select(*key, "lo", "hi", "s_doc", "s_th", "s_lo", "head"), window))
+    settled = spans.groupBy(*key).agg(F.collect_set(F.struct("lo", (F.col("hi") - (window - 1)).alias("hi"))).alias("settled"))
+    by_doc = shared.groupBy(*key).agg(F.collect_set(F.struct(F.col("lo").alias("at"), "h", "smaller")).alias("shared"))
+    opening = by_doc.join(settled, key, "left").select("shared", "settled").mapInArrow(_open_anchors(window, k), "h long").distinct()
+    opened = spread_join(shared.select("h", *key, "lo"), stage(anchored.select("h", "n").join(opening, "h")), ["h"])
+    opened = stage(opened.groupBy(*key).agg(F.collect_set("lo").alias("opened")).join(settled, key, "left"))
+    singles = _on_key(keyed.select(*key, "text"), opened, "inner").mapInArrow(_open_edges(window, k), _ddl(_EDGES))
+    found = spread_join(singles, several(singles, "word", "mix"), ["word", "mix"]).where("least < doc_id")
+    # windows that follow on each other are one span
+    order = Window.partitionBy(*key).orderBy("lo")
+    found = found.select(*key, "lo").distinct().withColumn("run", F.col("lo") - F.row_number().over(order))
+    found = found.groupBy(*key, "run").agg(F.min("lo").alias("lo"), (F.max("lo") + window).alias("hi"))
+    parts = [_verified(spans, keyed).select(*key, "lo", "hi", "digest"), found.select(*key, "lo", "hi", F.lit(None).cast("binary").alias("digest"))]
+    # a union that takes its parts for equally partitioned can fail once AQE has coalesced one of them: keys are new expressions
+    parts = [p.withColumns({c: F.col(c) + 0 for c in key}) for p in parts]
+    return parts[0].union(parts[1]).groupBy(*key).agg(F.collect_set(F.struct("lo", "hi", "digest")).alias("spans"))
 
 
 def _remove(batches):
@@ -206,24 +315,27 @@ def _remove(batches):
         for at in range(0, whole.num_rows, _ROWS_AT_ONCE):
             batch = whole.slice(at, _ROWS_AT_ONCE)
             kept, n_words, n_removed = [], [], []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("_spans").to_pylist(), strict=True):
+            for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
                 words = split_words(text)
                 n_words.append(len(words))
                 if spans:
-                    gone = _starts(len(words), [s["lo"] for s in spans], [s["hi"] for s in spans])
+                    spelled = _Spelled(words)
+                    sure = [s for s in spans if s["digest"] is None or s["digest"] == spelled.digest(s["lo"], s["hi"])]
+                    gone = _covered(len(words), [s["lo"] for s in sure], [s["hi"] for s in sure])
                     words = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
                 n_removed.append(n_words[-1] - len(words))
                 kept.append(b" ".join(words).decode())
-            rest = [c for c in batch.schema.names if c != "_spans"]
             yield pa.record_batch(
-                [*(batch.column(c) for c in rest), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())],
-                names=[*rest, "_n_words", "_n_removed", "_kept"],
+                [batch.column("row"), batch.column("text"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())],
+                names=["row", "text", "_n_words", "_n_removed", "_kept"],
             )
 
 
-def dedup_substrings(docs: DataFrame, window: int = WINDOW, k: int = KMER) -> DataFrame:
+def dedup_substrings(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR) -> DataFrame:
     """``docs`` with ``_n_words``, ``_n_removed`` and ``_kept``, the words that stay joined by one space."""
-    spans = repeated_spans(docs, window, k).withColumnRenamed("spans", "_spans")
-    joined = _on_key(_keyed(docs), spans, "left").drop("_th")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return joined.mapInArrow(_remove, f"{fields}, _n_words long, _n_removed long, _kept string")
+    results = ("_n_words", "_n_removed", "_kept")
+    docs = docs.drop(*results)
+    joined = _on_key(_keyed(docs), repeated_spans(docs, window, k), "left").select("row", "text", "spans")
+    schema = joined.drop("spans").schema.add("_n_words", "long").add("_n_removed", "long").add("_kept", "string")
+    out = joined.mapInArrow(_remove, schema)
+    return out.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns], *results)
