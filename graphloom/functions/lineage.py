@@ -8,8 +8,14 @@ from pyspark.sql import DataFrame
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df, computed once into the folder of ``spark.checkpoint.dir`` (a temporary one only if none is set)."""
+    """df, computed once into the folder of ``spark.checkpoint.dir``.
+
+    Where that is unset, a temporary folder serves in local mode, where all are one process; anywhere else this is an error.
+    """
     context = df.sparkSession.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="graphloom-"))
+        path = context.getConf().get("spark.checkpoint.dir")
+        if not path and context.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(path or tempfile.mkdtemp(prefix="graphloom-"))
     return df.checkpoint()
