@@ -55,24 +55,27 @@ def _slide(x: np.ndarray, size: int, what) -> np.ndarray:
     return out
 
 
-def anchors(runs: Runs, window: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of a document's anchors; none if it has no window."""
-    if runs.n < window:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    start = np.arange(runs.n - k + 1)
-    h = runs.hash(start, start + k)
-    span = window - k + 1
-    least = _slide(h, span, np.minimum)  # of the window that starts here
-    pad = np.zeros(span - 1, np.uint64)
-    chosen = np.flatnonzero(_slide(np.concatenate([pad, least, pad]), span, np.maximum) == h)
-    return chosen, h[chosen]
-
-
-def paths(places: np.ndarray, n: int, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges from, to (exclusive) of the paths that begin at 0 and at each anchor; none (to = from) beyond the last edge."""
-    lo = np.unique(np.concatenate([[0], places]))
-    hi = np.minimum(np.append(lo[1:], n), n - window + 1)
-    return lo, np.maximum(lo, hi)
+class _Walks:
+    """Some documents' words one after another, their anchors and their paths."""
+
+    def __init__(self, documents: list[list[bytes]], window: int, k: int):
+        self.words = [w for d in documents for w in d]
+        sizes = np.array([len(d) for d in documents])
+        self.begins = np.cumsum(sizes) - sizes
+        self.runs = runs = Runs(word_hashes(self.words))
+        start = np.arange(runs.n - k + 1)
+        h = runs.hash(start, start + k)
+        span = window - k + 1
+        least = _slide(h, span, np.minimum)  # of the window that starts here
+        last = np.repeat(self.begins + sizes - window, sizes)[: len(least)]  # the document's last window
+        least[np.arange(len(least)) > last] = 0  # no window, but words of two documents
+        pad = np.zeros(span - 1, np.uint64)
+        self.anchors = np.flatnonzero(_slide(np.concatenate([pad, least, pad]), span, np.maximum) == h)
+        #: Edges from, to (exclusive) of the paths that begin at each document's first word and at each anchor; none (to = from) beyond the last edge.
+        self.lo = np.union1d(self.begins, self.anchors)
+        self.document = np.searchsorted(self.begins, self.lo, "right") - 1
+        ends = (self.begins + sizes - window + 1)[self.document]
+        self.hi = np.maximum(self.lo, np.minimum(np.append(self.lo[1:], runs.n), ends))
 
 
 class _Spelled:
@@ -135,22 +138,33 @@ def _ddl(fields: list[tuple[str, pa.DataType]]) -> str:
 def _walks(window: int, k: int):
     """A row for each anchor with the path that begins there, and for a document's first path."""
 
+    def rows(held: list[tuple]) -> tuple:
+        walks = _Walks([words for words, _, _ in held], window, k)
+        lo, hi, runs = walks.lo, walks.hi, walks.runs
+        some = hi > lo
+        a, b = lo[some], hi[some]
+        word, node, to = (np.zeros(len(lo), np.uint64) for _ in range(3))
+        word[some] = _Spelled(walks.words).hashes(a, b + window - 1)
+        node[some], to[some] = runs.hash(a, a + window - 1), runs.hash(b, b + window - 1)
+        doc_id, th = (np.array(column, np.int64)[walks.document] for column in ([d for _, d, _ in held], [t for _, _, t in held]))
+        begin = walks.begins[walks.document]
+        return signed(runs.hash(lo, lo + k)), signed(word), signed(node), signed(to), doc_id, th, (lo - begin).astype(np.int32), (hi - begin).astype(np.int32)
+
     def run(batches):
-        def rows():
+        def every():
+            held, n = [], 0
             for words, doc_id, th in _documents(batches, "doc_id", "th"):
                 if doc_id is None or len(words) < window:
                     continue
-                runs, spelled = Runs(word_hashes(words)), _Spelled(words)
-                at, _ = anchors(runs, window, k)
-                lo, hi = paths(at, runs.n, window)
-                n, some = len(lo), hi > lo
-                word, node, to = np.zeros(n, np.uint64), np.zeros(n, np.uint64), np.zeros(n, np.uint64)
-                a, b = lo[some], hi[some]
-                word[some] = spelled.hashes(a, b + window - 1)
-                node[some], to[some] = runs.hash(a, a + window - 1), runs.hash(b, b + window - 1)
-                yield signed(runs.hash(lo, lo + k)), signed(word), signed(node), signed(to), _same(doc_id, n), _same(th, n), lo.astype(np.int32), hi.astype(np.int32)
-
-        yield from _batches(_PATHS, rows())
+                held.append((words, doc_id, th))
+                n += len(words)
+                if n > _FLUSH:
+                    yield rows(held)
+                    held, n = [], 0
+            if held:
+                yield rows(held)
+
+        yield from _batches(_PATHS, every())
 
     return run
 
