@@ -69,11 +69,13 @@ def op6_dual_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP6_SQL = r"""
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), q AS (
+  SELECT DISTINCT vec_id AS query_id, v FROM v WHERE vec_id % 20 = 0
 ), s AS (
-  SELECT q.vec_id AS query_id, p.vec_id, list_inner_product(q.v, p.v)::BIGINT AS score FROM v q JOIN v p ON q.vec_id <> p.vec_id WHERE q.vec_id % 20 = 0
+  SELECT query_id, q.v, p.vec_id, list_inner_product(q.v, p.v)::BIGINT AS score FROM q JOIN v p ON q.query_id <> p.vec_id
 ), r AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+  SELECT *, row_number() OVER (PARTITION BY query_id, v ORDER BY score DESC, vec_id) AS rank FROM s
 )
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20
 """

@@ -148,36 +148,89 @@ def brute_topk(q, p, k):
     return sorted(out)
 
 
-def test_topk_against_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(topk, "BLOCK", 200)
-    monkeypatch.setattr(topk, "GROUP", 16)
+def clusters(rng, n, spread=4, dims=16, seeds=12):
+    centres = rng.normal(0, 200, (seeds, dims))
+    return np.rint(np.repeat(centres, n // seeds, axis=0) + rng.normal(0, spread, (n // seeds * seeds, dims))).astype(int)
+
+
+@pytest.mark.parametrize("kind", ["even", "clustered", "alike"])
+def test_topk_against_brute_force(spark, monkeypatch, kind):
+    for name, value in (("BLOCK", 64), ("CELLS", 10), ("SAMPLE", 200), ("LEAF", 8)):
+        monkeypatch.setattr(topk, name, value)
     rng = np.random.default_rng(1)
-    p = [(i, rng.integers(-6, 7, 8).tolist()) for i in range(700)]
-    q = [x for x in p if x[0] % 20 == 0]
+    x = rng.integers(-6, 7, (700, 8)) if kind == "even" else clusters(rng, 700)
+    if kind == "alike":
+        x[100:400] = x[100]
+    p = [(i, v) for i, v in enumerate(x.tolist())]
+    q = [r for r in p if r[0] % 20 == 0]
     schema = "{} long, v array<long>"
     got = topk.top_k(spark.createDataFrame(q, schema.format("query_id")), spark.createDataFrame(p, schema.format("vec_id")), 7)
     assert sorted(map(tuple, got.collect())) == brute_topk(q, p, 7)
 
 
+def test_cells_out_of_reach_are_not_visited(spark, monkeypatch):
+    for name, value in (("BLOCK", 128), ("SAMPLE", 1200)):
+        monkeypatch.setattr(topk, name, value)
+    visited = []
+    visit = topk._visit
+    monkeypatch.setattr(topk, "_visit", lambda q, p, pairs, *rest: visited.append(pairs) or visit(q, p, pairs, *rest))
+    x = clusters(np.random.default_rng(4), 1200, dims=64)
+    p = [(i, v) for i, v in enumerate(x.tolist())]
+    q = [r for r in p if r[0] % 20 == 0]
+    schema = "{} long, v array<long>"
+    got = topk.top_k(spark.createDataFrame(q, schema.format("query_id")), spark.createDataFrame(p, schema.format("vec_id")), 5)
+    assert sorted(map(tuple, got.collect())) == brute_topk(q, p, 5)
+    assert sum(int(v.sum()) for v in visited) < 0.5 * visited[0].size
+
+
 def test_topk_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.5]), (20, [0.25, -0.5]), (20, [0.25, -0.5]), (1, None), (2, [None, 1.0]), (3, [nan, 1.0]), (4, [inf, 0.0]), (5, [1.0]), (None, [1.0, 1.0]), (6, [])]
     v = spark.createDataFrame(rows, "vec_id long, e array<float>").select("vec_id", topk.scaled(F.col("e")).alias("v"))
-    got = topk.top_k(v.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id"), v, 3)
-    assert sorted(map(tuple, got.collect())) == [(0, 1, 5, 4096), (0, 2, 6, 0), (0, 3, 20, 0), (20, 1, 5, 1024), (20, 2, 0, 0), (20, 3, 6, 0)]
+    got = topk.top_k(v.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id"), v, 4)
+    want = [(0, 1, 5, 4096), (0, 2, 6, 0), (0, 3, 20, 0), (0, 4, 20, 0), (20, 1, 5, 1024), (20, 2, 0, 0), (20, 3, 6, 0)]
+    assert sorted(map(tuple, got.collect())) == want
     none = v.limit(0)
     assert topk.top_k(none.withColumnRenamed("vec_id", "query_id"), none, 3).count() == 0
+    assert topk.top_k(v.where("vec_id = 0").withColumnRenamed("vec_id", "query_id"), none, 3).count() == 0
+
+
+def test_topk_agrees_with_its_sql_on_repeated_rows(spark, tmp_path):
+    import duckdb
+
+    from graphloom.llm import queries
+
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(0, 1, 4).tolist()) for i in range(80)]
+    rows += rows[:30] + rows[:5] * 25 + [(20, rows[3][1]), (40, None), (60, [None] * 4)] + [(i, rows[0][1]) for i in range(100, 160)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1).write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    want = con.sql(queries.OP6_SQL)
+    got = queries.op6_dual_tree(spark, str(tmp_path)).select(*want.columns).collect()
+    assert sorted(map(tuple, got)) == sorted(want.fetchall())
 
 
 def test_dual_tree_skips_work():
     rng = np.random.default_rng(3)
-    centres = rng.normal(0, 200, (12, 16))
-    p = np.rint(np.repeat(centres, 100, axis=0) + rng.normal(0, 4, (1200, 16)))
-    best = topk.dual_tree(p[:40], p, np.arange(40), np.arange(1200), 5)
-    for i in range(40):
+    p = clusters(rng, 1200).astype(float)
+    ids = np.arange(len(p))
+    found = topk.Search(p[::5], p, ids[::5], ids, 5)
+    assert len(found.a.centre) > 10 and len(found.b.centre) > 10
+    assert found.skipped > 500 and found.scored < 0.25 * 240 * 1200
+    for row, i in enumerate(ids[::5].tolist()):
         s = p @ p[i]
         s[i] = -np.inf
-        assert [b[1] for b in best[i]] == sorted(range(1200), key=lambda j: (-s[j], j))[:5]
+        assert [b[1] for b in found.best[row]] == sorted(ids.tolist(), key=lambda j: (-s[j], j))[:5]
+
+
+def test_trees_cover_their_points():
+    x = clusters(np.random.default_rng(8), 600).astype(float)
+    tree = topk.Tree(x)
+    leaves = [p for p, c in zip(tree.points, tree.children) if not c]
+    assert sorted(np.concatenate(leaves).tolist()) == list(range(len(x)))
+    for centre, radius, points in zip(tree.centre, tree.radius, tree.points):
+        assert np.sqrt(((x[points] - x[centre]) ** 2).sum(axis=1)).max() <= radius + 1e-6
 
 
 def test_hashes_of_windows_are_of_words():
