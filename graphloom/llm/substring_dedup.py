@@ -232,8 +232,13 @@ def _look_up(batches):
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """(doc_id, th, text, row): the row's place, and all its columns as one."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"))
+    """(doc_id, th, text, row): the row's place and text, and its other columns, if it has any, as one.
+
+    A table of doc_id and text alone is dealt in the same form to all joins, so that one shuffle serves them.
+    """
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != "text" and (c, docs.schema[c].dataType.simpleString()) != ("doc_id", "bigint")]
+    row = [F.struct(*rest).alias("row")] if rest else []
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text", *row)
 
 
 def _on_key(keyed: DataFrame, more: DataFrame, how: str) -> DataFrame:
@@ -339,9 +344,10 @@ def _remove(batches):
                     words = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
                 n_removed.append(n_words[-1] - len(words))
                 kept.append(b" ".join(words).decode())
+            rest = [c for c in batch.schema.names if c != "spans"]
             yield pa.record_batch(
-                [batch.column("row"), batch.column("text"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())],
-                names=["row", "text", "_n_words", "_n_removed", "_kept"],
+                [*(batch.column(c) for c in rest), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())],
+                names=[*rest, "_n_words", "_n_removed", "_kept"],
             )
 
 
@@ -349,7 +355,8 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR) ->
     """``docs`` with ``_n_words``, ``_n_removed`` and ``_kept``, the words that stay joined by one space."""
     results = ("_n_words", "_n_removed", "_kept")
     docs = docs.drop(*results)
-    joined = _on_key(_keyed(docs), repeated_spans(docs, window, k), "left").select("row", "text", "spans")
+    joined = _on_key(_keyed(docs), repeated_spans(docs, window, k), "left").drop("th")
     schema = joined.drop("spans").schema.add("_n_words", "long").add("_n_removed", "long").add("_kept", "string")
     out = joined.mapInArrow(_remove, schema)
-    return out.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns], *results)
+    inside = joined.schema["row"].dataType.names if "row" in joined.columns else []
+    return out.select(*[F.col(f"row.`{c}`").alias(c) if c in inside else F.col(c) for c in docs.columns], *results)
