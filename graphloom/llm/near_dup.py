@@ -24,6 +24,7 @@ rows with one doc_id share their component; an empty table gives an empty result
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pandas as pd
@@ -31,9 +32,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import spread_join, stage
 from .components import connected_components
-from .words import mixed, shingle_set
+from .words import mixed, shingle_sets
 
 EMBED = 64
 STEP = 3
@@ -51,6 +52,7 @@ SUSPECT, LEADER_SUSPECT, COPY = 0.5, 0.4, 0.7
 GROUP_SHINGLES, GROUP_CLASSES = 6_000_000, 30_000
 BUCKET_SHINGLES = 2_000_000
 PIVOTS, SHARD = 64, 1024
+PIVOT_SHINGLES, SHARD_SHINGLES = 200_000, 2_000_000
 
 _rng = np.random.default_rng(7)
 _MUL = (_rng.integers(1, 1 << 63, EMBED, np.int64).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -69,8 +71,7 @@ def _describe(size: int):
     def run(batches):
         for batch in batches:
             n, cls, sig = [], [], []
-            for text in batch.column("text").to_pylist():
-                s = shingle_set(text, size)
+            for s in shingle_sets(batch.column("text").to_pylist(), size):
                 n.append(len(s))
                 cls.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                 sig.append(embed(s).tobytes() if len(s) else None)
@@ -155,14 +156,16 @@ def suspect_pairs(classes: DataFrame) -> DataFrame:
     level = classes.select(F.lit(0).cast("long").alias("path"), "cls", "sig").mapInArrow(_branch(TREES), "path long, cls binary")
     pairs = None
     for depth in range(1, DEPTH + 1):
-        counts = level.groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
-        held = stage(level.join(counts, "path").join(classes, "cls"))
+        level = stage(level)
+        counts = stage(level.groupBy("path").agg(F.count("*").alias("n")).where("n > 1"))
+        held = stage(spread_join(level, counts, ["path"]).join(classes, "cls"))
         few = held.where(F.col("n") <= NODE).groupBy("path").agg(F.collect_list(F.struct("cls", "sig")).alias("members"))
         found = few.mapInArrow(_compare_nodes, "a binary, b binary")
         many = held.where(F.col("n") > NODE)
-        lots = many.groupBy("path", F.pmod(F.xxhash64("cls"), F.lit(LEADERS)).alias("lot")).agg(F.min(F.struct("cls", "sig")).alias("l"))
-        leaders = stage(lots.groupBy("path").agg(F.sort_array(F.collect_list("l")).alias("leaders"), F.min("l.cls").alias("first")))
-        measured = stage(many.join(leaders, "path").mapInArrow(_to_leaders, "path long, cls binary, sig binary, first binary, edges array<struct<a:binary,b:binary>>, alike double"))
+        lots = many.groupBy("path", F.pmod(F.xxhash64("cls"), F.lit(LEADERS)).alias("lot")).agg(F.min(F.struct("cls", "sig")).alias("l"), F.count("*").alias("crowd"))
+        leaders = lots.groupBy("path").agg(F.sort_array(F.collect_list("l")).alias("leaders"), F.min("l.cls").alias("first"), F.sum("crowd").alias("crowd"))
+        leaders = stage(leaders)
+        measured = stage(spread_join(many, leaders, ["path"], "crowd").mapInArrow(_to_leaders, "path long, cls binary, sig binary, first binary, edges array<struct<a:binary,b:binary>>, alike double"))
         found = found.union(measured.select(F.inline("edges")))
         if depth == DEPTH:
             found = found.union(measured.select("cls", "first"))
@@ -219,7 +222,7 @@ def _confirm_bucket(size: int, percent: int):
         out = []
         for _, group in bucket.groupby("label", sort=False):
             cls = group["cls"].tolist()
-            label = confirmed([shingle_set(t, size) for t in group["text"]], percent)
+            label = confirmed(shingle_sets(group["text"].tolist(), size), percent)
             out.append(pd.DataFrame({"a": cls, "b": [cls[x] for x in label.tolist()]}))
         return pd.concat(out)
 
@@ -231,7 +234,7 @@ def _confirm_block(size: int, percent: int):
         if not len(members) or not len(pivots):
             return pd.DataFrame({"a": [], "b": []})
         m, p = members["cls"].tolist(), pivots["cls"].tolist()
-        group = _Group([shingle_set(t, size) for t in pivots["text"]] + [shingle_set(t, size) for t in members["text"]])
+        group = _Group(shingle_sets(pivots["text"].tolist() + members["text"].tolist(), size))
         pairs = [(p[i], m[j]) for i in range(len(p)) for j in np.flatnonzero(group.linked(i, percent)[len(p) :]).tolist()]
         return pd.DataFrame(pairs, columns=["a", "b"])
 
@@ -239,20 +242,31 @@ def _confirm_block(size: int, percent: int):
 
 
 def _against(members: DataFrame, pivots: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links of each group's members with its pivots: PIVOTS pivots and about SHARD members a task."""
-    blocks = pivots.groupBy("label").agg(F.count("*").alias("p"))
-    shards = members.groupBy("label").agg(F.count("*").alias("m"))
-    m = members.join(blocks, "label").join(shards, "label").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("p") / PIVOTS))))
-    m = m.withColumn("shard", F.pmod(F.xxhash64("cls"), F.ceil(F.col("m") / SHARD)))
-    p = pivots.join(blocks, "label").join(shards, "label").withColumn("block", F.pmod(F.xxhash64("cls"), F.floor(F.col("p") / PIVOTS) + 1))
-    p = p.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("m") / SHARD) - 1)))
-    keys = ["label", "block", "shard"]
-    m, p = (x.select(*keys, "cls", "text").groupBy(*keys) for x in (m, p))
-    return m.cogroup(p).applyInPandas(_confirm_block(size, percent), "a binary, b binary")
+    """Links of each group's members with its pivots.
+
+    A task has about PIVOTS pivots and SHARD members, or fewer where these have more than PIVOT_SHINGLES and SHARD_SHINGLES;
+    both sides are dealt by size, and of parts too unlike in size for any link to be none meet.
+    """
+    keys, parts = ["label", "block", "shard"], []
+    for side, most, shingles, name in ((pivots, PIVOTS, PIVOT_SHINGLES, "block"), (members, SHARD, SHARD_SHINGLES, "shard")):
+        total = side.groupBy("label").agg(F.greatest(F.ceil(F.count("*") / most), F.ceil(F.sum("n_shingles") / shingles)).alias("parts"))
+        # bands of sizes within a factor of two, each dealt over parts in its turn
+        band = F.floor(F.log2("n_shingles")).cast("int")
+        dealt = side.join(total, "label").withColumn("band", band).withColumn(name, F.pmod(F.xxhash64("cls"), F.col("parts")))
+        parts.append(stage(dealt.select("label", "band", name, "cls", "text")))
+    p, m = parts
+    blocks, shards = p.select("label", "band", "block").distinct(), m.select("label", F.col("band").alias("other"), "shard").distinct()
+    # linked sets differ in size by a factor of 100 / percent at most
+    reach = math.ceil(math.log2(100 / percent))
+    meet = stage(blocks.join(shards, "label").where(F.abs(F.col("band") - F.col("other")) <= reach))
+    p = p.join(meet, ["label", "band", "block"]).select(*keys, "band", "other", "cls", "text")
+    m = m.withColumnRenamed("band", "other").join(meet, ["label", "other", "shard"]).select(*keys, "band", "other", "cls", "text")
+    keys += ["band", "other"]
+    return m.groupBy(*keys).cogroup(p.groupBy(*keys)).applyInPandas(_confirm_block(size, percent), "a binary, b binary")
 
 
 def _links_of_crowds(crowds: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links of the groups too large for a task; (label, cls, text).
+    """Links of the groups too large for a task; (label, cls, n_shingles, text).
 
     First all members against a few pivots; then whatever is not in the component
     that is largest now is a pivot itself.
@@ -280,8 +294,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     groups = stage(connected_components(suspect_pairs(classes.select("cls", "sig"))).withColumnRenamed("node", "cls"))
     # the texts of suspect classes only, one row a class
     wanted = classes.join(groups, "cls").select("cls", "label", "n_shingles", F.col("least.doc_id").alias("d"), F.col("least.th").alias("h"))
-    weight = wanted.groupBy("label").agg(F.sum("n_shingles").alias("weight"), F.count("*").alias("members"))
-    wanted = stage(wanted.join(weight, "label"))
+    wanted = stage(wanted)
+    weight = stage(wanted.groupBy("label").agg(F.sum("n_shingles").alias("weight"), F.count("*").alias("members")))
+    wanted = stage(spread_join(wanted, weight, ["label"], "members"))
     total = wanted.agg(F.sum("n_shingles")).first()[0] or 0
     suspects = texts.join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("h"))).dropDuplicates(["cls"])
     crowd = (F.col("weight") > GROUP_SHINGLES) | (F.col("members") > GROUP_CLASSES)
@@ -289,7 +304,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     small = suspects.where(~crowd).select(F.pmod(F.xxhash64("label"), F.lit(buckets)).alias("bucket"), "label", "cls", "text")
     links = small.groupBy("bucket").applyInPandas(_confirm_bucket(size, percent), "a binary, b binary")
     if not wanted.where(crowd).isEmpty():
-        links = stage(links.union(_links_of_crowds(stage(suspects.where(crowd).select("label", "cls", "text")), size, percent)))
+        links = stage(links.union(_links_of_crowds(stage(suspects.where(crowd).select("label", "cls", "n_shingles", "text")), size, percent)))
         links = connected_components(links).toDF("a", "b")
     labels = stage(links.toDF("cls", "part"))
     least = classes.select("cls", F.col("least.doc_id").alias("doc_id")).join(labels, "cls", "left").withColumn("part", F.coalesce("part", "cls"))
