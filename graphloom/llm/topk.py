@@ -1,7 +1,8 @@
 """Exact top-k by inner product: dual-tree search over cover trees.
 
 Queries and candidates are indexed together. The trees' upper level is one net of centres, spread over
-a bounded sample of both by farthest-first choice: each vector belongs to the cell of the nearest
+a bounded sample of both by farthest-first choice, so that its first centres are a coarser net; each side uses as many as its
+number of vectors asks for. A vector belongs to the cell of the nearest
 centre, a cell's covering radius is that of all its vectors, and large cells are dealt into parts. In a task,
 the queries of one part and the candidates of another become cover trees (each level's balls are ``1 / BASE`` as
 wide as the one above; a ball too small to be worth a node stays among its parent's points). For balls with
@@ -270,30 +271,31 @@ def top_k(queries: DataFrame, base: DataFrame, k: int = 20) -> DataFrame:
     """(query_id, rank, vec_id, score); queries: (query_id, v), base: (vec_id, v), v an array of whole numbers."""
     queries = queries.where("query_id is not null and v is not null").select(F.col("query_id").cast("long"), "v").distinct()
     base = base.where("vec_id is not null and v is not null").select(F.col("vec_id").cast("long"), "v")
-    both = queries.select(F.col("query_id").alias("id"), "v").union(base.toDF("id", "v"))
-    n, width = both.agg(F.count("*"), F.max(F.size("v"))).first()
+    both = queries.select(F.col("query_id").alias("id"), "v", F.lit(True).alias("asked")).union(base.toDF("id", "v").withColumn("asked", F.lit(False)))
+    n_q, n, width = both.agg(F.count_if("asked"), F.count("*"), F.max(F.size("v"))).first()
     width = max(1, width or 0)
     share = int(min(1.0, SAMPLE / max(1, n)) * (1 << 30))
     some = both.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share).select("v").limit(SAMPLE).collect()
     sample = [np.pad(np.array(r["v"], float), (0, width - len(r["v"]))) for r in some]
-    centres = net(np.array(sample).reshape(-1, width), max(1, min(CELLS, -(-n // (BLOCK // 2)))))
+    centres = net(np.array(sample).reshape(-1, width), CELLS)
     centres = centres if len(centres) else np.zeros((1, width))
+    of_queries, of_base = (centres[: max(1, -(-rows // (BLOCK // 2)))] for rows in (n_q, n - n_q))
     # Of vectors that are all alike only the k + 1 least ids can be among anyone's best k, and of one such row only k copies
     alike = Window.partitionBy("h", "v").orderBy("vec_id")
     rows = base.withColumn("h", F.xxhash64("v")).groupBy("vec_id", "h", "v").agg(F.least(F.count("*"), F.lit(k)).cast("int").alias("copies"))
     rows = rows.withColumn("no", F.row_number().over(alike)).where(F.col("no") <= k + 1).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    celled = lambda d, ddl: stage(d.mapInArrow(_cells(centres), f"{ddl}, cell int, far double"))
-    p = celled(rows.select("vec_id", "h", "copy", "v"), "vec_id long, h long, copy int, v array<long>")
-    q = celled(queries.select("query_id", F.xxhash64("v").alias("qh"), "v"), "query_id long, qh long, v array<long>")
-    of_q, of_p = _Level(q, len(centres)), _Level(p, len(centres))
-    bound = upper_bounds(centres, of_q.radius, centres, of_p.radius)
+    celled = lambda d, to, ddl: stage(d.mapInArrow(_cells(to), f"{ddl}, cell int, far double"))
+    p = celled(rows.select("vec_id", "h", "copy", "v"), of_base, "vec_id long, h long, copy int, v array<long>")
+    q = celled(queries.select("query_id", F.xxhash64("v").alias("qh"), "v"), of_queries, "query_id long, qh long, v array<long>")
+    of_q, of_p = _Level(q, len(of_queries)), _Level(p, len(of_base))
+    bound = upper_bounds(of_queries, of_q.radius, of_base, of_p.radius)
     asked = (of_q.size > 0)[:, None] & (of_p.size > 0)
     early = first_pairs(bound, of_p.size, 4 * (k + 1)) & asked
     nothing = F.lit(float("-inf"))
     found = stage(_ranked(_visit(q.withColumn("kth", nothing), p, early, of_q, of_p, k, width), k))
     kth = found.where(F.col("rank") == k).select("query_id", "qh", F.col("score").cast("double").alias("kth"))
     q = q.join(kth, ["query_id", "qh"], "left").withColumn("kth", F.coalesce("kth", nothing))
-    worst = np.full(len(centres), np.inf)
+    worst = np.full(len(of_queries), np.inf)
     for r in q.groupBy("cell").agg(F.min("kth").alias("kth")).collect():
         worst[r["cell"]] = r["kth"]
     late = asked & ~early & (bound >= worst[:, None])
