@@ -32,20 +32,34 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, whose files go when the driver's JVM ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(conf).deleteOnExit(target)
+    return path
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     This cuts the lineage, survives a lost executor, and gives Catalyst the real
     size, so that joins are broadcast only below the session's threshold.
-    The files go when the driver's JVM ends.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, "stage")
     df.write.parquet(path)
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(conf).deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def carried(docs: DataFrame) -> Column:
+    """All columns of ``docs`` as one struct, so that no name of theirs meets one of an operator's own."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def unpacked(docs: DataFrame, row: str = "row") -> list[Column]:
+    """The columns of ``docs`` out of that struct."""
+    return [F.col(f"{row}.`{c}`").alias(c) for c in docs.columns]
 
 
 def spread_join(rows: DataFrame, keys: DataFrame, on: list[str], n: str = "n") -> DataFrame:

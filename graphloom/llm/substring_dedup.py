@@ -36,13 +36,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import spread_join, stage
-from .words import Runs, signed, split_words, word_hashes
+from .words import Runs, Tokens, signed, together
 
 WINDOW = 50
 ANCHOR = 12
 #: Coordinates of one source document that are looked up in one go.
 ASKED = 1024
-_FLUSH, _ROWS_AT_ONCE = 100_000, 256
+_FLUSH = 100_000
 
 
 def _slide(x: np.ndarray, size: int, what) -> np.ndarray:
@@ -56,13 +56,11 @@ def _slide(x: np.ndarray, size: int, what) -> np.ndarray:
 
 
 class _Walks:
-    """Some documents' words one after another, their anchors and their paths."""
+    """Some documents' words one after another, their anchors and their paths; each document has a window or more."""
 
-    def __init__(self, documents: list[list[bytes]], window: int, k: int):
-        self.words = [w for d in documents for w in d]
-        sizes = np.array([len(d) for d in documents])
-        self.begins = np.cumsum(sizes) - sizes
-        self.runs = runs = Runs(word_hashes(self.words))
+    def __init__(self, tokens: Tokens, window: int, k: int):
+        self.begins, sizes = tokens.begins, tokens.counts
+        self.runs = runs = Runs(tokens.hashes)
         start = np.arange(runs.n - k + 1)
         h = runs.hash(start, start + k)
         span = window - k + 1
@@ -78,22 +76,14 @@ class _Walks:
         self.hi = np.maximum(self.lo, np.minimum(np.append(self.lo[1:], runs.n), ends))
 
 
-class _Spelled:
-    """A document's words joined by one space, to hash the bytes of any run of them."""
+def _spelling(tokens: Tokens, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Hashes of the bytes of the words from lo to hi (exclusive, above lo)."""
+    of, data = xxhash.xxh3_64_intdigest, tokens.bytes.data
+    return np.fromiter((of(data[a:b]) for a, b in zip(tokens.starts[lo].tolist(), tokens.ends[hi - 1].tolist(), strict=True)), np.uint64, len(lo))
 
-    def __init__(self, words: list[bytes]):
-        self.bytes = memoryview(b" ".join(words))
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-        self.ends = ends - 1
-        self.starts = np.concatenate([[0], ends[:-1]])
 
-    def hashes(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-        """Of the words from lo to hi (exclusive, above lo)."""
-        pairs = zip(self.starts[lo].tolist(), self.ends[hi - 1].tolist(), strict=True)
-        return np.fromiter((xxhash.xxh3_64_intdigest(self.bytes[a:b]) for a, b in pairs), np.uint64, len(lo))
-
-    def digest(self, lo: int, hi: int) -> bytes:
-        return hashlib.blake2b(self.bytes[self.starts[lo] : self.ends[hi - 1]], digest_size=16).digest()
+def _digest(tokens: Tokens, lo: int, hi: int) -> bytes:
+    return hashlib.blake2b(tokens.spelled(lo, hi), digest_size=16).digest()
 
 
 def _batches(fields: list[tuple[str, pa.DataType]], rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
@@ -116,11 +106,11 @@ def _batches(fields: list[tuple[str, pa.DataType]], rows: Iterator[tuple]) -> It
 
 
 def _documents(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, _ROWS_AT_ONCE):
-            some = batch.slice(at, _ROWS_AT_ONCE)
-            for text, *row in zip(*(some.column(c).to_pylist() for c in ("text", *names)), strict=True):
-                yield split_words(text), *row
+    """Some documents at once: their words, and the columns named."""
+    rows = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in ("text", *names)), strict=True))
+    for held in together(rows):
+        texts, *columns = zip(*held, strict=True)
+        yield Tokens(list(texts)), *columns
 
 
 def _same(value: int, n: int) -> np.ndarray:
@@ -138,33 +128,29 @@ def _ddl(fields: list[tuple[str, pa.DataType]]) -> str:
 def _walks(window: int, k: int):
     """A row for each anchor with the path that begins there, and for a document's first path."""
 
-    def rows(held: list[tuple]) -> tuple:
-        walks = _Walks([words for words, _, _ in held], window, k)
+    def rows(held: list[tuple]) -> tuple | None:
+        texts, doc_ids, hashes = zip(*held, strict=True)
+        tokens = Tokens(list(texts))
+        long = tokens.counts >= window
+        if not long.all():
+            held = [row for row, keep in zip(held, long.tolist(), strict=True) if keep]
+            return rows(held) if held else None
+        walks = _Walks(tokens, window, k)
         lo, hi, runs = walks.lo, walks.hi, walks.runs
         some = hi > lo
         a, b = lo[some], hi[some]
         word, node, to = (np.zeros(len(lo), np.uint64) for _ in range(3))
-        word[some] = _Spelled(walks.words).hashes(a, b + window - 1)
+        word[some] = _spelling(tokens, a, b + window - 1)
         node[some], to[some] = runs.hash(a, a + window - 1), runs.hash(b, b + window - 1)
-        doc_id, th = (np.array(column, np.int64)[walks.document] for column in ([d for _, d, _ in held], [t for _, _, t in held]))
+        doc_id, th = (np.array(column, np.int64)[walks.document] for column in (doc_ids, hashes))
         begin = walks.begins[walks.document]
         return signed(runs.hash(lo, lo + k)), signed(word), signed(node), signed(to), doc_id, th, (lo - begin).astype(np.int32), (hi - begin).astype(np.int32)
 
     def run(batches):
-        def every():
-            held, n = [], 0
-            for words, doc_id, th in _documents(batches, "doc_id", "th"):
-                if doc_id is None or len(words) < window:
-                    continue
-                held.append((words, doc_id, th))
-                n += len(words)
-                if n > _FLUSH:
-                    yield rows(held)
-                    held, n = [], 0
-            if held:
-                yield rows(held)
-
-        yield from _batches(_PATHS, every())
+        # a window has this many characters at least
+        columns = (zip(*(batch.column(c).to_pylist() for c in ("text", "doc_id", "th")), strict=True) for batch in batches)
+        fit = (row for rows_ in columns for row in rows_ if row[1] is not None and len(row[0] or "") >= 2 * window - 1)
+        yield from _batches(_PATHS, (found for held in together(fit) if (found := rows(held)) is not None))
 
     return run
 
@@ -201,15 +187,16 @@ def _open_edges(window: int, k: int):
 
     def run(batches):
         def rows():
-            for words, doc_id, th, opened, settled in _documents(batches, "doc_id", "th", "opened", "settled"):
-                n = len(words) - window + 1
-                near = _covered(n, [at - (window - k) for at in opened], [at + 1 for at in opened])
-                done = _covered(n, [s["lo"] for s in settled or ()], [s["hi"] for s in settled or ()])
-                start = np.flatnonzero(near & ~done)
-                if len(start):
-                    word = _Spelled(words).hashes(start, start + window)
-                    mix = Runs(word_hashes(words)).hash(start, start + window)
-                    yield signed(word), signed(mix), _same(doc_id, len(start)), _same(th, len(start)), start.astype(np.int32)
+            for tokens, *columns in _documents(batches, "doc_id", "th", "opened", "settled"):
+                runs = Runs(tokens.hashes)
+                for begin, count, doc_id, th, opened, settled in zip(tokens.begins.tolist(), tokens.counts.tolist(), *columns, strict=True):
+                    n = count - window + 1
+                    near = _covered(n, [at - (window - k) for at in opened], [at + 1 for at in opened])
+                    done = _covered(n, [s["lo"] for s in settled or ()], [s["hi"] for s in settled or ()])
+                    start = np.flatnonzero(near & ~done)
+                    if len(start):
+                        at = begin + start
+                        yield signed(_spelling(tokens, at, at + window)), signed(runs.hash(at, at + window)), _same(doc_id, len(at)), _same(th, len(at)), start.astype(np.int32)
 
         yield from _batches(_EDGES, rows())
 
@@ -223,10 +210,11 @@ def _look_up(batches):
     """The digest of the words at each of a source's coordinates."""
 
     def rows():
-        for words, doc_id, th, asked in _documents(batches, "doc_id", "th", "asked"):
-            spelled, n = _Spelled(words), len(asked)
-            lo, hi = (np.array([a[c] for a in asked], np.int32) for c in ("s_lo", "s_hi"))
-            yield _same(doc_id, n), _same(th, n), lo, hi, np.array([spelled.digest(a, b) for a, b in zip(lo.tolist(), hi.tolist(), strict=True)], object)
+        for tokens, *columns in _documents(batches, "doc_id", "th", "asked"):
+            for begin, doc_id, th, asked in zip(tokens.begins.tolist(), *columns, strict=True):
+                lo, hi = (np.array([a[c] for a in asked], np.int32) for c in ("s_lo", "s_hi"))
+                digests = [_digest(tokens, begin + a, begin + b) for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]
+                yield _same(doc_id, len(asked)), _same(th, len(asked)), lo, hi, np.array(digests, object)
 
     yield from _batches(_LOOKED_UP, rows())
 
@@ -331,22 +319,23 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR) -> Da
 
 def _remove(batches):
     for whole in batches:
-        for at in range(0, whole.num_rows, _ROWS_AT_ONCE):
-            batch = whole.slice(at, _ROWS_AT_ONCE)
-            kept, n_words, n_removed = [], [], []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
-                words = split_words(text)
-                n_words.append(len(words))
-                if spans:
-                    spelled = _Spelled(words)
-                    sure = [s for s in spans if s["digest"] is None or s["digest"] == spelled.digest(s["lo"], s["hi"])]
-                    gone = _covered(len(words), [s["lo"] for s in sure], [s["hi"] for s in sure])
-                    words = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
-                n_removed.append(n_words[-1] - len(words))
-                kept.append(b" ".join(words).decode())
+        texts, at = whole.column("text").to_pylist(), 0
+        for held in together((t,) for t in texts):
+            batch, at = whole.slice(at, len(held)), at + len(held)
+            tokens = Tokens([t for t, in held])
+            keep = np.ones(len(tokens.ends), bool)
+            for begin, count, spans in zip(tokens.begins.tolist(), tokens.counts.tolist(), batch.column("spans").to_pylist(), strict=True):
+                sure = [s for s in spans or () if s["digest"] is None or s["digest"] == _digest(tokens, begin + s["lo"], begin + s["hi"])]
+                if sure:
+                    keep[begin : begin + count] = ~_covered(count, [s["lo"] for s in sure], [s["hi"] for s in sure])
+            left = tokens.bytes[np.repeat(keep, tokens.ends + 1 - tokens.starts)].tobytes()
+            ends = np.concatenate([[0], np.cumsum(np.where(keep, tokens.ends + 1 - tokens.starts, 0))])
+            cuts = ends[np.append(tokens.begins, len(keep))].tolist()
+            kept = [left[a : max(a, b - 1)].decode() for a, b in zip(cuts, cuts[1:])]
+            gone = np.concatenate([[0], np.cumsum(~keep)])[np.append(tokens.begins, len(keep))]
             rest = [c for c in batch.schema.names if c != "spans"]
             yield pa.record_batch(
-                [*(batch.column(c) for c in rest), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())],
+                [*(batch.column(c) for c in rest), pa.array(tokens.counts, pa.int64()), pa.array(np.diff(gone), pa.int64()), pa.array(kept, pa.string())],
                 names=[*rest, "_n_words", "_n_removed", "_kept"],
             )
 

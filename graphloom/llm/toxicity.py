@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stage
-from .words import shingle_set
+from .words import shingle_sets
 
 FIT_ROWS = 40_000
 #: Terms are told apart by this many bits of their CRC.
@@ -219,7 +219,7 @@ def _buckets(restorer: Restorer, known: dict[str, tuple[int, ...]], text: str |
 
 def _sketches(batches):
     for batch in batches:
-        sets = [shingle_set(t, 4) for t in batch.column("text").to_pylist()]
+        sets = shingle_sets(batch.column("text").to_pylist(), 4)
         sketch = [int(s[0]) >> 1 if len(s) else 0 for s in sets]
         yield pa.record_batch([*batch.columns, pa.array(sketch, pa.int64())], names=[*batch.schema.names, "sketch"])
 
