@@ -97,5 +97,6 @@ def dedup_lines(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
     text = F.when(never, F.col("text")).otherwise(F.array_join(kept, "\n"))
     lines = F.aggregate(F.filter(parts, lambda _, i: F.array_contains(F.col("gone"), i)), F.lit(0), lambda a, p: a + n_lines(p))
     removed = F.when(never, 0).otherwise(lines).cast("long")
+    done = joined.select("row", text.alias("kept"), removed.alias("removed"))
     columns = dict(zip(docs.drop("text").columns, unpacked(docs.drop("text")), strict=True))
-    return joined.select(*[columns.get(c, text.alias(c)) for c in docs.columns], removed.alias("_removed_lines"))
+    return done.select(*[columns.get(c, F.col("kept").alias(c)) for c in docs.columns], F.col("removed").alias("_removed_lines"))
