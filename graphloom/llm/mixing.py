@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import n_words, stage
+from .common import carried, n_words, stage, unpacked
 
 FAN = 64
 CAP = 3.0
@@ -90,7 +90,8 @@ def round_copies(docs: DataFrame, weights: Sequence[float] = WEIGHTS, cap: float
 
     Columns: doc_id, source, k (hash of the unit), size, source_size, target, m, total.
     """
-    sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.xxhash64("doc_id", "source", "text").alias("k"))
+    # words are counted once; what is written holds four numbers a document
+    sized = stage(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.xxhash64("doc_id", "source", "text").alias("k")))
     targets = stage(source_targets(sized, weights, cap))
     largest = targets.agg(F.max("n")).first()[0] or 0
     # equal rows are put together before the shuffle, so copies of one row cannot fill one leaf
@@ -139,11 +140,14 @@ def mix_report(docs: DataFrame, weights: Sequence[float] = WEIGHTS, cap: float =
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, cap: float = CAP) -> DataFrame:
-    """The mixture itself: every row of ``docs`` as often as it is taken, with all its columns."""
-    names = docs.columns
-    units = round_copies(docs, weights, cap).select(F.col("k").alias("_mix_k"), F.col("m").alias("_mix_m"), F.col("total").alias("_mix_total"))
-    keyed = docs.withColumn("_mix_k", F.xxhash64("doc_id", "source", "text")).join(units.hint("merge"), "_mix_k")
-    alike = Window.partitionBy("_mix_k").orderBy(F.lit(1))
-    j = F.when(F.col("_mix_m") == 1, 1).otherwise(F.row_number().over(alike))
-    copies = keyed.withColumn("_mix_c", _dealt(F.col("_mix_total"), F.col("_mix_m"), j)).where("_mix_c > 0")
-    return copies.withColumn("_mix_c", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_c")))).select(*names)
+    """The mixture itself: every row of ``docs`` as often as it is taken, with all its columns.
+
+    Of rows that agree in doc_id, source and text, those whose other columns have the smaller hash come first.
+    """
+    names = [f"`{c}`" for c in docs.columns]
+    units = round_copies(docs, weights, cap).select("k", "m", "total")
+    keyed = docs.select(F.xxhash64("doc_id", "source", "text").alias("k"), carried(docs).alias("row"), F.xxhash64(*names).alias("tie")).join(units.hint("merge"), "k")
+    # equal rows only: their order among themselves changes nothing
+    j = F.when(F.col("m") == 1, 1).otherwise(F.row_number().over(Window.partitionBy("k").orderBy("tie")))
+    copies = keyed.withColumn("c", _dealt(F.col("total"), F.col("m"), j)).where("c > 0")
+    return copies.withColumn("c", F.explode(F.sequence(F.lit(1).cast("long"), F.col("c")))).select(*unpacked(docs))

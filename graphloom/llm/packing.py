@@ -10,7 +10,7 @@ cheapest plan of the group stays, after each sequence has been downsized to the
 smallest permitted length that holds its contents.
 
 Defined results: a document without tokens (null or empty text) makes no piece;
-equal rows are pieces of their own; no piece is cut but at the largest
+equal rows are pieces of their own, told apart by ``copy`` (from 1); no piece is cut but at the largest
 length; an empty table gives no rows; other columns are not read.
 """
 
@@ -23,14 +23,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import n_words
+from .common import WORD, n_words, stage
 
 LENGTHS = (512, 1024, 2048, 4096)
 #: Tokens that opening a sequence costs besides its length.
 OPEN_COST = 16
 GROUP = 8192
+COPIES = 256
 
-SCHEMA = "doc_id long, piece long, start long, length long, sequence long, capacity long, offset long"
+SCHEMA = "doc_id long, copy long, piece long, start long, length long, sequence long, capacity long, offset long"
 
 
 def _open_length(size: int, policy: int | None, lengths: Sequence[int], left: int) -> int:
@@ -73,30 +74,43 @@ def _pack_group(lengths: Sequence[int]):
     def pack(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["length", "doc_id", "piece", "copy", "k"], ascending=[False, True, True, True, True], na_position="last")
         where, final, _ = pack_sizes(group["length"].tolist(), lengths)
-        out = group[["doc_id", "piece", "start", "length"]].copy()
+        out = group[["doc_id", "copy", "piece", "start", "length"]].copy()
         out["sequence"] = group["bucket"].to_numpy() * (1 << 24) + pd.Series(where, index=group.index)
         out["capacity"] = [final[w] for w in where]
+        out["k"] = group["k"]
         out["offset"] = out.groupby("sequence")["length"].cumsum() - out["length"]
-        return out
+        return out[[*(c.split()[0] for c in SCHEMA.split(", ")), "k"]]
 
     return pack
 
 
-def pack(docs: DataFrame, lengths: Iterable[int] = LENGTHS, tokens: Column | None = None, group: int = GROUP) -> DataFrame:
-    """One row a piece: doc_id, piece, start, length, sequence, capacity, offset (place in the sequence).
+def pack(docs: DataFrame, lengths: Iterable[int] = LENGTHS, tokens: Column | None = None, group: int = GROUP, texts: bool = False) -> DataFrame:
+    """One row a piece: doc_id, copy, piece, start, length, sequence, capacity, offset (place in the sequence).
 
-    ``tokens`` counts a row's tokens; words if not given. Texts are not shuffled.
+    ``tokens`` counts a row's tokens; words if not given. Texts are not shuffled, but with ``texts``, which adds each
+    piece's words as ``text``.
     """
+    if texts and tokens is not None:
+        raise ValueError("texts are cut by words")
     lengths = sorted(set(lengths))
     top = lengths[-1]
     count = n_words(F.col("text")) if tokens is None else tokens.cast("long")
-    sized = docs.select("doc_id", count.alias("n"), F.xxhash64("doc_id", "text").alias("k")).where("n > 0")
-    # equal rows come together first and are then told apart by number
-    units = sized.groupBy("doc_id", "n", "k").agg(F.count("*").alias("m"))
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), count.alias("n"), F.xxhash64("doc_id", "text").alias("k"), *(["text"] if texts else []))
+    # equal rows come together first and are then told apart by number; tokens are counted once
+    units = stage(keyed.where("n > 0").groupBy("doc_id", "n", "k").agg(F.count("*").alias("m")))
     total = units.agg(F.sum(F.ceil(F.col("n") / top) * F.col("m"))).first()[0] or 0
     buckets = max(1, -(-int(total) // group))
     pieces = units.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("m"))))
     pieces = pieces.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / top) - 1)))
     pieces = pieces.withColumn("start", F.col("piece") * top).withColumn("length", F.least(F.lit(top), F.col("n") - F.col("start")))
     pieces = pieces.withColumn("bucket", F.pmod(F.xxhash64("k", "copy", "piece"), F.lit(buckets)))
-    return pieces.select("doc_id", "piece", "start", "length", "copy", "k", "bucket").groupBy("bucket").applyInPandas(_pack_group(lengths), SCHEMA)
+    pieces = pieces.select("doc_id", "piece", "start", "length", "copy", "k", "bucket").groupBy("bucket").applyInPandas(_pack_group(lengths), f"{SCHEMA}, k long")
+    if not texts:
+        return pieces.drop("k")
+    # one row a text and COPIES copies: it is taken apart once, and its pieces are put together out of its words
+    names = [c.split()[0] for c in SCHEMA.split(", ")]
+    plan = pieces.groupBy("k", F.floor(F.col("copy") / COPIES)).agg(F.collect_list(F.struct(*names)).alias("p"))
+    one = keyed.where("n > 0").dropDuplicates(["k"]).select("k", "text")
+    cut = lambda w: F.transform("p", lambda x: F.struct(*[x[c].alias(c) for c in names], F.array_join(F.slice(w, (x["start"] + 1).cast("int"), x["length"].cast("int")), " ").alias("text")))
+    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    return one.join(plan.hint("merge"), "k").select(F.inline(F.transform(F.array(words), cut)[0]))
