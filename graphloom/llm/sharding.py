@@ -1,7 +1,7 @@
 """Sharding over fixed virtual slots.
 
-A record's key is hashed into one of ``SLOTS`` slots, and a small versioned map
-says which shard owns each slot. The first map gives a slot to the shard of the
+A record's key is hashed into one of ``SLOTS`` slots, and a small versioned map, stored as
+a table, says which shard owns each slot. The first map gives a slot to the shard of the
 highest hash (slot, shard); one more shard then takes slots only into itself.
 Bytes are added up per slot, and ``rebalance`` edits the map by them: it moves
 slots from overfull to underfull shards and writes only the next version.
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import utf8_bytes
+from .common import scratch, stage, utf8_bytes
 
 SLOTS = 4096
 #: A slot's rows are numbered in this many parts, so a slot that one key fills is no single task's work.
@@ -40,9 +40,9 @@ def grow_map(current: DataFrame, shard: int) -> DataFrame:
     return current.select((F.col("version") + 1).alias("version"), "vslot", F.when(new > here, F.lit(shard)).otherwise(F.col("shard")).cast("int").alias("shard"))
 
 
-def slot_bytes(docs: DataFrame, key: str = "doc_id", slots: int = SLOTS) -> DataFrame:
-    """(vslot, rows, bytes), at most ``slots`` rows."""
-    return docs.groupBy(slot_of(F.col(key), slots).alias("vslot")).agg(F.count("*").alias("rows"), F.sum(utf8_bytes(F.col("text")) + 1).alias("bytes"))
+def slot_bytes(rows: DataFrame) -> DataFrame:
+    """(vslot, rows, bytes), a row a slot at most, of rows (vslot, m, size): m records of so many bytes each."""
+    return rows.groupBy("vslot").agg(F.sum("m").alias("rows"), F.sum(F.col("m") * F.col("size")).alias("bytes"))
 
 
 def rebalance(current: DataFrame, weights: DataFrame, shards: int) -> DataFrame:
@@ -83,11 +83,19 @@ def load_map(spark: SparkSession, path: str, version: int | None = None) -> Data
     return maps.where(F.col("version") == version).select("version", "vslot", "shard")
 
 
+def store_maps(spark: SparkSession, path: str, weights: DataFrame, shards: int, slots: int = SLOTS) -> None:
+    """Stores three versions of the map: the first, the one with one more shard, and that one rebalanced by bytes."""
+    save_map(initial_map(spark, shards, slots), path)
+    save_map(grow_map(load_map(spark, path, 1), shards), path)
+    save_map(rebalance(load_map(spark, path, 2), weights, shards + 1), path)
+
+
 def assign_shards(docs: DataFrame, shards: int = 16, slots: int = SLOTS) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot, grown_shard, vslot for each row of ``docs``.
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard, vslot, slot_bytes, balanced_shard for each row of ``docs``.
 
-    ``slot`` numbers a shard's rows from 0 without gaps: the shard's virtual slots in
-    order, each in ``PARTS`` parts. Both counts and numbers come from rows that are
+    Shards are read from the stored map: ``shard`` from its first version, ``grown_shard`` from the second, which has one more, and
+    ``balanced_shard`` from the third, in which slots have moved by their bytes. ``slot`` numbers a shard's rows from 0 without gaps: the
+    shard's virtual slots in order, each in ``PARTS`` parts. Both counts and numbers come from rows that are
     added up by content first, and the table of offsets has at most
     ``slots * PARTS`` rows, which is what is broadcast.
     """
@@ -96,10 +104,14 @@ def assign_shards(docs: DataFrame, shards: int = 16, slots: int = SLOTS) -> Data
         "doc_id", (utf8_bytes(F.col("text")) + 1).alias("size"), F.crc32(F.coalesce(F.col("text"), F.lit(""))).alias("text_crc32")
     ).withColumn("vslot", slot_of(F.col("doc_id"), slots))
     rows = rows.withColumn("part", F.pmod(F.xxhash64("text_crc32", "size"), F.lit(PARTS)).cast("int"))
-    units = rows.groupBy("vslot", "part", "doc_id", "size", "text_crc32").agg(F.count("*").alias("m"))
-    first = initial_map(spark, shards, slots)
-    grown = grow_map(first, shards).select("vslot", F.col("shard").alias("grown_shard"))
-    owners = first.drop("version").join(F.broadcast(grown), "vslot")
+    units = stage(rows.groupBy("vslot", "part", "doc_id", "size", "text_crc32").agg(F.count("*").alias("m")))
+    path = scratch(spark, "slot-map")
+    weights = stage(slot_bytes(units).coalesce(1))
+    store_maps(spark, path, weights, shards, slots)
+    owners = load_map(spark, path, 1).select("vslot", "shard")
+    for version, name in ((2, "grown_shard"), (3, "balanced_shard")):
+        owners = owners.join(F.broadcast(load_map(spark, path, version).select("vslot", F.col("shard").alias(name))), "vslot")
+    owners = owners.join(F.broadcast(weights.select("vslot", F.col("bytes").alias("slot_bytes"))), "vslot")
     counts = units.groupBy("vslot", "part").agg(F.sum("m").alias("rows"))
     ahead = Window.partitionBy("shard").orderBy("vslot", "part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.join(F.broadcast(owners), "vslot").withColumn("offset", F.coalesce(F.sum("rows").over(ahead), F.lit(0))).drop("rows")
@@ -108,5 +120,6 @@ def assign_shards(docs: DataFrame, shards: int = 16, slots: int = SLOTS) -> Data
     placed = placed.join(F.broadcast(offsets), ["vslot", "part"])
     placed = placed.withColumn("j", F.explode(F.sequence(F.col("upto") - F.col("m"), F.col("upto") - 1)))
     return placed.select(
-        "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("offset") + F.col("j")).cast("long").alias("slot"), "grown_shard", "vslot"
-    )
+        "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("offset") + F.col("j")).cast("long").alias("slot"), "grown_shard", "vslot",
+        "slot_bytes", "balanced_shard",
+    )
