@@ -1,8 +1,10 @@
 """Mixing, sharding, line dedup and packing: laws, ties, nulls, empty tables, clashing columns."""
 
+import struct
 from collections import Counter, defaultdict
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from graphloom.llm import line_dedup, mixing, packing, sharding
@@ -10,6 +12,16 @@ from graphloom.llm import line_dedup, mixing, packing, sharding
 ROWS = "doc_id long, text string, lang string, source string, n_chars long, k string, size long, h string, n long, u string, target double"
 
 
+def spark_hash(*values, seed=42):
+    """Spark's xxhash64 of longs, (value, "int") pairs and strings; nulls change nothing."""
+    for v in values:
+        if v is None:
+            continue
+        data = v.encode() if isinstance(v, str) else struct.pack("<i", v[0]) if isinstance(v, tuple) else struct.pack("<q", v)
+        seed = xxhash.xxh64_intdigest(data, seed & (1 << 64) - 1)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
 def documents(spark, rows):
     """(doc_id, text, source) with columns whose names the operators use inside."""
     return spark.createDataFrame([(i, t, "en", s, 0, "x", 7, "y", 3, "z", 0.5) for i, t, s in rows], ROWS)
@@ -57,6 +69,69 @@ def test_mix_is_near_its_targets_and_reruns_agree(spark):
         assert abs(taken[s] - target[s]) <= largest[s]
 
 
+def plain_mix(rows, targets, cap=3.0, fan=mixing.FAN):
+    """doc_id -> copies, of rows with different doc_ids: the pivotal rounding in plain loops."""
+    size = {i: len((t or "").split()) for i, t, _ in rows}
+    by = defaultdict(list)
+    for i, t, source in rows:
+        by[source, size[i] == 0].append((i, spark_hash(i, source, t)))
+    count = Counter(s for _, _, s in rows)
+    largest, out = max(count.values()), {}
+    for (source, _), docs in by.items():
+        total = sum(size[i] for i, _, s in rows if s == source)
+        want = min(targets[source] / total, cap) if total else 1.0
+        leaves = defaultdict(list)
+        for i, k in docs:
+            leaves[spark_hash(k) % -(-count[source] // fan)].append((max(size[i], 1), k, i, int(want // 1), want - want // 1))
+        spread, depth = -(-largest // fan), 0
+        while True:
+            rest = {}
+            for leaf, units in leaves.items():
+                a = None
+                for u in sorted(units, reverse=True):
+                    if a is None:
+                        a = u
+                        continue
+                    up, down = min(a[0] * (1 - a[4]), u[0] * u[4]), min(a[0] * a[4], u[0] * (1 - u[4]))
+                    r = ((spark_hash(a[1], u[1], (depth, "int"), (mixing.SEED, "int")) & (1 << 64) - 1) >> 11) / (1 << 53)
+                    gains = up + down > 0 and r < down / (up + down)
+                    step = up if gains else down
+                    ends = a[0] * (1 - a[4]) <= u[0] * u[4] if gains else a[0] * a[4] <= u[0] * (1 - u[4])
+                    ended, kept = (a, u) if ends else (u, a)
+                    out[ended[2]] = ended[3] + (ends == gains)
+                    f = kept[4] + (-1 if ends == gains else 1) * step / kept[0]
+                    a = (*kept[:4], min(1.0, max(0.0, f)))
+                rest[leaf] = a
+            if spread <= 1:
+                out.update({a[2]: a[3] + (a[4] >= 0.5) for a in rest.values()})
+                break
+            leaves = defaultdict(list)
+            for leaf, a in rest.items():
+                leaves[leaf // fan].append(a)
+            spread, depth = -(-spread // fan), depth + 1
+    return out
+
+
+def test_mix_against_plain_loops(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "FAN", 8)
+    rows = [(i, " ".join([f"w{i}"] * (i * 7 % 50 + i // 100 * 300)) if i % 11 else None, f"s{i % 5}" if i % 7 else None) for i in range(300)]
+    got = mixing.mix_report(documents(spark, rows)).collect()
+    assert {r["doc_id"]: r["copies"] for r in got} == plain_mix(rows, {r["source"]: r["target"] for r in got}, fan=8)
+    assert {r["doc_id"]: (r["size"], r["taken"]) for r in got} == {i: (n := len((t or "").split()), n * c["copies"]) for (i, t, _), c in zip(rows, sorted(got, key=lambda r: r["doc_id"]))}
+
+
+def test_long_texts_and_many_columns(spark):
+    """Texts of a million words, and columns named as the operators' own, pass through."""
+    long = "word " * 1_000_000
+    extra = ["th", "row", "h", "d", "t", "c", "k", "n", "m", "total", "tie", "gone", "no", "body", "late", "first", "_part", "_parts", "spans", "vslot", "part", "unit"]
+    docs = spark.createDataFrame([(1, long, "a"), (2, "x\ny\nz", "b")], "doc_id long, text string, source string").select("*", *[F.lit(7).alias(c) for c in extra])
+    assert {r["size"] for r in mixing.mix_report(docs).collect()} == {1_000_000, 3}
+    for out in (mixing.mix(docs), line_dedup.dedup_lines(docs)):
+        assert out.columns[: len(docs.columns)] == docs.columns and out.where("th = 7 and _part = 7").count() >= 1
+    assert {r["size"] for r in sharding.assign_shards(docs).collect()} == {5_000_001, 6}
+    assert packing.pack(docs, texts=True).agg(F.sum("length")).first()[0] == 1_000_003
+
+
 def test_mix_rounds_at_random(spark, monkeypatch):
     """Other seeds pick other documents, as many of them."""
     docs = documents(spark, [(i, "a b c", "s0" if i < 40 else "s1") for i in range(80)])
@@ -102,6 +177,25 @@ def test_shards_follow_the_key(spark):
     assert 0.02 < moved < 0.12
 
 
+def test_shards_against_plain_loops(spark):
+    rows = some(500) + [(7, "again", "s"), (7, "again", "s"), (None, "t", "s")]
+    got = sharding.assign_shards(documents(spark, rows), 5, 64)
+    slot = lambda i: spark_hash(i) % 64
+    owner = lambda v, n: max((spark_hash((v, "int"), (s, "int")), s) for s in range(n))[1]
+    size = Counter()
+    for i, t, _ in rows:
+        size[slot(i)] += len((t or "").encode()) + 1
+    want = Counter((i, slot(i), owner(slot(i), 5), owner(slot(i), 6), size[slot(i)]) for i, _, _ in rows)
+    assert Counter((r["doc_id"], r["vslot"], r["shard"], r["grown_shard"], r["slot_bytes"]) for r in got.collect()) == want
+    balanced = Counter()
+    for v, s in {(r["vslot"], r["balanced_shard"]) for r in got.collect()}:
+        balanced[s] += size[v]
+    grown = Counter()
+    for v in size:
+        grown[owner(v, 6)] += size[v]
+    assert max(balanced.values()) <= max(grown.values()) and max(balanced.values()) < 1.5 * sum(size.values()) / 6
+
+
 def test_shards_of_seventeen_are_the_grown_ones(spark):
     docs = documents(spark, some(400))
     grown = {r["doc_id"]: r["grown_shard"] for r in sharding.assign_shards(docs, 16).collect()}
@@ -191,6 +285,34 @@ def test_line_dedup_equal_rows_nulls_and_empty_tables(spark):
     assert line_dedup.dedup_lines(documents(spark, [])).count() == 0
 
 
+def test_line_dedup_keeps_a_place_of_each_body_of_a_hash(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "chunk_hash", lambda body: F.length(body).cast("long"))
+    test_line_dedup_against_brute_force(spark)
+
+
+def test_packing_against_plain_loops(spark):
+    rows = [(i, " ".join([f"w{i}"] * (i * 37 % 900 + 1)), "s") for i in range(300)] + [(1000, " ".join(map(str, range(9000))), "s")] + [(2000, "same text", "s")] * 4
+    lengths, group = (256, 512, 2048), 64
+    pieces, copies = [], Counter()
+    for i, t, _ in rows:
+        copies[i, t] += 1
+        n, k = len(t.split()), spark_hash(i, t)
+        pieces += [(spark_hash(k, copies[i, t], p), min(2048, n - p * 2048), i, p, copies[i, t], k) for p in range(-(-n // 2048))]
+    buckets = -(-len(pieces) // group)
+    want = {}
+    for b in range(buckets):
+        held = sorted((x for x in pieces if x[0] % buckets == b), key=lambda x: (-x[1], x[2:]))
+        where, final, _ = packing.pack_sizes([x[1] for x in held], lengths)
+        want |= {(x[2], x[4], x[3]): (x[1], b * (1 << 24) + w, final[w]) for x, w in zip(held, where, strict=True)}
+    docs = documents(spark, rows)
+    got = packing.pack(docs, lengths, group=group).collect()
+    assert {(r["doc_id"], r["copy"], r["piece"]): (r["length"], r["sequence"], r["capacity"]) for r in got} == want and len(got) == len(pieces)
+    texts = {i: t.split() for i, t, _ in rows}
+    for r in packing.pack(docs, lengths, group=group, texts=True).collect():
+        assert want[r["doc_id"], r["copy"], r["piece"]][:2] == (r["length"], r["sequence"])
+        assert r["text"].split() == texts[r["doc_id"]][r["start"] : r["start"] + r["length"]]
+
+
 def test_pack_sizes():
     where, final, cost = packing.pack_sizes([600, 500, 400, 300, 200, 100], (512, 1024, 2048))
     held = Counter()

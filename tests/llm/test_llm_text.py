@@ -293,7 +293,7 @@ def test_stages_work_on_empty_tables(spark, tmp_path):
 
 def test_pipeline_runs_and_keeps_clean_documents(spark):
     out = corpus_pipeline.run(spark, SF)
-    assert out.columns == [c.split()[0] for c in packing.SCHEMA.split(", ")]
+    assert out.columns == [*(c.split()[0] for c in packing.SCHEMA.split(", ")), "text"]
     assert out.count() > 50
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     labels = spark.read.parquet(f"{SF}/labels.parquet")
