@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom.llm import line_dedup, mixing, near_dup, packing, toxicity
+from graphloom.llm.common import carried, table, unpacked
 from graphloom.llm.common import stage as written
-from graphloom.llm.common import table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,10 +32,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Keeps one document of each group of near copies (five words, 80 %), that of the smallest doc_id, and every one without words."""
     rows = near_dup.near_duplicates(docs, size=5, percent=80)
     place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "th")
-    firsts = rows.where("part is not null").groupBy("part").agg(F.min(place).alias("p")).select(F.col("p.doc_id").alias("_d"), F.col("p.th").alias("_t"))
-    keyed = docs.withColumn("_th", F.xxhash64("text"))
-    marked = keyed.join(firsts.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_t")), "left")
-    one = marked.where(F.col("_t").isNotNull()).dropDuplicates(["_d", "_t"]).select(*docs.columns)
+    firsts = rows.where("part is not null").groupBy("part").agg(F.min(place).alias("p")).select(F.col("p.doc_id").alias("d"), F.col("p.th").alias("t"))
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("th"), carried(docs).alias("row"))
+    marked = keyed.join(firsts.hint("merge"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t")))
+    # of rows equal in doc_id and text the one whose other columns have the least hash
+    one = marked.groupBy("d", "t").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select(*unpacked(docs))
     words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     return one.union(docs.where(~words))
 
@@ -46,8 +47,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of the permitted lengths."""
-    return packing.pack(docs)
+    """Pieces of documents, with their words, in sequences of the permitted lengths; the mixture's copies of a document are told apart by ``copy``."""
+    return packing.pack(docs, texts=True)
 
 
 STAGES = [
