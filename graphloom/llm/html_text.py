@@ -1,16 +1,21 @@
 """HTML extraction by layout-aware rendering.
 
-A small tokenizer feeds a stack of open elements that knows which end tags are
+A small tokenizer feeds a tree of open elements that knows which end tags are
 implied (a p ends where a block begins, an li at the next li, cells at the next cell,
 row or table) and which elements are not shown (head, scripts, templates, ``hidden``,
-``display:none``, ``visibility:hidden``). What is shown is laid out as text: one
+``display:none``; ``visibility:hidden`` until something inside is ``visible`` again). What is shown is laid out as text: one
 blank line around paragraphs, headings, lists and tables, one newline around other blocks,
-list items with their bullets or numbers and indented by nesting, and table cells in aligned columns.
+list items with their bullets or numbers and indented by nesting, and table cells in aligned columns, with
+cells that span columns or rows and cells of several lines in their places.
+
+Parameters: a cell wider than ``widest`` characters does not widen its column, so what
+follows it in its row is shifted; lines are not indented by more than ``MOST_INDENT`` columns. Neither loses text.
 
 Defined results: null html gives null text, empty or invisible html an empty text;
 broken markup is never an error (unknown or unclosed tags, stray ends, a lone < are text or ignored as
-browsers do); nesting of any depth is handled without recursion; an
-empty table stays empty; other columns are carried.
+browsers do; a tag with an unclosed quote ends at its first >); nesting of any depth is handled without recursion and in
+time that grows with the page's length; an empty table stays empty; other columns are carried, whatever their names, but for one called
+``_text``, which the result replaces.
 """
 
 from __future__ import annotations
@@ -20,12 +25,13 @@ import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 # fixed values of HTML: element kinds
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes".split())
 ESCAPED_RAW = frozenset("textarea title".split())
-UNSEEN = frozenset("head script style template noscript iframe noembed noframes title object audio video canvas svg math datalist select textarea".split())
+UNSEEN = frozenset("head script style template noscript iframe noembed noframes title audio video canvas datalist desc defs metadata symbol annotation annotation-xml".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure hr menu".split())
 BLOCK = SPACED | frozenset(
     "address article aside body center dd details dialog dir div dt fieldset figcaption footer form header html legend li main nav optgroup option section summary tr caption".split()
@@ -45,12 +51,17 @@ IMPLIED = {
 #: An end tag does not reach beyond these.
 SCOPE = frozenset(("table", "td", "th", "caption", "html"))
 WIDEST = 40
+MOST_INDENT = 80
+#: A cell spans so many rows or columns at most, as in browsers.
+MOST_SPAN = 1000
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*>?|<\?[^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>?|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|[^<]+|<", re.S
-)
+    r"<!--.*?(?:-->|\Z)|<![^>]*>?|<\?[^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>?|<([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)"
+    r"|<([a-zA-Z][^\s/>]*)([^>]*)>?|[^<]+|<", re.S
+)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
-_HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_DISPLAY = re.compile(r"(?<![\w-])display\s*:\s*([\w-]+)", re.I)
+_VISIBILITY = re.compile(r"(?<![\w-])visibility\s*:\s*([\w-]+)", re.I)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -64,7 +75,7 @@ class _Sink:
         self.space = False  # a collapsed space owed
         self.fresh = False  # the line holds nothing but a list item's mark
 
-    def text(self, s: str, indent: str) -> None:
+    def text(self, s: str, indent: int) -> None:
         """Inline text with white space collapsed."""
         lead, core, tail = s[:1] in " \t\n\r\f", _SPACE.sub(" ", s.strip(" \t\n\r\f")), s[-1:] in " \t\n\r\f"
         if not core:
@@ -77,7 +88,7 @@ class _Sink:
         self.line.append(core)
         self.space, self.fresh = tail, False
 
-    def exact(self, s: str, indent: str) -> None:
+    def exact(self, s: str, indent: int) -> None:
         """Preformatted text."""
         for i, part in enumerate(s.split("\n")):
             if i:
@@ -88,16 +99,17 @@ class _Sink:
                     self._open(indent)
                 self.line.append(part)
 
-    def _open(self, indent: str) -> None:
+    def _open(self, indent: int) -> None:
         if self.lines:
             self.lines += [""] * self.gap
         self.gap = 0
-        self.line.append(indent)
+        self.line.append(" " * min(indent, MOST_INDENT))
 
-    def mark(self, s: str) -> None:
+    def mark(self, s: str, indent: int) -> None:
         """A list item's mark; what comes next stands beside it."""
         self.end_line()
-        self._open(s)
+        self._open(indent)
+        self.line.append(s)
         self.fresh = True
 
     def end_line(self, force: bool = False) -> None:
@@ -121,57 +133,94 @@ class _Sink:
 class _Open:
     """An open element."""
 
-    __slots__ = ("tag", "unseen", "pre", "number", "rows", "sink", "indent", "span")
+    __slots__ = ("tag", "unseen", "veiled", "pre", "number", "rows", "sink", "indent", "span")
 
-    def __init__(self, tag: str, unseen: bool, pre: bool, indent: str):
-        self.tag, self.unseen, self.pre, self.indent = tag, unseen, pre, indent
-        self.number, self.rows, self.sink, self.span = 0, None, None, 1
+    def __init__(self, tag: str, unseen: bool, veiled: bool, pre: bool, indent: int):
+        self.tag, self.unseen, self.veiled, self.pre, self.indent = tag, unseen, veiled, pre, indent
+        self.number, self.rows, self.sink, self.span = 0, None, None, (1, 1)
 
 
 def _attributes(source: str) -> dict[str, str]:
     return {m[1].lower(): entities.unescape((m[2] or "").strip("\"'")) for m in _ATTRIBUTE.finditer(source)} if source.strip(" /\n\t\r") else {}
 
 
-def _aligned(rows: list[list[tuple[str, int]]]) -> list[str]:
-    """Rows of (cell, columns it spans) with columns padded to their widest cell, up to WIDEST."""
-    widths: dict[int, int] = {}
+def _number(s: str, most: int) -> int:
+    return max(1, min(most, int(s))) if s.isdecimal() and len(s) < 9 else 1
+
+
+def _grid(rows: list[list[tuple[list[str], int, int]]]) -> list[dict[int, tuple[list[str], int]]]:
+    """Rows of cells (lines, columns, rows spanned) -> for each row, {column: (lines, columns spanned)}."""
+    out, taken = [], {}  # taken: column -> rows it is still covered from above
     for row in rows:
-        at = 0
-        for cell, span in row:
-            if span == 1 and len(cell) <= WIDEST:
-                widths[at] = max(widths.get(at, 0), len(cell))
-            at += span
+        placed, at = {}, 0
+        held = dict(taken)
+        taken = {c: n - 1 for c, n in held.items() if n > 1}
+        for lines, columns, down in row:
+            while at in held:
+                at += 1
+            placed[at] = (lines, columns)
+            if down > 1:
+                taken |= dict.fromkeys(range(at, at + columns), down - 1)
+            at += columns
+        out.append(placed)
+    return out
+
+
+def _aligned(rows: list[list[tuple[list[str], int, int]]], widest: int) -> list[str]:
+    """The table's lines, columns padded to their widest cell, up to ``widest``."""
+    grid = _grid(rows)
+    widths: dict[int, int] = {}
+    for row in grid:
+        for at, (lines, columns) in row.items():
+            width = max(map(len, lines), default=0)
+            if columns == 1 and width <= widest:
+                widths[at] = max(widths.get(at, 0), width)
+    starts, x = {}, 0
+    for at in range(max((c + n for row in grid for c, (_, n) in row.items()), default=0)):
+        starts[at] = x
+        x += widths.get(at, 0) + 2
     out = []
-    for row in rows:
-        at, parts = 0, []
-        for cell, span in row:
-            width = sum(widths.get(c, 0) for c in range(at, at + span)) + 2 * (span - 1)
-            parts.append(cell.ljust(width))
-            at += span
-        line = "  ".join(parts).rstrip()
-        if line:
-            out.append(line)
+    for row in grid:
+        for i in range(max((len(lines) for lines, _ in row.values()), default=0)):
+            line = ""
+            for at, (lines, _) in sorted(row.items()):
+                cell = lines[i] if i < len(lines) else ""
+                if cell:
+                    line = (line + "  " if len(line) > starts[at] - 2 and line else line).ljust(starts[at]) + cell
+            if line:
+                out.append(line.rstrip())
     return out
 
 
 class Page:
-    """Lays out one page."""
+    """Lays out one page.
 
-    def __init__(self) -> None:
-        self.stack: list[_Open] = [_Open("html", False, False, "")]
+    ``places`` holds for each tag where it stands open in the stack, innermost last, so that no search goes through the stack.
+    """
+
+    def __init__(self, widest: int = WIDEST) -> None:
+        self.widest = widest
+        self.stack: list[_Open] = [_Open("html", False, False, False, 0)]
+        self.places: dict[str, list[int]] = {"html": [0]}
         self.sinks: list[_Sink] = [_Sink()]
+        self.tables: list[_Open] = []
 
     def render(self, html: str) -> str:
         at = 0
         while at < len(html):
             m = _TOKEN.match(html, at)
             at = m.end()
-            if m[2]:
-                tag = m[2].lower()
-                self._start(tag, m[3])
+            name = m[2] or m[4]
+            if name:
+                tag = name.lower()
+                self._start(tag, m[3] or m[5] or "")
                 if tag in RAW or tag in ESCAPED_RAW:
                     end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)", re.I).search(html, at)
-                    at = end.start() if end else len(html)
+                    stop = end.start() if end else len(html)
+                    if tag in ("xmp", "textarea"):
+                        raw = html[at:stop].removeprefix("\n")
+                        self._text(raw, escaped=tag == "textarea")
+                    at = stop
             elif m[1]:
                 self._end(m[1].lower())
             elif not m[0].startswith("<") or m[0] == "<":
@@ -180,13 +229,17 @@ class Page:
             self._close()
         return self.sinks[0].done()
 
-    def _text(self, s: str) -> None:
+    def _innermost(self, names) -> int:
+        """The place of the innermost open element of these names, or -1."""
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=-1)
+
+    def _text(self, s: str, escaped: bool = True) -> None:
         if self.stack[-1].tag == "head" and s.strip():
             self._close()
         top = self.stack[-1]
-        if top.unseen or top.tag in ("table", "tr", *ROW_GROUPS) and not s.strip():
+        if top.unseen or top.veiled or top.tag in ("table", "tr", *ROW_GROUPS) and not s.strip():
             return
-        s = entities.unescape(s)
+        s = entities.unescape(s) if escaped else s
         (self.sinks[-1].exact if top.pre else self.sinks[-1].text)(s, top.indent)
 
     def _start(self, tag: str, source: str) -> None:
@@ -198,12 +251,14 @@ class Page:
             self._imply(*IMPLIED[tag])
         if tag in ENDS_P:
             self._imply({"p"}, SCOPE)
-        top = self.stack[-1]
-        if tag in CELLS and top.tag != "tr":
+        if tag in CELLS and self.stack[-1].tag != "tr":
             self._start("tr", "")
-            top = self.stack[-1]
+        top = self.stack[-1]
         attributes = _attributes(source) if source else {}
-        unseen = top.unseen or tag in UNSEEN or "hidden" in attributes or bool(_HIDING.search(attributes.get("style", "")))
+        style = attributes.get("style", "")
+        shown, seen = _DISPLAY.findall(style), _VISIBILITY.findall(style)
+        unseen = top.unseen or tag in UNSEEN or "hidden" in attributes or bool(shown) and shown[-1].lower() == "none"
+        veiled = seen[-1].lower() in ("hidden", "collapse") if seen and seen[-1].lower() != "inherit" else top.veiled
         sink = self.sinks[-1]
         if tag in VOID:
             if unseen:
@@ -212,113 +267,106 @@ class Page:
                 sink.end_line(force=True)
             elif tag == "hr":
                 sink.margin(1)
-            elif tag == "img" and attributes.get("alt"):
+            elif tag == "img" and attributes.get("alt") and not veiled:
                 sink.text(attributes["alt"], top.indent)
             return
-        new = _Open(tag, unseen, top.pre or tag == "pre", top.indent)
+        new = _Open(tag, unseen, veiled, top.pre or tag in ("pre", "xmp", "textarea"), top.indent)
+        in_list = self._innermost(LISTS)
+        self.places.setdefault(tag, []).append(len(self.stack))
         self.stack.append(new)
         if unseen:
             return
         if tag in CELLS or tag == "caption":
-            new.sink, new.indent, new.pre = _Sink(), "", False
+            new.sink, new.indent, new.pre = _Sink(), 0, False
             self.sinks.append(new.sink)
-            span = attributes.get("colspan", "1")
-            new.span = max(1, min(1000, int(span))) if span.isdigit() else 1
+            new.span = (_number(attributes.get("colspan", ""), MOST_SPAN), _number(attributes.get("rowspan", ""), MOST_SPAN))
         elif tag in BLOCK and tag != "tr":
-            inside = any(e.tag in LISTS for e in self.stack[:-1]) and tag in LISTS
-            sink.margin(0 if inside else int(tag in SPACED))
+            sink.margin(0 if in_list >= 0 and tag in LISTS else int(tag in SPACED))
         if tag == "table":
             new.rows = []
+            self.tables.append(new)
         elif tag == "tr":
-            table = self._table()
-            if table is not None:
-                table.rows.append([])
+            if self.tables:
+                self.tables[-1].rows.append([])
         elif tag in LISTS:
             start = attributes.get("start", "1")
-            new.number = int(start) if tag == "ol" and start.isdigit() else int(tag == "ol")
+            new.number = int(start) if tag == "ol" and start.isdecimal() and len(start) < 9 else int(tag == "ol")
         elif tag == "li":
-            owner = next((e for e in reversed(self.stack[:-1]) if e.tag in LISTS), None)
+            owner = self.stack[in_list] if in_list >= 0 else None
             mark = f"{owner.number}. " if owner and owner.tag == "ol" else "- "
             if owner and owner.tag == "ol":
                 owner.number += 1
-            sink.mark(top.indent + mark)
-            new.indent = top.indent + " " * len(mark)
+            if not veiled:
+                sink.mark(mark, top.indent)
+            new.indent = top.indent + len(mark)
         elif tag in ("dd", "blockquote"):
-            new.indent = top.indent + "  "
-
-    def _table(self) -> _Open | None:
-        return next((e for e in reversed(self.stack) if e.rows is not None), None)
+            new.indent = top.indent + 2
 
     def _imply(self, names, boundary) -> None:
-        """Closes what the next tag ends: from the innermost open element of these names on, if no boundary is in between."""
-        while True:
-            for i in range(len(self.stack) - 1, 0, -1):
-                if self.stack[i].tag in names:
-                    while len(self.stack) > i:
-                        self._close()
-                    break
-                if self.stack[i].tag in boundary:
-                    return
-            else:
-                return
+        """Closes what the next tag ends: from the outermost open element of these names on that no boundary is in between."""
+        least = self._innermost(boundary)
+        while (at := self._innermost(names)) > max(least, 0):
+            while len(self.stack) > at:
+                self._close()
 
     def _end(self, tag: str) -> None:
-        if tag == "p" and not any(e.tag == "p" for e in self.stack):
+        if tag == "p" and not self.places.get("p"):
             if not self.stack[-1].unseen:
                 self.sinks[-1].margin(1)
             return
         if tag == "br":
             return self._start("br", "")
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i].tag == tag:
-                while len(self.stack) > i:
-                    self._close()
-                return
-            if self.stack[i].tag in SCOPE and tag not in ("table", "tr", "thead", "tbody", "tfoot", "td", "th"):
-                return
+        at = self._innermost((tag,))
+        if at < 1 or tag not in ("table", "tr", "thead", "tbody", "tfoot", "td", "th") and self._innermost(SCOPE) > at:
+            return
+        while len(self.stack) > at:
+            self._close()
 
     def _close(self) -> None:
         e = self.stack.pop()
+        self.places[e.tag].pop()
         if e.unseen:
             return
         if e.sink is not None:
-            self.sinks.remove(e.sink)
-            text = " ".join(line.strip() for line in e.sink.done().split("\n") if line.strip())
+            self.sinks.pop()
+            lines = [line for line in e.sink.done().split("\n") if line.strip()]
             if e.tag == "caption":
                 self.sinks[-1].margin(0)
-                self.sinks[-1].text(text, e.indent)
+                self.sinks[-1].exact("\n".join(lines), e.indent)
                 self.sinks[-1].margin(0)
-                return
-            table = self._table()
-            if table is not None and table.rows:
-                table.rows[-1].append((text, e.span))
+            elif self.tables and self.tables[-1].rows:
+                self.tables[-1].rows[-1].append((lines, *e.span))
             else:
-                self.sinks[-1].text(text + " ", self.stack[-1].indent)
+                self.sinks[-1].text(" ".join(lines) + " ", self.stack[-1].indent)
         elif e.rows is not None:
+            self.tables.pop()
             sink = self.sinks[-1]
-            for line in _aligned(e.rows):
+            for line in _aligned(e.rows, self.widest):
                 sink.exact(line, e.indent)
                 sink.end_line()
             sink.margin(1)
         elif e.tag == "li":
             self.sinks[-1].end_line()
         elif e.tag in BLOCK and e.tag != "tr":
-            nested = e.tag in LISTS and any(x.tag in LISTS for x in self.stack)
+            nested = e.tag in LISTS and self._innermost(LISTS) >= 0
             self.sinks[-1].margin(0 if nested else int(e.tag in SPACED))
 
 
-def render(html: str | None) -> str | None:
+def render(html: str | None, widest: int = WIDEST) -> str | None:
     """The visible text of a page."""
-    return None if html is None else Page().render(html)
+    return None if html is None else Page(widest).render(html)
+
 
+def _render(widest: int):
+    def run(batches):
+        for batch in batches:
+            text = [render(h, widest) for h in batch.column("html").to_pylist()]
+            yield pa.record_batch([*batch.columns, pa.array(text, pa.string())], names=[*batch.schema.names, "_text"])
 
-def _render(batches):
-    for batch in batches:
-        text = [render(h) for h in batch.column("html").to_pylist()]
-        yield pa.record_batch([*batch.columns, pa.array(text, pa.string())], names=[*batch.schema.names, "_text"])
+    return run
 
 
-def extract_text(pages: DataFrame) -> DataFrame:
+def extract_text(pages: DataFrame, widest: int = WIDEST) -> DataFrame:
     """``pages`` with ``_text``, what ``html`` shows."""
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in pages.schema.fields)
-    return pages.mapInArrow(_render, f"{fields}_text string")
+    pages = pages.drop("_text")
+    return pages.mapInArrow(_render(widest), StructType([*pages.schema.fields]).add("_text", "string"))
