@@ -10,14 +10,14 @@ difference of two frames' histograms is far above those just before.
 
 Defined results: a null text is an empty one and an empty payload is one block of
 zeros; equal payloads give equal files and features (all sums are of whole numbers);
-null media give null results; an empty table stays empty; other columns are carried.
+null media give null results; an empty table stays empty; other columns are carried, but for those with the name of a
+result, which it replaces. An AVI file's sizes have 32 bits: a text of more than about 3 GB is an error.
 """
 
 from __future__ import annotations
 
 import hashlib
 import struct
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -344,11 +344,12 @@ def _encode_texts(batches):
 
 def store_texts(docs: DataFrame) -> DataFrame:
     """``docs`` with ``n_bytes`` and ``media`` (an AVI file) in place of ``text``."""
-    rest = docs.drop("text")
+    rest = docs.drop("text", "n_bytes", "media")
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rest.schema.fields)
     return docs.select(*rest.columns, "text").mapInArrow(_encode_texts, f"{fields}n_bytes long, media binary")
 
 
+RESULTS = ("payload", "feature", "clips", "media_bytes", "media_sha256")
 CLIP = "struct<clip:int,start_s:double,end_s:double,frames:int>"
 
 
@@ -384,7 +385,7 @@ def _read_media(batches):
 
 def read_media(files: DataFrame) -> DataFrame:
     """``files`` with its ``media`` replaced by payload, feature, clips (array), media_bytes and media_sha256."""
-    rest = files.drop("media")
+    rest = files.drop("media", *RESULTS)
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rest.schema.fields)
     schema = f"{fields}payload binary, feature string, clips array<{CLIP}>, media_bytes long, media_sha256 string"
     return files.select(*rest.columns, "media").mapInArrow(_read_media, schema)
@@ -393,9 +394,5 @@ def read_media(files: DataFrame) -> DataFrame:
 def clips(files: DataFrame) -> DataFrame:
     """One row a clip: the other columns of ``files`` with clip, start_s, end_s, frames."""
     read = read_media(files)
-    rest = files.drop("media").columns
+    rest = files.drop("media", "clip", "start_s", "end_s", "frames", *RESULTS).columns
     return read.select(*rest, F.inline("clips"))
-
-
-def digest(payload: bytes) -> tuple[str, int]:
-    return hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-BLOCK:])
