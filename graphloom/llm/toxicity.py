@@ -2,9 +2,10 @@
 
 A character trigram model is counted over all texts. A token that may hide a word
 (digits or signs for letters, signs between letters, letters said three times or more, or a word
-spelled with spaces) becomes a lattice of what each character may stand for, and the
-Viterbi path under channel and model is the restored word. Scores come from
-restored text alone: a list of terms (words and word beginnings) whose presence
+spelled with white space, its letters disguised or not) becomes a lattice of what each character may stand for, and the
+Viterbi path under channel and model is the restored word. A word with a letter said twice is taken as it is and with it
+said once. Scores come from the restored words and the runs of letters that a disguised token shows openly:
+a list of terms (words and word beginnings) whose presence
 means a toxic document, learned by greedy covering from labelled rows.
 
 Labels are learned only from rows whose crc32(doc_id) mod 5 is not 0, and from at most about ``FIT_ROWS``
@@ -13,7 +14,7 @@ of these, chosen by hash; near copies among them count once. Nothing but the tex
 Defined results: null and empty texts match no term and get the score of such documents;
 a null doc_id counts as held out; without toxic labels nothing is learned and every
 score is 0; a document labelled twice is toxic if one label says so; an empty table stays empty; other
-columns are carried.
+columns are carried, whatever their names, but for ``_score`` or ``_restored``, which the result replaces.
 """
 
 from __future__ import annotations
@@ -21,21 +22,20 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
-import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import stage
 from .words import shingle_sets
 
 FIT_ROWS = 40_000
-#: Terms are told apart by this many bits of their CRC.
-TERM_BITS = 22
 MIN_DOCS = 5
 LETTERS = 28  # 0: no letter, 1 to 26: a to z, 27: any other
 THRESHOLD = 0.5
@@ -58,8 +58,11 @@ SIGN, PUT_IN, REPEATED = math.log(0.05), math.log(0.1), math.log(0.2)
 
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 _EDGES = ".,;:?!\"'()[]{}<>«»“”„…-*_"
-_SPELLED = re.compile(r"(?:(?<=\s)|^)(?:\S[ ]){2,}\S(?=\s|$)")
+#: Single characters with up to three blanks or line ends between.
+_SPELLED = re.compile(r"(?:(?<=\s)|^)(?:\S\s{1,3}){2,}\S(?=\s|$)")
+_BLANK = re.compile(r"\s+")
 _LONG_RUN = re.compile(r"(.)\1\1")
+_DOUBLED = re.compile(r"(.)\1")
 _PART = re.compile(r"[^\W\d_]{2,}")
 
 
@@ -154,21 +157,26 @@ class Restorer:
 
     def _words(self, token: str) -> tuple[str, ...]:
         core = token.strip(_EDGES)
-        if core.isalpha() and not _LONG_RUN.search(core):
-            return (core,)
+        if core.isalpha():
+            if _LONG_RUN.search(core):
+                return decode(core, self.model)[0], core
+            once = _DOUBLED.sub(r"\1", core)
+            return (core,) if once == core else (core, once)
         parts = tuple(_PART.findall(core))
-        hidden = sum(c.isalpha() for c in core) >= 2 or sum(c in STANDS_FOR for c in core) > 3
-        if not hidden or core.isdigit():
+        letters, signs = sum(c.isalpha() for c in core), sum(c in STANDS_FOR for c in core)
+        if core.isdigit() or not (letters >= 2 or letters and signs or signs >= 3):
             return parts
         return (decode(core, self.model)[0], *parts)
 
     def spelled(self, run: str) -> str | None:
-        """The word behind letters with spaces between, if it is likelier than the letters."""
-        letters = run.replace(" ", "")
-        if sum(c.isalpha() for c in letters) * 2 < len(letters):
+        """The word behind characters with blanks between, if it is likelier than the characters alone."""
+        letters = _BLANK.sub("", run)
+        plain = sum(c.isalpha() for c in letters)
+        if not plain or plain * 2 < len(letters) and not all(c.isalpha() or c in STANDS_FOR for c in letters):
             return None
         word, score = decode(letters, self.model)
-        apart = sum(float(self.model[0, 0, _letter(c)] + self.model[0, _letter(c), 0]) for c in letters if c.isalpha())
+        lone = lambda c: float(self.model[0, 0, _letter(c)] + self.model[0, _letter(c), 0])
+        apart = sum(lone(c) if c.isalpha() else max(map(lone, STANDS_FOR.get(c, "")), default=0.0) for c in letters)
         return word if score > apart else None
 
     def terms(self, text: str | None) -> set[str]:
@@ -202,7 +210,8 @@ def features(word: str) -> Iterable[str]:
 
 
 def _bucket(feature: str) -> int:
-    return zlib.crc32(feature.encode()) & ((1 << TERM_BITS) - 1)
+    """A term's name: 63 bits of its hash."""
+    return xxhash.xxh3_64_intdigest(feature) >> 1
 
 
 def _buckets(restorer: Restorer, known: dict[str, tuple[int, ...]], text: str | None) -> np.ndarray:
@@ -225,14 +234,16 @@ def _sketches(batches):
 
 
 def _count_terms(model: np.ndarray, only: np.ndarray | None):
+    """How many texts hold each term (of ``only``, if given), added up for some texts at a time."""
+
     def run(batches):
         restorer, known = Restorer(model), {}
-        total = np.zeros(1 << TERM_BITS, np.int32)
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                total[_buckets(restorer, known, text)] += 1
-        seen = np.flatnonzero(total) if only is None else only[total[only] > 0]
-        yield pa.record_batch([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["bucket", "n"])
+            texts = batch.column("text").to_pylist()
+            for i in range(0, len(texts), 1000):
+                found = np.concatenate([_buckets(restorer, known, t) for t in texts[i : i + 1000]])
+                terms, n = np.unique(found if only is None else found[np.isin(found, only)], return_counts=True)
+                yield pa.record_batch([pa.array(terms, pa.int64()), pa.array(n, pa.int64())], names=["bucket", "n"])
 
     return run
 
@@ -350,12 +361,13 @@ def _score(model: Model):
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``_score``: 0 to 1, higher where toxicity is likelier."""
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema.fields)
-    return docs.mapInArrow(_score(model), f"{fields}_score double")
+    docs = docs.drop("_score")
+    return docs.mapInArrow(_score(model), StructType([*docs.schema.fields]).add("_score", "double"))
 
 
 def restore(docs: DataFrame, model: np.ndarray) -> DataFrame:
     """``docs`` with ``_restored``, the text as the channel decodes it."""
+    docs = docs.drop("_restored")
 
     def run(batches):
         restorer = Restorer(model)
@@ -363,5 +375,4 @@ def restore(docs: DataFrame, model: np.ndarray) -> DataFrame:
             texts = [restorer.restored(t) for t in batch.column("text").to_pylist()]
             yield pa.record_batch([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "_restored"])
 
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema.fields)
-    return docs.mapInArrow(run, f"{fields}_restored string")
+    return docs.mapInArrow(run, StructType([*docs.schema.fields]).add("_restored", "string"))
