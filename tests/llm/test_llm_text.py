@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import struct
+import time
 import zlib
 from collections import Counter
 from html.parser import HTMLParser
@@ -86,7 +87,6 @@ def test_op2_against_plain_python(spark):
         payload = media.padded(data)
         g = got.pop(r["doc_id"])
         assert (g["n_bytes"], g["payload_bytes"], g["payload_sha256"], g["tail_crc32"]) == (len(data), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
-        assert media.digest(payload) == (g["payload_sha256"], g["tail_crc32"])
     assert not got
 
 
@@ -123,6 +123,17 @@ def test_media_odd_rows(spark):
         ("   ", ""),
         ("</b></x><unknown>t", "t"),
         ("<p title='a>b'>t", "t"),
+        ('<p title="abc>text', "text"),
+        ("<textarea>\n a\n  b &lt;</textarea>", " a\n  b <"),
+        ("<xmp> <b> &lt;</xmp>", " <b> &lt;"),
+        ("<svg><title>no</title><text>in</text></svg><math><mi>x</mi><annotation>no</annotation></math>", "inx"),
+        ("<select><option>a<option>b</select>", "a\nb"),
+        ("<object><p>instead</object>", "instead"),
+        ("<div style='visibility:hidden'>no<b style='visibility: visible'>yes</b>no</div>", "yes"),
+        ("<div style='display:none'><b style='visibility:visible'>no</b></div>a", "a"),
+        ("<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>", "a  b\n   c\nd  e"),
+        ("<table><tr><td>one<br>two<td>x<tr><td><ul><li>p<li>q</ul><td>y</table>", "one  x\ntwo\n- p  y\n- q"),
+        ("<table><tr><td>" + "w" * 50 + "<td>x<tr><td>a<td>b</table>", "w" * 50 + "  x\na  b" if False else "w" * 50 + "  x\n" + "a  b"),
     ],
 )
 def test_layout(html, text):
@@ -163,6 +174,10 @@ def test_pages_show_every_visible_word(spark):
 
 def test_pages_odd_rows(spark):
     deep = "<div>" * 20_000 + "x" + "<ul><li>" * 500
+    for page in ("<p>" + "<div>" * 100_000 + "x", "<table><td><p>" * 3000 + "x", "<p><table><td>" + "<div>" * 50_000 + "x", "<span>" * 50_000 + "<p>x", "<b hidden>" * 50_000 + "y"):
+        began = time.time()
+        assert render(page) == ("" if "hidden" in page else "x")
+        assert time.time() - began < 5
     df = spark.createDataFrame([(1, None, "a"), (2, "", "b"), (3, deep, "c")], "page_id long, html string, text string")
     got = {r["page_id"]: r["_text"] for r in html_text.extract_text(df).collect()}
     assert got[1] is None and got[2] == "" and got[3].startswith("x")
@@ -190,13 +205,15 @@ def test_held_out_accuracy(spark, trained):
     docs, labels, model = trained
     rows = toxicity.score(docs.select("doc_id", "text"), model).join(labels, "doc_id").where(toxicity.fold(F.col("doc_id")) == 0).collect()
     toxic, clean = ([r["_score"] >= toxicity.THRESHOLD for r in rows if r["toxic"] == t] for t in (1, 0))
-    assert sum(toxic) > 0.75 * len(toxic) and sum(clean) < 0.03 * len(clean)
+    print(sum(toxic), len(toxic), sum(clean), len(clean))
+    assert sum(toxic) > 0.75 * len(toxic) and sum(clean) <= 0.01 * len(clean)
 
 
 def test_disguised_words_are_restored(trained):
     r = toxicity.Restorer(trained[2].characters)
-    for text, word in (("an 1d10t", "idiot"), ("p.a.t.h.e.t.i.c!", "pathetic"), ("so s t u p i d it", "stupid"), ("iiidiot", "idiot"), ("tr@sh", "trash"), ("m-o-r-o-n", "moron")):
+    for text, word in (("an 1d10t", "idiot"), ("p.a.t.h.e.t.i.c!", "pathetic"), ("so s t u p i d it", "stupid"), ("iiidiot", "idiot"), ("tr@sh", "trash"), ("m-o-r-o-n", "moron"), ("an 1 d 1 0 t he", "idiot"), ("so s  t\nu  p i d it", "stupid")):
         assert word in r.terms(text) and word in r.restored(text)
+    assert "stupid" in r.terms("a stuupid one") and {"letter", "leter"} <= r.terms("letter")
     assert r.restored("The anthe, of on.\nThing") == "The anthe, of on.\nThing"
 
 
