@@ -309,8 +309,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     labels = stage(links.toDF("cls", "part"))
     least = classes.select("cls", F.col("least.doc_id").alias("doc_id")).join(labels, "cls", "left").withColumn("part", F.coalesce("part", "cls"))
     least = stage(least)
-    parts = least.groupBy("part").agg(F.min("doc_id").alias("component_id"))
-    known = stage(least.join(parts, "part").select("cls", "component_id", "part"))
+    parts = stage(least.groupBy("part").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n")))
+    known = stage(spread_join(least.select("cls", "part"), parts, ["part"]).select("cls", "component_id", "part"))
     out = rows.drop("sig").join(known, "cls", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
     return out.select("doc_id", "th", "n_shingles", "component_id", kept.alias("kept"), "part")
