@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.lineage import cut
 from ..functions.text import tokenize
 
 K1, B, EPSILON = 1.5, 0.75, 0.25
@@ -15,9 +16,9 @@ def postings(chunks: DataFrame) -> DataFrame:
     return chunks.select("chunk_idx", F.explode(tokenize(F.col("content"))).alias("term")).groupBy("chunk_idx", "term").agg(F.count("*").alias("tf"))
 
 
-def lengths(chunks: DataFrame) -> DataFrame:
-    """(chunk_idx, length), empty chunks too."""
-    return chunks.select("chunk_idx", F.size(tokenize(F.col("content"))).cast("long").alias("length"))
+def lengths(posts: DataFrame) -> DataFrame:
+    """(chunk_idx, length) of chunks that have terms."""
+    return posts.groupBy("chunk_idx").agg(F.sum("tf").alias("length"))
 
 
 def idf(posts: DataFrame, n: int) -> DataFrame:
@@ -27,18 +28,44 @@ def idf(posts: DataFrame, n: int) -> DataFrame:
     return raw.select("term", "df", F.when(F.col("raw") < 0, EPSILON * mean).otherwise(F.col("raw")).alias("idf"))
 
 
+class Index:
+    """Postings, lengths and idf of chunks (chunk_idx, content), computed once; keep it to ask many times."""
+
+    def __init__(self, chunks: DataFrame):
+        self.posts = cut(postings(chunks))
+        self.n = chunks.count()
+        self.mean = (self.posts.agg(F.sum("tf")).first()[0] or 0) / max(1, self.n)
+        self.lengths, self.idf = lengths(self.posts), cut(idf(self.posts, self.n))
+
+    @classmethod
+    def load(cls, spark: SparkSession, root: str) -> Index:
+        """An index saved below ``root``."""
+        out = cls.__new__(cls)
+        read = lambda name: spark.read.parquet(f"{root}/bm25_{name}")
+        out.posts, out.idf = read("posts"), read("idf")
+        out.n, out.mean = read("size").first()
+        out.lengths = lengths(out.posts)
+        return out
+
+    def save(self, root: str) -> None:
+        size = self.posts.sparkSession.range(1).select(F.lit(self.n).cast("long").alias("n"), F.lit(self.mean).cast("double").alias("mean"))
+        for name, df in (("posts", self.posts), ("idf", self.idf), ("size", size)):
+            df.write.mode("overwrite").parquet(f"{root}/bm25_{name}")
+
+    def top_k(self, questions: DataFrame, k: int = 5) -> DataFrame:
+        """(query_id, rank, chunk_idx, score) of (query_id, query); scores above 0, ties to the smaller chunk.
+
+        Only terms that some question has are joined: the postings meet the distinct question terms
+        first, and scores are added up before ranking.
+        """
+        asked = questions.select("query_id", F.explode(tokenize(F.col("query"))).alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("times"))
+        terms = self.idf.join(asked.select("term").distinct(), "term", "left_semi").select("term", "idf")
+        held = self.posts.join(terms, "term").join(self.lengths, "chunk_idx")
+        part = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / self.mean))
+        scored = held.select("term", "chunk_idx", part.alias("part")).join(asked, "term").groupBy("query_id", "chunk_idx").agg(F.round(F.sum(F.col("part") * F.col("times")), 6).alias("score"))
+        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "chunk_idx")
+        return scored.where("score > 0").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "chunk_idx", "score")
+
+
 def top_k(chunks: DataFrame, questions: DataFrame, k: int = 5) -> DataFrame:
-    """(query_id, rank, chunk_idx, score) of (query_id, query); scores above 0, ties to the smaller chunk.
-
-    Only terms that some question has are joined: the postings meet the distinct question terms
-    first, and scores are added up before ranking.
-    """
-    posts, length = postings(chunks), lengths(chunks)
-    n, total = length.agg(F.count("*"), F.sum("length")).first()
-    mean = (total or 0) / max(1, n)
-    asked = questions.select("query_id", F.explode(tokenize(F.col("query"))).alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("times"))
-    held = posts.join(asked.select("term").distinct(), "term", "left_semi").join(idf(posts, n), "term").join(length, "chunk_idx")
-    part = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / mean))
-    scored = held.select("term", "chunk_idx", part.alias("part")).join(asked, "term").groupBy("query_id", "chunk_idx").agg(F.round(F.sum(F.col("part") * F.col("times")), 6).alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "chunk_idx")
-    return scored.where("score > 0").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "chunk_idx", "score")
+    return Index(chunks).top_k(questions, k)

@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Sequence
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -151,6 +152,14 @@ def _with(df: DataFrame, column: str, kind: str, arrow: pa.DataType, of: str, f:
     return df.mapInArrow(run, f"{fields}`{column}` array<{kind}>")
 
 
+def _counted(count: Counter):
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda s: count(s or ""))
+
+    run.__annotations__ = {"texts": pd.Series, "return": pd.Series}
+    return run
+
+
 def flat_chunks(df: DataFrame, text: str = "content", count: Counter = count_words, most: int = MAX) -> DataFrame:
     """df with ``pieces``: its text packed to at most ``most`` tokens."""
     return _with(df, "pieces", "string", pa.string(), text, lambda s: pack_text(s or "", count, most, most))
@@ -258,22 +267,19 @@ def build_chunks(
     chunks = legal.unionByName(flat).withColumn("base_id", T.range_id(F.col("doc_number"), start, F.col("end_marker")))
     order = ["path", "passage_no", "chunk_index"]
     chunks = unique_ids(chunks, "base_id", *order).drop("base_id")
-    chunks = cut(chunks)  # numbering reads them for its counts, too
-    return number(chunks.withColumn("tokens", T.n_tokens(F.col("content"))), "path", "passage_no", "chunk_index")
+    tokens = T.n_tokens(F.col("content")) if count is count_words else F.pandas_udf(_counted(count), "int")("content")
+    return number(chunks.withColumn("tokens", tokens), "path", "passage_no", "chunk_index")
 
 
 def number(chunks: DataFrame, *order: str) -> DataFrame:
-    """chunks with ``chunk_idx``, 0-based over all in the order given.
+    """chunks with ``chunk_idx``, 0-based over all in the order given, which must be total.
 
-    The first order column, a path, deals the rows. Counts are added up for each path, then for
-    each beginning of 24 characters, and only these beginnings meet in one ordering window.
+    Rows are dealt by ranges of the order and numbered within each; a row for each range, with its count, is all that
+    meets in one window, and what is broadcast.
     """
-    key = order[0]
-    counts = chunks.groupBy(key).agg(F.count("*").alias("_n")).withColumn("_part", F.substring(F.coalesce(F.col(key), F.lit("")), 1, 24))
-    parts = counts.groupBy("_part").agg(F.sum("_n").alias("_m"))
-    before = F.coalesce(F.sum("_m").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    inside = F.coalesce(F.sum("_n").over(Window.partitionBy("_part").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = counts.withColumn("_in", inside).join(parts.withColumn("_before", before), "_part").select(F.col(key).alias("_k"), (F.col("_before") + F.col("_in")).alias("_offset"))
-    numbered = chunks.join(offsets, F.col(key).eqNullSafe(F.col("_k")))
-    place = F.row_number().over(Window.partitionBy(key).orderBy(*order)) - 1
-    return numbered.withColumn("chunk_idx", (F.col("_offset") + place).cast("long")).drop("_k", "_offset")
+    dealt = chunks.repartitionByRange(*[F.col(c).asc_nulls_first() for c in order]).sortWithinPartitions(*order)
+    dealt = cut(dealt.withColumn("_range", F.spark_partition_id()).withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
+    counts = dealt.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.select("_range", before.alias("_offset"))
+    return dealt.join(F.broadcast(offsets), "_range").withColumn("chunk_idx", F.col("_offset") + F.col("_place")).drop("_range", "_place", "_offset")

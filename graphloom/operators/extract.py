@@ -64,6 +64,16 @@ def with_retry(call: Callable[[], str], attempts: int = 5, wait: float = 1.0, mo
     return ""
 
 
+def known_entities(answer: str | None) -> list[dict]:
+    """The objects of an answer's first-to-last bracket span, as ``json_objects`` takes them; nothing if that is no array."""
+    first, last = (answer or "").find("["), (answer or "").rfind("]")
+    try:
+        found = json.loads(answer[first : last + 1]) if 0 <= first < last else []
+    except (ValueError, RecursionError):
+        return []
+    return [e for e in found if isinstance(e, dict)] if isinstance(found, list) else []
+
+
 def call_extractor(chunks: DataFrame, make: Callable[[], Extractor], workers: int | None = None, limit: int = 6000, attempts: int = 5, wait: float = 1.0) -> DataFrame:
     """(chunk_idx, entities_json, relations_json) of (chunk_idx, content). ``make`` runs once a task; relations are asked for only where entities are found."""
     def run(batches: Iterator[pa.RecordBatch]):
@@ -73,10 +83,7 @@ def call_extractor(chunks: DataFrame, make: Callable[[], Extractor], workers: in
             for text in b.column("content").to_pylist():
                 cut = (text or "")[:limit]
                 found.append(with_retry(lambda cut=cut: extractor.entities(cut), attempts, wait))
-                try:
-                    known = [e for e in json.loads(found[-1] or "[]") if isinstance(e, dict)]
-                except ValueError:
-                    known = []
+                known = known_entities(found[-1])
                 related.append(with_retry(lambda cut=cut, known=known: extractor.relations(cut, known), attempts, wait) if known else "[]")
             yield pa.record_batch([b.column("chunk_idx"), pa.array(found, pa.string()), pa.array(related, pa.string())], names=["chunk_idx", "entities_json", "relations_json"])
 
@@ -100,11 +107,11 @@ def parse_relations(answers: DataFrame, column: str = "relations_json") -> DataF
     )
 
 
-def rule_entities(chunks: DataFrame) -> DataFrame:
+def rule_entities(chunks: DataFrame, types: Sequence[str] = ENTITY_TYPES) -> DataFrame:
     """The offline extractor: capitalised words of seven ASCII letters or more, typed by length and place."""
     words = F.regexp_extract_all("content", F.lit("[A-Z][a-z]{6,}"), 0)
     rows = chunks.select("chunk_idx", F.posexplode(words).alias("pos", "word"))
-    kind = F.element_at(F.array(*map(F.lit, ENTITY_TYPES)), ((F.length("word") + F.col("pos")) % len(ENTITY_TYPES) + 1).cast("int"))
+    kind = F.element_at(F.array(*map(F.lit, types)), ((F.length("word") + F.col("pos")) % len(types) + 1).cast("int"))
     return rows.select("chunk_idx", "pos", F.upper("word").alias("name"), kind.alias("type"), F.concat(F.lit("word "), F.col("pos") % 5).alias("description"))
 
 

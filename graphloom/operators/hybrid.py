@@ -14,6 +14,7 @@ from .structure import joined
 
 DENSE, LEXICAL, ENTITY = 4, 4, 3
 CHUNKS, ENTITIES_SHOWN = 6, 15
+# fixed value: the answer where nothing is found
 FALLBACK = "Không tìm thấy thông tin liên quan"
 
 
@@ -38,9 +39,10 @@ def context_entities(fused: DataFrame, bridge: DataFrame) -> DataFrame:
 
 
 def context_relations(entities: DataFrame, edges: DataFrame) -> DataFrame:
-    """(query_id, source, target, relation, description): edges at these entities, one for each pair of ends."""
-    at = graph.incident(edges).select("at", "source", "target", "relation", "description")
-    return entities.join(at, F.col("name") == F.col("at")).select("query_id", "source", "target", "relation", "description").dropDuplicates(["query_id", "source", "target"])
+    """(query_id, source, target, relation, description): edges at these entities, one for each pair of ends, of several the first by label and description."""
+    at = graph.incident(edges).select("at", "source", "target", F.struct("relation", "description").alias("r"))
+    found = entities.join(at, F.col("name") == F.col("at")).groupBy("query_id", "source", "target").agg(F.min("r").alias("r"))
+    return found.select("query_id", "source", "target", "r.relation", "r.description")
 
 
 def contexts(questions: DataFrame, fused: DataFrame, chunks: DataFrame, entities: DataFrame, relations: DataFrame) -> DataFrame:

@@ -14,13 +14,16 @@ def _seen() -> Column:
     return F.struct("chunk_idx", "pos")
 
 
-def first_distinct(value: str, n: int, sep: str = " | ") -> Column:
-    """The first n distinct values of a group that are not empty, in order of appearance.
+def first_distinct(raw: DataFrame, key: list[str], value: str, n: int, sep: str = " | ") -> DataFrame:
+    """(key, value): the first n distinct values of each key that are not empty, in order of appearance.
 
-    Each value is first reduced to its earliest place by ``earliest``; here only those are gathered.
+    Each value is first reduced to its earliest place; no more than n of a key are gathered.
     """
-    pairs = F.array_sort(F.collect_list(F.when(F.col(value) != "", F.struct(F.col("first").alias("f"), F.col(value).alias("v")))))
-    return F.array_join(F.slice(F.transform(pairs, lambda p: p["v"]), 1, n), sep)
+    firsts = raw.where(F.col(value) != "").groupBy(*key, value).agg(F.min(_seen()).alias("first"))
+    order = Window.partitionBy(*key).orderBy("first", value)
+    firsts = firsts.withColumn("place", F.row_number().over(order)).where(F.col("place") <= n)
+    pairs = F.array_sort(F.collect_list(F.struct("place", F.col(value).alias("v"))))
+    return firsts.groupBy(*key).agg(F.array_join(F.transform(pairs, lambda p: p["v"]), sep).alias(value))
 
 
 def filter_entities(raw: DataFrame) -> DataFrame:
@@ -50,17 +53,18 @@ def merge_entities(raw: DataFrame) -> DataFrame:
     """
     types = raw.groupBy("name", "type").agg(F.count("*").alias("n"), F.min(_seen()).alias("first"))
     best = types.groupBy("name").agg(F.max_by("type", F.struct("n", (-F.col("first.chunk_idx")).alias("a"), (-F.col("first.pos")).alias("b"))).alias("entity_type"), F.sum("n").alias("frequency"))
-    said = raw.groupBy("name", "description").agg(F.min(_seen()).alias("first")).groupBy("name").agg(first_distinct("description", 3).alias("description"))
+    said = first_distinct(raw, ["name"], "description", 3)
     chunks = raw.groupBy("name").agg(F.array_sort(F.collect_set("chunk_idx")).alias("source_chunks"))
-    return best.join(said, "name").join(chunks, "name").select("name", "entity_type", "description", "source_chunks", "frequency")
+    nodes = best.join(said, "name", "left").join(chunks, "name")
+    return nodes.select("name", "entity_type", F.coalesce("description", F.lit("")).alias("description"), "source_chunks", "frequency")
 
 
 def merge_relations(raw: DataFrame) -> DataFrame:
     """One row for each (source, target, relation): first two descriptions, mean weight, chunks, first place."""
     key = ["source", "target", "relation"]
-    said = raw.groupBy(*key, "description").agg(F.min(_seen()).alias("first")).groupBy(*key).agg(first_distinct("description", 2).alias("description"))
+    said = first_distinct(raw, key, "description", 2)
     rest = raw.groupBy(*key).agg(F.avg("weight").alias("weight"), F.array_sort(F.collect_set("chunk_idx")).alias("source_chunks"), F.min(_seen()).alias("first"))
-    return rest.join(said, key).select(*key, "description", "weight", "source_chunks", "first")
+    return rest.join(said, key, "left").select(*key, F.coalesce("description", F.lit("")).alias("description"), "weight", "source_chunks", "first")
 
 
 def collapse_edges(merged: DataFrame) -> DataFrame:

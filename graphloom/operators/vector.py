@@ -1,13 +1,13 @@
 """Embeddings and vector search.
 
-Search compares a stated set of queries with all vectors. Queries go out in blocks of
-``QUERY_BLOCK`` rows, whatever their number, and each task keeps only its best k of each query, so
-what is shuffled is k rows for each task and query.
+Search compares a stated set of queries with all vectors. Groups of queries meet blocks of vectors in tasks of bounded size, and
+each keeps only its best k of each query.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -18,34 +18,29 @@ from pyspark.sql import functions as F
 from ..functions.lineage import cut
 from ..functions.text import tokenize
 
-QUERY_BLOCK = 2048
+QUERY_GROUP, VECTOR_BLOCK = 4096, 8192
 DIM = 64
 
 
 def hashed_embedding(c: Column, dim: int = DIM) -> Column:
-    """The offline default: counts of words hashed to ``dim`` places, scaled to length 1 (all zeros without words)."""
-    place = lambda t: (F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("long") % dim).cast("int")
-    places = F.array_sort(F.transform(tokenize(c), place))
-    zeros = F.array_repeat(F.lit(0.0), dim)
-    # runs of equal places are counted in one fold; a place's count is written when the run ends
-    spread = F.aggregate(
-        places, F.struct(zeros.alias("v"), F.lit(-1).alias("at"), F.lit(0.0).alias("n")),
-        lambda a, p: F.when(a["at"] == p, F.struct(a["v"].alias("v"), p.alias("at"), (a["n"] + 1).alias("n"))).otherwise(
-            F.struct(F.when(a["at"] < 0, a["v"]).otherwise(_put(a["v"], a["at"], a["n"])).alias("v"), p.alias("at"), F.lit(1.0).alias("n"))
-        ),
-        lambda a: F.when(a["at"] < 0, a["v"]).otherwise(_put(a["v"], a["at"], a["n"])),
-    )
-    return _unit(spread)
+    """The offline default: counts of words hashed to ``dim`` places, scaled to length 1 (all zeros without words).
 
+    Words are hashed in the JVM; their places are counted a batch at a time.
+    """
+    place = lambda t: (F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("long") % dim).cast("int")
+    return _counted(dim)(F.transform(tokenize(c), place))
 
-def _put(v: Column, at: Column, n: Column) -> Column:
-    return F.transform(v, lambda x, i: F.when(i == at, n).otherwise(x))
 
+@cache
+def _counted(dim: int):
+    def count(places: pd.Series) -> pd.Series:
+        sizes = places.map(len).to_numpy(np.int64)
+        at = np.concatenate(places.to_list()).astype(np.int64) if len(places) and sizes.sum() else np.empty(0, np.int64)
+        n = np.bincount(np.repeat(np.arange(len(sizes)), sizes) * dim + at, minlength=len(sizes) * dim).reshape(-1, dim).astype(float)
+        return pd.Series(list(n / np.maximum(np.sqrt((n * n).sum(axis=1, keepdims=True)), 1e-300)))
 
-def _unit(v: Column) -> Column:
-    """v over its length; the length comes from a fold over one evaluation of v."""
-    squared = F.aggregate(v, F.struct(F.array().cast("array<double>").alias("v"), F.lit(0.0).alias("s")), lambda a, x: F.struct(F.array_append(a["v"], x).alias("v"), (a["s"] + x * x).alias("s")))
-    return F.transform(F.array(squared), lambda a: F.transform(a["v"], lambda x: F.when(a["s"] > 0, x / F.sqrt(a["s"])).otherwise(0.0)))[0]
+    count.__annotations__ = {"places": pd.Series, "return": pd.Series}
+    return F.pandas_udf(count, "array<double>")
 
 
 def embed(df: DataFrame, text: str, model: Callable[[list[str]], np.ndarray], batch: int = 16) -> DataFrame:
@@ -68,46 +63,23 @@ def _matrix(column) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def _best(ids: np.ndarray, queries: np.ndarray, k: int):
-    """Within a task: the k best vectors of each query, kept over all its batches."""
-    def run(batches):
-        score = np.empty((len(ids), 0))
-        index = np.empty((len(ids), 0), np.int64)
-        for b in batches:
-            if not b.num_rows:
-                continue
-            new = np.round(queries @ _matrix(b.column("embedding")).T, 9)
-            score = np.concatenate([score, new], axis=1)
-            index = np.concatenate([index, np.broadcast_to(b.column("idx").to_numpy(), new.shape)], axis=1)
-            order = np.lexsort((index, -score), axis=1)[:, :k]
-            score, index = np.take_along_axis(score, order, 1), np.take_along_axis(index, order, 1)
-        n = score.shape[1]
-        yield pa.record_batch([pa.array(np.repeat(ids, n)), pa.array(index.ravel()), pa.array(score.ravel())], names=["query_id", "idx", "score"])
-
-    return run
-
-
 def _ranked(found: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "idx")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "idx", "score")
 
 
 def exact(queries: DataFrame, vectors: DataFrame, k: int = 5) -> DataFrame:
-    """(query_id, rank, idx, score): inner products of (query_id, embedding) with all (idx, embedding); ties to the smaller idx."""
-    spark, out, block = vectors.sparkSession, None, []
-    base = vectors.where("embedding is not null and size(embedding) > 0").select(F.col("idx").cast("long"), "embedding")
+    """(query_id, rank, idx, score): inner products of (query_id, embedding) with all (idx, embedding); ties to the smaller idx.
 
-    def search(rows) -> DataFrame:
-        ids, q = np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.float64)
-        return base.mapInArrow(_best(ids, q, k), "query_id long, idx long, score double")
-
-    for row in queries.select(F.col("query_id").cast("long"), "embedding").where("embedding is not null").toLocalIterator():
-        block.append(row)
-        if len(block) == QUERY_BLOCK:
-            out, block = search(block) if out is None else out.unionByName(search(block)), []
-    if block:
-        out = search(block) if out is None else out.unionByName(search(block))
-    return _ranked(out if out is not None else spark.createDataFrame([], "query_id long, idx long, score double"), k)
+    Groups of queries meet blocks of vectors, both of bounded size, and each pair gives k rows a query.
+    """
+    base = cut(vectors.where("embedding is not null and size(embedding) > 0").select(F.col("idx").cast("long"), "embedding"))
+    q = cut(queries.where("embedding is not null").select(F.col("query_id").cast("long"), "embedding"))
+    groups, blocks = (max(1, -(-df.count() // size)) for df, size in ((q, QUERY_GROUP), (base, VECTOR_BLOCK)))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    q = q.withColumn("g", F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("int")).withColumn("b", every(blocks))
+    v = base.withColumn("b", F.pmod(F.xxhash64("idx"), F.lit(blocks)).cast("int")).withColumn("g", every(groups))
+    return _ranked(q.groupBy("g", "b").cogroup(v.groupBy("g", "b")).applyInPandas(_block_best(k), "query_id long, idx long, score double"), k)
 
 
 class Ivf:
@@ -188,15 +160,23 @@ class Ivf:
 
 
 def _block_best(k: int):
-    """Within a part of a cell: the k best vectors of each query, ties to the smaller idx."""
+    """Within a block: the k best vectors of each query, ties to the smaller idx."""
     def run(queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        if not len(queries) or not len(block):
-            return pd.DataFrame({"query_id": [], "idx": [], "score": []})
-        q, x = (np.stack(t["embedding"].to_numpy()).astype(np.float64) for t in (queries, block))
-        score = np.round(q @ x.T, 9)
-        index = np.broadcast_to(block["idx"].to_numpy(), score.shape)
-        order = np.lexsort((index, -score), axis=1)[:, :k]
-        return pd.DataFrame({"query_id": np.repeat(queries["query_id"].to_numpy(), order.shape[1]), "idx": np.take_along_axis(index, order, 1).ravel(), "score": np.take_along_axis(score, order, 1).ravel()})
+        found = {"query_id": [], "idx": [], "score": []}
+        if len(queries) and len(block):
+            block = block.sort_values("idx")  # so that of equal scores the first have the smaller idx
+            x, ids = np.stack(block["embedding"].to_numpy()).astype(np.float64), block["idx"].to_numpy()
+            for some in (queries.iloc[i : i + 512] for i in range(0, len(queries), 512)):
+                score = np.round(np.stack(some["embedding"].to_numpy()).astype(np.float64) @ x.T, 9)
+                kth = np.partition(score, -k, axis=1)[:, -k] if score.shape[1] > k else np.full(len(score), -np.inf)
+                row, col = np.nonzero(score >= kth[:, None])
+                order = np.lexsort((col, -score[row, col], row))
+                row, col = row[order], col[order]
+                place = np.arange(len(row)) - np.searchsorted(row, row)
+                row, col = row[place < k], col[place < k]
+                for name, values in (("query_id", some["query_id"].to_numpy()[row]), ("idx", ids[col]), ("score", score[row, col])):
+                    found[name].append(values)
+        return pd.DataFrame({c: np.concatenate(v) if v else v for c, v in found.items()})
 
     return run
 

@@ -11,15 +11,16 @@ from ..operators import bm25, hybrid, kg, vector
 from .base import TOKENS, chunks, query, questions, table
 from .kg_queries import EDGES_SQL, ENTITIES_SQL, edges, entities
 
-_INDEX = f"""tok AS (SELECT doc_id AS chunk_idx, {TOKENS('text')} AS t FROM documents),
-len AS (SELECT chunk_idx, len(t) AS length FROM tok),
-posts AS (SELECT chunk_idx, unnest(t) AS term FROM tok), tf AS (SELECT chunk_idx, term, count(*) AS tf FROM posts GROUP BY ALL),
-raw AS (SELECT term, count(*) AS df, ln((SELECT count(*) FROM len) - count(*) + 0.5) - ln(count(*) + 0.5) AS raw FROM tf GROUP BY term),
-idf AS (SELECT term, df, CASE WHEN raw < 0 THEN 0.25 * (SELECT avg(raw) FROM raw) ELSE raw END AS idf FROM raw)"""
+_INDEX = f"""tok AS MATERIALIZED (SELECT doc_id AS chunk_idx, {TOKENS('text')} AS t FROM documents),
+len AS MATERIALIZED (SELECT chunk_idx, len(t) AS length FROM tok), size AS MATERIALIZED (SELECT count(*) AS n, avg(length) AS mean FROM len),
+posts AS (SELECT chunk_idx, unnest(t) AS term FROM tok), tf AS MATERIALIZED (SELECT chunk_idx, term, count(*) AS tf FROM posts GROUP BY ALL),
+raw AS MATERIALIZED (SELECT term, df, ln(n - df + 0.5) - ln(df + 0.5) AS raw FROM (SELECT term, count(*) AS df FROM tf GROUP BY term) CROSS JOIN size),
+low AS MATERIALIZED (SELECT avg(raw) AS low FROM raw),
+idf AS MATERIALIZED (SELECT term, df, CASE WHEN raw < 0 THEN 0.25 * low ELSE raw END AS idf FROM raw CROSS JOIN low)"""
 _BM25 = f"""{_INDEX}, q AS (SELECT item_id AS query_id, unnest({TOKENS('text')}) AS term FROM benchmark), qt AS (SELECT query_id, term, count(*) AS times FROM q GROUP BY ALL),
 s AS (
-  SELECT query_id, chunk_idx, round(sum(times * idf * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * length / (SELECT avg(length) FROM len)))), 6) AS score
-  FROM qt JOIN tf USING (term) JOIN idf USING (term) JOIN len USING (chunk_idx) GROUP BY ALL
+  SELECT query_id, chunk_idx, round(sum(times * idf * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * length / mean))), 6) AS score
+  FROM qt JOIN tf USING (term) JOIN idf USING (term) JOIN len USING (chunk_idx) CROSS JOIN size GROUP BY ALL
 ), bm AS (
   SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_idx)::INTEGER AS rank, chunk_idx, score FROM s WHERE score > 0
 )"""
@@ -27,8 +28,7 @@ s AS (
 
 @query(f"WITH {_INDEX} SELECT term, df, round(idf, 6) AS idf FROM idf")
 def bm25_index(spark: SparkSession, d: str) -> DataFrame:
-    c = chunks(spark, d)
-    return bm25.idf(bm25.postings(c), c.count()).select("term", "df", F.round("idf", 6).alias("idf"))
+    return bm25.Index(chunks(spark, d)).idf.select("term", "df", F.round("idf", 6).alias("idf"))
 
 
 @query(f"WITH {_BM25} SELECT * FROM bm WHERE rank <= 5")
@@ -84,10 +84,10 @@ def _dense(spark: SparkSession, d: str, k: int = hybrid.DENSE) -> DataFrame:
     return vector.exact(q, v, k).withColumnRenamed("idx", "chunk_idx")
 
 
-def _entity_hits(spark: SparkSession, d: str, k: int = hybrid.ENTITY) -> DataFrame:
+def _entity_hits(spark: SparkSession, d: str, bridge: DataFrame, k: int = hybrid.ENTITY) -> DataFrame:
     """(query_id, rank, name, score): entities nearest to each question."""
-    names = kg.bridge(entities(spark, d)).select("name").distinct()
-    v = names.select(F.xxhash64("name").alias("idx"), vector.hashed_embedding(F.col("name")).alias("embedding"), "name")
+    names = bridge.select("name").distinct()
+    v = cut(names.select(F.xxhash64("name").alias("idx"), vector.hashed_embedding(F.col("name")).alias("embedding"), "name"))
     q = questions(spark, d).select("query_id", vector.hashed_embedding(query_text(F.col("query"))).alias("embedding"))
     # ties are wide (equal places), so the order by name is settled on all entities of the k best places; these
     # are numbered by their first names, so that the places kept among equal scores hold the k smallest names
@@ -113,12 +113,12 @@ eh AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score
 
 @query(f"WITH {ENTITIES_SQL}, {_QUERY_VECTORS}, {_ENTITY} SELECT query_id, rank, name, round(score, 6) AS score FROM eh WHERE rank <= 15")
 def knn_entities(spark: SparkSession, d: str) -> DataFrame:
-    return _entity_hits(spark, d, 15).withColumn("score", F.round("score", 6))
+    return _entity_hits(spark, d, cut(kg.bridge(entities(spark, d))), 15).withColumn("score", F.round("score", 6))
 
 
-def _fused(spark: SparkSession, d: str) -> DataFrame:
+def _fused(spark: SparkSession, d: str, bridge: DataFrame) -> DataFrame:
     lexical = bm25.top_k(chunks(spark, d), questions(spark, d), hybrid.LEXICAL)
-    return hybrid.fuse(_dense(spark, d), lexical, hybrid.entity_candidates(_entity_hits(spark, d), kg.bridge(entities(spark, d))))
+    return hybrid.fuse(_dense(spark, d), lexical, hybrid.entity_candidates(_entity_hits(spark, d, bridge), bridge))
 
 
 _FUSED = f"""{_DENSE}, {_BM25}, {_ENTITY}, cand AS (
@@ -134,7 +134,7 @@ _FUSED = f"""{_DENSE}, {_BM25}, {_ENTITY}, cand AS (
 
 @query(f"WITH {ENTITIES_SQL}, {_FUSED} SELECT * FROM fused")
 def hybrid_fusion(spark: SparkSession, d: str) -> DataFrame:
-    return _fused(spark, d)
+    return _fused(spark, d, cut(kg.bridge(entities(spark, d))))
 
 
 @query(
@@ -146,8 +146,9 @@ SELECT item_id AS query_id, (SELECT count(*) FROM fused f WHERE f.query_id = ite
 FROM benchmark"""
 )
 def hybrid_context(spark: SparkSession, d: str) -> DataFrame:
-    fused = _fused(spark, d)
-    names = hybrid.context_entities(fused, kg.bridge(entities(spark, d)))
+    bridge = cut(kg.bridge(entities(spark, d)))
+    fused = cut(_fused(spark, d, bridge))
+    names = cut(hybrid.context_entities(fused, bridge))
     out = hybrid.contexts(questions(spark, d), fused, chunks(spark, d), names, hybrid.context_relations(names, edges(spark, d)))
     shown = F.regexp_extract("context", r"(?s)^--- ENTITIES ---\n(.*?)\n\n--- RELATIONS ---", 1)
     return out.select("query_id", "num_chunks", "num_entities", "num_relationships", shown.alias("entities"))

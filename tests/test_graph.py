@@ -121,7 +121,8 @@ def test_search_strategies(spark, monkeypatch):
     x = rng.normal(size=(400, 12))
     v = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "idx long, embedding array<float>")
     q = v.where("idx < 20").withColumnRenamed("idx", "query_id")
-    monkeypatch.setattr(vector, "QUERY_BLOCK", 7)
+    monkeypatch.setattr(vector, "QUERY_GROUP", 7)
+    monkeypatch.setattr(vector, "VECTOR_BLOCK", 50)
     got = {(r["query_id"], r["rank"]): r["idx"] for r in vector.search(" Exact ", q, v, 5).collect()}
     s = x.astype(np.float32).astype(float) @ x[:20].astype(np.float32).astype(float).T
     assert all([got[i, r + 1] for r in range(5)] == np.argsort(-s[:, i])[:5].tolist() for i in range(20))
