@@ -3,19 +3,29 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df, computed once into the folder of ``spark.checkpoint.dir``.
-
-    Where that is unset, a temporary folder serves in local mode, where all are one process; anywhere else this is an error.
-    """
-    context = df.sparkSession.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        path = context.getConf().get("spark.checkpoint.dir")
-        if not path and context.master.split("[")[0] != "local":
+def shared_dir(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; where it is unset, a temporary one in local mode, where all are one process, and else an error."""
+    path = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.graphloom.local.dir", None)
+    if not path:
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        context.setCheckpointDir(path or tempfile.mkdtemp(prefix="graphloom-"))
-    return df.checkpoint()
+        path = tempfile.mkdtemp(prefix="graphloom-")
+        spark.conf.set("spark.graphloom.local.dir", path)
+    return path
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df, written once as Parquet to the shared folder and read from there: lost executors cost nothing twice, columns are pruned
+    and sizes are known. The files go when the driver's JVM ends."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(conf).deleteOnExit(target)
+    return spark.read.schema(df.schema).parquet(path)

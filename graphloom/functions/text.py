@@ -58,6 +58,10 @@ def slugify(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(s, "[^a-z0-9]+", "_"), "^_+|_+$", "")
 
 
+# fixed values: Unicode's white space but for the blank
+WHITE = "\t\n\x0b\x0c\r\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def range_id(number: Column, start: Column, end: Column) -> Column:
     """chunk_<doc>_<start>[_to_<end>], each part slugged; defaults unknown and root."""
     doc, first, last = (F.coalesce(F.nullif(slugify(x), F.lit("")), F.lit(d)) for x, d in ((number, "unknown"), (start, "root"), (end, "")))
@@ -66,8 +70,9 @@ def range_id(number: Column, start: Column, end: Column) -> Column:
 
 
 def tokenize(c: Column) -> Column:
-    """Lower-case words; ASCII punctuation separates."""
-    return F.filter(F.split(F.translate(F.lower(F.coalesce(c, F.lit(""))), PUNCTUATION, " " * len(PUNCTUATION)), r"(?U)\s+"), lambda x: x != "")
+    """Lower-case words; ASCII punctuation and Unicode white space separate."""
+    between = PUNCTUATION + WHITE
+    return F.filter(F.split(F.translate(F.lower(F.coalesce(c, F.lit(""))), between, " " * len(between)), " "), lambda x: x != "")
 
 
 def n_tokens(c: Column) -> Column:
