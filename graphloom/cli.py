@@ -14,6 +14,7 @@ from .plans.build import run_build
 def parse(argv: list[str] | None = None) -> BuildConfig:
     d = BuildConfig()
     p = argparse.ArgumentParser(prog="graphloom", description=__doc__)
+    # fixed values: the names and defaults of the options
     p.add_argument("--backend", "-b", choices=sorted(BACKENDS), default=d.vector_backend)
     p.add_argument("--dataset", "-d", default=d.dataset_dir)
     p.add_argument("--output", "-o", default=None)

@@ -10,6 +10,7 @@ from .operators.extract import ENTITY_TYPES
 @dataclass(frozen=True)
 class BuildConfig:
     dataset_dir: str = "./dataset"
+    #: Where a build with an extractor keeps how far it is; shared by driver and executors.
     work_dir: str = "./work"
     output_dir: str | None = None
     vector_backend: str = "exact"
@@ -29,3 +30,7 @@ class BuildConfig:
     @property
     def output(self) -> str:
         return str(self.output_dir or f"./artifact_{self.vector_backend}")
+
+    @property
+    def work(self) -> str:
+        return f"{self.work_dir.rstrip('/')}/{self.output.rstrip('/').rpartition('/')[2]}"

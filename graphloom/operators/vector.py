@@ -185,9 +185,14 @@ def _block_best(k: int):
 BACKENDS: dict[str, Callable[..., DataFrame]] = {"exact": exact, "ivf": lambda queries, vectors, k=5, **how: Ivf(vectors, **how).search(queries, k)}
 
 
-def search(backend: str, queries: DataFrame, vectors: DataFrame, k: int = 5, **how) -> DataFrame:
-    """Search by a registered strategy; names ignore case and blanks."""
-    name = backend.strip().lower()
-    if name not in BACKENDS:
-        raise ValueError(f"unknown backend {backend!r}; there are {', '.join(sorted(BACKENDS))}")
-    return BACKENDS[name](queries, vectors, k, **how)
+def backend(name: str) -> Callable[..., DataFrame]:
+    """A registered strategy; names ignore case and blanks."""
+    key = name.strip().lower()
+    if key not in BACKENDS:
+        raise ValueError(f"unknown backend {name!r}; there are {', '.join(sorted(BACKENDS))}")
+    return BACKENDS[key]
+
+
+def search(name: str, queries: DataFrame, vectors: DataFrame, k: int = 5, **how) -> DataFrame:
+    """Search by a registered strategy."""
+    return backend(name)(queries, vectors, k, **how)

@@ -5,47 +5,84 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import asdict
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import BuildConfig
-from ..operators import chunking, extract, kg, structure, vector
+from ..operators import bm25, chunking, extract, kg, structure, vector
 from ..sources import artifacts, corpus
+from ..streaming import resume
+
+
+def _answers(chunks: DataFrame, config: BuildConfig, make: Callable[[], extract.Extractor]) -> DataFrame:
+    """An extractor's answers, worked off in batches of ``batch_size`` chunks; a build that is run again goes on after the last batch done."""
+    work, spark = config.work, chunks.sparkSession
+    if not artifacts.exists(spark, work, "asked/_SUCCESS"):
+        chunks.select("chunk_idx", "content").write.mode("overwrite").option("maxRecordsPerFile", config.batch_size).parquet(f"{work}/asked")
+    limit = extract.TEXT_LIMIT.get(config.kg_backend, 6000)
+    ask = lambda batch: extract.call_extractor(batch, make, config.max_workers, limit)
+    resume.process_available(spark, f"{work}/asked", "chunk_idx long, content string", f"{config.output}/answers", f"{work}/asked_so_far", ask)
+    return resume.results(spark, f"{config.output}/answers")
 
 
 def graph_of(chunks: DataFrame, config: BuildConfig, make: Callable[[], extract.Extractor] | None = None) -> dict[str, DataFrame]:
-    """entities_raw and relations_raw of chunks: by rules, or by an extractor's calls."""
+    """entities_raw and relations_raw of chunks: by rules, or by an extractor's calls. Keywords are entities, too, and may be ends of relations."""
+    if config.kg_backend != "rules" and make is None:
+        raise ValueError(f"kg_backend {config.kg_backend!r} needs an extractor")
     if make is None:
-        entities = extract.rule_entities(chunks)
+        entities = extract.rule_entities(chunks, config.entity_types)
         relations = extract.rule_relations(entities)
     else:
-        answers = artifacts.save(extract.call_extractor(chunks, make, config.max_workers), config.output, "answers")
+        answers = _answers(chunks, config, make)
         entities, relations = extract.parse_entities(answers), extract.parse_relations(answers)
-    words = extract.keywords(chunks, config.keyword_top_k) if config.keyword_top_k else None
-    if words is not None:
-        entities = kg.add_keywords(entities, words)
+    if config.keyword_top_k:
+        entities = kg.add_keywords(entities, extract.keywords(chunks, config.keyword_top_k))
     return {"entities_raw": entities, "relations_raw": kg.filter_relations(relations, entities)}
 
 
-def run_build(spark: SparkSession, config: BuildConfig, make: Callable[[], extract.Extractor] | None = None) -> dict[str, DataFrame]:
-    """Writes every table of ``artifacts.TABLES`` below the output folder and gives them as read from there."""
+def run_build(
+    spark: SparkSession, config: BuildConfig, make: Callable[[], extract.Extractor] | None = None,
+    embedder: Callable[[list[str]], np.ndarray] | None = None, count: chunking.Counter = chunking.count_words,
+) -> dict[str, DataFrame]:
+    """Writes every table of ``artifacts.TABLES`` below the output folder and gives them as read from there.
+
+    ``make`` makes an extractor in each task (rules if not given), ``embedder`` is any model of a list of strings (hashed words
+    if not given), ``count`` counts tokens (words if not given). A build with an extractor that broke off goes on where it did when
+    it is run again with the same work and output folders: its chunks are kept, and so are the answers it has.
+    """
+    vector.backend(config.vector_backend)  # an unknown one is an error before any work
     out = config.output
-    docs = corpus.load_documents(spark, str(config.dataset_dir))
-    parts = structure.passages(docs, ["doc_id", "path", "doc_number"])
-    chunks = chunking.build_chunks(
-        parts, least=config.min_chunk_tokens, target=config.target_chunk_tokens, most=config.max_chunk_tokens, tail=config.tail_merge_threshold, min_chars=config.min_chunk_chars
-    )
-    tables = {"chunks": artifacts.save(chunks, out, "chunks")}
+    if make is not None and artifacts.exists(spark, config.work, "asked/_SUCCESS"):
+        tables = {"chunks": artifacts.load(spark, out, "chunks")}
+    else:
+        docs = corpus.load_documents(spark, str(config.dataset_dir))
+        if docs.isEmpty():
+            raise ValueError(f"no text of {corpus.MIN_CHARS} characters or more below {config.dataset_dir}")
+        parts = structure.passages(docs, ["doc_id", "path", "doc_number"])
+        chunks = chunking.build_chunks(
+            parts, count, config.min_chunk_tokens, config.target_chunk_tokens, config.max_chunk_tokens, config.tail_merge_threshold, config.min_chunk_chars
+        )
+        tables = {"chunks": artifacts.save(chunks, out, "chunks")}
     for name, df in graph_of(tables["chunks"], config, make).items():
         tables[name] = artifacts.save(df, out, name)
     nodes = artifacts.save(kg.merge_entities(tables["entities_raw"]), out, "nodes")
     edges = kg.known_edges(kg.collapse_edges(kg.merge_relations(tables["relations_raw"])), nodes)
     tables |= {"nodes": nodes, "edges": artifacts.save(edges, out, "edges"), "bridge": artifacts.save(kg.bridge(tables["entities_raw"]), out, "bridge")}
+    for name, df in (
+        ("chunk_entities", kg.chunk_entities(tables["chunks"], tables["entities_raw"])), ("entity_to_chunks", kg.entity_chunks(tables["entities_raw"])),
+        ("chunks_meta", tables["chunks"].drop("content")), ("graph_nodes", kg.graph_nodes(nodes)),
+    ):
+        tables[name] = artifacts.save(df, out, name)
+    bm25.Index(tables["chunks"]).save(out)
     named = chunking.number(nodes.select("name"), "name").select(F.col("chunk_idx").alias("idx"), F.col("name").alias("content"))
     texts = tables["chunks"].select(F.lit("chunks").alias("collection"), F.col("chunk_idx").alias("idx"), "content")
     texts = texts.unionByName(named.select(F.lit("entities").alias("collection"), "idx", "content"))
-    vectors = texts.select("collection", "idx", vector.hashed_embedding(F.col("content"), config.embed_dim).cast("array<float>").alias("embedding"))
-    tables["vectors"] = artifacts.save_vectors(vectors, out)
-    meta = artifacts.build_meta(spark, asdict(config), passages=parts, chunks=tables["chunks"], nodes=nodes, edges=tables["edges"])
+    if embedder is None:
+        texts = texts.withColumn("embedding", vector.hashed_embedding(F.col("content"), config.embed_dim).cast("array<float>"))
+    else:
+        texts = vector.embed(texts, "content", embedder, config.batch_embed)
+    tables["vectors"] = artifacts.save_vectors(texts.select("collection", "idx", "embedding"), out)
+    meta = artifacts.build_meta(spark, asdict(config), chunks=tables["chunks"], nodes=nodes, edges=tables["edges"])
     tables["meta"] = artifacts.save(meta, out, "meta")
     return tables

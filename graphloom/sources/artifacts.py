@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from ..operators.structure import joined
 
 #: What a build writes; the vector table is partitioned by collection.
-TABLES = ("chunks", "entities_raw", "relations_raw", "nodes", "edges", "bridge", "vectors", "meta")
+TABLES = (
+    "chunks", "entities_raw", "relations_raw", "nodes", "edges", "bridge", "chunk_entities", "entity_to_chunks", "chunks_meta", "graph_nodes", "vectors", "meta",
+)
 
 
 def save(df: DataFrame, root: str, name: str, mode: str = "overwrite", partition_by: tuple[str, ...] = ()) -> DataFrame:

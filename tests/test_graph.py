@@ -1,7 +1,9 @@
 """Extraction, merging, graph traversal, retrieval, the whole build, resuming."""
 
 import json
+import os
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,6 +64,43 @@ def test_extractor_calls(spark):
     assert (x["source"], x["target"], x["relation"], x["weight"]) == ("A", "B", "liên_quan", 1.0)
 
 
+@pytest.mark.parametrize("answer,n", [('```json\n[{"name": "a"}, 3]\n```', 1), ('Here: [{"name": "a"}, {"name": "b"}] done', 2), ("null", 0), ("5", 0), ('{"name": "a"}', 0), ("]x[", 0), ("", 0), (None, 0), ("[" * 5000 + "]", 0)])
+def test_entities_of_any_answer(answer, n):
+    assert len(extract.known_entities(answer)) == n
+
+
+def test_build_with_an_extractor_goes_on_where_it_broke_off(spark, tmp_path):
+    src, out, calls = tmp_path / "texts", str(tmp_path / "out"), tmp_path / "calls"
+    src.mkdir()
+    calls.mkdir()
+    for i in range(4):
+        (src / f"{i}_2001_TT_1.txt").write_text("BỘ X\n" + f"Điều 1. Something Important {i} " + "từ " * 90)
+    config = BuildConfig(dataset_dir=str(src), output_dir=out, work_dir=str(tmp_path / "work"), kg_backend="gpt", batch_size=1, max_workers=1, keyword_top_k=0)
+    with pytest.raises(ValueError):
+        run_build(spark, config)
+    broken = str(tmp_path / "broken")
+
+    class Model:
+        def entities(self, text):
+            (calls / f"{len(list(calls.iterdir()))}").write_text(text)
+            if "Important 2" in text and not os.path.exists(broken):
+                os._exit(1)  # the worker dies
+            return '```json\n[{"name": "one", "type": "T"}, {"name": "two", "type": "T"}]\n```'
+
+        def relations(self, text, entities):
+            return '[{"source": "one", "target": "two", "relation": "r"}]'
+
+    with pytest.raises(Exception, match=".*"):
+        run_build(spark, config, Model, count=len)
+    open(broken, "w").close()
+    t = run_build(spark, config, Model, embedder=lambda texts: np.ones((len(texts), 3)), count=len)
+    assert t["chunks"].count() == t["relations_raw"].count() == 4 and t["edges"].count() == 1
+    assert t["chunks"].agg(F.min("tokens")).first()[0] > 200  # characters
+    asked = [p.read_text() for p in calls.iterdir()]
+    assert len(asked) < 4 + 6 and t["vectors"].first()["embedding"] == pytest.approx([3**-0.5] * 3)
+    assert {r["entities"][0] for r in t["chunk_entities"].collect()} == {"ONE"} and t["graph_nodes"].count() == 2
+
+
 EDGES = [("a", "b"), ("b", "c"), ("d", "c"), ("x", "y")]
 
 
@@ -179,7 +218,11 @@ def test_build_from_files(spark, tmp_path):
         (src / f"{i}_2001_TT_1.txt").write_text("BỘ X\n" + "\n".join(f"Điều {j}. Something Important Happened near Building {j} " + "từ " * 60 for j in range(1, 8)))
     config = cli.parse(["--dataset", str(src), "--output", str(tmp_path / "out"), "--min-tokens", "100", "--target-tokens", "150", "--max-tokens", "200", "--tail-merge", "50"])
     assert isinstance(config, BuildConfig)
+    with pytest.raises(ValueError):
+        run_build(spark, BuildConfig(dataset_dir=str(src), vector_backend="none"))
     t = run_build(spark, config)
+    again = bm25.Index.load(spark, str(tmp_path / "out")).top_k(spark.createDataFrame([(1, "building 3")], "query_id long, query string"))
+    assert again.count() > 0
     n = t["chunks"].count()
     assert n >= 6 and t["vectors"].where("collection = 'chunks'").count() == n
     assert t["edges"].count() > 0 and kg.known_edges(t["edges"], t["nodes"]).count() == t["edges"].count()
