@@ -25,6 +25,8 @@ class BuildConfig:
     max_workers: int = 5
     batch_size: int = 200
     keyword_top_k: int = 5
+    #: The longest phrase that is a keyword.
+    keyword_words: int = 3
     entity_types: list[str] = field(default_factory=lambda: list(ENTITY_TYPES))
 
     @property

@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator, Sequence
 from typing import Protocol
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -28,7 +28,7 @@ RELATIONS = [
     "ban_hành_bởi", "căn_cứ", "sửa_đổi_bổ_sung", "quy_định_mức", "áp_dụng_cho", "điều_chỉnh", "thu_bởi",
     "nộp_vào", "có_hiệu_lực_từ", "thay_thế", "hướng_dẫn_thi_hành", "bao_gồm", "liên_quan",
 ]
-UNKNOWN, DEFAULT_RELATION = "UNKNOWN", "liên_quan"
+UNKNOWN, DEFAULT_RELATION, KEYWORD = "UNKNOWN", "liên_quan", "TERM_YAKE"
 TEXT_LIMIT = {"nim": 3500, "gpt": 6000}
 
 ENTITY = "struct<name:string,type:string,description:string>"
@@ -75,20 +75,27 @@ def known_entities(answer: str | None) -> list[dict]:
 
 
 def call_extractor(chunks: DataFrame, make: Callable[[], Extractor], workers: int | None = None, limit: int = 6000, attempts: int = 5, wait: float = 1.0) -> DataFrame:
-    """(chunk_idx, entities_json, relations_json) of (chunk_idx, content). ``make`` runs once a task; relations are asked for only where entities are found."""
+    """(chunk_idx, entities_json, relations_json) of (chunk_idx, content) and, if there, ``keywords``, an array of names.
+
+    ``make`` runs once a task; relations are asked for between the entities found and the keywords that are none of
+    them, and only where there are any.
+    """
     def run(batches: Iterator[pa.RecordBatch]):
         extractor = make()
         for b in batches:
             found, related = [], []
-            for text in b.column("content").to_pylist():
+            extra = b.column("keywords").to_pylist() if "keywords" in b.schema.names else [None] * b.num_rows
+            for text, names in zip(b.column("content").to_pylist(), extra):
                 cut = (text or "")[:limit]
                 found.append(with_retry(lambda cut=cut: extractor.entities(cut), attempts, wait))
                 known = known_entities(found[-1])
+                named = {str(e.get("name") or "").strip().upper() for e in known}
+                known += [{"name": n, "type": KEYWORD} for n in names or [] if n not in named]
                 related.append(with_retry(lambda cut=cut, known=known: extractor.relations(cut, known), attempts, wait) if known else "[]")
             yield pa.record_batch([b.column("chunk_idx"), pa.array(found, pa.string()), pa.array(related, pa.string())], names=["chunk_idx", "entities_json", "relations_json"])
 
     dealt = chunks.repartition(workers) if workers else chunks
-    return dealt.select(F.col("chunk_idx").cast("long"), "content").mapInArrow(run, "chunk_idx long, entities_json string, relations_json string")
+    return dealt.select(F.col("chunk_idx").cast("long"), "content", *[c for c in chunks.columns if c == "keywords"]).mapInArrow(run, "chunk_idx long, entities_json string, relations_json string")
 
 
 def parse_entities(answers: DataFrame, column: str = "entities_json") -> DataFrame:
@@ -117,8 +124,6 @@ def rule_entities(chunks: DataFrame, types: Sequence[str] = ENTITY_TYPES) -> Dat
 
 def rule_relations(entities: DataFrame) -> DataFrame:
     """Neighbouring entities of a chunk, related by place."""
-    from pyspark.sql import Window
-
     w = Window.partitionBy("chunk_idx").orderBy("pos")
     rows = entities.select("chunk_idx", "pos", F.col("name").alias("source"), F.lead("name").over(w).alias("target")).where("target is not null")
     label = F.element_at(F.array(*map(F.lit, RELATIONS)), (F.col("pos") % len(RELATIONS) + 1).cast("int"))
@@ -128,18 +133,49 @@ def rule_relations(entities: DataFrame) -> DataFrame:
     )
 
 
-def keywords(chunks: DataFrame, k: int = 5, least: int = 3) -> DataFrame:
+def keywords(chunks: DataFrame, k: int = 5, least: int = 3, words: int = 1, alike: float = 0.9) -> DataFrame:
     """Up to k keywords a chunk, without a model: words scored by frequency, spread over sentences and first place.
 
-    A simple form of the published feature-based keyword scores; lower is better.
+    A simple form of the published feature-based keyword scores; lower is better. Phrases of up to ``words`` neighbouring
+    words of ``least`` letters score the product of their words' scores over frequency and sum; of two
+    that are ``alike`` or more (1 - edit distance / longer length) the better one stays.
     (chunk_idx, pos, name, score)
     """
     sentences = F.split("content", r"[.!?\n]+", -1)
+    if words > 1:
+        return _phrases(chunks.select("chunk_idx", sentences.alias("sentences")), k, least, words, alike)
     rows = chunks.select("chunk_idx", F.posexplode(sentences).alias("s", "sentence"))
     rows = rows.select("chunk_idx", "s", F.explode(T.tokenize(F.col("sentence"))).alias("w")).where(F.length("w") >= least)
     f = rows.groupBy("chunk_idx", "w").agg(F.count("*").alias("tf"), F.count_distinct("s").alias("spread"), F.min("s").alias("first"))
-    score = F.log(F.log(3.0 + F.col("first")) + 1) / (F.col("tf") * (1 + F.col("spread")))
-    from pyspark.sql import Window
-
     place = F.row_number().over(Window.partitionBy("chunk_idx").orderBy("score", "w"))
-    return f.withColumn("score", F.round(score, 9)).withColumn("place", place).where(F.col("place") <= k).withColumn("pos", 1_000_000 + F.col("place")).select("chunk_idx", "pos", F.upper("w").alias("name"), "score")
+    f = f.withColumn("score", _word_score()).withColumn("place", place).where(F.col("place") <= k)
+    return f.withColumn("pos", 1_000_000 + F.col("place")).select("chunk_idx", "pos", F.upper("w").alias("name"), "score")
+
+
+def _word_score() -> Column:
+    return F.round(F.log(F.log(3.0 + F.col("first")) + 1) / (F.col("tf") * (1 + F.col("spread"))), 9)
+
+
+def _phrases(chunks: DataFrame, k: int, least: int, words: int, alike: float) -> DataFrame:
+    """Chunks are dealt once, as whole texts; all windows and groups lie within one."""
+    rows = chunks.repartition("chunk_idx").select("chunk_idx", F.posexplode("sentences").alias("s", "sentence"))
+    rows = rows.select("chunk_idx", "s", F.posexplode(T.tokenize(F.col("sentence"))).alias("i", "w")).where(F.length("w") >= least)
+    same, along = Window.partitionBy("chunk_idx", "w"), Window.partitionBy("chunk_idx", "s").orderBy("i")
+    rows = rows.withColumn("nth", F.dense_rank().over(same.orderBy("s"))).withColumns({"tf": F.count("*").over(same), "first": F.min("s").over(same), "spread": F.max("nth").over(same)})
+    x = rows.select("chunk_idx", "s", "i", F.struct("w", "i", _word_score().alias("score")).alias("x"))
+    x = x.withColumns({f"x{n}": F.lead("x", n).over(along) for n in range(1, words)})
+    grams, w, product, total = [], F.col("x.w"), F.col("x.score"), F.col("x.score")
+    grams.append(F.struct(w.alias("w"), product.alias("product"), total.alias("total"), F.lit(1).alias("n")))
+    for n in range(1, words):
+        end = F.col(f"x{n}")
+        w, product, total = F.concat_ws(" ", w, end["w"]), product * end["score"], total + end["score"]
+        grams.append(F.when(end["i"] == F.col("i") + n, F.struct(w.alias("w"), product.alias("product"), total.alias("total"), F.lit(n + 1).alias("n"))))
+    g = x.select("chunk_idx", F.explode(F.array_compact(F.array(*grams))).alias("g")).groupBy("chunk_idx", F.col("g.w").alias("w"))
+    g = g.agg(F.count("*").alias("tf"), F.min("g.product").alias("product"), F.min("g.total").alias("total"), F.min("g.n").alias("n"))
+    score = F.when(F.col("n") == 1, F.col("product")).otherwise(F.round(F.col("product") / (F.col("tf") * (1 + F.col("total"))), 9))
+    ranked = g.groupBy("chunk_idx").agg(F.sort_array(F.collect_list(F.struct(score.alias("score"), "w"))).alias("p"))
+    near = lambda a, b: 1 - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b)) >= alike
+    kind = "array<struct<score:double,w:string>>"
+    kept = F.aggregate("p", F.array().cast(kind), lambda a, p: F.when((F.size(a) >= k) | F.exists(a, lambda o: near(o["w"], p["w"])), a).otherwise(F.array_append(a, p)))
+    out = ranked.select("chunk_idx", F.posexplode(kept).alias("place", "p"))
+    return out.select("chunk_idx", (1_000_001 + F.col("place")).alias("pos"), F.upper("p.w").alias("name"), "p.score")

@@ -15,19 +15,26 @@ from ..sources import artifacts, corpus
 from ..streaming import resume
 
 
+def _keywords(chunks: DataFrame, config: BuildConfig) -> DataFrame:
+    """Phrases of the text that an extractor sees of each chunk."""
+    seen = chunks.select("chunk_idx", F.substring("content", 1, extract.TEXT_LIMIT[config.kg_backend]).alias("content")) if config.kg_backend in extract.TEXT_LIMIT else chunks
+    return extract.keywords(seen, config.keyword_top_k, words=config.keyword_words)
+
+
 def _answers(chunks: DataFrame, config: BuildConfig, make: Callable[[], extract.Extractor]) -> DataFrame:
     """An extractor's answers, worked off in batches of ``batch_size`` chunks; a build that is run again goes on after the last batch done."""
     work, spark = config.work, chunks.sparkSession
     if not artifacts.exists(spark, work, "asked/_SUCCESS"):
-        chunks.select("chunk_idx", "content").write.mode("overwrite").option("maxRecordsPerFile", config.batch_size).parquet(f"{work}/asked")
+        words = _keywords(chunks, config).groupBy("chunk_idx").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "name"))), lambda x: x["name"]).alias("keywords"))
+        chunks.select("chunk_idx", "content").join(words, "chunk_idx", "left").write.mode("overwrite").option("maxRecordsPerFile", config.batch_size).parquet(f"{work}/asked")
     limit = extract.TEXT_LIMIT.get(config.kg_backend, 6000)
     ask = lambda batch: extract.call_extractor(batch, make, config.max_workers, limit)
-    resume.process_available(spark, f"{work}/asked", "chunk_idx long, content string", f"{config.output}/answers", f"{work}/asked_so_far", ask)
+    resume.process_available(spark, f"{work}/asked", "chunk_idx long, content string, keywords array<string>", f"{config.output}/answers", f"{work}/asked_so_far", ask)
     return resume.results(spark, f"{config.output}/answers")
 
 
 def graph_of(chunks: DataFrame, config: BuildConfig, make: Callable[[], extract.Extractor] | None = None) -> dict[str, DataFrame]:
-    """entities_raw and relations_raw of chunks: by rules, or by an extractor's calls. Keywords are entities, too, and may be ends of relations."""
+    """entities_raw and relations_raw of chunks: by rules, or by an extractor's calls. Keywords are entities, too, and may be ends of relations, which an extractor is asked for with them."""
     if config.kg_backend != "rules" and make is None:
         raise ValueError(f"kg_backend {config.kg_backend!r} needs an extractor")
     if make is None:
@@ -37,7 +44,7 @@ def graph_of(chunks: DataFrame, config: BuildConfig, make: Callable[[], extract.
         answers = _answers(chunks, config, make)
         entities, relations = extract.parse_entities(answers), extract.parse_relations(answers)
     if config.keyword_top_k:
-        entities = kg.add_keywords(entities, extract.keywords(chunks, config.keyword_top_k))
+        entities = kg.add_keywords(entities, _keywords(chunks, config))
     return {"entities_raw": entities, "relations_raw": kg.filter_relations(relations, entities)}
 
 

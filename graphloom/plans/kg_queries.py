@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import extract, graph, kg
-from .base import chunks, query, table
+from .base import TOKENS, chunks, query, table
 
 _TYPES = "[" + ", ".join(f"'{t}'" for t in extract.ENTITY_TYPES) + "]"
 _RELATIONS = "[" + ", ".join(f"'{t}'" for t in extract.RELATIONS) + "]"
@@ -147,6 +147,48 @@ def keyword_anti(spark: SparkSession, d: str) -> DataFrame:
     return both.where("type = 'TERM_YAKE'").select("chunk_idx", "name")
 
 
+#: DuckDB measures edits in bytes, so the letters beyond ASCII stand as characters that no token has.
+_SPARE = " || ".join(f"chr({c})" for c in (*range(1, 32), *range(65, 91), *b"!\"#$%&'()*+,-./:;<=>?@[]^_`{|}~"))
+
+
+@query(
+    rf"""
+WITH RECURSIVE s AS (
+  SELECT doc_id AS chunk_idx, unnest(regexp_split_to_array(text, '[.!?\n]+')) AS s, generate_subscripts(regexp_split_to_array(text, '[.!?\n]+'), 1) - 1 AS no FROM documents
+), t AS (
+  SELECT chunk_idx, no, {TOKENS('s')} AS t FROM s
+), k AS (
+  SELECT chunk_idx, no, unnest(t) AS w, generate_subscripts(t, 1) AS i FROM t
+), f AS (
+  SELECT chunk_idx, w, round(ln(ln(3.0 + min(no)) + 1) / (count(*) * (1 + count(DISTINCT no))), 9) AS score FROM k WHERE length(w) >= 3 GROUP BY ALL
+), b AS (
+  SELECT chunk_idx, no, i, w, score FROM k JOIN f USING (chunk_idx, w)
+), g AS (
+  SELECT chunk_idx, w AS p, min(score) AS score FROM b GROUP BY ALL
+  UNION ALL
+  SELECT chunk_idx, x.w || ' ' || y.w, round(min(x.score * y.score) / (count(*) * (1 + min(x.score + y.score))), 9) FROM b x JOIN b y USING (chunk_idx, no) WHERE y.i = x.i + 1 GROUP BY ALL
+  UNION ALL
+  SELECT chunk_idx, x.w || ' ' || y.w || ' ' || z.w, round(min(x.score * y.score * z.score) / (count(*) * (1 + min(x.score + y.score + z.score))), 9)
+  FROM b x JOIN b y USING (chunk_idx, no) JOIN b z USING (chunk_idx, no) WHERE y.i = x.i + 1 AND z.i = x.i + 2 GROUP BY ALL
+), letters AS (
+  SELECT string_agg(c, '' ORDER BY c) AS c FROM (SELECT DISTINCT unnest(string_split(w, '')) AS c FROM k) WHERE ascii(c) > 127
+), r AS MATERIALIZED (
+  SELECT chunk_idx, p, score, translate(p, letters.c, {_SPARE}) AS q, row_number() OVER (PARTITION BY chunk_idx ORDER BY score, p) AS n FROM g, letters
+), a AS (
+  SELECT chunk_idx, 0::BIGINT AS n, []::STRUCT(p VARCHAR, q VARCHAR)[] AS kept FROM r WHERE n = 1
+  UNION ALL
+  SELECT chunk_idx, n, CASE WHEN len(list_filter(kept, lambda o: 1 - levenshtein(o.q, q) / greatest(length(o.q), length(q)) >= 0.9)) = 0 THEN list_append(kept, {{'p': p, 'q': q}}) ELSE kept END
+  FROM (SELECT chunk_idx, n + 1 AS n, kept FROM a WHERE len(kept) < 5) JOIN r USING (chunk_idx, n)
+)
+SELECT chunk_idx, i::INTEGER AS rank, upper(replace(kept[i].p, 'ß', 'ss')) AS name
+FROM (SELECT chunk_idx, arg_max(kept, n) AS kept FROM a GROUP BY ALL), unnest(range(1, len(kept) + 1)) AS u(i)
+"""
+)
+def key_phrases(spark: SparkSession, d: str) -> DataFrame:
+    """Keywords of up to three words, of which none is nearly another."""
+    return extract.keywords(chunks(spark, d), words=3).select("chunk_idx", (F.col("pos") - 1_000_000).cast("int").alias("rank"), "name")
+
+
 @query(f"WITH {ENTITIES_SQL} SELECT doc_id AS chunk_idx, coalesce(string_agg(DISTINCT name, ',' ORDER BY name), '') AS entities FROM documents LEFT JOIN entities ON chunk_idx = doc_id GROUP BY doc_id")
 def chunk_entities(spark: SparkSession, d: str) -> DataFrame:
     return kg.chunk_entities(chunks(spark, d), entities(spark, d)).select("chunk_idx", F.array_join("entities", ",").alias("entities"))

@@ -71,6 +71,11 @@ def markdown_reports(chunks: DataFrame, entities: DataFrame, relations: DataFram
     return c.join(e, "doc_id", "left").join(r, "doc_id", "left").select("doc_id", body.alias("markdown"))
 
 
+def save_reports(reports: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """The merged report: all reports in order of doc_id, a rule behind each, over as many files as there are ranges of ids; read one after the other by name."""
+    reports.repartitionByRange("doc_id").sortWithinPartitions("doc_id").select("markdown").write.mode(mode).option("lineSep", "\n\n---\n\n").text(path)
+
+
 def listing(chunks: DataFrame) -> DataFrame:
     """(doc_id, listing): a document's chunks in order with their sizes."""
     line = F.concat(F.lit("["), F.col("chunk_idx").cast("string"), F.lit("] "), F.col("tokens").cast("string"), F.lit(" tokens\n"), "content")

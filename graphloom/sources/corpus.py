@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import clean_text, doc_number, issuing_body, question
 
 MIN_CHARS = 50
-EVAL_SCHEMA = "type string, query string, expected_answer string, `case` string"
+EVAL_FIELDS = "type:string,query:string,expected_answer:string,`case`:string"
 
 
 def text_files(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
@@ -36,7 +36,8 @@ def load_documents(spark: SparkSession, root: str, dataset: str = "DATASET") ->
 
 
 def load_questions(spark: SparkSession, path: str) -> DataFrame:
-    """(query_id, type, query, expected_answer, case, question) of a JSON array file."""
-    rows = spark.read.schema(EVAL_SCHEMA).option("multiLine", True).json(path)
-    asked = rows.withColumn("question", question(F.col("query"), F.col("case")))
-    return asked.withColumn("query_id", F.xxhash64("query", "case")).select("query_id", "type", "query", "expected_answer", "case", "question")
+    """(query_id, type, query, expected_answer, case, question) of a JSON array file; query_id is the place in the file, from 1."""
+    file = spark.read.text(path, wholetext=True)
+    rows = file.select(F.posexplode(F.from_json("value", f"array<struct<{EVAL_FIELDS}>>")).alias("i", "r"))
+    asked = rows.select((F.col("i") + 1).cast("long").alias("query_id"), "r.*")
+    return asked.withColumn("question", question(F.col("query"), F.col("case")))

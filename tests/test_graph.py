@@ -62,6 +62,21 @@ def test_extractor_calls(spark):
     assert sorted((x["chunk_idx"], x["name"], x["type"]) for x in e.collect()) == [(0, "A", "T"), (0, "B", "T")]
     x = r.first()
     assert (x["source"], x["target"], x["relation"], x["weight"]) == ("A", "B", "liên_quan", 1.0)
+    with_keywords = spark.createDataFrame([(0, "a b", ["B", "C"]), (1, "fail", ["D", "E"]), (2, "", None)], "chunk_idx long, content string, keywords array<string>")
+    r = extract.parse_relations(extract.call_extractor(with_keywords, Model, 2, attempts=1, wait=0.0))
+    assert sorted((x["chunk_idx"], x["source"], x["target"]) for x in r.collect()) == [(0, "A", "B"), (0, "B", "C"), (1, "D", "E")]
+
+
+def test_phrases(spark):
+    text = "Khoản thu phí bảo vệ. Khoản thu phí bảo vệ, thu phí môi trường!\nab thu phí cd"
+    c = spark.createDataFrame([(0, text), (1, ""), (2, None), (3, "thuếphímôitrường thuếphímôitrườngx")], "chunk_idx long, content string")
+    rows = extract.keywords(c, 4, words=3).orderBy("chunk_idx", "pos").collect()
+    assert [r["pos"] for r in rows if r["chunk_idx"] == 0] == [1_000_001 + i for i in range(4)] and {r["chunk_idx"] for r in rows} == {0, 3}
+    names = [r["name"] for r in rows if r["chunk_idx"] == 0]
+    assert "THU PHÍ" in names and all(len(w) >= 3 for n in names for w in n.split())
+    assert len({r["name"] for r in rows if r["chunk_idx"] == 3} & {"THUẾPHÍMÔITRƯỜNG", "THUẾPHÍMÔITRƯỜNGX"}) == 1
+    one = extract.keywords(c, 4).where("chunk_idx = 0").orderBy("pos").collect()
+    assert len(one) == 4 and all(" " not in r["name"] for r in one)
 
 
 @pytest.mark.parametrize("answer,n", [('```json\n[{"name": "a"}, 3]\n```', 1), ('Here: [{"name": "a"}, {"name": "b"}] done', 2), ("null", 0), ("5", 0), ('{"name": "a"}', 0), ("]x[", 0), ("", 0), (None, 0), ("[" * 5000 + "]", 0)])

@@ -80,6 +80,14 @@ def test_questions(spark, tmp_path):
     (tmp_path / "q.json").write_text('[{"type": "f", "query": "q1", "expected_answer": "a"}, {"type": "c", "query": "q2", "expected_answer": "b", "case": "t"}]')
     rows = {r["query"]: r["question"] for r in corpus.load_questions(spark, str(tmp_path / "q.json")).collect()}
     assert rows == {"q1": "q1", "q2": "[Tình huống thực tế]: t\n[Câu hỏi]: q2"}
+    assert [(r["query_id"], r["query"]) for r in corpus.load_questions(spark, str(tmp_path / "q.json")).orderBy("query_id").collect()] == [(1, "q1"), (2, "q2")]
+
+
+def test_merged_report(spark, tmp_path):
+    reports = spark.createDataFrame([(f"d{i}", f"# d{i}\n\ntext") for i in (3, 1, 2)], "doc_id string, markdown string")
+    artifacts.save_reports(reports, str(tmp_path / "merged"))
+    parts = sorted((tmp_path / "merged").glob("part-*"))
+    assert "".join(p.read_text() for p in parts) == "".join(f"# d{i}\n\ntext\n\n---\n\n" for i in (1, 2, 3))
 
 
 def test_loader(spark, tmp_path):
