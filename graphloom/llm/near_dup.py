@@ -25,11 +25,12 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import spread_join, stage
@@ -229,19 +230,19 @@ def _confirm_bucket(size: int, percent: int):
     return run
 
 
-def _confirm_block(size: int, percent: int):
+def _confirm_block(percent: int):
     def run(members: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFrame:
         if not len(members) or not len(pivots):
             return pd.DataFrame({"a": [], "b": []})
         m, p = members["cls"].tolist(), pivots["cls"].tolist()
-        group = _Group(shingle_sets(pivots["text"].tolist() + members["text"].tolist(), size))
+        group = _Group([np.frombuffer(x, np.uint64) for x in pivots["set"].tolist() + members["set"].tolist()])
         pairs = [(p[i], m[j]) for i in range(len(p)) for j in np.flatnonzero(group.linked(i, percent)[len(p) :]).tolist()]
         return pd.DataFrame(pairs, columns=["a", "b"])
 
     return run
 
 
-def _against(members: DataFrame, pivots: DataFrame, size: int, percent: int) -> DataFrame:
+def _against(members: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
     """Links of each group's members with its pivots.
 
     A task has about PIVOTS pivots and SHARD members, or fewer where these have more than PIVOT_SHINGLES and SHARD_SHINGLES;
@@ -253,31 +254,42 @@ def _against(members: DataFrame, pivots: DataFrame, size: int, percent: int) ->
         # bands of sizes within a factor of two, each dealt over parts in its turn
         band = F.floor(F.log2("n_shingles")).cast("int")
         dealt = side.join(total, "label").withColumn("band", band).withColumn(name, F.pmod(F.xxhash64("cls"), F.col("parts")))
-        parts.append(stage(dealt.select("label", "band", name, "cls", "text")))
+        parts.append(stage(dealt.select("label", "band", name, "cls", "set")))
     p, m = parts
     blocks, shards = p.select("label", "band", "block").distinct(), m.select("label", F.col("band").alias("other"), "shard").distinct()
     # linked sets differ in size by a factor of 100 / percent at most
     reach = math.ceil(math.log2(100 / percent))
     meet = stage(blocks.join(shards, "label").where(F.abs(F.col("band") - F.col("other")) <= reach))
-    p = p.join(meet, ["label", "band", "block"]).select(*keys, "band", "other", "cls", "text")
-    m = m.withColumnRenamed("band", "other").join(meet, ["label", "other", "shard"]).select(*keys, "band", "other", "cls", "text")
+    p = p.join(meet, ["label", "band", "block"]).select(*keys, "band", "other", "cls", "set")
+    m = m.withColumnRenamed("band", "other").join(meet, ["label", "other", "shard"]).select(*keys, "band", "other", "cls", "set")
     keys += ["band", "other"]
-    return m.groupBy(*keys).cogroup(p.groupBy(*keys)).applyInPandas(_confirm_block(size, percent), "a binary, b binary")
+    return m.groupBy(*keys).cogroup(p.groupBy(*keys)).applyInPandas(_confirm_block(percent), "a binary, b binary")
+
+
+def _as_sets(size: int):
+    def run(batches):
+        for b in batches:
+            sets = [s.tobytes() for s in shingle_sets(b.column("text").to_pylist(), size)]
+            yield pa.record_batch([*(b.column(c) for c in ("label", "cls", "n_shingles")), pa.array(sets, pa.binary())], names=["label", "cls", "n_shingles", "set"])
+
+    return run
 
 
 def _links_of_crowds(crowds: DataFrame, size: int, percent: int) -> DataFrame:
     """Links of the groups too large for a task; (label, cls, n_shingles, text).
 
-    First all members against a few pivots; then whatever is not in the component
+    Texts become sets of hashes once, which is what meets. First all members against a few pivots; then whatever is not in the component
     that is largest now is a pivot itself.
     """
+    kind = crowds.schema["label"].dataType.simpleString()
+    crowds = stage(crowds.select("label", "cls", "n_shingles", "text").mapInArrow(_as_sets(size), f"label {kind}, cls binary, n_shingles long, set binary"))
     some = crowds.withColumn("lot", F.pmod(F.xxhash64("cls", F.lit(1)), F.lit(GROUP_CLASSES))).where(F.col("lot") < PIVOTS)
-    first = stage(_against(crowds, some, size, percent))
+    first = stage(_against(crowds, some, percent))
     parts = connected_components(first).withColumnsRenamed({"node": "cls", "label": "part"})
     known = stage(crowds.select("label", "cls").join(parts, "cls", "left").withColumn("part", F.coalesce("part", "cls")))
     sizes = known.groupBy("label", "part").agg(F.count("*").alias("n")).groupBy("label").agg(F.max_by("part", F.struct("n", "part")).alias("largest"))
     outside = known.join(sizes, "label").where("part <> largest").select("cls")
-    return first.union(_against(crowds, crowds.join(outside, "cls"), size, percent))
+    return first.union(_against(crowds, crowds.join(outside, "cls"), percent))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -285,15 +297,30 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
     Linked are texts whose sets of ``size``-word shingles have at least ``percent`` % in common.
     """
-    texts = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("th"), "text")
+    texts = keyed(docs)
     schema = "doc_id long, th long, n_shingles long, cls binary, sig binary"
     rows = stage(texts.mapInArrow(_describe(size), schema))
-    place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "th")
-    classes = rows.where("cls is not null").groupBy("cls").agg(F.first("sig").alias("sig"), F.min(place).alias("least"), F.first("n_shingles").alias("n_shingles"))
-    classes = stage(classes)
+    classes = stage(classes_of(rows, F.first("sig").alias("sig")))
     groups = stage(connected_components(suspect_pairs(classes.select("cls", "sig"))).withColumnRenamed("node", "cls"))
+    return settled(texts, rows.drop("sig"), classes.drop("sig"), groups, size, percent, _confirm_bucket(size, percent))
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, th, text)."""
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("th"), "text")
+
+
+def classes_of(rows: DataFrame, *more: Column) -> DataFrame:
+    """A row for each set of shingles: its first document and how many have it."""
+    place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "th")
+    return rows.where("cls is not null").groupBy("cls").agg(F.min(place).alias("least"), F.first("n_shingles").alias("n_shingles"), F.count("*").alias("copies"), *more)
+
+
+def settled(texts: DataFrame, rows: DataFrame, classes: DataFrame, groups: DataFrame, size: int, percent: int, confirm: Callable[[pd.DataFrame], pd.DataFrame]) -> DataFrame:
+    """The links of suspect groups (cls, label and whatever ``confirm`` needs) confirmed on full sets, and each row's component."""
+    given = [c for c in groups.columns if c not in ("cls", "label")]
     # the texts of suspect classes only, one row a class
-    wanted = classes.join(groups, "cls").select("cls", "label", "n_shingles", F.col("least.doc_id").alias("d"), F.col("least.th").alias("h"))
+    wanted = classes.join(groups, "cls").select("cls", "label", "n_shingles", *given, F.col("least.doc_id").alias("d"), F.col("least.th").alias("h"))
     wanted = stage(wanted)
     weight = stage(wanted.groupBy("label").agg(F.sum("n_shingles").alias("weight"), F.count("*").alias("members")))
     wanted = stage(spread_join(wanted, weight, ["label"], "members"))
@@ -301,16 +328,20 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     suspects = texts.join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("h"))).dropDuplicates(["cls"])
     crowd = (F.col("weight") > GROUP_SHINGLES) | (F.col("members") > GROUP_CLASSES)
     buckets = max(1, -(-total // BUCKET_SHINGLES))
-    small = suspects.where(~crowd).select(F.pmod(F.xxhash64("label"), F.lit(buckets)).alias("bucket"), "label", "cls", "text")
-    links = small.groupBy("bucket").applyInPandas(_confirm_bucket(size, percent), "a binary, b binary")
+    small = suspects.where(~crowd).select(F.pmod(F.xxhash64("label"), F.lit(buckets)).alias("bucket"), "label", "cls", "text", *given)
+    links = small.groupBy("bucket").applyInPandas(confirm, "a binary, b binary")
     if not wanted.where(crowd).isEmpty():
         links = stage(links.union(_links_of_crowds(stage(suspects.where(crowd).select("label", "cls", "n_shingles", "text")), size, percent)))
         links = connected_components(links).toDF("a", "b")
     labels = stage(links.toDF("cls", "part"))
-    least = classes.select("cls", F.col("least.doc_id").alias("doc_id")).join(labels, "cls", "left").withColumn("part", F.coalesce("part", "cls"))
+    least = classes.select("cls", F.col("least.doc_id").alias("doc_id"), "copies").join(labels, "cls", "left").withColumn("part", F.coalesce("part", "cls"))
     least = stage(least)
     parts = stage(least.groupBy("part").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n")))
-    known = stage(spread_join(least.select("cls", "part"), parts, ["part"]).select("cls", "component_id", "part"))
-    out = rows.drop("sig").join(known, "cls", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    known = stage(spread_join(least.select("cls", "part", "copies"), parts, ["part"]).select("cls", "component_id", "part", "copies"))
+    # copies of one text are many: their class is dealt, too
+    worded = spread_join(rows.where("cls is not null"), known, ["cls"], "copies").select("doc_id", "th", "n_shingles", "component_id", "part")
+    none = F.lit(None)
+    out = worded.unionByName(rows.where("cls is null").select("doc_id", "th", "n_shingles", none.cast("long").alias("component_id"), none.cast("binary").alias("part")))
+    out = out.withColumn("component_id", F.coalesce("component_id", "doc_id"))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
     return out.select("doc_id", "th", "n_shingles", "component_id", kept.alias("kept"), "part")
