@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import conversations, html_text, line_dedup, media, mixing, near_dup, packing, sharding, spelling, substring_dedup, topk, toxicity
+from . import conversations, html_text, line_dedup, media, mixing, near_dup, ngram_join, packing, sharding, spelling, substring_dedup, topk, toxicity
 from .common import table
 
 
@@ -239,6 +239,17 @@ FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN stats s ON s.conv_
 """.replace("WITH T AS", "WITH RECURSIVE T AS")
 
 
+def op13_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"), size=5, percent=80).select("doc_id", "n_shingles", "component_id")
+
+
+OP13_SQL = (
+    OP8_SQL.replace("i + 3", "i + 4").replace("len(w) - 2, 2", "len(w) - 3, 2")
+    .replace(""" AS component_id,
+  coalesce(least(d.doc_id, m.least_id), d.doc_id) = d.doc_id AS kept""", " AS component_id")
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_pivotal": op1_mix_pivotal,
@@ -253,8 +264,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_noisy_channel": op10_noisy_channel,
         "op11_q_chunks": op11_q_chunks,
         "op12_audit_dp": op12_audit_dp,
+        "op13_orders": op13_orders,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_chunks": OP4_SQL, "op6_dual_tree": OP6_SQL, "op8_chosen_path": OP8_SQL, "op9_de_bruijn": OP9_SQL, "op11_q_chunks": OP11_SQL, "op12_audit_dp": OP12_SQL}
+    return {"op4_line_chunks": OP4_SQL, "op6_dual_tree": OP6_SQL, "op8_chosen_path": OP8_SQL, "op9_de_bruijn": OP9_SQL, "op11_q_chunks": OP11_SQL, "op12_audit_dp": OP12_SQL, "op13_orders": OP13_SQL}
