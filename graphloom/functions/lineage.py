@@ -19,13 +19,19 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, whose files go when the driver's JVM ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(conf).deleteOnExit(target)
+    return path
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df, written once as Parquet to the shared folder and read from there: lost executors cost nothing twice, columns are pruned
-    and sizes are known. The files go when the driver's JVM ends."""
+    and sizes are known."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
+    path = scratch(spark, "cut")
     df.write.parquet(path)
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(conf).deleteOnExit(target)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,24 +1,32 @@
-"""BM25 (Okapi) over chunk tables: postings, lengths and idf as DataFrames, many questions at once."""
+"""BM25 (Okapi) over chunk tables: a stored index of blocks with score bounds, many questions at once.
+
+A block holds a term's postings in one zone (``1 << ZONE_BITS`` neighbouring chunks), with what each adds to a score and the greatest of
+these. Blocks are partitioned on disk by their term's hash and sorted by term. For a question, a zone's bound is the sum of its terms'
+greatest parts there. The zones of the best bounds are scored first; their k-th score rules out all zones
+whose bound is lower, whose postings are never read.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.lineage import cut
+from ..functions.lineage import cut, scratch
 from ..functions.text import tokenize
+from .vector import _ranked
 
 K1, B, EPSILON = 1.5, 0.75, 0.25
+ZONE_BITS, PARTS = 7, 64
+#: Zones of a question that are scored to find its bound.
+FIRST = 4
+#: Terms asked for that are named to the scan, so that row groups without them are skipped; with more, the join alone finds theirs.
+NAMED = 5_000
 
 
 def postings(chunks: DataFrame) -> DataFrame:
-    """(chunk_idx, term, tf) of (chunk_idx, content)."""
-    return chunks.select("chunk_idx", F.explode(tokenize(F.col("content"))).alias("term")).groupBy("chunk_idx", "term").agg(F.count("*").alias("tf"))
-
-
-def lengths(posts: DataFrame) -> DataFrame:
-    """(chunk_idx, length) of chunks that have terms."""
-    return posts.groupBy("chunk_idx").agg(F.sum("tf").alias("length"))
+    """(chunk_idx, length, term, tf) of (chunk_idx, content); length is the number of terms of the chunk."""
+    words = chunks.select("chunk_idx", tokenize(F.col("content")).alias("words"))
+    return words.select("chunk_idx", F.size("words").cast("long").alias("length"), F.explode("words").alias("term")).groupBy("chunk_idx", "length", "term").agg(F.count("*").alias("tf"))
 
 
 def idf(posts: DataFrame, n: int) -> DataFrame:
@@ -29,42 +37,72 @@ def idf(posts: DataFrame, n: int) -> DataFrame:
 
 
 class Index:
-    """Postings, lengths and idf of chunks (chunk_idx, content), computed once; keep it to ask many times."""
-
-    def __init__(self, chunks: DataFrame):
-        self.posts = cut(postings(chunks))
-        self.n = chunks.count()
-        self.mean = (self.posts.agg(F.sum("tf")).first()[0] or 0) / max(1, self.n)
-        self.lengths, self.idf = lengths(self.posts), cut(idf(self.posts, self.n))
+    """Blocks and idf of chunks (chunk_idx, content), written once below ``root`` (a scratch folder if none is given); keep it to ask many times.
+
+    ``work`` holds, after a search, how many zones its questions have terms in and how many of these were scored.
+    """
+
+    def __init__(self, chunks: DataFrame, root: str | None = None, zone_bits: int = ZONE_BITS):
+        spark = chunks.sparkSession
+        root = root or scratch(spark, "bm25")
+        posts = cut(postings(chunks))
+        n = chunks.count()
+        mean = (posts.agg(F.sum("tf")).first()[0] or 0) / max(1, n)
+        idf(posts, n).write.mode("overwrite").parquet(f"{root}/bm25_idf")
+        weights = spark.read.parquet(f"{root}/bm25_idf").select("term", "idf")
+        adds = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / mean)) if mean else F.lit(0.0)
+        rows = posts.join(weights, "term").select("term", F.shiftright("chunk_idx", zone_bits).alias("zone"), "chunk_idx", adds.alias("part"))
+        blocks = rows.groupBy("term", "zone").agg(F.max("part").alias("most"), F.array_sort(F.collect_list(F.struct("chunk_idx", "part"))).alias("posts"))
+        blocks = blocks.withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(PARTS)).cast("int"))
+        blocks.repartition("bucket").sortWithinPartitions("bucket", "term", "zone").write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/bm25_blocks")
+        size = spark.range(1).select(F.lit(n).cast("long").alias("n"), F.lit(mean).cast("double").alias("mean"))
+        size.write.mode("overwrite").parquet(f"{root}/bm25_size")
+        self._open(spark, root)
+
+    def _open(self, spark: SparkSession, root: str) -> None:
+        self.root, self.idf = root, spark.read.parquet(f"{root}/bm25_idf")
+        kinds = "term string, zone long, most double, posts array<struct<chunk_idx:long,part:double>>, bucket int"
+        self.blocks = spark.read.schema(kinds).parquet(f"{root}/bm25_blocks")
+        self.n, self.mean = spark.read.parquet(f"{root}/bm25_size").first()
+        self.work: dict[str, int] = {}
 
     @classmethod
     def load(cls, spark: SparkSession, root: str) -> Index:
-        """An index saved below ``root``."""
+        """An index written below ``root``."""
         out = cls.__new__(cls)
-        read = lambda name: spark.read.parquet(f"{root}/bm25_{name}")
-        out.posts, out.idf = read("posts"), read("idf")
-        out.n, out.mean = read("size").first()
-        out.lengths = lengths(out.posts)
+        out._open(spark, root)
         return out
 
-    def save(self, root: str) -> None:
-        size = self.posts.sparkSession.range(1).select(F.lit(self.n).cast("long").alias("n"), F.lit(self.mean).cast("double").alias("mean"))
-        for name, df in (("posts", self.posts), ("idf", self.idf), ("size", size)):
-            df.write.mode("overwrite").parquet(f"{root}/bm25_{name}")
+    def _of(self, asked: DataFrame) -> DataFrame:
+        """The blocks of the terms asked for."""
+        buckets = [r[0] for r in asked.select(F.pmod(F.xxhash64("term"), F.lit(PARTS)).cast("int").alias("b")).distinct().collect()]  # PARTS at most
+        terms = [r[0] for r in asked.select("term").distinct().limit(NAMED + 1).collect()]
+        held = self.blocks.where(F.col("bucket").isin(buckets)) if buckets else self.blocks.where(F.lit(False))
+        return held.where(F.col("term").isin(terms)) if 0 < len(terms) <= NAMED else held
 
     def top_k(self, questions: DataFrame, k: int = 5) -> DataFrame:
-        """(query_id, rank, chunk_idx, score) of (query_id, query); scores above 0, ties to the smaller chunk.
-
-        Only terms that some question has are joined: the postings meet the distinct question terms
-        first, and scores are added up before ranking.
-        """
-        asked = questions.select("query_id", F.explode(tokenize(F.col("query"))).alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("times"))
-        terms = self.idf.join(asked.select("term").distinct(), "term", "left_semi").select("term", "idf")
-        held = self.posts.join(terms, "term").join(self.lengths, "chunk_idx")
-        part = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / self.mean))
-        scored = held.select("term", "chunk_idx", part.alias("part")).join(asked, "term").groupBy("query_id", "chunk_idx").agg(F.round(F.sum(F.col("part") * F.col("times")), 6).alias("score"))
-        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "chunk_idx")
-        return scored.where("score > 0").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "chunk_idx", "score")
+        """(query_id, rank, chunk_idx, score) of (query_id, query); scores above 0, ties to the smaller chunk."""
+        asked = cut(questions.select("query_id", F.explode(tokenize(F.col("query"))).alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("times")))
+        blocks = self._of(asked)
+        bounds = blocks.select("term", "zone", "most").join(asked, "term").groupBy("query_id", "zone").agg(F.sum(F.greatest(F.col("most") * F.col("times"), F.lit(0.0))).alias("most"))
+        zones = cut(bounds.where("most > 0"))
+        scored = cut(self._scored(blocks, asked, _ranked(zones.select("query_id", F.col("zone").alias("idx"), F.col("most").alias("score")), FIRST).select("query_id", F.col("idx").alias("zone"))))
+        best = _ranked(scored.select("query_id", F.col("chunk_idx").alias("idx"), "score"), k)
+        kth = best.where(F.col("rank") == k).select("query_id", F.col("score").alias("kth"))
+        done = scored.select("query_id", "zone").distinct()
+        open_ = zones.join(kth, "query_id", "left").where(F.col("kth").isNull() | (F.col("most") >= F.col("kth") - 1e-5)).select("query_id", "zone").join(done, ["query_id", "zone"], "left_anti")
+        open_ = cut(open_)
+        self.work = {"zones": zones.count(), "scored": done.count() + open_.count()}
+        more = self._scored(blocks, asked, open_)
+        # the key is written as a new expression in both parts, as in hybrid.fuse
+        parts = [x.select((F.col("query_id") + 0).alias("query_id"), F.col("chunk_idx").alias("idx"), "score") for x in (scored, more)]
+        return _ranked(parts[0].unionByName(parts[1]).where("score > 0"), k).withColumnRenamed("idx", "chunk_idx")
+
+    def _scored(self, blocks: DataFrame, asked: DataFrame, zones: DataFrame) -> DataFrame:
+        """(query_id, zone, chunk_idx, score) of all chunks in some zones."""
+        held = zones.join(asked, "query_id").join(blocks.select("term", "zone", "posts"), ["term", "zone"])
+        parts = held.select("query_id", "zone", "times", F.inline("posts"))
+        return parts.groupBy("query_id", "zone", "chunk_idx").agg(F.round(F.sum(F.col("part") * F.col("times")), 6).alias("score"))
 
 
 def top_k(chunks: DataFrame, questions: DataFrame, k: int = 5) -> DataFrame:

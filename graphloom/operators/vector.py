@@ -12,7 +12,7 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.lineage import cut
@@ -68,13 +68,45 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "idx", "score")
 
 
+def inner(a: str, b: str) -> Column:
+    """The inner product of two columns of equally long vectors, in double precision, to nine decimals."""
+    return F.round(F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x), 9)
+
+
+def fitted_centres(vectors: DataFrame, n: int, cells: int, fit_rows: int, seed: int) -> np.ndarray:
+    """Centres of k-means on at most about ``fit_rows`` vectors; as many as are given, or fewer."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    share = min(1.0, fit_rows / max(1, n))
+    sample = vectors.where(F.pmod(F.xxhash64("idx"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    rows = sample.select(array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))
+    if cells < 2:
+        from pyspark.ml.stat import Summarizer
+
+        return np.array([rows.select(Summarizer.mean(F.col("v")).alias("m")).first()["m"].toArray()])
+    return np.array(KMeans(k=cells, seed=seed, maxIter=10, featuresCol="v").fit(rows).clusterCenters())
+
+
+def usable(vectors: DataFrame) -> DataFrame:
+    """(idx, embedding) without nulls and empty vectors, written once."""
+    return cut(vectors.where("idx is not null and embedding is not null and size(embedding) > 0").select(F.col("idx").cast("long"), F.col("embedding").cast("array<float>").alias("embedding")))
+
+
 def exact(queries: DataFrame, vectors: DataFrame, k: int = 5) -> DataFrame:
     """(query_id, rank, idx, score): inner products of (query_id, embedding) with all (idx, embedding); ties to the smaller idx.
 
-    Groups of queries meet blocks of vectors, both of bounded size, and each pair gives k rows a query.
+    Up to QUERY_GROUP queries go to every task, which keeps the k best of each over all vectors it reads. Beyond, groups of
+    queries meet blocks of vectors, both of bounded size, and each pair gives k rows a query.
     """
-    base = cut(vectors.where("embedding is not null and size(embedding) > 0").select(F.col("idx").cast("long"), "embedding"))
+    base = vectors.where("idx is not null and embedding is not null and size(embedding) > 0").select(F.col("idx").cast("long"), "embedding")
     q = cut(queries.where("embedding is not null").select(F.col("query_id").cast("long"), "embedding"))
+    asked = q.count()
+    if asked <= QUERY_GROUP:
+        rows = q.collect()
+        ids, x = np.array([r["query_id"] for r in rows], np.int64), np.array([r["embedding"] for r in rows], np.float64)
+        return _ranked(base.mapInArrow(_task_best(ids, x, k), "query_id long, idx long, score double"), k)
+    base = cut(base)
     groups, blocks = (max(1, -(-df.count() // size)) for df, size in ((q, QUERY_GROUP), (base, VECTOR_BLOCK)))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     q = q.withColumn("g", F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("int")).withColumn("b", every(blocks))
@@ -82,81 +114,29 @@ def exact(queries: DataFrame, vectors: DataFrame, k: int = 5) -> DataFrame:
     return _ranked(q.groupBy("g", "b").cogroup(v.groupBy("g", "b")).applyInPandas(_block_best(k), "query_id long, idx long, score double"), k)
 
 
-class Ivf:
-    """An inverted file: k-means cells fitted on a bounded sample, every vector in its nearest cell.
-
-    ``fit_rows`` bounds the sample; ``cells`` trades work for fit. Without ``probe`` results are those of
-    ``exact``: after the cells nearest to a query, all others are searched whose ball (centre and radius)
-    may hold a score as good as the k-th found. A ``probe`` ends the search after so many cells, with
-    whatever recall that gives.
-    """
-
-    FIRST = 16
-    BLOCK, GROUP = 1024, 4096
-
-    def __init__(self, vectors: DataFrame, cells: int | None = None, probe: int | None = None, fit_rows: int = 100_000, seed: int = 7):
-        n = vectors.count()
-        self.cells, self.probe = cells or min(128, max(1, n // 10)), probe
-        share = min(1.0, fit_rows / max(1, n))
-        sample = vectors.where(F.pmod(F.xxhash64("idx"), F.lit(1 << 30)) < int(share * (1 << 30)))
-        from pyspark.ml.clustering import KMeans
-        from pyspark.ml.functions import array_to_vector
-
-        fitted = KMeans(k=self.cells, seed=seed, maxIter=10, featuresCol="v").fit(sample.select(array_to_vector(F.col("embedding").cast("array<double>")).alias("v")))
-        self.centres = np.array(fitted.clusterCenters())
-        self.table = self._celled(vectors.select(F.col("idx").cast("long"), "embedding"), 1)
-        self.radius, self.size = np.full(len(self.centres), -np.inf), np.zeros(len(self.centres), np.int64)
-        for r in self.table.groupBy("cell").agg(F.max("far").alias("radius"), F.count("*").alias("n")).collect():
-            self.radius[r["cell"]], self.size[r["cell"]] = r["radius"], r["n"]
-
-    def _celled(self, df: DataFrame, probe: int, kth: str | None = None) -> DataFrame:
-        """df a row for each of its ``probe`` nearest cells, with the distance ``far``; given ``kth``, for each cell after these that may hold such a score."""
-        centres, radius = self.centres, self.radius if kth else None
-
-        def run(batches):
-            for b in batches:
-                if not b.num_rows:
-                    continue
-                x = _matrix(b.column("embedding"))
-                dot = x @ centres.T
-                far = (x**2).sum(axis=1)[:, None] + (centres**2).sum(axis=1) - 2 * dot
-                order = np.argsort(far, axis=1, kind="stable")
-                take = np.zeros(far.shape, bool)
-                np.put_along_axis(take, order[:, :probe], True, 1)
-                if kth:
-                    bound = dot + radius * np.linalg.norm(x, axis=1)[:, None]
-                    take = ~take & (bound >= b.column(kth).to_numpy()[:, None] - 1e-6)
-                row, cell = np.nonzero(take)
-                far = np.sqrt(np.maximum(far[row, cell], 0))
-                yield pa.record_batch([*(c.take(pa.array(row)) for c in b.columns), pa.array(cell, pa.int32()), pa.array(far)], names=[*b.schema.names, "cell", "far"])
-
-        fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.schema.fields)
-        return df.mapInArrow(run, f"{fields}cell int, far double")
-
-    def _found(self, asked: DataFrame, k: int, queries: int) -> DataFrame:
-        """The best k of each query in each block of its cells; a cell's vectors and queries meet in parts of bounded size."""
-        groups = max(1, -(-queries // self.GROUP))
-        blocks = F.element_at(F.array(*(F.lit(int(max(1, -(-n // self.BLOCK)))) for n in self.size)), F.col("cell") + 1)
-        every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-        q = asked.select("query_id", "embedding", "cell", F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("int").alias("g"), every(blocks).alias("b"))
-        v = self.table.select("idx", "embedding", "cell", F.pmod(F.xxhash64("idx"), blocks).cast("int").alias("b"), every(F.lit(groups)).alias("g"))
-        key = ["cell", "b", "g"]
-        return q.groupBy(*key).cogroup(v.groupBy(*key)).applyInPandas(_block_best(k), "query_id long, idx long, score double")
+def _task_best(ids: np.ndarray, x: np.ndarray, k: int):
+    """The k best of all vectors of a task for each query, ties to the smaller idx."""
+    def run(batches: Iterator[pa.RecordBatch]):
+        row, idx, score = (np.empty(0, t) for t in (np.int64, np.int64, np.float64))
+        kth = np.full(len(x), -np.inf)
+        for b in batches:
+            if not b.num_rows or not len(x):
+                continue
+            own, v = b.column("idx").to_numpy(), _matrix(b.column("embedding"))
+            for lo in range(0, len(own), 2048):
+                got = np.round(x @ v[lo : lo + 2048].T, 9)
+                least = np.maximum(kth, np.partition(got, -k, axis=1)[:, -k]) if got.shape[1] > k else kth
+                r, c = np.nonzero(got >= least[:, None])
+                row, idx, score = np.concatenate([row, r]), np.concatenate([idx, own[lo + c]]), np.concatenate([score, got[r, c]])
+                order = np.lexsort((idx, -score, row))
+                row, idx, score = row[order], idx[order], score[order]
+                place = np.arange(len(row)) - np.searchsorted(row, row)
+                last = place == k - 1
+                kth[row[last]] = score[last]
+                row, idx, score = row[place < k], idx[place < k], score[place < k]
+        yield pa.record_batch([pa.array(ids[row]), pa.array(idx), pa.array(score)], names=["query_id", "idx", "score"])
 
-    def search(self, queries: DataFrame, k: int = 5) -> DataFrame:
-        """As ``exact``; with a ``probe``, within that many cells nearest to each query."""
-        q = queries.select(F.col("query_id").cast("long"), "embedding")
-        n = q.count()
-        first = _ranked(self._found(self._celled(q, self.probe or self.FIRST), k, n), k)
-        if self.probe:
-            return first
-        first = cut(first)
-        kth = first.where(F.col("rank") == k).select("query_id", F.col("score").alias("kth"))
-        held = q.join(kth, "query_id", "left").withColumn("kth", F.coalesce("kth", F.lit(float("-inf"))))
-        more = self._found(self._celled(held, self.FIRST, "kth"), k, n)
-        # the key is written as a new expression in both parts, as in hybrid.fuse
-        parts = [x.select((F.col("query_id") + 0).alias("query_id"), "idx", "score") for x in (first, more)]
-        return _ranked(parts[0].unionByName(parts[1]), k)
+    return run
 
 
 def _block_best(k: int):
@@ -181,18 +161,46 @@ def _block_best(k: int):
     return run
 
 
-#: Search strategies by name.
-BACKENDS: dict[str, Callable[..., DataFrame]] = {"exact": exact, "ivf": lambda queries, vectors, k=5, **how: Ivf(vectors, **how).search(queries, k)}
+class Exact:
+    """All vectors, compared with every query; the table is stored as it is."""
+
+    def __init__(self, table: DataFrame):
+        self.table = table
+
+    @classmethod
+    def build(cls, vectors: DataFrame, root: str | None = None) -> Exact:
+        if root:
+            vectors.select(F.col("idx").cast("long"), "embedding").write.mode("overwrite").parquet(f"{root}/vectors")
+            return cls.load(vectors.sparkSession, root)
+        return cls(vectors)
+
+    @classmethod
+    def load(cls, spark: SparkSession, root: str) -> Exact:
+        return cls(spark.read.parquet(f"{root}/vectors"))
+
+    def search(self, queries: DataFrame, k: int = 5) -> DataFrame:
+        return exact(queries, self.table, k)
+
+
+def _backends() -> dict[str, type]:
+    from .inverted_file import InvertedFile
+    from .neighbor_graph import NeighborGraph
+
+    return {"exact": Exact, "graph": NeighborGraph, "ivf": InvertedFile}
+
+
+#: The names of the stores: classes that ``build`` from (idx, embedding) below a folder, ``load`` from there and ``search``.
+BACKENDS = ("exact", "graph", "ivf")
 
 
-def backend(name: str) -> Callable[..., DataFrame]:
-    """A registered strategy; names ignore case and blanks."""
+def backend(name: str) -> type:
+    """A registered store; names ignore case and blanks."""
     key = name.strip().lower()
     if key not in BACKENDS:
-        raise ValueError(f"unknown backend {name!r}; there are {', '.join(sorted(BACKENDS))}")
-    return BACKENDS[key]
+        raise ValueError(f"unknown backend {name!r}; there are {', '.join(BACKENDS)}")
+    return _backends()[key]
 
 
 def search(name: str, queries: DataFrame, vectors: DataFrame, k: int = 5, **how) -> DataFrame:
-    """Search by a registered strategy."""
-    return backend(name)(queries, vectors, k, **how)
+    """Search by a registered store that is built for it; ``how`` goes to its ``build``."""
+    return backend(name).build(vectors, **how).search(queries, k)

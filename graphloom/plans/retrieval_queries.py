@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.lineage import cut
 from ..functions.text import query_text
 from ..operators import bm25, hybrid, kg, vector
+from . import base
 from .base import TOKENS, chunks, query, questions, table
 from .kg_queries import EDGES_SQL, ENTITIES_SQL, edges, entities
 
@@ -57,11 +58,20 @@ def knn_exact(spark: SparkSession, d: str) -> DataFrame:
     return vector.search("exact", _asked(spark, d), vectors(spark, d), 5).withColumn("score", F.round("score", 6))
 
 
-@query()
+_KNN = base.SQL["knn_exact"]
+
+
+@query(_KNN)
 def knn_ivf(spark: SparkSession, d: str) -> DataFrame:
     return vector.search("ivf", _asked(spark, d), vectors(spark, d), 5).withColumn("score", F.round("score", 6))
 
 
+@query(_KNN)
+def knn_graph(spark: SparkSession, d: str) -> DataFrame:
+    """Approximate by its kind; at the sizes given it finds all neighbours."""
+    return vector.search("graph", _asked(spark, d), vectors(spark, d), 5).withColumn("score", F.round("score", 6))
+
+
 def _hash_sql(name: str, rows: str) -> str:
     """SQL of the hashed embedding; rows: (id, text)."""
     return f"""{name}_p AS (SELECT id, ('0x' || substr(md5(t), 1, 8))::BIGINT % 64 AS p FROM (SELECT id, unnest({TOKENS('text')}) AS t FROM ({rows}))),
@@ -91,12 +101,13 @@ def _entity_hits(spark: SparkSession, d: str, bridge: DataFrame, k: int = hybrid
     q = questions(spark, d).select("query_id", vector.hashed_embedding(query_text(F.col("query"))).alias("embedding"))
     # ties are wide (equal places), so the order by name is settled on all entities of the k best places; these
     # are numbered by their first names, so that the places kept among equal scores hold the k smallest names
-    from pyspark.sql import Window
-
     places = v.groupBy("embedding").agg(F.min("name").alias("first"))
     p = cut(places.orderBy("first").select(F.monotonically_increasing_id().alias("idx"), "embedding"))
     near = vector.exact(q, p.select("idx", "embedding"), k)
-    held = near.join(p.select("idx", "embedding"), "idx").join(v.select("embedding", "name"), "embedding")
+    # of a place, which may hold a large share of all names, the k smallest are enough
+    within = Window.partitionBy("embedding").orderBy("name")
+    some = v.select("embedding", "name", F.row_number().over(within).alias("r")).where(F.col("r") <= k).drop("r")
+    held = near.join(p.select("idx", "embedding"), "idx").join(some, "embedding")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "name")
     return held.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "name", "score")
 
