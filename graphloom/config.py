@@ -10,7 +10,7 @@ from .operators.extract import ENTITY_TYPES
 @dataclass(frozen=True)
 class BuildConfig:
     dataset_dir: str = "./dataset"
-    #: Where a build with an extractor keeps how far it is; shared by driver and executors.
+    #: Where the answers of extractors are stored; shared by driver and executors.
     work_dir: str = "./work"
     output_dir: str | None = None
     vector_backend: str = "exact"
@@ -22,6 +22,9 @@ class BuildConfig:
     tail_merge_threshold: int = 400
     min_chunk_chars: int = 120
     kg_backend: str = "rules"
+    #: Names the extractor's model; answers are stored under it.
+    kg_model: str = ""
+    #: Callers at once, and chunks that each asks for in one job.
     max_workers: int = 5
     batch_size: int = 200
     keyword_top_k: int = 5

@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import time
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import replace
 from typing import Protocol
 
 import pyarrow as pa
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .retry import POLICIES, Caller, SharedWait
 
 # fixed values: entity types, in default order
 ENTITY_TYPES = [
@@ -74,24 +76,27 @@ def known_entities(answer: str | None) -> list[dict]:
     return [e for e in found if isinstance(e, dict)] if isinstance(found, list) else []
 
 
-def call_extractor(chunks: DataFrame, make: Callable[[], Extractor], workers: int | None = None, limit: int = 6000, attempts: int = 5, wait: float = 1.0) -> DataFrame:
+def call_extractor(chunks: DataFrame, make: Callable[[], Extractor], workers: int | None = None, limit: int = 6000, attempts: int = 5, wait: float = 1.0, backend: str = "nim") -> DataFrame:
     """(chunk_idx, entities_json, relations_json) of (chunk_idx, content) and, if there, ``keywords``, an array of names.
 
-    ``make`` runs once a task; relations are asked for between the entities found and the keywords that are none of
+    ``make`` runs once a task, calls are repeated as ``backend``'s policy says (``wait`` is its unit), and the callers of a machine share its wait; relations are asked for between the entities found and the keywords that are none of
     them, and only where there are any.
     """
+    policy = replace(POLICIES.get(backend, POLICIES["nim"]), attempts=attempts, unit=wait)
+    application = chunks.sparkSession.sparkContext.applicationId
+
     def run(batches: Iterator[pa.RecordBatch]):
-        extractor = make()
+        extractor, caller = make(), Caller(policy, SharedWait(application))
         for b in batches:
             found, related = [], []
             extra = b.column("keywords").to_pylist() if "keywords" in b.schema.names else [None] * b.num_rows
             for text, names in zip(b.column("content").to_pylist(), extra):
                 cut = (text or "")[:limit]
-                found.append(with_retry(lambda cut=cut: extractor.entities(cut), attempts, wait))
+                found.append(caller.call(lambda cut=cut: extractor.entities(cut)))
                 known = known_entities(found[-1])
                 named = {str(e.get("name") or "").strip().upper() for e in known}
                 known += [{"name": n, "type": KEYWORD} for n in names or [] if n not in named]
-                related.append(with_retry(lambda cut=cut, known=known: extractor.relations(cut, known), attempts, wait) if known else "[]")
+                related.append(caller.call(lambda cut=cut, known=known: extractor.relations(cut, known)) if known else "[]")
             yield pa.record_batch([b.column("chunk_idx"), pa.array(found, pa.string()), pa.array(related, pa.string())], names=["chunk_idx", "entities_json", "relations_json"])
 
     dealt = chunks.repartition(workers) if workers else chunks

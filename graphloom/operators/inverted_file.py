@@ -34,7 +34,7 @@ class InvertedFile:
     def __init__(self, spark: SparkSession, root: str, probe: int | None = None):
         self.spark, self.root, self.probe = spark, root, probe
         rows = sorted(spark.read.parquet(f"{root}/centres").collect())
-        self.centres = np.array([r["centre"] for r in rows]).reshape(len(rows), -1)
+        self.centres = np.array([r["centre"] for r in rows], np.float64).reshape(len(rows), len(rows[0]["centre"]) if rows else 0)
         self.radius, self.size = (np.array([r[c] for r in rows]) for c in ("radius", "n"))
         self.read: list[int] = []
 
@@ -71,7 +71,7 @@ class InvertedFile:
 
         def run(batches: Iterator[pa.RecordBatch]):
             for b in batches:
-                if not b.num_rows:
+                if not b.num_rows or not len(centres):
                     continue
                 x = vector._matrix(b.column("embedding"))
                 dot = x @ centres.T

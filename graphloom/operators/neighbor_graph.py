@@ -123,7 +123,7 @@ class NeighborGraph:
     def __init__(self, spark: SparkSession, root: str, beam: int = 64, width: int = 32, starts: int = 16):
         self.spark, self.root, self.beam, self.width, self.starts = spark, root, beam, width, starts
         rows = sorted(spark.read.parquet(f"{root}/entries").collect())
-        self.centres = np.array([r["centre"] for r in rows]).reshape(len(rows), -1)
+        self.centres = np.array([r["centre"] for r in rows], np.float64).reshape(len(rows), len(rows[0]["centre"]) if rows else 0)
         self.entries = np.array([[r["cell"], r["idx"]] for r in rows], np.int64).reshape(-1, 2)
         self.work: dict[str, int] = {}
 

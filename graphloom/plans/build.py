@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import BuildConfig
-from ..operators import bm25, chunking, extract, kg, structure, vector
+from ..functions.lineage import cut
+from ..operators import answers, bm25, chunking, extract, kg, structure, vector
 from ..sources import artifacts, corpus
-from ..streaming import resume
 
 
 def _keywords(chunks: DataFrame, config: BuildConfig) -> DataFrame:
@@ -22,15 +22,12 @@ def _keywords(chunks: DataFrame, config: BuildConfig) -> DataFrame:
 
 
 def _answers(chunks: DataFrame, config: BuildConfig, make: Callable[[], extract.Extractor]) -> DataFrame:
-    """An extractor's answers, worked off in batches of ``batch_size`` chunks; a build that is run again goes on after the last batch done."""
-    work, spark = config.work, chunks.sparkSession
-    if not artifacts.exists(spark, work, "asked/_SUCCESS"):
-        words = _keywords(chunks, config).groupBy("chunk_idx").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "name"))), lambda x: x["name"]).alias("keywords"))
-        chunks.select("chunk_idx", "content").join(words, "chunk_idx", "left").write.mode("overwrite").option("maxRecordsPerFile", config.batch_size).parquet(f"{work}/asked")
+    """An extractor's answers; only those that are not stored yet are asked for."""
     limit = extract.TEXT_LIMIT.get(config.kg_backend, 6000)
-    ask = lambda batch: extract.call_extractor(batch, make, config.max_workers, limit)
-    resume.process_available(spark, f"{work}/asked", "chunk_idx long, content string, keywords array<string>", f"{config.output}/answers", f"{work}/asked_so_far", ask)
-    return resume.results(spark, f"{config.output}/answers")
+    words = _keywords(chunks, config).groupBy("chunk_idx").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "name"))), lambda x: x["name"]).alias("keywords"))
+    told = chunks.select("chunk_idx", "content").join(words, "chunk_idx", "left")
+    name = f"{config.kg_backend}:{config.kg_model or getattr(make, '__qualname__', type(make).__qualname__)}"
+    return answers.ask(told, config.work, make, name, limit, config.max_workers, config.batch_size, backend=config.kg_backend)
 
 
 def graph_of(chunks: DataFrame, config: BuildConfig, make: Callable[[], extract.Extractor] | None = None) -> dict[str, DataFrame]:
@@ -41,13 +38,28 @@ def graph_of(chunks: DataFrame, config: BuildConfig, make: Callable[[], extract.
         entities = extract.rule_entities(chunks, config.entity_types)
         relations = extract.rule_relations(entities)
     else:
-        answers = _answers(chunks, config, make)
-        entities, relations = extract.parse_entities(answers), extract.parse_relations(answers)
+        said = _answers(chunks, config, make)
+        entities, relations = extract.parse_entities(said), extract.parse_relations(said)
     if config.keyword_top_k:
         entities = kg.add_keywords(entities, _keywords(chunks, config))
     return {"entities_raw": entities, "relations_raw": kg.filter_relations(relations, entities)}
 
 
+#: What a build embeds.
+COLLECTIONS = ("chunks", "entities")
+
+
+def _index_path(root: str, backend: str, collection: str) -> str:
+    return f"{root}/{backend.strip().lower()}_{collection}"
+
+
+def vector_index(spark: SparkSession, root: str, backend: str, collection: str):
+    """The store that a build has written for a backend and a collection, opened; KeyError if there is none."""
+    if not artifacts.exists(spark, root, f"{backend.strip().lower()}_{collection}"):
+        raise KeyError(collection)
+    return vector.backend(backend).load(spark, _index_path(root, backend, collection))
+
+
 def run_build(
     spark: SparkSession, config: BuildConfig, make: Callable[[], extract.Extractor] | None = None,
     embedder: Callable[[list[str]], np.ndarray] | None = None, count: chunking.Counter = chunking.count_words,
@@ -55,22 +67,18 @@ def run_build(
     """Writes every table of ``artifacts.TABLES`` below the output folder and gives them as read from there.
 
     ``make`` makes an extractor in each task (rules if not given), ``embedder`` is any model of a list of strings (hashed words
-    if not given), ``count`` counts tokens (words if not given). A build with an extractor that broke off goes on where it did when
-    it is run again with the same work and output folders: its chunks are kept, and so are the answers it has.
+    if not given), ``count`` counts tokens (words if not given). The corpus is read at every build. An extractor's answers are stored below the work
+    folder under what was asked, so a build that broke off asks for the rest, and a changed text or setting for what it changes.
+    The vectors are stored for the configuration's backend, too; ``vector_index`` opens them.
     """
-    vector.backend(config.vector_backend)  # an unknown one is an error before any work
+    store = vector.backend(config.vector_backend)  # an unknown one is an error before any work
     out = config.output
-    if make is not None and artifacts.exists(spark, config.work, "asked/_SUCCESS"):
-        tables = {"chunks": artifacts.load(spark, out, "chunks")}
-    else:
-        docs = corpus.load_documents(spark, str(config.dataset_dir))
-        if docs.isEmpty():
-            raise ValueError(f"no text of {corpus.MIN_CHARS} characters or more below {config.dataset_dir}")
-        parts = structure.passages(docs, ["doc_id", "path", "doc_number"])
-        chunks = chunking.build_chunks(
-            parts, count, config.min_chunk_tokens, config.target_chunk_tokens, config.max_chunk_tokens, config.tail_merge_threshold, config.min_chunk_chars
-        )
-        tables = {"chunks": artifacts.save(chunks, out, "chunks")}
+    docs = corpus.load_documents(spark, str(config.dataset_dir))
+    if docs.isEmpty():
+        raise ValueError(f"no text of {corpus.MIN_CHARS} characters or more below {config.dataset_dir}")
+    parts = cut(structure.passages(docs, ["doc_id", "path", "doc_number"]))
+    chunks = chunking.build_chunks(parts, count, config.min_chunk_tokens, config.target_chunk_tokens, config.max_chunk_tokens, config.tail_merge_threshold, config.min_chunk_chars)
+    tables = {"chunks": artifacts.save(chunks, out, "chunks")}
     for name, df in graph_of(tables["chunks"], config, make).items():
         tables[name] = artifacts.save(df, out, name)
     nodes = artifacts.save(kg.merge_entities(tables["entities_raw"]), out, "nodes")
@@ -81,8 +89,9 @@ def run_build(
         ("chunks_meta", tables["chunks"].drop("content")), ("graph_nodes", kg.graph_nodes(nodes)),
     ):
         tables[name] = artifacts.save(df, out, name)
-    bm25.Index(tables["chunks"]).save(out)
+    bm25.Index(tables["chunks"], out)
     named = chunking.number(nodes.select("name"), "name").select(F.col("chunk_idx").alias("idx"), F.col("name").alias("content"))
+    named = artifacts.save(named, out, "entity_names")
     texts = tables["chunks"].select(F.lit("chunks").alias("collection"), F.col("chunk_idx").alias("idx"), "content")
     texts = texts.unionByName(named.select(F.lit("entities").alias("collection"), "idx", "content"))
     if embedder is None:
@@ -90,6 +99,9 @@ def run_build(
     else:
         texts = vector.embed(texts, "content", embedder, config.batch_embed)
     tables["vectors"] = artifacts.save_vectors(texts.select("collection", "idx", "embedding"), out)
-    meta = artifacts.build_meta(spark, asdict(config), chunks=tables["chunks"], nodes=nodes, edges=tables["edges"])
+    for name in COLLECTIONS:
+        store.build(artifacts.load_collection(spark, out, name), _index_path(out, config.vector_backend, name)) if name == "chunks" or not nodes.isEmpty() else None
+    mode = "rules" if make is None else "extractor"
+    meta = artifacts.build_meta(spark, asdict(config), mode, passages=parts, chunks=tables["chunks"], entities=tables["entities_raw"], nodes=nodes, edges=tables["edges"])
     tables["meta"] = artifacts.save(meta, out, "meta")
     return tables

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.lineage import cut
 from ..operators.structure import joined
 
 #: What a build writes; the vector table is partitioned by collection.
 TABLES = (
-    "chunks", "entities_raw", "relations_raw", "nodes", "edges", "bridge", "chunk_entities", "entity_to_chunks", "chunks_meta", "graph_nodes", "vectors", "meta",
+    "chunks", "entities_raw", "relations_raw", "nodes", "edges", "bridge", "chunk_entities", "entity_to_chunks", "chunks_meta", "graph_nodes", "entity_names", "vectors", "meta",
 )
 
 
@@ -51,11 +52,28 @@ def save_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
 
 
-def build_meta(spark: SparkSession, config: dict, **counts: DataFrame) -> DataFrame:
-    """One row: when and how a build was made, and the sizes of its tables."""
+def save_json_array(df: DataFrame, path: str, *order: str, mode: str = "overwrite") -> None:
+    """One pretty JSON array over ordered part files: read one after the other by name, they are the array. An empty table gives ``[]``.
+
+    Rows are dealt by ranges of their order; only how many rows each range has is gathered, to know where the array begins and ends.
+    """
+    columns = [F.col(c) for c in order] or [F.lit(0)]
+    rows = df.select(*columns, F.to_json(F.struct(*df.columns), {"pretty": "true", "ignoreNullFields": "false"}).alias("_json"))
+    dealt = rows.repartitionByRange(*[c.asc_nulls_first() for c in columns]).sortWithinPartitions(*[c.asc_nulls_first() for c in columns])
+    dealt = cut(dealt.select("_json", F.monotonically_increasing_id().alias("_at")))
+    first, last = dealt.agg(F.min("_at"), F.max("_at")).first()
+    if first is None:
+        df.sparkSession.range(1).select(F.lit("[]").alias("value")).coalesce(1).write.mode(mode).text(path)
+        return
+    body = F.concat(F.when(F.col("_at") == first, "[\n").otherwise(""), F.regexp_replace("_json", "(?m)^", "  "), F.when(F.col("_at") == last, "\n]").otherwise(","))
+    dealt.repartitionByRange("_at").sortWithinPartitions("_at").select(body.alias("value")).write.mode(mode).text(path)
+
+
+def build_meta(spark: SparkSession, config: dict, mode: str, **counts: DataFrame) -> DataFrame:
+    """One row: when and how a build was made (``mode``: by rules or an extractor), and the sizes of its tables."""
     sizes = {name: df.count() for name, df in counts.items()}
     row = spark.range(1).select(F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("created_at"))
-    row = row.withColumn("config", F.struct(*[F.lit(str(v)).alias(k) for k, v in sorted(config.items())]))
+    row = row.withColumn("mode", F.lit(mode)).withColumn("config", F.struct(*[F.lit(str(v)).alias(k) for k, v in sorted(config.items())]))
     return row.withColumn("counts", F.struct(*[F.lit(n).alias(k) for k, n in sizes.items()]))
 
 
