@@ -7,8 +7,11 @@ partitions is the number of callers; a chunk whose calls fail gives nothing.
 
 from __future__ import annotations
 
+import heapq
 import json
+import math
 import time
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import replace
 from typing import Protocol
@@ -162,25 +165,58 @@ def _word_score() -> Column:
 
 
 def _phrases(chunks: DataFrame, k: int, least: int, words: int, alike: float) -> DataFrame:
-    """Chunks are dealt once, as whole texts; all windows and groups lie within one."""
-    rows = chunks.repartition("chunk_idx").select("chunk_idx", F.posexplode("sentences").alias("s", "sentence"))
-    rows = rows.select("chunk_idx", "s", F.posexplode(T.tokenize(F.col("sentence"))).alias("i", "w")).where(F.length("w") >= least)
-    same, along = Window.partitionBy("chunk_idx", "w"), Window.partitionBy("chunk_idx", "s").orderBy("i")
-    rows = rows.withColumn("nth", F.dense_rank().over(same.orderBy("s"))).withColumns({"tf": F.count("*").over(same), "first": F.min("s").over(same), "spread": F.max("nth").over(same)})
-    x = rows.select("chunk_idx", "s", "i", F.struct("w", "i", _word_score().alias("score")).alias("x"))
-    x = x.withColumns({f"x{n}": F.lead("x", n).over(along) for n in range(1, words)})
-    grams, w, product, total = [], F.col("x.w"), F.col("x.score"), F.col("x.score")
-    grams.append(F.struct(w.alias("w"), product.alias("product"), total.alias("total"), F.lit(1).alias("n")))
-    for n in range(1, words):
-        end = F.col(f"x{n}")
-        w, product, total = F.concat_ws(" ", w, end["w"]), product * end["score"], total + end["score"]
-        grams.append(F.when(end["i"] == F.col("i") + n, F.struct(w.alias("w"), product.alias("product"), total.alias("total"), F.lit(n + 1).alias("n"))))
-    g = x.select("chunk_idx", F.explode(F.array_compact(F.array(*grams))).alias("g")).groupBy("chunk_idx", F.col("g.w").alias("w"))
-    g = g.agg(F.count("*").alias("tf"), F.min("g.product").alias("product"), F.min("g.total").alias("total"), F.min("g.n").alias("n"))
-    score = F.when(F.col("n") == 1, F.col("product")).otherwise(F.round(F.col("product") / (F.col("tf") * (1 + F.col("total"))), 9))
-    ranked = g.groupBy("chunk_idx").agg(F.sort_array(F.collect_list(F.struct(score.alias("score"), "w"))).alias("p"))
-    near = lambda a, b: 1 - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b)) >= alike
-    kind = "array<struct<score:double,w:string>>"
-    kept = F.aggregate("p", F.array().cast(kind), lambda a, p: F.when((F.size(a) >= k) | F.exists(a, lambda o: near(o["w"], p["w"])), a).otherwise(F.array_append(a, p)))
-    out = ranked.select("chunk_idx", F.posexplode(kept).alias("place", "p"))
-    return out.select("chunk_idx", (1_000_001 + F.col("place")).alias("pos"), F.upper("p.w").alias("name"), "p.score")
+    """One pass over each chunk (chunk_idx, sentences), a batch at a time; nothing is shuffled."""
+    tokens = chunks.select(F.col("chunk_idx").cast("long"), F.transform("sentences", T.tokenize).alias("sentences"))
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for b in batches:
+            rows = [(c, *p) for c, s in zip(b.column("chunk_idx").to_pylist(), b.column("sentences").to_pylist()) for p in _best_phrases(s or [], k, least, words, alike)]
+            yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*rows) if rows else [[]] * 4, _PHRASE)], names=["chunk_idx", "pos", "name", "score"])
+
+    return tokens.mapInArrow(run, "chunk_idx long, pos int, w string, score double").select("chunk_idx", "pos", F.upper("w").alias("name"), "score")
+
+
+_PHRASE = (pa.int64(), pa.int32(), pa.string(), pa.float64())
+
+
+def _best_phrases(sentences: list[list[str]], k: int, least: int, words: int, alike: float) -> list[tuple[int, str, float]]:
+    """(pos, phrase, score) of a chunk's best phrases, the best first."""
+    tf = Counter(w for s in sentences for w in s if len(w) >= least)
+    first, spread = {}, Counter()
+    for i, s in enumerate(sentences):
+        own = set(s)
+        spread.update(own)
+        for w in own:
+            first.setdefault(w, i)
+    score = {w: round(math.log(math.log(3.0 + first[w]) + 1) / (n * (1 + spread[w])), 9) for w, n in tf.items()}
+    found = [(x, w) for w, x in score.items()]
+    for n in range(2, words + 1):
+        grams = Counter(g for s in sentences for g in zip(*(s[i:] for i in range(n))))
+        for g, times in grams.items():
+            parts = [score.get(w) for w in g]
+            if None not in parts:
+                product, total = parts[0], parts[0]
+                for x in parts[1:]:
+                    product, total = product * x, total + x
+                found.append((round(product / (times * (1 + total)), 9), " ".join(g)))
+    heapq.heapify(found)
+    kept: list[tuple[int, str, float]] = []
+    while found and len(kept) < k:
+        x, w = heapq.heappop(found)
+        if not any(_alike(w, o, alike) for _, o, _ in kept):
+            kept.append((1_000_001 + len(kept), w, x))
+    return kept
+
+
+def _alike(a: str, b: str, alike: float) -> bool:
+    """Whether 1 - edit distance / longer length is ``alike`` or more."""
+    size = max(len(a), len(b))
+    within = lambda d: 1 - d / size >= alike
+    if not within(abs(len(a) - len(b))) or a != b and not within(1):
+        return False
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return within(row[-1])
