@@ -165,6 +165,11 @@ def flat_chunks(df: DataFrame, text: str = "content", count: Counter = count_wor
     return _with(df, "pieces", "string", pa.string(), text, lambda s: pack_text(s or "", count, most, most))
 
 
+def sentence_parts(df: DataFrame, text: str = "content") -> DataFrame:
+    """df with ``parts``: its text in sentences, as ``sentences`` cuts it."""
+    return _with(df, "parts", "string", pa.string(), text, lambda s: sentences(s or ""))
+
+
 def oversized_pieces(df: DataFrame, text: str = "content", count: Counter = count_words, target: int = TARGET, most: int = MAX) -> DataFrame:
     """df with ``pieces``: a unit above ``most`` tokens in pieces of about ``target``."""
     return _with(df, "pieces", "string", pa.string(), text, lambda s: pack_text(s or "", count, target, most))

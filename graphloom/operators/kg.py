@@ -10,6 +10,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Numbers of chunks that a page of the mapping spans.
+PAGE = 1000
+
+
 def _seen() -> Column:
     return F.struct("chunk_idx", "pos")
 
@@ -41,7 +45,8 @@ def filter_relations(relations: DataFrame, entities: DataFrame) -> DataFrame:
 
 def add_keywords(entities: DataFrame, keywords: DataFrame) -> DataFrame:
     """Entities with the keywords (chunk_idx, name, pos) their chunk does not name yet, typed TERM_YAKE."""
-    new = keywords.join(entities.select("chunk_idx", "name").distinct(), ["chunk_idx", "name"], "left_anti").dropDuplicates(["chunk_idx", "name"])
+    first = keywords.groupBy("chunk_idx", "name").agg(F.min("pos").alias("pos"))
+    new = first.join(entities.select("chunk_idx", "name").distinct(), ["chunk_idx", "name"], "left_anti")
     return entities.unionByName(new.select("chunk_idx", "pos", "name", F.lit("TERM_YAKE").alias("type"), F.lit("").alias("description")))
 
 
@@ -96,6 +101,17 @@ def entity_chunks(entities: DataFrame) -> DataFrame:
     return bridge(entities).groupBy("name").agg(F.array_sort(F.collect_list("chunk_idx")).alias("chunks"))
 
 
+def entity_pages(bridge: DataFrame, size: int = PAGE) -> DataFrame:
+    """(name, page, chunks) of (name, chunk_idx): a page holds the chunks of ``size`` neighbouring numbers, so no row is larger, whoever is in every chunk."""
+    page = F.floor(F.col("chunk_idx") / size).cast("long")
+    return bridge.groupBy("name", page.alias("page")).agg(F.array_sort(F.collect_list("chunk_idx")).alias("chunks"))
+
+
+def page_directory(pages: DataFrame) -> DataFrame:
+    """(name, pages, first_page, last_page, n_chunks): where an entity's pages are."""
+    return pages.groupBy("name").agg(F.count("*").alias("pages"), F.min("page").alias("first_page"), F.max("page").alias("last_page"), F.sum(F.size("chunks")).cast("long").alias("n_chunks"))
+
+
 def upsert(old: DataFrame, new: DataFrame, *key: str) -> DataFrame:
     """New rows, and the old ones whose (text) key is not among them."""
     # as in fuse: keys are new expressions, so the union relies on no partitioning

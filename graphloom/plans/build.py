@@ -85,10 +85,11 @@ def run_build(
     edges = kg.known_edges(kg.collapse_edges(kg.merge_relations(tables["relations_raw"])), nodes)
     tables |= {"nodes": nodes, "edges": artifacts.save(edges, out, "edges"), "bridge": artifacts.save(kg.bridge(tables["entities_raw"]), out, "bridge")}
     for name, df in (
-        ("chunk_entities", kg.chunk_entities(tables["chunks"], tables["entities_raw"])), ("entity_to_chunks", kg.entity_chunks(tables["entities_raw"])),
+        ("chunk_entities", kg.chunk_entities(tables["chunks"], tables["entities_raw"])), ("entity_to_chunks", kg.entity_pages(tables["bridge"])),
         ("chunks_meta", tables["chunks"].drop("content")), ("graph_nodes", kg.graph_nodes(nodes)),
     ):
         tables[name] = artifacts.save(df, out, name)
+    tables["entity_directory"] = artifacts.save(kg.page_directory(tables["entity_to_chunks"]), out, "entity_directory")
     bm25.Index(tables["chunks"], out)
     named = chunking.number(nodes.select("name"), "name").select(F.col("chunk_idx").alias("idx"), F.col("name").alias("content"))
     named = artifacts.save(named, out, "entity_names")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import extract, graph, kg
+from ..functions.lineage import scratch
+from ..operators import extract, graph, kg, upserts
 from .base import TOKENS, chunks, query, table
 
 _TYPES = "[" + ", ".join(f"'{t}'" for t in extract.ENTITY_TYPES) + "]"
@@ -204,8 +205,11 @@ def entity_to_chunks(spark: SparkSession, d: str) -> DataFrame:
 SELECT * FROM new UNION ALL SELECT name, entity_type AS type FROM nodes WHERE name NOT IN (SELECT name FROM new)"""
 )
 def node_upsert(spark: SparkSession, d: str) -> DataFrame:
-    old = kg.graph_nodes(nodes(spark, d)).select("name", "type")
-    return kg.upsert(old, table(spark, d, "nation").select(F.col("n_name").alias("name"), F.lit("NATION").alias("type")), "name")
+    """Through a stored table, of which the second upsert rewrites the buckets it touches."""
+    held = upserts.Keyed(spark, scratch(spark, "nodes"), "name")
+    held.upsert(kg.graph_nodes(nodes(spark, d)).select("name", "type"))
+    held.upsert(table(spark, d, "nation").select(F.col("n_name").alias("name"), F.lit("NATION").alias("type")))
+    return held.read()
 
 
 @query(
@@ -213,9 +217,11 @@ def node_upsert(spark: SparkSession, d: str) -> DataFrame:
 SELECT * FROM new UNION ALL SELECT source, relation, target, round(weight, 6) AS weight FROM edges WHERE relation <> 'liên_quan'"""
 )
 def edge_upsert(spark: SparkSession, d: str) -> DataFrame:
-    old = edges(spark, d).select("source", "relation", "target", F.round("weight", 6).alias("weight"))
-    new = old.where("relation = 'liên_quan'").withColumn("weight", F.lit(1.0))
-    return kg.upsert(old, kg.known_edges(new, nodes(spark, d)).select("source", "relation", "target", "weight"), "source", "relation", "target")
+    held = upserts.Keyed(spark, scratch(spark, "edges"), "source", "relation", "target")
+    held.upsert(edges(spark, d).select("source", "relation", "target", F.round("weight", 6).alias("weight")))
+    new = held.read().where("relation = 'liên_quan'").withColumn("weight", F.lit(1.0))
+    held.upsert(kg.known_edges(new, nodes(spark, d)).select("source", "relation", "target", "weight"))
+    return held.read()
 
 
 @query(f"WITH {SEED_SQL} SELECT name, entity_type, frequency FROM nodes WHERE name IN (SELECT name FROM seed)")
@@ -232,27 +238,48 @@ def entity_relationships(spark: SparkSession, d: str) -> DataFrame:
 
 
 _NEIGHBORS = """, found AS (
-  SELECT DISTINCT near.seed, e.source, e.relation, e.target FROM near JOIN edges e ON e.source = near.here OR e.target = near.here
+  SELECT DISTINCT near.seed, e.source, e.relation, e.target, e.description, round(e.weight, 6) AS weight FROM near JOIN edges e ON e.source = near.here OR e.target = near.here
 )
-SELECT seed, source, relation, target FROM (SELECT *, row_number() OVER (PARTITION BY seed ORDER BY source, relation, target) AS r FROM found) WHERE r <= 50"""
+SELECT seed, source, relation, target, description, weight, r::INTEGER AS rank FROM (SELECT *, row_number() OVER (PARTITION BY seed ORDER BY source, relation, target) AS r FROM found) WHERE r <= 50"""
 
 
 @query(f"WITH {SEED_SQL}, near AS (SELECT name AS seed, name AS here FROM seed){_NEIGHBORS}")
 def neighbors_d1(spark: SparkSession, d: str) -> DataFrame:
-    return graph.neighbors(edges(spark, d), seeds(spark, d), 1).select("seed", "source", "relation", "target")
+    return graph.neighbors(edges(spark, d), seeds(spark, d), 1).withColumn("weight", F.round("weight", 6))
 
 
 @query(f"WITH {SEED_SQL}, near AS (SELECT name AS seed, name AS here FROM seed UNION SELECT name, other FROM seed JOIN inc ON here = name){_NEIGHBORS}")
 def neighbors_d2(spark: SparkSession, d: str) -> DataFrame:
-    return graph.neighbors(edges(spark, d), seeds(spark, d), 2).select("seed", "source", "relation", "target")
+    return graph.neighbors(edges(spark, d), seeds(spark, d), 2).withColumn("weight", F.round("weight", 6))
 
 
 _SUB_SQL = f"{SEED_SQL}, sub AS (SELECT name FROM seed UNION SELECT other FROM seed JOIN inc ON here = name)"
 
 
-@query(f"WITH {_SUB_SQL} SELECT source, target, relation FROM edges WHERE source IN (SELECT name FROM sub) AND target IN (SELECT name FROM sub)")
+@query(f"WITH {_SUB_SQL} SELECT source, target, relation, description, round(weight, 6) AS weight FROM edges WHERE source IN (SELECT name FROM sub) AND target IN (SELECT name FROM sub)")
 def subgraph_d1(spark: SparkSession, d: str) -> DataFrame:
-    return graph.subgraph_edges(nodes(spark, d), edges(spark, d), seeds(spark, d), 1).select("source", "target", "relation")
+    return graph.subgraph_edges(nodes(spark, d), edges(spark, d), seeds(spark, d), 1).select("source", "target", "relation", "description", F.round("weight", 6).alias("weight"))
+
+
+_SUB2_SQL = f"{_SUB_SQL}, sub2 AS (SELECT name FROM sub UNION SELECT other FROM sub JOIN inc ON here = name)"
+
+
+@query(f"WITH {_SUB2_SQL} SELECT source, target, relation, description, round(weight, 6) AS weight FROM edges WHERE source IN (SELECT name FROM sub2) AND target IN (SELECT name FROM sub2)")
+def subgraph_d2(spark: SparkSession, d: str) -> DataFrame:
+    return graph.subgraph_edges(nodes(spark, d), edges(spark, d), seeds(spark, d), 2).select("source", "target", "relation", "description", F.round("weight", 6).alias("weight"))
+
+
+@query(f"WITH {ENTITIES_SQL} SELECT name, chunk_idx // 1000 AS page, array_to_string(list_sort(list(DISTINCT chunk_idx)), ',') AS chunks FROM entities GROUP BY ALL")
+def entity_pages(spark: SparkSession, d: str) -> DataFrame:
+    return kg.entity_pages(kg.bridge(entities(spark, d))).select("name", "page", _list("chunks"))
+
+
+@query(
+    f"""WITH {ENTITIES_SQL}, p AS (SELECT name, chunk_idx // 1000 AS page, count(DISTINCT chunk_idx) AS n FROM entities GROUP BY ALL)
+SELECT name, count(*) AS pages, min(page) AS first_page, max(page) AS last_page, sum(n)::BIGINT AS n_chunks FROM p GROUP BY name"""
+)
+def entity_directory(spark: SparkSession, d: str) -> DataFrame:
+    return kg.page_directory(kg.entity_pages(kg.bridge(entities(spark, d))))
 
 
 @query(f"WITH {_SUB_SQL} SELECT name, entity_type FROM nodes WHERE name IN (SELECT name FROM sub)")

@@ -150,16 +150,25 @@ def hybrid_fusion(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     f"""WITH {EDGES_SQL}, {_FUSED}, ce AS (SELECT DISTINCT query_id, name FROM fused JOIN entities USING (chunk_idx)),
-cr AS (SELECT DISTINCT query_id, source, target FROM ce JOIN edges ON source = name OR target = name)
-SELECT item_id AS query_id, (SELECT count(*) FROM fused f WHERE f.query_id = item_id) AS num_chunks,
-  (SELECT count(*) FROM ce WHERE ce.query_id = item_id)::INTEGER AS num_entities, (SELECT count(*) FROM cr WHERE cr.query_id = item_id)::INTEGER AS num_relationships,
-  coalesce((SELECT string_agg('• ' || name, chr(10) ORDER BY name) FROM (SELECT name FROM ce WHERE ce.query_id = item_id ORDER BY name LIMIT 15)), '') AS entities
-FROM benchmark"""
+cr AS (SELECT query_id, source, target, min(struct_pack(relation := relation, description := description)) AS r FROM ce JOIN edges ON source = name OR target = name GROUP BY ALL),
+es2 AS (SELECT query_id, string_agg('• ' || name, chr(10) ORDER BY name) FILTER (i <= 15) AS names, count(*) AS n FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY name) AS i FROM ce) GROUP BY query_id),
+rs AS (SELECT query_id, string_agg(line, chr(10) ORDER BY line) AS lines, count(*) AS n FROM (
+  SELECT query_id, '• ' || source || ' --[' || r.relation || ']--> ' || target || CASE WHEN r.description <> '' THEN ' (' || r.description || ')' ELSE '' END AS line FROM cr) GROUP BY query_id),
+cs AS (SELECT query_id, string_agg('[Chunk ' || place || ']: ' || text, chr(10) ORDER BY place) AS texts, count(*) AS n FROM fused JOIN documents ON doc_id = chunk_idx GROUP BY query_id),
+said AS (
+  SELECT item_id AS query_id, text AS query, coalesce(cs.n, 0) AS num_chunks, coalesce(es2.n, 0)::INTEGER AS num_entities, coalesce(rs.n, 0)::INTEGER AS num_relationships, coalesce(names, '') AS entities,
+    '--- ENTITIES ---' || chr(10) || coalesce(names, '') || chr(10) || chr(10) || '--- RELATIONS ---' || chr(10) || coalesce(lines, '') || chr(10) || chr(10) || '--- CHUNKS ---' || chr(10) || coalesce(texts, '') AS context
+  FROM benchmark LEFT JOIN es2 ON es2.query_id = item_id LEFT JOIN rs ON rs.query_id = item_id LEFT JOIN cs ON cs.query_id = item_id
+)
+SELECT query_id, num_chunks, num_entities, num_relationships, entities, sha256(context) AS context_sha256,
+  sha256('Answer in one short paragraph, only from the context, with its legal basis. If the context does not say, answer: {hybrid.FALLBACK}' || chr(10) || chr(10) || context || chr(10) || chr(10) || 'Question: ' || query || chr(10) || 'Answer:') AS prompt_sha256
+FROM said"""
 )
 def hybrid_context(spark: SparkSession, d: str) -> DataFrame:
+    """Counts, the entities shown, and hashes of the whole context and the whole prompt."""
     bridge = cut(kg.bridge(entities(spark, d)))
     fused = cut(_fused(spark, d, bridge))
     names = cut(hybrid.context_entities(fused, bridge))
     out = hybrid.contexts(questions(spark, d), fused, chunks(spark, d), names, hybrid.context_relations(names, edges(spark, d)))
     shown = F.regexp_extract("context", r"(?s)^--- ENTITIES ---\n(.*?)\n\n--- RELATIONS ---", 1)
-    return out.select("query_id", "num_chunks", "num_entities", "num_relationships", shown.alias("entities"))
+    return out.select("query_id", "num_chunks", "num_entities", "num_relationships", shown.alias("entities"), F.sha2("context", 256).alias("context_sha256"), F.sha2("prompt", 256).alias("prompt_sha256"))

@@ -164,6 +164,26 @@ def flat_chunks(spark: SparkSession, d: str) -> DataFrame:
     return out.select("doc_id", F.posexplode("pieces").alias("piece", "content")).withColumn("tokens", T.n_tokens(F.col("content")))
 
 
+@query(
+    f"""WITH RECURSIVE {LEGAL_SQL}, {pieces_sql('legal', 'doc_id', chunking.MAX)} SELECT doc_id, (i - 1)::INTEGER AS no, parts[i] AS part FROM segments, unnest(range(1, len(parts) + 1)) AS t(i)
+UNION ALL SELECT doc_id, (i - 1)::INTEGER, parts[i] FROM (
+  SELECT -doc_id - 1 AS doc_id, CASE WHEN len(p2) > 1 THEN p2 WHEN len(p3) > 1 THEN p3 ELSE [content] END AS parts FROM (
+    SELECT doc_id, content, {_SHOWN("string_split(regexp_replace(content, '([.;:])\\s*\\n|\\s{2,}', '\\1' || chr(1), 'g'), chr(1))")} AS p2,
+      {_SHOWN("string_split(regexp_replace(content, '([.;])\\s+([A-ZÀ-ỸĐ-])', '\\1' || chr(1) || '\\2', 'g'), chr(1))")} AS p3 FROM (SELECT doc_id, replace(text, chr(10), ' | ') AS content FROM documents)
+  )), unnest(range(1, len(parts) + 1)) AS t(i)"""
+)
+def sentences(spark: SparkSession, d: str) -> DataFrame:
+    """Documents under headings, and (with ids below 0) documents without line breaks, so that the last ways to cut apply, too."""
+    plain = documents(spark, d).select((-F.col("doc_id") - 1).alias("doc_id"), F.regexp_replace("text", "\n", " | ").alias("content"))
+    parts = chunking.sentence_parts(legal(spark, d).unionByName(plain))
+    return parts.select("doc_id", F.posexplode("parts").alias("no", "part"))
+
+
+@query(f"WITH {UNITS_SQL} SELECT doc_id, unit_no, hierarchy_path FROM units WHERE content <> '' AND contains(lower(hierarchy_path), 'điều 2')")
+def path_search(spark: SparkSession, d: str) -> DataFrame:
+    return stats.path_matching(structure.units(legal(spark, d), ["doc_id"]), "Điều 2").select("doc_id", "unit_no", "hierarchy_path")
+
+
 @query(_pieces(chunking.TARGET))
 def oversized_split(spark: SparkSession, d: str) -> DataFrame:
     out = chunking.oversized_pieces(documents(spark, d), "text")

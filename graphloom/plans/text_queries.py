@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import markers, text as T
+from ..functions import markers, subwords, text as T
 from ..operators import stats
 from .base import LEGAL_SQL, STRIP, TOKENS, WORDS, chunks, documents, legal, query, questions, table
 
@@ -195,3 +195,14 @@ def prompt_render(spark: SparkSession, d: str) -> DataFrame:
 
     q = questions(spark, d).withColumn("p", entity_prompt(F.col("query")))
     return q.select("query_id", F.substring("p", 1, 4).alias("head"), F.length(F.element_at(F.split("p", "TEXT:\n", 2), 2)).alias("n"))
+
+
+#: A public vocabulary, one base64 piece and its rank in a line.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
+
+@query()
+def subword_tokens(spark: SparkSession, d: str, path: str = VOCABULARY) -> DataFrame:
+    """Tokens of each document under a public vocabulary, and as words."""
+    counter = subwords.SubwordCounter.of(subwords.vocabulary(spark, path))
+    return documents(spark, d).select("doc_id", subwords.n_subwords(F.col("text"), counter).alias("subwords"), T.n_tokens(F.col("text")).alias("words"))

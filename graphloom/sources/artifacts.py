@@ -10,7 +10,7 @@ from ..operators.structure import joined
 
 #: What a build writes; the vector table is partitioned by collection.
 TABLES = (
-    "chunks", "entities_raw", "relations_raw", "nodes", "edges", "bridge", "chunk_entities", "entity_to_chunks", "chunks_meta", "graph_nodes", "entity_names", "vectors", "meta",
+    "chunks", "entities_raw", "relations_raw", "nodes", "edges", "bridge", "chunk_entities", "entity_to_chunks", "entity_directory", "chunks_meta", "graph_nodes", "entity_names", "vectors", "meta",
 )
 
 
