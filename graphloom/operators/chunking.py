@@ -95,43 +95,50 @@ def split_at(s: str, count: Counter, n: int) -> tuple[str, str]:
     raise AssertionError
 
 
-def blocks(units: Sequence[dict], count: Counter, least: int = MIN, target: int = TARGET, most: int = MAX, tail: int = TAIL) -> list[dict]:
-    """Units gathered in order into blocks near the budget; a unit that overflows a small block is cut to fill it."""
-    out: list[dict] = []
-    held: list[tuple[str, dict, int]] = []
-
-    def emit(parts: list[tuple[str, dict, int]]) -> None:
-        if parts:
-            first, last = parts[0][1], parts[-1][1]
-            paths = dict.fromkeys(u["hierarchy_path"] for _, u, _ in parts if u["hierarchy_path"])
-            out.append(
-                {
-                    "content": "\n\n".join(p[0] for p in parts), "start_marker": first["marker"], "end_marker": last["marker"],
-                    "start_level": first["level"], "end_level": last["level"], "hierarchy_path": " | ".join(paths), "tokens": sum(p[2] for p in parts),
-                }
-            )
+#: A part of a block: its text, the unit it is of, its tokens.
+Part = tuple[str, dict, int]
+
+
+def _block(parts: Sequence[Part]) -> dict:
+    """The parts of one block as a row."""
+    (_, first, _), (_, last, _) = parts[0], parts[-1]
+    paths = dict.fromkeys(u["hierarchy_path"] for _, u, _ in parts if u["hierarchy_path"])
+    return {
+        "content": "\n\n".join(p[0] for p in parts), "start_marker": first["marker"], "end_marker": last["marker"],
+        "start_level": first["level"], "end_level": last["level"], "hierarchy_path": " | ".join(paths), "tokens": sum(p[2] for p in parts),
+    }
 
+
+def _placed(held: list[Part], unit: dict, count: Counter, least: int, target: int, most: int) -> list[list[Part]]:
+    """What one more unit makes of the open block: closed blocks, and at last the new open one.
+
+    The unit falls into shares, each with whether a block ends behind it; an open block takes the first share.
+    """
+    text, n, size = unit["content"], count(unit["content"]), sum(p[2] for p in held)
+    if n > most:  # a unit beyond all budgets stands in blocks of its own
+        shares = [("", True), *((piece, True) for piece in pack_text(text, count, target, most))]
+    elif size + n <= most:
+        shares = [(text, False)]
+    else:
+        # a block that is full enough takes nothing; a small one is filled up to its target, or to the limit if little is missing
+        room = 0 if size >= least else target - size if target - size >= 50 else most - size
+        head, rest = split_at(text, count, room) if room else ("", text)
+        shares = [(head, True), (rest, False)]
+    out = [list(held)]
+    for share, ends in shares:
+        if share.strip():
+            out[-1].append((share, unit, n if share is text else count(share)))
+        if ends:
+            out.append([])
+    return out
+
+
+def blocks(units: Sequence[dict], count: Counter, least: int = MIN, target: int = TARGET, most: int = MAX, tail: int = TAIL) -> list[dict]:
+    """Units gathered in order into blocks near the budget, as one fold over them; a small last block goes with the one before."""
+    made: list[list[Part]] = [[]]
     for unit in units:
-        content, n = unit["content"], count(unit["content"])
-        size = sum(h[2] for h in held)
-        if n > most:
-            emit(held)
-            held = []
-            for piece in pack_text(content, count, target, most):
-                emit([(piece, unit, count(piece))])
-        elif size + n <= most:
-            held.append((content, unit, n))
-        elif size >= least:
-            emit(held)
-            held = [(content, unit, n)]
-        else:
-            space = target - size if target - size >= 50 else most - size
-            first, rest = split_at(content, count, space)
-            if first.strip():
-                held.append((first, unit, count(first)))
-            emit(held)
-            held = [(rest, unit, count(rest))] if rest.strip() else []
-    emit(held)
+        made[-1:] = _placed(made[-1], unit, count, least, target, most)
+    out = [_block(parts) for parts in made if parts]
     if len(out) > 1 and out[-1]["tokens"] < tail:
         end = out.pop()
         out[-1] |= {"content": f"{out[-1]['content']}\n\n{end['content']}", "end_marker": end["end_marker"], "end_level": end["end_level"], "tokens": out[-1]["tokens"] + end["tokens"]}
