@@ -1,10 +1,10 @@
 """Exact top-k by inner product: dual-tree search over cover trees.
 
 Queries and candidates are indexed together. The trees' upper level is one net of centres, spread over
-a bounded sample of both by farthest-first choice, so that its first centres are a coarser net; each side uses as many as its
-number of vectors asks for. A vector belongs to the cell of the nearest
+a bounded sample of both by farthest-first choice, so that its first centres are a coarser net; each side uses as many as part the
+sample's clusters (``SPREAD``), and more if its number of vectors asks for it. A vector belongs to the cell of the nearest
 centre, a cell's covering radius is that of all its vectors, and large cells are dealt into parts. In a task,
-the queries of one part and the candidates of another become cover trees (each level's balls are ``1 / BASE`` as
+the cover trees of the queries of one part and of the candidates of another meet; each part's tree is built once (each level's balls are ``1 / BASE`` as
 wide as the one above; a ball too small to be worth a node stays among its parent's points). For balls with
 centres q, p and radii a, b no inner product is above q.p + a|p| + b|q| + ab; a pair of nodes, and so
 a pair of cells, is skipped where that is below the worst k-th score of the node's queries.
@@ -23,6 +23,7 @@ tables give no rows; other columns are not read.
 
 from __future__ import annotations
 
+import pickle
 from itertools import accumulate
 
 import numpy as np
@@ -39,6 +40,8 @@ LEAF, SMALL = 32, 3
 BLOCK = 2048
 #: Centres of the upper level, at most, and vectors they are chosen from.
 CELLS, SAMPLE = 256, 4096
+#: Cells are fine enough where their radius is this part of that of all vectors.
+SPREAD = 0.5
 #: Points scored at once.
 BATCH = 512
 
@@ -105,12 +108,12 @@ class Search:
     ``kth``: scores below which a query needs nothing. ``seen`` and ``skipped`` count pairs of nodes, ``scored`` pairs of vectors.
     """
 
-    def __init__(self, q: np.ndarray, p: np.ndarray, q_ids: np.ndarray, p_ids: np.ndarray, k: int, kth: np.ndarray | None = None):
+    def __init__(self, q: np.ndarray, p: np.ndarray, q_ids: np.ndarray, p_ids: np.ndarray, k: int, kth: np.ndarray | None = None, a: Tree | None = None, b: Tree | None = None):
         self.q, self.p, self.q_ids, self.p_ids, self.k = q, p, q_ids, p_ids, k
         self.kth = np.full(len(q), -np.inf) if kth is None else kth.astype(float)
         self.best: list[list[tuple[int, int]]] = [[] for _ in q_ids]
         self.seen = self.skipped = self.scored = 0
-        self.a, self.b = Tree(q), Tree(p)
+        self.a, self.b = a or Tree(q), b or Tree(p)
         work = [(0, np.zeros(1, np.int64))]
         while work:
             i, nodes = work.pop()
@@ -176,6 +179,22 @@ def net(x: np.ndarray, most: int) -> np.ndarray:
     return x[chosen]
 
 
+def spread_cells(x: np.ndarray, centres: np.ndarray) -> int | None:
+    """After how many of the centres all of x lie within SPREAD times the distance to the first one alone; None if not before the last.
+
+    Below that many a ball may span several clusters, and no bound can part them; where more do not
+    narrow the balls either, finer cells skip nothing.
+    """
+    far = np.full(len(x), np.inf)
+    for i, c in enumerate(centres):
+        far = np.minimum(far, np.sqrt(((x - c) ** 2).sum(axis=1)))
+        if i == 0:
+            whole = far.max(initial=0)
+        if far.max(initial=0) <= SPREAD * whole:
+            return i + 1
+    return None
+
+
 def _rows(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
     """Vectors of an Arrow list column as rows, filled up with zeros."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
@@ -208,14 +227,35 @@ _FOUND = [("query_id", pa.int64()), ("qh", pa.int64()), ("vec_id", pa.int64()),
 _FOUND_DDL = "query_id long, qh long, vec_id long, score long"
 
 
+_PART = "cell int, part int, a array<long>, b array<long>, x binary, tree binary"
+
+
+def _planted(width: int, a: str, b: str):
+    """The vectors of a part as one row, with their tree: it is built once, however many parts it meets."""
+    def run(table: pa.Table) -> pa.Table:
+        x = _rows(table.column("v"), width)
+        ids = [pa.array([table.column(c).to_pylist()], pa.list_(pa.int64())) for c in (a, b)]
+        cell, part = (pa.array([table.column(c)[0].as_py()], pa.int32()) for c in ("cell", "part"))
+        return pa.table([cell, part, *ids, pa.array([x.tobytes()], pa.binary()), pa.array([pickle.dumps(Tree(x))], pa.binary())], names=["cell", "part", "a", "b", "x", "tree"])
+
+    return run
+
+
+def _parts(rows: DataFrame, level: _Level, width: int, a: str, b: str, *key: str) -> DataFrame:
+    """(cell, part, a, b, x, tree): ids, vectors and tree of each part, written once."""
+    return stage(rows.withColumn("part", level.part(*key)).groupBy("cell", "part").applyInArrow(_planted(width, a, b), _PART))
+
+
 def _search(k: int, width: int):
     def run(queries: pa.Table, block: pa.Table) -> pa.Table:
         if not queries.num_rows or not block.num_rows:
             return pa.schema(_FOUND).empty_table()
-        q, p = _rows(queries.column("v"), width), _rows(block.column("v"), width)
-        q_ids, qh = queries.column("query_id").to_numpy(), queries.column("qh").to_numpy()
-        kth = queries.column("kth").to_numpy()
-        best = Search(q, p, q_ids, block.column("vec_id").to_numpy(), k, kth).best
+        one, two = queries.to_pylist()[0], block.to_pylist()[0]
+        q, p = (np.frombuffer(r["x"]).reshape(-1, width) for r in (one, two))
+        q_ids, qh = np.array(one["a"], np.int64), np.array(one["b"], np.int64)
+        known = {(r["query_id"], r["qh"]): r["kth"] for r in one["worst"] or []}
+        kth = np.array([known.get(key, -np.inf) for key in zip(one["a"], one["b"])])
+        best = Search(q, p, q_ids, np.array(two["a"], np.int64), k, kth, pickle.loads(one["tree"]), pickle.loads(two["tree"])).best
         n = [len(b) for b in best]
         flat = [pair for b in best for pair in b]
         return pa.table([np.repeat(q_ids, n), np.repeat(qh, n), [x[1] for x in flat], [x[0] for x in flat]], schema=pa.schema(_FOUND))
@@ -250,15 +290,15 @@ class _Level:
 
 
 def _visit(q: DataFrame, p: DataFrame, pairs: np.ndarray, of_q: _Level, of_p: _Level, k: int, width: int) -> DataFrame:
-    """The best k of each query in each part of the cells paired with its own."""
+    """The best k of each query in each part of the cells paired with its own; q, p: parts, q's with the k-th scores known, ``worst``."""
     spark = q.sparkSession
     # at most CELLS**2 rows of two numbers
     table = F.broadcast(spark.createDataFrame([(int(i), int(j)) for i, j in np.argwhere(pairs)], "qc int, pc int"))
     every = lambda level, cell: F.explode(F.sequence(F.lit(0), level.all_parts(F.col(cell)) - 1))
     key = ["qc", "qp", "pc", "pp"]
-    left = q.withColumn("qp", of_q.part("query_id", "qh")).withColumnRenamed("cell", "qc").join(table, "qc").withColumn("pp", every(of_p, "pc"))
-    right = p.withColumn("pp", of_p.part("vec_id", "h", "copy")).withColumnRenamed("cell", "pc").join(table, "pc").withColumn("qp", every(of_q, "qc"))
-    left, right = left.select(*key, "query_id", "qh", "v", "kth"), right.select(*key, "vec_id", "v")
+    left = q.withColumnsRenamed({"cell": "qc", "part": "qp"}).join(table, "qc").withColumn("pp", every(of_p, "pc"))
+    right = p.withColumnsRenamed({"cell": "pc", "part": "pp"}).join(table, "pc").withColumn("qp", every(of_q, "qc"))
+    left, right = left.select(*key, "a", "b", "x", "tree", "worst"), right.select(*key, "a", "x", "tree")
     return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_search(k, width), _FOUND_DDL)
 
 
@@ -279,7 +319,9 @@ def top_k(queries: DataFrame, base: DataFrame, k: int = 20) -> DataFrame:
     sample = [np.pad(np.array(r["v"], float), (0, width - len(r["v"]))) for r in some]
     centres = net(np.array(sample).reshape(-1, width), CELLS)
     centres = centres if len(centres) else np.zeros((1, width))
-    of_queries, of_base = (centres[: max(1, -(-rows // (BLOCK // 2)))] for rows in (n_q, n - n_q))
+    # as many cells as part the sample's clusters, if it has any; and as many as the number of vectors asks for
+    apart = spread_cells(np.array(sample).reshape(-1, width), centres) or 1
+    of_queries, of_base = (centres[: max(apart, -(-rows // (BLOCK // 2)))] for rows in (n_q, n - n_q))
     # Of vectors that are all alike only the k + 1 least ids can be among anyone's best k, and of one such row only k copies
     alike = Window.partitionBy("h", "v").orderBy("vec_id")
     rows = base.withColumn("h", F.xxhash64("v")).groupBy("vec_id", "h", "v").agg(F.least(F.count("*"), F.lit(k)).cast("int").alias("copies"))
@@ -292,7 +334,9 @@ def top_k(queries: DataFrame, base: DataFrame, k: int = 20) -> DataFrame:
     asked = (of_q.size > 0)[:, None] & (of_p.size > 0)
     early = first_pairs(bound, of_p.size, 4 * (k + 1)) & asked
     nothing = F.lit(float("-inf"))
-    found = stage(_ranked(_visit(q.withColumn("kth", nothing), p, early, of_q, of_p, k, width), k))
+    q_parts, p_parts = _parts(q, of_q, width, "query_id", "qh", "query_id", "qh"), _parts(p, of_p, width, "vec_id", "h", "vec_id", "h", "copy")
+    worst_of = "array<struct<query_id:bigint,qh:bigint,kth:double>>"
+    found = stage(_ranked(_visit(q_parts.withColumn("worst", F.lit(None).cast(worst_of)), p_parts, early, of_q, of_p, k, width), k))
     kth = found.where(F.col("rank") == k).select("query_id", "qh", F.col("score").cast("double").alias("kth"))
     q = q.join(kth, ["query_id", "qh"], "left").withColumn("kth", F.coalesce("kth", nothing))
     worst = np.full(len(of_queries), np.inf)
@@ -300,7 +344,9 @@ def top_k(queries: DataFrame, base: DataFrame, k: int = 20) -> DataFrame:
         worst[r["cell"]] = r["kth"]
     late = asked & ~early & (bound >= worst[:, None])
     if late.any():
+        told = q.withColumn("part", of_q.part("query_id", "qh")).groupBy("cell", "part").agg(F.collect_list(F.struct("query_id", "qh", "kth")).alias("worst"))
+        known = q_parts.join(told, ["cell", "part"])
         # keys are written as new expressions: a union that takes its parts for equally partitioned can fail once AQE has coalesced one of them
-        parts = [d.select((F.col("query_id") + 0).alias("query_id"), (F.col("qh") + 0).alias("qh"), "vec_id", "score") for d in (found, _visit(q, p, late, of_q, of_p, k, width))]
+        parts = [d.select((F.col("query_id") + 0).alias("query_id"), (F.col("qh") + 0).alias("qh"), "vec_id", "score") for d in (found, _visit(known, p_parts, late, of_q, of_p, k, width))]
         found = _ranked(parts[0].union(parts[1]), k)
     return found.select("query_id", "rank", "vec_id", "score")

@@ -183,6 +183,22 @@ def test_cells_out_of_reach_are_not_visited(spark, monkeypatch):
     assert sum(int(v.sum()) for v in visited) < 0.5 * visited[0].size
 
 
+@pytest.mark.parametrize("asked", [100, 1000])
+def test_few_queries_prune_cells_at_the_default_constants(spark, monkeypatch, asked):
+    visited, visit = [], topk._visit
+    monkeypatch.setattr(topk, "_visit", lambda q, p, pairs, *rest: visited.append(pairs) or visit(q, p, pairs, *rest))
+    x = clusters(np.random.default_rng(6), 20_000, seeds=20)
+    v = spark.createDataFrame([(i, r) for i, r in enumerate(x.tolist())], "vec_id long, v array<long>")
+    got = {}
+    for r in topk.top_k(v.where(F.col("vec_id") % (20_000 // asked) == 0).withColumnRenamed("vec_id", "query_id"), v, 5).collect():
+        got.setdefault(r["query_id"], []).append((-r["score"], r["vec_id"]))
+    assert visited[0].size >= 200 and sum(int(m.sum()) for m in visited) < 0.5 * visited[0].size
+    for i in range(0, 20_000, 1000):
+        s = x @ x[i]
+        want = sorted((-int(s[j]), j) for j in np.argpartition(-s, 8)[:12] if j != i)[:5]
+        assert sorted(got[i]) == want
+
+
 def test_topk_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.5]), (20, [0.25, -0.5]), (20, [0.25, -0.5]), (1, None), (2, [None, 1.0]), (3, [nan, 1.0]), (4, [inf, 0.0]), (5, [1.0]), (None, [1.0, 1.0]), (6, [])]
