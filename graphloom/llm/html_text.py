@@ -8,8 +8,10 @@ blank line around paragraphs, headings, lists and tables, one newline around oth
 list items with their bullets or numbers and indented by nesting, and table cells in aligned columns, with
 cells that span columns or rows and cells of several lines in their places.
 
-Parameters: a cell wider than ``widest`` characters does not widen its column, so what
-follows it in its row is shifted; lines are not indented by more than ``MOST_INDENT`` columns. Neither loses text.
+Cells are aligned whatever their width (``widest`` can bound what widens a column). Where the padding of a table, with that of the tables in it, would
+come to more than ``MOST_PADDING`` times its text, its cells stand one under the other, so a page's text is bounded by a multiple of
+what it says; lines are not indented by more than ``MOST_INDENT`` columns; a row minds ``MOST_SPANNED`` cells that reach down into it. None of this loses text. What is laid out once
+is shared by the tables around it, not laid out again.
 
 Defined results: null html gives null text, empty or invisible html an empty text;
 broken markup is never an error (unknown or unclosed tags, stray ends, a lone < are text or ignored as
@@ -22,6 +24,9 @@ from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_left
+from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -50,7 +55,12 @@ IMPLIED = {
 }
 #: An end tag does not reach beyond these.
 SCOPE = frozenset(("table", "td", "th", "caption", "html"))
-WIDEST = 40
+#: A cell wider than this does not widen its column; None: every cell does.
+WIDEST: int | None = None
+#: A table's lines have so many characters for each of its text at most; beyond, its cells stand one under the other.
+MOST_PADDING = 8
+#: Cells that reach into rows below, kept in mind at once; beyond, a cell is taken to end in its row.
+MOST_SPANNED = 256
 MOST_INDENT = 80
 #: A cell spans so many rows or columns at most, as in browsers.
 MOST_SPAN = 1000
@@ -65,11 +75,58 @@ _VISIBILITY = re.compile(r"(?<![\w-])visibility\s*:\s*([\w-]+)", re.I)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
+class _Block:
+    """Laid-out lines: strings, and parts of other blocks with an indent, which are shared and not copied.
+
+    ``height`` counts lines, ``width`` bounds their lengths, ``size`` their sum, and ``text`` counts what is no padding.
+    """
+
+    __slots__ = ("items", "height", "width", "size", "text")
+
+    def __init__(self, text: int = 0):
+        self.items: list = []
+        self.height = self.width = self.size = 0
+        self.text = text
+
+    def add(self, line: str) -> None:
+        self.items.append(line)
+        self.height, self.width, self.size = self.height + 1, max(self.width, len(line)), self.size + len(line)
+
+    def put(self, indent: int, block: _Block, lo: int, hi: int) -> None:
+        """Lines lo to hi (exclusive) of another block."""
+        self.items.append((indent, block, lo, hi))
+        self.height, self.width = self.height + hi - lo, max(self.width, indent + block.width)
+        self.size += indent * (hi - lo) + (block.size if hi - lo == block.height else block.size * (hi - lo) // block.height)
+
+    def lines(self, lo: int = 0, hi: int | None = None) -> Iterator[str]:
+        """Lines lo to hi, without recursion: a frame is a block, its next item, lines to skip, lines to give, and its indent."""
+        stack = [[self, 0, lo, (self.height if hi is None else hi) - lo, 0]]
+        while stack:
+            frame = stack[-1]
+            block, at, skip, left, indent = frame
+            if left <= 0 or at == len(block.items):
+                stack.pop()
+                continue
+            item, frame[1] = block.items[at], at + 1
+            n = 1 if isinstance(item, str) else item[3] - item[2]
+            if skip >= n:
+                frame[2] = skip - n
+                continue
+            taken = min(n - skip, left)
+            frame[2], frame[3] = 0, left - taken
+            if isinstance(item, str):
+                yield " " * indent + item
+            else:
+                if frame[3] <= 0 or frame[1] == len(block.items):
+                    stack.pop()  # nothing follows: a chain of blocks within blocks stays one frame deep
+                stack.append([item[1], 0, item[2] + skip, taken, indent + item[0]])
+
+
 class _Sink:
     """Lines of text being laid out."""
 
     def __init__(self) -> None:
-        self.lines: list[str] = []
+        self.lines: list = []  # strings, and (indent, block)
         self.line: list[str] = []
         self.gap = 0  # blank lines owed before the next text
         self.space = False  # a collapsed space owed
@@ -125,9 +182,30 @@ class _Sink:
         self.end_line()
         self.gap = max(self.gap, blank)
 
+    def block(self, indent: int, block: _Block) -> None:
+        """Lines that are laid out already."""
+        self.end_line()
+        if self.lines:
+            self.lines += [""] * self.gap
+        self.gap = 0
+        self.lines.append((min(indent, MOST_INDENT), block))
+
     def done(self) -> str:
         self.end_line()
-        return "\n".join(self.lines)
+        return "\n".join(line for item in self.lines for line in ([item] if isinstance(item, str) else (" " * item[0] + x for x in item[1].lines())))
+
+    def shown(self) -> _Block:
+        """All lines that are not blank."""
+        self.end_line()
+        out = _Block()
+        for item in self.lines:
+            if not isinstance(item, str):
+                out.put(item[0], item[1], 0, item[1].height)
+                out.text += item[1].text
+            elif item.strip():
+                out.add(item)
+                out.text += len(item)
+        return out
 
 
 class _Open:
@@ -148,47 +226,60 @@ def _number(s: str, most: int) -> int:
     return max(1, min(most, int(s))) if s.isdecimal() and len(s) < 9 else 1
 
 
-def _grid(rows: list[list[tuple[list[str], int, int]]]) -> list[dict[int, tuple[list[str], int]]]:
-    """Rows of cells (lines, columns, rows spanned) -> for each row, {column: (lines, columns spanned)}."""
-    out, taken = [], {}  # taken: column -> rows it is still covered from above
+def _grid(rows: list[list[tuple[_Block, int, int]]]) -> list[list[tuple[int, _Block, int]]]:
+    """Rows of cells (block, columns, rows spanned) -> for each row, its cells as (column, block, columns spanned)."""
+    out: list[list[tuple[int, _Block, int]]] = []
+    spans: list[tuple[int, int, int]] = []  # (first column, column behind, rows left) covered from above, in order
     for row in rows:
-        placed, at = {}, 0
-        held = dict(taken)
-        taken = {c: n - 1 for c, n in held.items() if n > 1}
-        for lines, columns, down in row:
-            while at in held:
-                at += 1
-            placed[at] = (lines, columns)
-            if down > 1:
-                taken |= dict.fromkeys(range(at, at + columns), down - 1)
+        placed, at, above = [], 0, iter(spans)
+        gap = next(above, None)
+        new = []
+        for block, columns, down in row:
+            while gap and gap[0] <= at:
+                at, gap = max(at, gap[1]), next(above, None)
+            placed.append((at, block, columns))
+            if down > 1 and len(spans) + len(new) < MOST_SPANNED:
+                new.append((at, at + columns, down - 1))
             at += columns
         out.append(placed)
+        spans = sorted([(lo, hi, n - 1) for lo, hi, n in spans if n > 1] + new)
     return out
 
 
-def _aligned(rows: list[list[tuple[list[str], int, int]]], widest: int) -> list[str]:
-    """The table's lines, columns padded to their widest cell, up to ``widest``."""
+def _aligned(rows: list[list[tuple[_Block, int, int]]], widest: int | None) -> _Block:
+    """The table's lines: columns padded to their widest cell; cells one under the other where padding would outgrow the text."""
     grid = _grid(rows)
     widths: dict[int, int] = {}
     for row in grid:
-        for at, (lines, columns) in row.items():
-            width = max(map(len, lines), default=0)
-            if columns == 1 and width <= widest:
-                widths[at] = max(widths.get(at, 0), width)
-    starts, x = {}, 0
-    for at in range(max((c + n for row in grid for c, (_, n) in row.items()), default=0)):
-        starts[at] = x
-        x += widths.get(at, 0) + 2
-    out = []
+        for at, block, columns in row:
+            if columns == 1 and block.height and (widest is None or block.width <= widest):
+                widths[at] = max(widths.get(at, 0), block.width)
+    # a column without text has no width, however many columns a cell spans
+    used = sorted(widths)
+    ends = list(accumulate((widths[c] + 2 for c in used), initial=0))
+    start = lambda at: ends[bisect_left(used, at)]
+    text = sum(b.text for row in grid for _, b, _ in row)
+    size = sum(b.size + start(at) * b.height for row in grid for at, b, _ in row)
+    out = _Block(text)
+    side_by_side = size <= MOST_PADDING * text + 200
     for row in grid:
-        for i in range(max((len(lines) for lines, _ in row.values()), default=0)):
+        cells = [(start(at) if side_by_side else 0, b) for at, b, _ in row if b.height]
+        heights = sorted((b.height for _, b in cells), reverse=True)
+        both = heights[1] if len(heights) > 1 else 0  # so many lines have several cells
+        if not side_by_side and both > 1:
+            for _, b in cells:
+                out.put(0, b, 0, b.height)
+            continue
+        texts = [b.lines(0, both) for _, b in cells]
+        for _ in range(both):
             line = ""
-            for at, (lines, _) in sorted(row.items()):
-                cell = lines[i] if i < len(lines) else ""
-                if cell:
-                    line = (line + "  " if len(line) > starts[at] - 2 and line else line).ljust(starts[at]) + cell
-            if line:
-                out.append(line.rstrip())
+            for (x, _), t in zip(cells, texts):
+                if cell := next(t, ""):
+                    line = (line + "  " if len(line) > x - 2 and line else line).ljust(x) + cell
+            out.add(line.rstrip())
+        for x, b in cells:
+            if b.height > both:
+                out.put(x, b, both, b.height)
     return out
 
 
@@ -198,7 +289,7 @@ class Page:
     ``places`` holds for each tag where it stands open in the stack, innermost last, so that no search goes through the stack.
     """
 
-    def __init__(self, widest: int = WIDEST) -> None:
+    def __init__(self, widest: int | None = WIDEST) -> None:
         self.widest = widest
         self.stack: list[_Open] = [_Open("html", False, False, False, 0)]
         self.places: dict[str, list[int]] = {"html": [0]}
@@ -329,21 +420,21 @@ class Page:
             return
         if e.sink is not None:
             self.sinks.pop()
-            lines = [line for line in e.sink.done().split("\n") if line.strip()]
+            block = e.sink.shown()
             if e.tag == "caption":
                 self.sinks[-1].margin(0)
-                self.sinks[-1].exact("\n".join(lines), e.indent)
+                if block.height:
+                    self.sinks[-1].block(e.indent, block)
                 self.sinks[-1].margin(0)
             elif self.tables and self.tables[-1].rows:
-                self.tables[-1].rows[-1].append((lines, *e.span))
+                self.tables[-1].rows[-1].append((block, *e.span))
             else:
-                self.sinks[-1].text(" ".join(lines) + " ", self.stack[-1].indent)
+                self.sinks[-1].text(" ".join(block.lines()) + " ", self.stack[-1].indent)
         elif e.rows is not None:
             self.tables.pop()
-            sink = self.sinks[-1]
-            for line in _aligned(e.rows, self.widest):
-                sink.exact(line, e.indent)
-                sink.end_line()
+            sink, block = self.sinks[-1], _aligned(e.rows, self.widest)
+            if block.height:
+                sink.block(e.indent, block)
             sink.margin(1)
         elif e.tag == "li":
             self.sinks[-1].end_line()
@@ -352,12 +443,12 @@ class Page:
             self.sinks[-1].margin(0 if nested else int(e.tag in SPACED))
 
 
-def render(html: str | None, widest: int = WIDEST) -> str | None:
+def render(html: str | None, widest: int | None = WIDEST) -> str | None:
     """The visible text of a page."""
     return None if html is None else Page(widest).render(html)
 
 
-def _render(widest: int):
+def _render(widest: int | None):
     def run(batches):
         for batch in batches:
             text = [render(h, widest) for h in batch.column("html").to_pylist()]
@@ -366,7 +457,7 @@ def _render(widest: int):
     return run
 
 
-def extract_text(pages: DataFrame, widest: int = WIDEST) -> DataFrame:
+def extract_text(pages: DataFrame, widest: int | None = WIDEST) -> DataFrame:
     """``pages`` with ``_text``, what ``html`` shows."""
     pages = pages.drop("_text")
     return pages.mapInArrow(_render(widest), StructType([*pages.schema.fields]).add("_text", "string"))

@@ -133,13 +133,17 @@ def test_media_odd_rows(spark):
         ("<div style='display:none'><b style='visibility:visible'>no</b></div>a", "a"),
         ("<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>", "a  b\n   c\nd  e"),
         ("<table><tr><td>one<br>two<td>x<tr><td><ul><li>p<li>q</ul><td>y</table>", "one  x\ntwo\n- p  y\n- q"),
-        ("<table><tr><td>" + "w" * 50 + "<td>x<tr><td>a<td>b</table>", "w" * 50 + "  x\na  b" if False else "w" * 50 + "  x\n" + "a  b"),
+        ("<table><tr><td>" + "w" * 50 + "<td>x<tr><td>a<td>b</table>", "w" * 50 + "  x\n" + "a".ljust(52) + "b"),
     ],
 )
 def test_layout(html, text):
     assert render(html) == text
 
 
+def test_what_widens_a_column_can_be_bounded():
+    assert html_text.render("<table><tr><td>" + "w" * 50 + "<td>x<tr><td>a<td>b</table>", 40) == "w" * 50 + "  x\na  b"
+
+
 def test_pages_show_every_visible_word(spark):
     """The words in order, against the standard library's parser without any layout."""
 
@@ -317,3 +321,34 @@ def test_pipeline_runs_and_keeps_clean_documents(spark):
     kept = corpus_pipeline.drop_toxic(spark, docs, SF)
     clean = docs.join(labels.where("toxic = 0"), "doc_id")
     assert kept.join(clean, "doc_id", "left_semi").count() >= 0.95 * clean.count()
+
+
+HOSTILE = {
+    "nested": lambda n: "<table><tr><td>x" * n,
+    "two columns": lambda n: "<table><tr><td>a</td><td>x" * n,
+    "deep first": lambda n: "<table><tr><td>" * n + "x</td><td>y</td></tr></table>" * n,
+    "column spans": lambda n: "<table>" + "<tr>" + "<td colspan=1000>x" * n,
+    "row spans": lambda n: "<table>" + ("<tr>" + "<td rowspan=1000>x" * 4) * n,
+    "diagonal": lambda n: "<table>" + "".join(f"<tr><td colspan={i % 1000 + 1}></td><td>x</td></tr>" for i in range(n)),
+    "both spans": lambda n: "<table>" + "<tr><td rowspan=900 colspan=900>x</td><td>y" * n,
+}
+
+
+@pytest.mark.parametrize("kind", HOSTILE)
+def test_tables_of_any_nesting_and_spans_are_laid_out_once_and_in_bounds(kind):
+    import time
+
+    began = time.process_time()
+    page = HOSTILE[kind](8000)
+    text = html_text.render(page)
+    assert time.process_time() - began < 4 and len(text) <= 12 * 8000 * 4
+    said = sum(c.isalpha() for c in re.sub("<[^>]*>", "", page))
+    assert sum(c.isalpha() for c in text) == said
+
+
+def test_wide_cells_align_and_empty_columns_take_no_room():
+    wide = "w" * 60
+    assert html_text.render(f"<table><tr><td>{wide}<td>b<tr><td>a<td>c</table>") == f"{wide}  b\na" + " " * 61 + "c"
+    assert html_text.render("<table><tr><td>a<td colspan=500><td>b<tr><td>cc<td colspan=500><td>d</table>") == "a   b\ncc  d"
+    inner = "<table><tr><td>1<td>2<tr><td>33<td>4</table>"
+    assert html_text.render(f"<table><tr><td>{inner}<td>x<br>y<br>z<tr><td>w<td>v</table>") == "1   2  x\n33  4  y\n       z\nw      v"
