@@ -90,14 +90,32 @@ def store_maps(spark: SparkSession, path: str, weights: DataFrame, shards: int,
     save_map(rebalance(load_map(spark, path, 2), weights, shards + 1), path)
 
 
-def assign_shards(docs: DataFrame, shards: int = 16, slots: int = SLOTS) -> DataFrame:
+def edit_maps(spark: SparkSession, path: str, weights: DataFrame, shards: int, slots: int) -> int:
+    """Stores a map and its next two versions, or, where one is stored already, the next two versions after its last; gives the number of the first of the three."""
+    if not stored(spark, path):
+        store_maps(spark, path, weights, shards, slots)
+        return 1
+    last = load_map(spark, path)
+    version, owned = last.agg(F.max("version"), F.max("shard") + 1).first()
+    save_map(grow_map(last, owned), path)
+    save_map(rebalance(load_map(spark, path, version + 1), weights, owned + 1), path)
+    return version
+
+
+def stored(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def assign_shards(docs: DataFrame, shards: int = 16, slots: int = SLOTS, path: str | None = None) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard, vslot, slot_bytes, balanced_shard for each row of ``docs``.
 
     Shards are read from the stored map: ``shard`` from its first version, ``grown_shard`` from the second, which has one more, and
     ``balanced_shard`` from the third, in which slots have moved by their bytes. ``slot`` numbers a shard's rows from 0 without gaps: the
     shard's virtual slots in order, each in ``PARTS`` parts. Both counts and numbers come from rows that are
     added up by content first, and the table of offsets has at most
-    ``slots * PARTS`` rows, which is what is broadcast.
+    ``slots * PARTS`` rows, which is what is broadcast. ``path`` is where the map is kept (a scratch folder if none is given); one
+    that is there already is edited: its last version is rebalanced by these documents' bytes, and its shards are those of that version.
     """
     spark = docs.sparkSession
     rows = docs.select(
@@ -105,11 +123,11 @@ def assign_shards(docs: DataFrame, shards: int = 16, slots: int = SLOTS) -> Data
     ).withColumn("vslot", slot_of(F.col("doc_id"), slots))
     rows = rows.withColumn("part", F.pmod(F.xxhash64("text_crc32", "size"), F.lit(PARTS)).cast("int"))
     units = stage(rows.groupBy("vslot", "part", "doc_id", "size", "text_crc32").agg(F.count("*").alias("m")))
-    path = scratch(spark, "slot-map")
-    weights = stage(slot_bytes(units).coalesce(1))
-    store_maps(spark, path, weights, shards, slots)
-    owners = load_map(spark, path, 1).select("vslot", "shard")
-    for version, name in ((2, "grown_shard"), (3, "balanced_shard")):
+    path = path or scratch(spark, "slot-map")
+    weights = stage(slot_bytes(units))
+    first = edit_maps(spark, path, weights, shards, slots)
+    owners = load_map(spark, path, first).select("vslot", "shard")
+    for version, name in ((first + 1, "grown_shard"), (first + 2, "balanced_shard")):
         owners = owners.join(F.broadcast(load_map(spark, path, version).select("vslot", F.col("shard").alias(name))), "vslot")
     owners = owners.join(F.broadcast(weights.select("vslot", F.col("bytes").alias("slot_bytes"))), "vslot")
     counts = units.groupBy("vslot", "part").agg(F.sum("m").alias("rows"))
