@@ -6,8 +6,9 @@ between two documents, at random but without bias, until one of them is
 integral, and the other goes on. Mass is counted in words, so each source's
 taken words equal its target but for one last document. Leaves of about
 ``FAN`` documents are folded first, their residuals meet ``FAN`` at a time in a
-tree, and the one residual a source is left with at its root goes to the nearer
-whole number.
+tree. The one residual a source is left with at its root is rounded. As that residual tends to be a large document, what its rounding adds or takes is settled against smaller documents that are
+decided already: of ``POOL`` of the source's, chosen by hash, the largest that still fit change sides, and the residual goes to that whole number
+that is made up for better.
 
 Defined results: a null text or one without words has size 0 and takes 0 words;
 a null source is a source of its own, last in order; rows that agree in
@@ -29,6 +30,8 @@ FAN = 64
 CAP = 3.0
 WEIGHTS = (1.0, 2.0, 3.0)
 SEED = 20240517
+#: Decided documents of a source that its last rounding may be settled against.
+POOL = 512
 
 UNIT = "struct<s:bigint,k:bigint,id:bigint,m:bigint,base:bigint,f:double>"
 
@@ -113,19 +116,44 @@ def round_copies(docs: DataFrame, weights: Sequence[float] = WEIGHTS, cap: float
         decided.append(rows.where("x is not null"))
         rest = rows.where("x is null")
         if spread <= 1:
-            decided.append(rest.withColumn("x", (F.col("u.f") >= 0.5).cast("int")))
+            roots = rest.withColumn("x", (F.col("u.f") >= 0.5).cast("int"))
+            decided.append(roots)
             break
         level = rest.select(*keys, F.floor(F.col("leaf") / FAN).alias("leaf"), F.col("u").alias("unit"))
         spread, depth = -(-spread // FAN), depth + 1
     out = decided[0]
     for more in decided[1:]:
         out = out.unionByName(more)
-    return out.select(
+    return _settled(out, roots, cap).select(
         F.col("u.id").alias("doc_id"), "source", F.col("u.k").alias("k"), F.when(F.col("void"), 0).otherwise(F.col("u.s")).cast("long").alias("size"),
         "source_size", "target", F.col("u.m").alias("m"), (F.col("u.base") + F.col("x")).alias("total"),
     )
 
 
+def _settled(decided: DataFrame, roots: DataFrame, cap: float) -> DataFrame:
+    """``decided``, where documents of each source change sides to make up for what the rounding at its root adds or takes.
+
+    The root is rounded down or up, whichever can be made up for better.
+    """
+    ways = F.array(F.struct(F.lit(0).alias("way"), (F.col("u.f") * F.col("u.s")).alias("off")), F.struct(F.lit(1).alias("way"), ((F.col("u.f") - 1) * F.col("u.s")).alias("off")))
+    off = roots.where("not void").select(F.col("source").alias("o_source"), F.col("u.k").alias("o_k"), F.col("x").alias("now"), F.inline(ways))
+    some = decided.where("not void").join(off, F.col("source").eqNullSafe(F.col("o_source")) & (F.col("u.k") != F.col("o_k")) & (F.col("u.s") <= F.abs("off")))
+    more = (F.col("off") > 0) & (F.col("x") == 0) & (F.col("u.base") + 1 <= F.lit(float(cap)) * F.col("u.m"))
+    order = Window.partitionBy("o_source", "way").orderBy(F.xxhash64("u.k", F.lit(SEED)), "u.k")
+    some = some.where(more | (F.col("off") < 0) & (F.col("x") == 1)).select("o_source", "way", "off", F.struct("u.s", "u.k").alias("c"), F.row_number().over(order).alias("r")).where(F.col("r") <= POOL)
+    pools = some.groupBy("o_source", "way").agg(F.first(F.abs("off")).alias("off"), F.sort_array(F.collect_list("c"), asc=False).alias("pool"))
+    fits = """aggregate(pool, named_struct('left', off, 'ks', cast(array() as array<bigint>)),
+      (acc, c) -> if(c.s <= acc.left, named_struct('left', acc.left - c.s, 'ks', array_append(acc.ks, c.k)), acc))"""
+    pools = pools.select(F.col("o_source").alias("p_source"), F.col("way").alias("p_way"), F.expr(fits).alias("p"))
+    told = off.join(pools, F.col("o_source").eqNullSafe(F.col("p_source")) & (F.col("way") == F.col("p_way")), "left")
+    left = F.coalesce(F.col("p.left"), F.abs("off"))
+    best = told.groupBy("o_source").agg(F.min_by(F.struct("way", "now", "o_k", F.coalesce("p.ks", F.array().cast("array<bigint>")).alias("ks")), F.struct(left, F.abs("off"), "way")).alias("b"))
+    own = F.when(F.col("b.way") == F.col("b.now"), F.array().cast("array<bigint>")).otherwise(F.array("b.o_k"))
+    turned = stage(best.select(F.explode(F.concat("b.ks", own)).alias("t_k")))
+    out = decided.withColumn("k", F.col("u.k")).join(turned, F.col("k") == F.col("t_k"), "left")
+    return out.withColumn("x", F.when(F.col("t_k").isNull(), F.col("x")).otherwise(1 - F.col("x"))).drop("k", "t_k")
+
+
 def _dealt(total, m, j):
     """Copies of the j-th (from 1) of m equal rows."""
     return (F.floor(total / m) + (j <= F.pmod(total, m)).cast("long")).cast("long")

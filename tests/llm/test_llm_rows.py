@@ -80,8 +80,9 @@ def plain_mix(rows, targets, cap=3.0, fan=mixing.FAN):
     for (source, _), docs in by.items():
         total = sum(size[i] for i, _, s in rows if s == source)
         want = min(targets[source] / total, cap) if total else 1.0
-        leaves = defaultdict(list)
+        leaves, decided, rows_of = defaultdict(list), {}, {}
         for i, k in docs:
+            rows_of[i] = (max(size[i], 1), k, want // 1)
             leaves[spark_hash(k) % -(-count[source] // fan)].append((max(size[i], 1), k, i, int(want // 1), want - want // 1))
         spread, depth = -(-largest // fan), 0
         while True:
@@ -104,6 +105,21 @@ def plain_mix(rows, targets, cap=3.0, fan=mixing.FAN):
                 rest[leaf] = a
             if spread <= 1:
                 out.update({a[2]: a[3] + (a[4] >= 0.5) for a in rest.values()})
+                (root,) = rest.values()
+                ways = []
+                for way, off in ((0, root[4] * root[0]), (1, (root[4] - 1) * root[0])):
+                    turn = [(s, k, i) for i, (s, k, base) in rows_of.items() if i != root[2] and s <= abs(off) and (off > 0 and out[i] == base and base + 1 <= cap or off < 0 and out[i] == base + 1)]
+                    left, taken = abs(off), []
+                    for s, _, i in sorted(sorted(turn, key=lambda t: spark_hash(t[1], (mixing.SEED, "int")))[: mixing.POOL], reverse=True):
+                        if s <= left:
+                            left -= s
+                            taken.append(i)
+                    ways.append((left, abs(off), way, taken))
+                if total and size[docs[0][0]]:
+                    _, _, way, taken = min(ways)
+                    out[root[2]] = root[3] + way
+                    for i in taken:
+                        out[i] += -1 if way else 1
                 break
             leaves = defaultdict(list)
             for leaf, a in rest.items():
@@ -132,6 +148,12 @@ def test_long_texts_and_many_columns(spark):
     assert packing.pack(docs, texts=True).agg(F.sum("length")).first()[0] == 1_000_003
 
 
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_every_source_is_within_a_hundredth_of_its_target(spark, sf):
+    rows = mixing.mix_report(spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"))
+    assert [r["source"] for r in rows.collect() if abs(r["taken"] - r["target"]) > 0.01 * r["target"] + 1] == []
+
+
 def test_mix_rounds_at_random(spark, monkeypatch):
     """Other seeds pick other documents, as many of them."""
     docs = documents(spark, [(i, "a b c", "s0" if i < 40 else "s1") for i in range(80)])
@@ -196,6 +218,17 @@ def test_shards_against_plain_loops(spark):
     assert max(balanced.values()) <= max(grown.values()) and max(balanced.values()) < 1.5 * sum(size.values()) / 6
 
 
+def test_a_stored_map_is_edited_by_a_second_run(spark, tmp_path):
+    docs, path = documents(spark, some()), str(tmp_path / "map")
+    one = {r["doc_id"]: r for r in sharding.assign_shards(docs, 4, 64, path).collect()}
+    two = {r["doc_id"]: r for r in sharding.assign_shards(docs, 4, 64, path).collect()}
+    assert {v["version"] for v in spark.read.parquet(path).select("version").distinct().collect()} == {1, 2, 3, 4, 5}
+    assert all(two[i]["shard"] == one[i]["balanced_shard"] for i in one) and {r["shard"] for r in two.values()} <= set(range(5))
+    assert all(r["grown_shard"] in (r["shard"], 5) for r in two.values())
+    before = sharding.load_map(spark, path, 3).toDF("v", "vslot", "s").join(sharding.load_map(spark, path), "vslot")
+    assert before.where("s <> shard").count() < 64
+
+
 def test_shards_of_seventeen_are_the_grown_ones(spark):
     docs = documents(spark, some(400))
     grown = {r["doc_id"]: r["grown_shard"] for r in sharding.assign_shards(docs, 16).collect()}
