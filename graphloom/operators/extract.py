@@ -7,16 +7,15 @@ partitions is the number of callers; a chunk whose calls fail gives nothing.
 
 from __future__ import annotations
 
-import heapq
 import json
-import math
 import time
-from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import replace
 from typing import Protocol
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -170,42 +169,67 @@ def _phrases(chunks: DataFrame, k: int, least: int, words: int, alike: float) ->
 
     def run(batches: Iterator[pa.RecordBatch]):
         for b in batches:
-            rows = [(c, *p) for c, s in zip(b.column("chunk_idx").to_pylist(), b.column("sentences").to_pylist()) for p in _best_phrases(s or [], k, least, words, alike)]
+            chunk_ids, column = b.column("chunk_idx").to_pylist(), b.column("sentences")
+            # a batch's words are numbered once; a chunk is a slice of these numbers with its sentences' lengths
+            inner = column.flatten()
+            coded = inner.flatten().dictionary_encode()
+            names, ids = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            usable = pc.greater_equal(pc.utf8_length(names), least).to_numpy(zero_copy_only=False)
+            sizes = pc.fill_null(pc.list_value_length(inner), 0).to_numpy(zero_copy_only=False)
+            ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes)])
+            at, rows = 0, []
+            for chunk, n in zip(chunk_ids, pc.fill_null(pc.list_value_length(column), 0).to_pylist()):
+                own = sizes[at : at + n]
+                rows += [(chunk, *p) for p in _best_phrases(ids[ends[at] : ends[at + n]], own, names, usable, k, words, alike)]
+                at += n
             yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*rows) if rows else [[]] * 4, _PHRASE)], names=["chunk_idx", "pos", "name", "score"])
 
     return tokens.mapInArrow(run, "chunk_idx long, pos int, w string, score double").select("chunk_idx", "pos", F.upper("w").alias("name"), "score")
 
 
 _PHRASE = (pa.int64(), pa.int32(), pa.string(), pa.float64())
-
-
-def _best_phrases(sentences: list[list[str]], k: int, least: int, words: int, alike: float) -> list[tuple[int, str, float]]:
-    """(pos, phrase, score) of a chunk's best phrases, the best first."""
-    tf = Counter(w for s in sentences for w in s if len(w) >= least)
-    first, spread = {}, Counter()
-    for i, s in enumerate(sentences):
-        own = set(s)
-        spread.update(own)
-        for w in own:
-            first.setdefault(w, i)
-    score = {w: round(math.log(math.log(3.0 + first[w]) + 1) / (n * (1 + spread[w])), 9) for w, n in tf.items()}
-    found = [(x, w) for w, x in score.items()]
+#: Phrases that are looked at first for the best ones.
+_LIKELY = 64
+
+
+def _best_phrases(ids: np.ndarray, sizes: np.ndarray, names: pa.Array, usable: np.ndarray, k: int, words: int, alike: float) -> list[tuple[int, str, float]]:
+    """(pos, phrase, score) of a chunk's best phrases, the best first; ids: its words' numbers, sentence after sentence."""
+    sentence = np.repeat(np.arange(len(sizes)), sizes)
+    own, first, word, tf = np.unique(ids, return_index=True, return_inverse=True, return_counts=True)
+    said = np.unique(word * (len(sizes) + 1) + sentence)
+    spread = np.bincount(said // (len(sizes) + 1), minlength=len(own))
+    score = np.round(np.log(np.log(3.0 + sentence[first]) + 1) / (tf * (1 + spread)), 9)
+    long = usable[own]
+    places, scores = [np.flatnonzero(long)[:, None]], [score[long]]  # words of each phrase, and its score
     for n in range(2, words + 1):
-        grams = Counter(g for s in sentences for g in zip(*(s[i:] for i in range(n))))
-        for g, times in grams.items():
-            parts = [score.get(w) for w in g]
-            if None not in parts:
-                product, total = parts[0], parts[0]
-                for x in parts[1:]:
-                    product, total = product * x, total + x
-                found.append((round(product / (times * (1 + total)), 9), " ".join(g)))
-    heapq.heapify(found)
-    kept: list[tuple[int, str, float]] = []
-    while found and len(kept) < k:
-        x, w = heapq.heappop(found)
-        if not any(_alike(w, o, alike) for _, o, _ in kept):
-            kept.append((1_000_001 + len(kept), w, x))
-    return kept
+        start = np.arange(max(0, len(ids) - n + 1))
+        inside = sentence[start] == sentence[start + n - 1]
+        for i in range(n):
+            inside &= long[word[start + i]]
+        parts = [word[start[inside] + i] for i in range(n)]
+        key = parts[0]
+        for x in parts[1:]:
+            key = key * len(own) + x
+        _, at, times = np.unique(key, return_index=True, return_counts=True)
+        gram = np.stack([x[at] for x in parts], axis=1)
+        product, total = score[gram[:, 0]], score[gram[:, 0]]
+        for i in range(1, n):
+            product, total = product * score[gram[:, i]], total + score[gram[:, i]]
+        places.append(gram)
+        scores.append(np.round(product / (times * (1 + total)), 9))
+    every = np.concatenate(scores)
+    kinds, row = np.repeat(np.arange(len(scores)), [len(x) for x in scores]), np.concatenate([np.arange(len(x)) for x in scores])
+    likely = _LIKELY
+    while True:
+        most = np.partition(every, likely - 1)[likely - 1] if likely < len(every) else np.inf
+        found = sorted((float(every[i]), " ".join(names[int(own[w])].as_py() for w in places[kinds[i]][row[i]])) for i in np.flatnonzero(every <= most))
+        kept: list[tuple[int, str, float]] = []
+        for x, w in found:
+            if len(kept) < k and not any(_alike(w, o, alike) for _, o, _ in kept):
+                kept.append((1_000_001 + len(kept), w, x))
+        if len(kept) == k or likely >= len(every):
+            return kept
+        likely *= 4
 
 
 def _alike(a: str, b: str, alike: float) -> bool:
