@@ -15,17 +15,27 @@ from graphloom.llm.common import carried, table, unpacked
 from graphloom.llm.common import stage as written
 
 
+def _aside(docs: DataFrame, name: str) -> tuple[DataFrame, list]:
+    """docs with a column of an operator's own name under another one, and the columns to select at last, under their names."""
+    other = name
+    while other in docs.columns:
+        other += "_"
+    return docs.withColumnRenamed(name, other), [F.col(f"`{other if c == name else c}`").alias(c) for c in docs.columns]
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents whose toxicity score is below the threshold; no text is no reason to go."""
+    """Keeps documents whose toxicity score is below the threshold; no text is no reason to go. A column called ``_score`` stays what it is."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where(F.col("_score") < toxicity.THRESHOLD).select(*docs.columns)
+    named, columns = _aside(docs, "_score")
+    return toxicity.score(named, model).where(F.col("_score") < toxicity.THRESHOLD).select(*columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes repeated chunks of lines; the number of characters follows the text."""
-    out = line_dedup.dedup_lines(docs)
+    """Removes repeated chunks of lines; the number of characters follows the text. A column called ``_removed_lines`` stays what it is."""
+    named, columns = _aside(docs, "_removed_lines")
+    out = line_dedup.dedup_lines(named)
     n_chars = F.when(F.col("_removed_lines") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return out.withColumn("n_chars", n_chars).select(*docs.columns)
+    return out.withColumn("n_chars", n_chars).select(*columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -352,3 +352,15 @@ def test_wide_cells_align_and_empty_columns_take_no_room():
     assert html_text.render("<table><tr><td>a<td colspan=500><td>b<tr><td>cc<td colspan=500><td>d</table>") == "a   b\ncc  d"
     inner = "<table><tr><td>1<td>2<tr><td>33<td>4</table>"
     assert html_text.render(f"<table><tr><td>{inner}<td>x<br>y<br>z<tr><td>w<td>v</table>") == "1   2  x\n33  4  y\n       z\nw      v"
+
+
+def test_pipeline_stages_keep_columns_of_the_operators_names(spark, tmp_path):
+    import corpus_pipeline
+
+    rows = [(i, f"line {i}\nshared a\nshared b\nshared c", "en", "s", 40, i * 10, i * 100) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, _score long, _removed_lines long")
+    spark.createDataFrame([(i, 1, int(i == 0)) for i in range(12)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for stage in (corpus_pipeline.drop_toxic, corpus_pipeline.drop_repeated_lines):
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns and out.count() > 0
+        assert all(r["_score"] == r["doc_id"] * 10 and r["_removed_lines"] == r["doc_id"] * 100 for r in out.collect())
