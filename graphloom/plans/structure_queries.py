@@ -107,6 +107,7 @@ def passages_char_pack(spark: SparkSession, d: str) -> DataFrame:
     return structure.passages(legal(spark, d), ["doc_id"])
 
 
+# fixed values: what begins a sentence of its own, as in chunking.SENTENCES
 _MARK = r"^\s*(?:\d+(?:\.\d+)*[.\-)]\s|[a-zđ][.)]\s|[IVXLC]+[.)]\s|Điều\s+\d+|Khoản\s+\d+|Mục\s+[IVXLC\d])"
 _SHOWN = "list_filter({}, lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g') <> '')".format
 _STRIPPED = f"list_filter(list_transform(regexp_split_to_array(content, '\\n{{2,}}'), lambda x: {STRIP('x')}), lambda x: x <> '')"
