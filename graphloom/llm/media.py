@@ -10,7 +10,8 @@ difference of two frames' histograms is far above those just before.
 
 Defined results: a null text is an empty one and an empty payload is one block of
 zeros; equal payloads give equal files and features (all sums are of whole numbers);
-null media give null results; an empty table stays empty; other columns are carried, but for those with the name of a
+null media give null results, and bytes that are no such file, or a broken one, give null payload, feature and clips beside their size
+and hash; files of any frame sizes may stand side by side; an empty table stays empty; other columns are carried, but for those with the name of a
 result, which it replaces. An AVI file's sizes have 32 bits: a text of more than about 3 GB is an error.
 """
 
@@ -225,13 +226,17 @@ def _scan(tables: dict, data: bytes) -> np.ndarray:
     every = tables["every"] or units
     out, unit = [], 0
     for piece in pieces:
-        bits, at = int.from_bytes(piece, "big"), 8 * len(piece)
+        following, held, have = iter(piece), 0, 0
         last = [0] * len(parts)
 
         def take(n: int) -> int:
-            nonlocal at
-            at -= n
-            return (bits >> at) & ((1 << n) - 1) if at >= 0 else 0
+            """The next n bits; zeros behind the end."""
+            nonlocal held, have
+            while have < n:
+                held, have = held << 8 | next(following, 0), have + 8
+            have -= n
+            out, held = held >> have, held & (1 << have) - 1
+            return out
 
         def symbol(table: dict) -> int:
             code = 0
@@ -353,30 +358,56 @@ RESULTS = ("payload", "feature", "clips", "media_bytes", "media_sha256")
 CLIP = "struct<clip:int,start_s:double,end_s:double,frames:int>"
 
 
+#: What bytes that are no such file, or a broken one, make the parts of the reader raise.
+BROKEN = (ValueError, LookupError, ArithmeticError, TypeError, StopIteration, struct.error)
+
+
+def _looked_up(media: bytes) -> tuple[list[bytes], int, int | None] | None:
+    """(frames, microseconds a frame, payload bytes) of a file; None if it is broken."""
+    try:
+        places, micros, said = index(media)
+        return [media[a:b] for a, b in places], micros, said
+    except BROKEN:
+        return None
+
+
+def _alone(frames: list[bytes]) -> np.ndarray | None:
+    """Coefficients of one file's frames, which are of one size; None if they are broken."""
+    try:
+        found = decode_frames(frames) if frames else None
+        return found if found is not None and len(found) and len(found) % len(frames) == 0 else None
+    except BROKEN:
+        return None
+
+
+def _described(media: bytes, n: int, micros: int, said: int | None, coefficients: np.ndarray) -> dict:
+    """What is read from a file of n frames."""
+    own = histograms(pixels(coefficients), np.repeat(np.arange(n), len(coefficients) // n), n)
+    cuts = shots(own)
+    clips = [{"clip": j, "start_s": a * micros / 1e6, "end_s": b * micros / 1e6, "frames": b - a} for j, (a, b) in enumerate(zip(cuts, [*cuts[1:], n], strict=True))]
+    feature = f"frames={n};shots={len(cuts)};cuts={','.join(map(str, cuts))};hist={','.join(map(str, own.sum(axis=0).tolist()))}"
+    return {"payload": _bytes(coefficients).tobytes()[:said], "feature": feature, "clips": clips}
+
+
 def _read_media(batches):
     for batch in batches:
         for part in _parts(batch, "media"):
             media = part.column("media").to_pylist()
             rest = [c for c in part.schema.names if c != "media"]
-            kept = [i for i, m in enumerate(media) if m is not None]
-            out: list[dict | None] = [None] * len(media)
-            found = [index(media[i]) for i in kept]
-            frames = [media[i][a:b] for i, (places, _, _) in zip(kept, found, strict=True) for a, b in places]
-            if frames:
-                coefficients = decode_frames(frames)
-                n_frames = [len(places) for places, _, _ in found]
-                per = len(coefficients) // len(frames)
-                hist = histograms(pixels(coefficients), np.repeat(np.arange(len(frames)), per), len(frames))
-                raw, at = _bytes(coefficients), 0
-                for i, n, (_, micros, said) in zip(kept, n_frames, found, strict=True):
-                    payload = raw[at * per : (at + n) * per].tobytes()[:said]
-                    own = hist[at : at + n]
-                    cuts = shots(own)
-                    ends = [*cuts[1:], n]
-                    clips = [{"clip": j, "start_s": a * micros / 1e6, "end_s": b * micros / 1e6, "frames": b - a} for j, (a, b) in enumerate(zip(cuts, ends, strict=True))]
-                    feature = f"frames={n};shots={len(cuts)};cuts={','.join(map(str, cuts))};hist={','.join(map(str, own.sum(axis=0).tolist()))}"
-                    out[i] = {"payload": payload, "feature": feature, "clips": clips, "media_bytes": len(media[i]), "media_sha256": hashlib.sha256(media[i]).hexdigest()}
-                    at += n
+            found = [None if m is None else _looked_up(m) for m in media]
+            # files of this module's frames are decoded together, any other alone
+            size = len(HEAD) + PER_FRAME * 74
+            ours = [i for i, f in enumerate(found) if f and f[0] and all(len(x) == size and x.startswith(HEAD) for x in f[0])]
+            every = decode_frames([x for i in ours for x in found[i][0]]) if ours else None
+            read, at = {}, 0
+            for i in ours:
+                read[i] = every[at : at + len(found[i][0]) * PER_FRAME]
+                at += len(read[i])
+            out: list[dict | None] = []
+            for i, (m, f) in enumerate(zip(media, found, strict=True)):
+                coefficients = read.get(i) if i in read else _alone(f[0]) if f else None
+                told = {} if coefficients is None else _described(m, len(f[0]), f[1], f[2], coefficients)
+                out.append(None if m is None else {"payload": None, "feature": None, "clips": None, "media_bytes": len(m), "media_sha256": hashlib.sha256(m).hexdigest()} | told)
             clip = pa.list_(pa.struct([("clip", pa.int32()), ("start_s", pa.float64()), ("end_s", pa.float64()), ("frames", pa.int32())]))
             kinds = [("payload", pa.binary()), ("feature", pa.string()), ("clips", clip), ("media_bytes", pa.int64()), ("media_sha256", pa.string())]
             columns = [pa.array([o and o[c] for o in out], t) for c, t in kinds]

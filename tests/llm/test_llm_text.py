@@ -90,6 +90,35 @@ def test_op2_against_plain_python(spark):
     assert not got
 
 
+def test_files_of_other_frames_and_broken_ones_stand_beside_ours(spark):
+    """A colour file of one wide frame size, and bytes that are none, in one batch with files of this module."""
+    dc, ac = bytes(range(9)), bytes([0, *range(1, 9)])
+    table = lambda head, length, symbols: media._segment(0xC4, bytes([head]) + b"\0" * (length - 1) + bytes([len(symbols)]) + b"\0" * (16 - length) + symbols)
+    frame = b"\xff\xd8" + media._segment(0xDB, b"\0" + b"\1" * 64) + media._segment(0xC0, struct.pack(">BHHB3B", 8, 16, 16, 1, 1, 0x11, 0))
+    frame += table(0, 4, dc) + table(0x10, 8, ac) + media._segment(0xDA, b"\1\1\0\0\x3f\0") + b"\0" * 200 + b"\xff\xd9"
+    other = media._avi([frame, frame], 512)
+    (ours,) = media.encode([media.padded(b"ours" * 2000)])
+    files = [other, ours, b"garbage", b"", ours[: len(ours) // 2], other[:300], None, other]
+    rows = spark.createDataFrame(list(enumerate(files)), "doc_id long, media binary").coalesce(1)
+    got = {r["doc_id"]: r for r in media.read_media(rows).collect()}
+    alone = media.read_media(spark.createDataFrame([(0, other)], "doc_id long, media binary")).first()
+    assert got[0]["payload"] == got[7]["payload"] == alone["payload"] is not None and got[0]["feature"] == alone["feature"]
+    assert bytes(got[1]["payload"]) == media.padded(b"ours" * 2000)
+    for i in (2, 3):
+        assert got[i]["payload"] is None and got[i]["clips"] is None and got[i]["media_bytes"] == len(files[i]) and got[i]["media_sha256"] == hashlib.sha256(files[i]).hexdigest()
+    assert got[6]["media_bytes"] is None and len(got) == 8
+
+
+def test_the_bit_reader_takes_time_in_proportion():
+    dc, ac = bytes(range(9)), bytes([0, *range(1, 9)])
+    table = lambda head, length, symbols: media._segment(0xC4, bytes([head]) + b"\0" * (length - 1) + bytes([len(symbols)]) + b"\0" * (16 - length) + symbols)
+    frame = b"\xff\xd8" + media._segment(0xDB, b"\0" + b"\1" * 64) + media._segment(0xC0, struct.pack(">BHHB3B", 8, 1024, 1024, 1, 1, 0x11, 0))
+    frame += table(0, 4, dc) + table(0x10, 8, ac) + media._segment(0xDA, b"\1\1\0\0\x3f\0") + b"\0" * 400_000 + b"\xff\xd9"
+    began = time.process_time()
+    assert len(media.decode_frames([frame])) == 128 * 128
+    assert time.process_time() - began < 5
+
+
 def test_media_odd_rows(spark):
     rows = [(1, None, "m"), (2, "", "m"), (3, "x" * 70_000, "m"), (4, "x" * 70_000, "m"), (5, "é\0", "m")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, payload2 string")
