@@ -7,6 +7,9 @@ open. It begins at the entries of the cells (of k-means on a bounded sample) who
 that clusters the graph does not connect are reached, too.
 
 Nodes are partitioned on disk by cell and every link names its cell: a round scans the partitions its links lead to and no other.
+
+A search that is to be ``complete`` takes the k-th score it has found as a bound: the cells whose ball may hold as good a score are compared
+with all queries, and no neighbour is missed.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -120,11 +124,12 @@ def linked(base: DataFrame, degree: int = DEGREE, seed: int = 7) -> DataFrame:
 class NeighborGraph:
     """A graph below ``root``; ``work`` holds, after a search, how many rounds it took and how many vectors it scored."""
 
-    def __init__(self, spark: SparkSession, root: str, beam: int = 64, width: int = 32, starts: int = 16):
-        self.spark, self.root, self.beam, self.width, self.starts = spark, root, beam, width, starts
+    def __init__(self, spark: SparkSession, root: str, beam: int = 64, width: int = 32, starts: int = 16, complete: bool = False):
+        self.spark, self.root, self.beam, self.width, self.starts, self.complete = spark, root, beam, width, starts, complete
         rows = sorted(spark.read.parquet(f"{root}/entries").collect())
         self.centres = np.array([r["centre"] for r in rows], np.float64).reshape(len(rows), len(rows[0]["centre"]) if rows else 0)
         self.entries = np.array([[r["cell"], r["idx"]] for r in rows], np.int64).reshape(-1, 2)
+        self.radii = np.array([r["radius"] if "radius" in r else np.inf for r in rows], np.float64)
         self.work: dict[str, int] = {}
 
     @classmethod
@@ -146,9 +151,9 @@ class NeighborGraph:
         near = named.groupBy("idx").agg(F.array_sort(F.collect_list(F.struct(F.col("c").alias("cell"), F.col("other").alias("idx")))).alias("near"))
         nodes = celled.join(near, "idx", "left").select("cell", "idx", "embedding", F.coalesce("near", F.array().cast("array<struct<cell:int,idx:bigint>>")).alias("near"))
         nodes.repartitionByRange("cell", "idx").write.mode("overwrite").partitionBy("cell").option("maxRecordsPerFile", 1_000_000).parquet(f"{root}/nodes")
-        entry = celled.groupBy("cell").agg(F.min(F.struct("far", "idx")).alias("e")).select("cell", "e.idx").collect()
-        rows = [(r["cell"], r["idx"], centres[r["cell"]].tolist()) for r in entry]
-        spark.createDataFrame(rows, "cell int, idx long, centre array<double>").coalesce(1).write.mode("overwrite").parquet(f"{root}/entries")
+        entry = celled.groupBy("cell").agg(F.min(F.struct("far", "idx")).alias("e"), F.max("far").alias("most")).select("cell", "e.idx", "most").collect()
+        rows = [(r["cell"], r["idx"], centres[r["cell"]].tolist(), max(0.0, r["most"]) ** 0.5) for r in entry]
+        spark.createDataFrame(rows, "cell int, idx long, centre array<double>, radius double").coalesce(1).write.mode("overwrite").parquet(f"{root}/entries")
         return cls(spark, root, **how)
 
     @classmethod
@@ -160,7 +165,7 @@ class NeighborGraph:
         return self.spark.read.schema(_NODE).parquet(f"{self.root}/nodes").where(F.col("cell").isin(cells) if cells else F.lit(False))
 
     def search(self, queries: DataFrame, k: int = 5) -> DataFrame:
-        """(query_id, rank, idx, score) of (query_id, embedding): about the k best by inner product, ties to the smaller idx."""
+        """(query_id, rank, idx, score) of (query_id, embedding): about the k best by inner product (exactly these if ``complete``), ties to the smaller idx."""
         q = queries.where("embedding is not null").select(F.col("query_id").cast("long"), F.col("embedding").cast("array<double>").alias("embedding"))
         state = cut(q.mapInArrow(_begun(self.centres, self.entries, self.starts), _STATE))
         rounds = 0
@@ -175,7 +180,17 @@ class NeighborGraph:
             state = cut(moved)
         self.work = {"rounds": rounds, "scored": int(state.agg(F.sum(F.size("seen"))).first()[0] or 0)}
         found = state.select("query_id", F.explode("beam").alias("b")).select("query_id", "b.idx", F.round("b.score", 9).alias("score"))
-        return vector._ranked(found, k)
+        if not self.complete:
+            return vector._ranked(found, k)
+        best = cut(vector._ranked(found, k))
+        kth = best.where(F.col("rank") == k).select("query_id", F.col("score").alias("kth"))
+        reach = q.join(kth, "query_id", "left").mapInArrow(_reached(self.centres, self.radii, self.entries[:, 0]), "cell int")
+        cells = [r["cell"] for r in reach.distinct().collect()]  # no more than there are centres
+        self.work["completed"] = len(cells)
+        rest = vector.exact(q, self.nodes(cells).select("idx", "embedding"), k)
+        # the key is written as a new expression in both parts, as in hybrid.fuse
+        parts = [x.select((F.col("query_id") + 0).alias("query_id"), "idx", "score") for x in (best, rest)]
+        return vector._ranked(parts[0].unionByName(parts[1]).groupBy("query_id", "idx").agg(F.max("score").alias("score")), k)
 
 
 _LINK = pa.list_(pa.struct([("cell", pa.int32()), ("idx", pa.int64())]))
@@ -198,6 +213,20 @@ def _celled(centres: np.ndarray):
     return run
 
 
+def _reached(centres: np.ndarray, radii: np.ndarray, cells: np.ndarray):
+    """The cells of which some query of a task may find a score as good as its k-th."""
+    def run(batches: Iterator[pa.RecordBatch]):
+        near = np.zeros(len(cells), bool)
+        for b in batches:
+            if b.num_rows:
+                x, kth = vector._matrix(b.column("embedding")), pc.fill_null(b.column("kth"), -np.inf).to_numpy(zero_copy_only=False)
+                most = x @ centres.T + np.linalg.norm(x, axis=1)[:, None] * radii
+                near |= (most >= kth[:, None] - 1e-6).any(axis=0)
+        yield pa.record_batch([pa.array(cells[near], pa.int32())], names=["cell"])
+
+    return run
+
+
 def _begun(centres: np.ndarray, entries: np.ndarray, starts: int):
     def run(batches: Iterator[pa.RecordBatch]):
         for b in batches:

@@ -68,8 +68,8 @@ def knn_ivf(spark: SparkSession, d: str) -> DataFrame:
 
 @query(_KNN)
 def knn_graph(spark: SparkSession, d: str) -> DataFrame:
-    """Approximate by its kind; at the sizes given it finds all neighbours."""
-    return vector.search("graph", _asked(spark, d), vectors(spark, d), 5).withColumn("score", F.round("score", 6))
+    """The walk is approximate by its kind; what it leaves open is settled from the cells that its k-th scores do not rule out."""
+    return vector.search("graph", _asked(spark, d), vectors(spark, d), 5, complete=True).withColumn("score", F.round("score", 6))
 
 
 def _hash_sql(name: str, rows: str) -> str:

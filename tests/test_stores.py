@@ -75,6 +75,23 @@ def test_recall_of_the_registered_graph_query(spark, sf):
     assert len(want & got) >= 0.9 * len(want)
 
 
+def test_complete_graph_search_misses_no_neighbour_and_skips_cells(spark, tmp_path):
+    """In a graph of few links a walk misses neighbours, which the completion finds; on clusters it reads a few cells."""
+    x = np.random.default_rng(5).normal(size=(1200, 32))
+    v = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "idx long, embedding array<float>")
+    q = v.where("idx % 40 = 0").withColumnRenamed("idx", "query_id")
+    NeighborGraph.build(v, str(tmp_path / "spread"), degree=1, cells=3)
+    how = {"beam": 1, "width": 1, "starts": 1}
+    want = rows(vector.exact(q, v, 5))
+    assert len(rows(NeighborGraph.load(spark, str(tmp_path / "spread"), **how).search(q, 5)) & want) < len(want)
+    assert rows(NeighborGraph.load(spark, str(tmp_path / "spread"), complete=True, **how).search(q, 5)) == want
+    v = clustered(spark, clusters=12, each=50)
+    q = v.where("idx = 0").withColumnRenamed("idx", "query_id")
+    g = NeighborGraph.build(v, str(tmp_path / "clusters"), complete=True)
+    assert rows(g.search(q, 5)) == rows(vector.exact(q, v, 5))
+    assert g.work["completed"] < len(g.entries)
+
+
 def test_exact_search_by_tasks_and_by_blocks_agree(spark, monkeypatch):
     v = clustered(spark, clusters=3, each=40).unionByName(clustered(spark, clusters=3, each=40).withColumn("idx", F.col("idx") + 1000)).repartition(3)
     q = v.where("idx % 9 = 0").withColumnRenamed("idx", "query_id")
