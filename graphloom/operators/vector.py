@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from functools import cache
+from hashlib import md5
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -25,22 +27,24 @@ DIM = 64
 def hashed_embedding(c: Column, dim: int = DIM) -> Column:
     """The offline default: counts of words hashed to ``dim`` places, scaled to length 1 (all zeros without words).
 
-    Words are hashed in the JVM; their places are counted a batch at a time.
+    A batch's different words are hashed once each.
     """
-    place = lambda t: (F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("long") % dim).cast("int")
-    return _counted(dim)(F.transform(tokenize(c), place))
+    return _counted(dim)(tokenize(c))
 
 
 @cache
 def _counted(dim: int):
-    def count(places: pd.Series) -> pd.Series:
-        sizes = places.map(len).to_numpy(np.int64)
-        at = np.concatenate(places.to_list()).astype(np.int64) if len(places) and sizes.sum() else np.empty(0, np.int64)
+    def count(words: pa.Array) -> pa.Array:
+        sizes = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False)
+        coded = words.flatten().dictionary_encode()
+        place = np.fromiter((int.from_bytes(md5(w.encode()).digest()[:4]) % dim for w in coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
+        at = place[coded.indices.to_numpy(zero_copy_only=False)]
         n = np.bincount(np.repeat(np.arange(len(sizes)), sizes) * dim + at, minlength=len(sizes) * dim).reshape(-1, dim).astype(float)
-        return pd.Series(list(n / np.maximum(np.sqrt((n * n).sum(axis=1, keepdims=True)), 1e-300)))
+        x = n / np.maximum(np.sqrt((n * n).sum(axis=1, keepdims=True)), 1e-300)
+        return pa.ListArray.from_arrays(np.arange(len(sizes) + 1, dtype=np.int32) * dim, x.ravel())
 
-    count.__annotations__ = {"places": pd.Series, "return": pd.Series}
-    return F.pandas_udf(count, "array<double>")
+    count.__annotations__ = {"words": pa.Array, "return": pa.Array}
+    return F.arrow_udf(count, "array<double>")
 
 
 def embed(df: DataFrame, text: str, model: Callable[[list[str]], np.ndarray], batch: int = 16) -> DataFrame:
@@ -114,27 +118,38 @@ def exact(queries: DataFrame, vectors: DataFrame, k: int = 5) -> DataFrame:
     return _ranked(q.groupBy("g", "b").cogroup(v.groupBy("g", "b")).applyInPandas(_block_best(k), "query_id long, idx long, score double"), k)
 
 
+class Best:
+    """The k best of each of n queries so far, ties to the smaller idx: row (a query's place), idx, score. A score of -inf is none."""
+
+    def __init__(self, n: int, k: int):
+        self.k, self.kth = k, np.full(n, -np.inf)
+        self.row, self.idx, self.score = (np.empty(0, t) for t in (np.int64, np.int64, np.float64))
+
+    def add(self, own: np.ndarray, got: np.ndarray) -> None:
+        """got: (queries, candidates) scores of the candidates ``own``."""
+        k = self.k
+        least = np.maximum(self.kth, np.partition(got, -k, axis=1)[:, -k]) if got.shape[1] > k else self.kth
+        r, c = np.nonzero((got >= least[:, None]) & (got > -np.inf))
+        row, idx, score = np.concatenate([self.row, r]), np.concatenate([self.idx, own[c]]), np.concatenate([self.score, got[r, c]])
+        order = np.lexsort((idx, -score, row))
+        row, idx, score = row[order], idx[order], score[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        last = place == k - 1
+        self.kth[row[last]] = score[last]
+        self.row, self.idx, self.score = row[place < k], idx[place < k], score[place < k]
+
+
 def _task_best(ids: np.ndarray, x: np.ndarray, k: int):
     """The k best of all vectors of a task for each query, ties to the smaller idx."""
     def run(batches: Iterator[pa.RecordBatch]):
-        row, idx, score = (np.empty(0, t) for t in (np.int64, np.int64, np.float64))
-        kth = np.full(len(x), -np.inf)
+        best = Best(len(x), k)
         for b in batches:
             if not b.num_rows or not len(x):
                 continue
             own, v = b.column("idx").to_numpy(), _matrix(b.column("embedding"))
             for lo in range(0, len(own), 2048):
-                got = np.round(x @ v[lo : lo + 2048].T, 9)
-                least = np.maximum(kth, np.partition(got, -k, axis=1)[:, -k]) if got.shape[1] > k else kth
-                r, c = np.nonzero(got >= least[:, None])
-                row, idx, score = np.concatenate([row, r]), np.concatenate([idx, own[lo + c]]), np.concatenate([score, got[r, c]])
-                order = np.lexsort((idx, -score, row))
-                row, idx, score = row[order], idx[order], score[order]
-                place = np.arange(len(row)) - np.searchsorted(row, row)
-                last = place == k - 1
-                kth[row[last]] = score[last]
-                row, idx, score = row[place < k], idx[place < k], score[place < k]
-        yield pa.record_batch([pa.array(ids[row]), pa.array(idx), pa.array(score)], names=["query_id", "idx", "score"])
+                best.add(own[lo : lo + 2048], np.round(x @ v[lo : lo + 2048].T, 9))
+        yield pa.record_batch([pa.array(ids[best.row]), pa.array(best.idx), pa.array(best.score)], names=["query_id", "idx", "score"])
 
     return run
 

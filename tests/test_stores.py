@@ -130,6 +130,19 @@ def test_bm25_skips_blocks_by_their_bounds_and_terms_not_asked_for(spark, tmp_pa
     assert "PartitionFilters: [" in plan and "EqualTo(term,rare)" in plan.replace("In(term, [rare])", "EqualTo(term,rare)")
 
 
+def test_bm25_postings_shuffle_nothing_and_one_pass_equals_the_index(spark, monkeypatch):
+    texts = [(i, " ".join(f"w{(i * j * 7) % 211}" for j in range(i % 40))) for i in range(300)] + [(300, None), (301, "..."), (302, "w1 W1 w1, w0")]
+    chunks = spark.createDataFrame(texts, "chunk_idx long, content string")
+    posts = bm25.postings(chunks)
+    assert "Exchange" not in posts._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, posts.where("chunk_idx >= 300").collect())) == [(302, 4, "w0", 1), (302, 4, "w1", 3)]
+    assert posts.agg(F.sum("tf")).first()[0] == sum(len((t or "").replace(".", " ").split()) for _, t in texts)
+    q = spark.createDataFrame([(0, "w3 w4 w4"), (1, "absent"), (2, "w1"), (3, None)], "query_id long, query string")
+    one = sorted(map(tuple, bm25.top_k(chunks, q, 4).collect()))
+    monkeypatch.setattr(bm25, "SENT", 0)
+    assert one and sorted(map(tuple, bm25.top_k(chunks, q, 4).collect())) == one
+
+
 def model_in(folder):
     class Model:
         """Names the capitalised words of a text; a file in the folder for each call."""
