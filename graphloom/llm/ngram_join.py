@@ -40,7 +40,7 @@ from .words import mixed, shingle_sets, together
 
 ORDERS = 3
 #: Tokens of a bucket, and tokens that are dealt together.
-BUCKET, FLUSH = 2_000_000, 2_000_000
+BUCKET, FLUSH = 1_000_000, 500_000
 #: A token in more than one of OFTEN documents, and in LEAST_OFTEN at least, comes last in all orders.
 OFTEN, LEAST_OFTEN = 512, 256
 _SEEDS = [np.uint64(0x9E3779B97F4A7C15 * (k + 1) & 0xFFFFFFFFFFFFFFFF) for k in range(ORDERS)]

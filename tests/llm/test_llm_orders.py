@@ -1,8 +1,10 @@
 """The n-gram join under several orders against brute force."""
 
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from test_llm_similar import brute_components, corpus, documents
 
@@ -63,3 +65,16 @@ def test_null_ids_empty_tables_and_repeated_rows(spark):
     assert sorted((r["doc_id"] or -1, r["n_shingles"], r["component_id"]) for r in rows if r["n_shingles"]) == [(-1, 26, 7), (7, 26, 7), (7, 26, 7), (9, 27, 7)]
     assert sorted((r["doc_id"] or -1, r["component_id"]) for r in rows if not r["n_shingles"]) == [(-1, None), (3, 3)]
     assert ngram_join.join(documents(spark, [])).collect() == []
+
+
+def test_tokens_dealt_at_once_fit_in_a_small_task():
+    """Many distinct tokens go to their buckets in bounded memory."""
+    rng = random.Random(1)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(5000)) for _ in range(420)]
+    batches = [pa.record_batch([pa.array(texts[i : i + 60]), pa.array(range(i, i + 60)), pa.array(range(i, i + 60))], names=["text", "doc_id", "th"]) for i in range(0, 420, 60)]
+    tracemalloc.start()
+    for _ in ngram_join._deal(5, 4, np.empty(0, np.uint64))(iter(batches)):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 130e6
