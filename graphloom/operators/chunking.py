@@ -149,10 +149,14 @@ BLOCK = "struct<content:string,start_marker:string,end_marker:string,start_level
 _BLOCK = pa.struct([(c, pa.string()) for c in ("content", "start_marker", "end_marker", "start_level", "end_level", "hierarchy_path")] + [("tokens", pa.int32())])
 
 
+#: Rows whose texts a task holds in Python at once.
+ROWS = 256
+
+
 def _with(df: DataFrame, column: str, kind: str, arrow: pa.DataType, of: str, f: Callable) -> DataFrame:
-    """df with column = f(of), an array, computed batch by batch."""
+    """df with column = f(of), an array, computed a few rows of a batch at a time."""
     def run(batches):
-        for b in batches:
+        for b in (b.slice(lo, ROWS) for b in batches for lo in range(0, b.num_rows, ROWS)):
             yield pa.record_batch([*b.columns, pa.array([f(x) for x in b.column(of).to_pylist()], pa.list_(arrow))], names=[*b.schema.names, column])
 
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.schema.fields)

@@ -167,3 +167,21 @@ def test_build_chunks(spark):
     assert {r["semantic_level"] for r in chunks if r["doc_id"] == "d2"} == {"paragraph"} and not [r for r in chunks if r["doc_id"] == "d3"]
     assert all(r["tokens"] <= 1600 for r in chunks)
     assert [r["path"] for r in chunks] == sorted(r["path"] for r in chunks)
+
+
+def test_packing_holds_a_few_rows_of_a_batch_at_once():
+    """A batch of many rows comes out in small ones, with every row and in order."""
+    import pyarrow as pa
+
+    class Rows:
+        class schema:
+            fields = ()
+
+        def mapInArrow(self, run, kind):
+            return run
+
+    run = chunking.flat_chunks(Rows(), "t")
+    texts = [f"w{i} " * (i % 7) for i in range(1000)]
+    out = list(run(iter([pa.record_batch([pa.array(texts)], names=["t"])])))
+    assert max(b.num_rows for b in out) <= 256
+    assert [p for b in out for p in b.column("pieces").to_pylist()] == [[t] for t in texts]
