@@ -163,14 +163,18 @@ def _word_score() -> Column:
     return F.round(F.log(F.log(3.0 + F.col("first")) + 1) / (F.col("tf") * (1 + F.col("spread"))), 9)
 
 
+#: Chunks whose words a task numbers at once.
+ROWS = 512
+
+
 def _phrases(chunks: DataFrame, k: int, least: int, words: int, alike: float) -> DataFrame:
     """One pass over each chunk (chunk_idx, sentences), a batch at a time; nothing is shuffled."""
     tokens = chunks.select(F.col("chunk_idx").cast("long"), F.transform("sentences", T.tokenize).alias("sentences"))
 
     def run(batches: Iterator[pa.RecordBatch]):
-        for b in batches:
+        for b in (b.slice(lo, ROWS) for b in batches for lo in range(0, b.num_rows, ROWS)):
             chunk_ids, column = b.column("chunk_idx").to_pylist(), b.column("sentences")
-            # a batch's words are numbered once; a chunk is a slice of these numbers with its sentences' lengths
+            # some chunks' words are numbered once; a chunk is a slice of these numbers with its sentences' lengths
             inner = column.flatten()
             coded = inner.flatten().dictionary_encode()
             names, ids = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
