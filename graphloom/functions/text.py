@@ -12,11 +12,13 @@ FOLDED = {
 }
 # fixed values: the ASCII punctuation characters
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+# fixed values: Unicode's white space but for the blank
+WHITE = "\t\n\x0b\x0c\r\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def strip(c: Column) -> Column:
     """Without white space (any Unicode) at both ends."""
-    return F.regexp_replace(F.regexp_replace(c, r"(?U)^\s+", ""), r"(?U)\s+$", "")
+    return F.btrim(c, F.lit(" " + WHITE))
 
 
 def normalize_text(c: Column) -> Column:
@@ -58,10 +60,6 @@ def slugify(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(s, "[^a-z0-9]+", "_"), "^_+|_+$", "")
 
 
-# fixed values: Unicode's white space but for the blank
-WHITE = "\t\n\x0b\x0c\r\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
-
-
 def range_id(number: Column, start: Column, end: Column) -> Column:
     """chunk_<doc>_<start>[_to_<end>], each part slugged; defaults unknown and root."""
     doc, first, last = (F.coalesce(F.nullif(slugify(x), F.lit("")), F.lit(d)) for x, d in ((number, "unknown"), (start, "root"), (end, "")))
@@ -87,7 +85,10 @@ def lines_shown(c: Column) -> Column:
 
 def is_corrupted_block(c: Column, short: int = 12, share: float = 0.60) -> Column:
     """A broken table: six or more lines shown, of which at least 60 % have at most 12 characters."""
-    lines = lines_shown(c)
+    return _mostly_short(lines_shown(c), short, share)
+
+
+def _mostly_short(lines: Column, short: int = 12, share: float = 0.60) -> Column:
     return (F.size(lines) >= 6) & (F.size(F.filter(lines, lambda x: F.length(x) <= short)) >= share * F.size(lines))
 
 
@@ -95,6 +96,12 @@ def collapse_block(c: Column) -> Column:
     return F.array_join(lines_shown(c), " ")
 
 
+def collapse_blocks(blocks: Column) -> Column:
+    """An array of blocks, broken tables among them as one line each; the lines of a block are taken once."""
+    shown = F.transform(blocks, lambda b: F.struct(b.alias("b"), F.when(F.contains(b, F.lit("\n")), lines_shown(b)).alias("lines")))
+    return F.transform(shown, lambda x: F.when(_mostly_short(x["lines"]), F.array_join(x["lines"], " ")).otherwise(x["b"]))
+
+
 def entity_name(c: Column) -> Column:
     return F.upper(strip(F.coalesce(c, F.lit(""))))
 

@@ -6,13 +6,13 @@ document, whose lines are the only thing that shares a partition.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import markers
-from ..functions.text import collapse_block, is_corrupted_block, strip
+from ..functions.text import collapse_blocks, strip
 
 MAX_PASSAGE, MIN_PASSAGE = 10_000, 100
 SHORT, RUN = 15, 6
@@ -28,19 +28,32 @@ def joined(no: Column | str, text: Column | str, sep: str) -> Column:
     return F.array_join(F.transform(pairs, lambda p: p["t"]), sep)
 
 
+def _settled(x: Column) -> Column:
+    """x as a generated value: a condition on it is tested on the value; it is not carried below, where all that x is made of would be worked out again for each element."""
+    return F.explode(F.array(x))
+
+
+def _slices(at: str, items: str, f: Callable[[Column, Column, Column], Column]) -> Column:
+    """f(where it begins, its length, its number) of each slice of the array column ``items`` that begins at a place (from 0) in the array column ``at``."""
+    return F.transform(at, lambda begin, i: f(begin, F.coalesce(F.get(F.col(at), i + 1), F.size(items)) - begin, i))
+
+
+def _places(items: str, begins: Callable[[Column], Column]) -> Column:
+    """The places (from 0) in an array column where ``begins`` holds, and 0."""
+    return F.filter(F.sequence(F.lit(0), F.size(items) - 1), lambda i: (i == 0) | begins(i))
+
+
 def clean_paragraphs(df: DataFrame, keys: Sequence[str], text: str = "content") -> DataFrame:
-    """Broken tables become one line each; six or more short paragraphs in a row become one. (keys, text)"""
-    p = df.select(*keys, F.posexplode(F.split(text, r"\n{2,}", -1)).alias("no", "p"))
-    p = p.withColumn("p", F.when(is_corrupted_block(F.col("p")), collapse_block(F.col("p"))).otherwise(F.col("p")))
-    p = p.withColumn("short", F.length(strip(F.col("p"))).between(1, SHORT))
-    p = p.withColumn("island", F.sum((~F.col("short")).cast("int")).over(_ordered(keys, "no")))
-    p = p.withColumn("island", F.when(F.col("short"), F.col("island")))
-    size = F.count("*").over(Window.partitionBy(*keys, "island"))
-    merged = F.col("short") & (size >= RUN)
-    first = F.min("no").over(Window.partitionBy(*keys, "island"))
-    p = p.withColumn("place", F.when(merged, first).otherwise(F.col("no"))).withColumn("p", F.when(merged, strip(F.col("p"))).otherwise(F.col("p")))
-    lines = p.groupBy(*keys, "place").agg(joined("no", "p", " ").alias("p"))
-    return lines.groupBy(*keys).agg(joined("place", "p", "\n\n").alias(text))
+    """Broken tables become one line each; six or more short paragraphs in a row become one. (keys, text)
+
+    Texts stay in their rows; nothing is shuffled.
+    """
+    p = df.where(F.col(text).isNotNull()).select(*keys, collapse_blocks(F.split(text, r"\n{2,}", -1)).alias("_p"))
+    p = p.withColumn("_s", F.transform("_p", strip)).withColumn("_short", F.transform("_s", lambda x: F.length(x).between(1, SHORT)))
+    # a run is one or more short paragraphs, or one that is not short
+    p = p.withColumn("_at", _places("_p", lambda i: ~F.get("_short", i) | ~F.get("_short", i - 1)))
+    run = lambda begin, n, _: F.when(n >= RUN, F.array_join(F.slice("_s", begin + 1, n), " ")).otherwise(F.array_join(F.slice("_p", begin + 1, n), "\n\n"))
+    return p.select(*keys, _settled(F.array_join(_slices("_at", "_p", run), "\n\n")).alias(text))
 
 
 def units(df: DataFrame, keys: Sequence[str], text: str = "content", rules: list = markers.RULES, sep: str = " > ") -> DataFrame:

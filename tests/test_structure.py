@@ -34,6 +34,42 @@ def test_short_runs(spark, n, merged):
     assert (len(got.split("\n\n")) == 3) == merged and got.split() == text.split()
 
 
+def paragraphs_by_loop(text):
+    import re
+
+    made, runs = [], []
+    for p in re.split(r"\n{2,}", text):
+        lines = [x.strip() for x in p.split("\n") if x.strip()]
+        p = " ".join(lines) if len(lines) >= 6 and sum(len(x) <= 12 for x in lines) >= 0.6 * len(lines) else p
+        short = 1 <= len(p.strip()) <= 15
+        runs.append([p]) if not (short and runs and made[-1]) else runs[-1].append(p)
+        made.append(short)
+    return "\n\n".join(" ".join(p.strip() for p in r) if len(r) >= 6 else "\n\n".join(r) for r in runs)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_paragraphs_are_cleaned_in_their_rows(spark, seed):
+    rng = random.Random(seed)
+    kinds = ["a", " b\u3000", "", " ", "a paragraph that is long enough", "x" * 15, "x" * 16, "\n".join("abcdef"), "\n".join(["abc"] * 4 + ["a line of more letters"] * 3)]
+    texts = ["\n\n".join(rng.choices(kinds, [6, 2, 1, 1, 1, 2, 1, 1, 1], k=rng.choice([1, 5, 40, 300]))) for _ in range(30)] + ["", "\n\n", "a " * 3]
+    cleaned = structure.clean_paragraphs(docs(spark, *texts, None), ["doc_id"]).where(F.length("content") >= 0)
+    assert "Exchange" not in plan(cleaned) and "Window" not in plan(cleaned)
+    assert {r["doc_id"]: r["content"] for r in cleaned.collect()} == {i: paragraphs_by_loop(t) for i, t in enumerate(texts)}
+
+
+def test_a_long_text_of_short_runs_is_cleaned_in_linear_time(spark):
+    import time
+
+    text = "\n\n".join(["a", "b", "a paragraph that is long enough"] * 100_000)
+    began = time.time()
+    assert structure.clean_paragraphs(docs(spark, text), ["doc_id"]).where(F.length("content") > 0).first()["content"] == text
+    assert time.time() - began < 60
+
+
 def test_passages(spark):
     long = "Điều 9. " + "x" * 10_050
     text = "\n".join([f"Điều {i}. " + "y" * 4000 for i in range(5)] + [long, "Điều 10. z"])
