@@ -44,7 +44,10 @@ def has_markers(c: Column) -> Column:
 
 def classify(line: Column, rules: list = RULES) -> Column:
     """struct(level, label) of a line, both empty where it is no heading; the first rule that fits counts."""
-    s = strip(line)
+    return classify_stripped(strip(line), rules)
+
+
+def classify_stripped(s: Column, rules: list = RULES) -> Column:
     found = None
     for level, pattern, label in rules:
         text = s if label is None else F.concat(F.lit(label), F.regexp_extract(s, pattern, 1))

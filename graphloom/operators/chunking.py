@@ -190,7 +190,12 @@ def token_blocks(units: DataFrame, keys: Sequence[str], count: Counter = count_w
     """(keys, block_no, block fields) of parsed units."""
     unit = F.struct("unit_no", "level", "marker", "content", "hierarchy_path")
     rows = units.groupBy(*keys).agg(F.array_sort(F.collect_list(unit)).alias("u"))
-    packed = _with(rows, "b", BLOCK, _BLOCK, "u", lambda u: blocks(u, count, least, target, most, tail)).drop("u")
+    return array_blocks(rows, keys, count, least, target, most, tail)
+
+
+def array_blocks(rows: DataFrame, keys: Sequence[str], count: Counter = count_words, least: int = MIN, target: int = TARGET, most: int = MAX, tail: int = TAIL) -> DataFrame:
+    """token_blocks of (keys, u), an array of a text's units."""
+    packed = _with(rows.select(*keys, "u"), "b", BLOCK, _BLOCK, "u", lambda u: blocks(u, count, least, target, most, tail)).drop("u")
     return packed.select(*keys, F.posexplode("b").alias("block_no", "b")).select(*keys, "block_no", "b.*")
 
 
@@ -271,7 +276,7 @@ def build_chunks(
     keys = ["doc_id", "path", "passage_no", "doc_number"]
     p = passages.withColumn("passage_no", F.coalesce("passage_no", F.lit(0)))
     clean = cut(structure.clean_paragraphs(p.where(F.length(T.strip("content")) > 0), keys).where(F.length(T.strip("content")) > 0))
-    legal = token_blocks(structure.units(clean.where(markers.has_markers(F.col("content"))), keys), keys, count, least, target, most, tail)
+    legal = array_blocks(structure.unit_arrays(clean.where(markers.has_markers(F.col("content"))), keys).where(F.size("u") > 0), keys, count, least, target, most, tail)
     legal = legal.withColumn("content", T.normalize_text(F.col("content"))).where(F.length("content") >= LEGAL_CHARS)
     legal = legal.select(*keys, F.col("block_no").alias("chunk_index"), "content", "start_marker", "end_marker", F.coalesce(F.nullif("start_level", F.lit("")), F.lit("preamble")).alias("semantic_level"), "hierarchy_path")
     flat = flat_chunks(clean.where(~markers.has_markers(F.col("content"))), count=count, most=most)

@@ -1,14 +1,15 @@
 """Structural parsing: cleaning of broken paragraphs, units under their headings, passages.
 
-Each operator takes rows keyed by ``keys`` with a text column; windows run inside one
-document, whose lines are the only thing that shares a partition.
+Each operator takes rows keyed by ``keys`` with a text column; a text is parsed within its row, as
+arrays of its lines and units, so nothing is shuffled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import markers
@@ -18,10 +19,6 @@ MAX_PASSAGE, MIN_PASSAGE = 10_000, 100
 SHORT, RUN = 15, 6
 
 
-def _ordered(keys: Sequence[str], *order: str):
-    return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-
 def joined(no: Column | str, text: Column | str, sep: str) -> Column:
     """Texts of a group in the order of no."""
     pairs = F.array_sort(F.collect_list(F.struct(F.col(no).alias("n") if isinstance(no, str) else no.alias("n"), F.col(text).alias("t") if isinstance(text, str) else text.alias("t"))))
@@ -56,26 +53,61 @@ def clean_paragraphs(df: DataFrame, keys: Sequence[str], text: str = "content")
     return p.select(*keys, _settled(F.array_join(_slices("_at", "_p", run), "\n\n")).alias(text))
 
 
+def headed(df: DataFrame, keys: Sequence[str], text: str = "content", rules: list = markers.RULES, where: Column | None = None) -> DataFrame:
+    """Texts (those ``where`` holds; others get null) as arrays of what stands under each heading: (keys, text, u), u of (unit_no, level, marker, content), blank ones included.
+
+    What stands before the first heading has number 0. Texts stay in their rows; nothing is shuffled.
+    """
+    lines = F.split(text, "\n", -1)
+    rows = df.select(*keys, text, (lines if where is None else F.when(where, lines)).alias("_lines"))
+    rows = rows.withColumn("_m", F.transform(F.transform("_lines", strip), lambda s: markers.classify_stripped(s, rules)))
+    rows = rows.withColumn("_at", _places("_m", lambda i: F.get("_m", i)["level"] != ""))
+    before = F.when(F.get("_m", F.lit(0))["level"] == "", 0).otherwise(1)
+
+    def unit(begin, n, i):
+        m = F.get("_m", begin)
+        return F.struct((i + before).cast("long").alias("unit_no"), m["level"].alias("level"), m["label"].alias("marker"), strip(F.array_join(F.slice("_lines", begin + 1, n), "\n")).alias("content"))
+
+    return rows.select(*keys, text, _settled(_slices("_at", "_lines", unit)).alias("u"))
+
+
+def _paths(sep: str) -> Callable[[Column, Column], Column]:
+    """The headings that hold at each of a text's units, of the units' levels and labels: a heading ends all of lower levels."""
+    rank = {level: i for i, level in enumerate(markers.LEVELS)}
+
+    def path(levels: list[str], labels: list[str]) -> list[str]:
+        held, out = [], []
+        for level, label in zip(levels, labels):
+            if level:
+                while held and held[-1][0] >= rank[level]:
+                    held.pop()
+                held.append((rank[level], label))
+            out.append(sep.join(x for _, x in held))
+        return out
+
+    def run(levels: pa.Array, labels: pa.Array) -> pa.Array:
+        # a few texts at a time
+        made = [pa.array([x if x is None else path(x, y) for x, y in zip(levels.slice(lo, 256).to_pylist(), labels.slice(lo, 256).to_pylist())], pa.list_(pa.string())) for lo in range(0, len(levels), 256)]
+        return pa.concat_arrays(made) if made else pa.array([], pa.list_(pa.string()))
+
+    return F.arrow_udf(run, "array<string>")
+
+
+def unit_arrays(df: DataFrame, keys: Sequence[str], text: str = "content", rules: list = markers.RULES, sep: str = " > ", where: Column | None = None) -> DataFrame:
+    """(keys, text, u): ``units`` of each text as an array of (unit_no, level, marker, content, hierarchy_path)."""
+    rows = headed(df, keys, text, rules, where)
+    paths = _paths(sep)(F.transform("u", lambda x: x["level"]), F.transform("u", lambda x: x["marker"]))
+    both = F.zip_with("u", "_paths", lambda x, path: F.struct(*[x[c].alias(c) for c in ("unit_no", "level", "marker", "content")], path.alias("hierarchy_path")))
+    return rows.withColumn("_paths", paths).select(*keys, text, _settled(F.filter(both, lambda x: x["content"] != "")).alias("u"))
+
+
 def units(df: DataFrame, keys: Sequence[str], text: str = "content", rules: list = markers.RULES, sep: str = " > ") -> DataFrame:
     """Parses headings: (keys, unit_no, level, marker, content, hierarchy_path).
 
     A heading closes the unit before and clears all lower levels. A level counts in the
     path if it was set after every higher level was last set.
     """
-    lines = df.select(*keys, F.posexplode(F.split(text, "\n", -1)).alias("line_no", "line"))
-    lines = lines.withColumn("m", markers.classify(F.col("line"), rules)).withColumn("no", F.sum((F.col("m.level") != "").cast("int")).over(_ordered(keys, "line_no")))
-    first = F.min_by("m", "line_no")
-    u = lines.groupBy(*keys, "no").agg(first.alias("m"), strip(joined("line_no", "line", "\n")).alias("content"))
-    w = _ordered(keys, "no")
-    parts = []
-    for rank, level in enumerate(markers.LEVELS):
-        here = F.col("m.level") == level
-        above = F.col("m.level").isin(markers.LEVELS[:rank]) if rank else F.lit(False)
-        at, cut = F.max(F.when(here, F.col("no"))).over(w), F.coalesce(F.max(F.when(above, F.col("no"))).over(w), F.lit(-1))
-        label = F.last(F.when(here, F.col("m.label")), ignorenulls=True).over(w)
-        parts.append(F.when(at > cut, label))
-    u = u.withColumn("hierarchy_path", F.concat_ws(sep, *parts))
-    return u.where("content <> ''").select(*keys, F.col("no").alias("unit_no"), F.col("m.level").alias("level"), F.col("m.label").alias("marker"), "content", "hierarchy_path")
+    return unit_arrays(df, keys, text, rules, sep).select(*keys, F.explode("u").alias("u")).select(*keys, "u.*")
 
 
 def titled_passages(df: DataFrame, keys: Sequence[str], text: str = "content", least: int = 10) -> DataFrame:
@@ -87,11 +119,12 @@ def titled_passages(df: DataFrame, keys: Sequence[str], text: str = "content", l
 
 
 def unit_texts(df: DataFrame, keys: Sequence[str], text: str = "content") -> DataFrame:
-    """(keys, unit_no, content): parsed units where there are headings, else paragraphs, else the text."""
-    legal = units(df.where(markers.has_markers(F.col(text))), keys, text).select(*keys, "unit_no", "content")
-    paragraphs = F.filter(F.transform(F.split(text, r"\n{2,}", -1), strip), lambda x: x != "")
-    flat = df.where(~markers.has_markers(F.col(text))).select(*keys, F.posexplode(F.when(F.size(paragraphs) > 0, paragraphs).otherwise(F.array(text))).alias("unit_no", "content"))
-    return legal.unionByName(flat.withColumn("unit_no", F.col("unit_no").cast("long")))
+    """(keys, text, texts): an array of parsed units where there are headings, else of paragraphs, else of the text."""
+    marked = markers.has_markers(F.col(text))
+    legal = F.transform(F.filter("u", lambda x: x["content"] != ""), lambda x: x["content"])
+    rows = headed(df, keys, text, where=marked).select(*keys, text, legal.alias("_legal"), F.col("u").isNotNull().alias("_marked"))
+    rows = rows.withColumn("_flat", F.when(~F.col("_marked"), F.filter(F.transform(F.split(text, r"\n{2,}", -1), strip), lambda x: x != "")))
+    return rows.select(*keys, text, F.when(F.col("_marked"), F.col("_legal")).when(F.size("_flat") > 0, F.col("_flat")).otherwise(F.array(text)).alias("texts"))
 
 
 #: SQL: group number of each length in an array, packed greedily up to a limit; what is longer stands alone.
@@ -107,11 +140,10 @@ def passages(docs: DataFrame, keys: Sequence[str] = ("path",), text: str = "cont
 
     A document that gives none is one passage itself (number null), if it is long enough.
     """
-    u = unit_texts(docs, keys, text)
-    rows = u.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("unit_no", "content"))).alias("u")).withColumn("lengths", F.transform("u", lambda x: F.length(x["content"])))
-    rows = rows.withColumn("g", F.expr(greedy_groups("lengths", most)))
-    parts = rows.select(*keys, F.posexplode(F.arrays_zip("u", "g")).alias("i", "x")).groupBy(*keys, F.col("x.g").alias("g")).agg(joined("i", "x.u.content", "\n\n").alias("content"))
-    kept = parts.where(F.length("content") >= least)
-    numbered = kept.withColumn("passage_no", F.row_number().over(Window.partitionBy(*keys).orderBy("g"))).drop("g")
-    whole = docs.join(kept.select(*keys).distinct(), list(keys), "left_anti").where(F.length(text) >= least)
-    return numbered.select(*keys, "passage_no", F.col("content").alias(text)).unionByName(whole.select(*keys, F.lit(None).cast("int").alias("passage_no"), text))
+    rows = unit_texts(docs, keys, text)
+    rows = rows.withColumn("_g", F.expr(greedy_groups("transform(texts, x -> length(x))", most)))
+    rows = rows.withColumn("_at", F.when(F.size("texts") > 0, _places("_g", lambda i: F.get("_g", i) != F.get("_g", i - 1))))
+    rows = rows.withColumn("_kept", F.filter(_slices("_at", "texts", lambda begin, n, _: F.array_join(F.slice("texts", begin + 1, n), "\n\n")), lambda x: F.length(x) >= least))
+    passage = lambda no, content: F.struct(no.cast("int").alias("passage_no"), content.alias(text))
+    own = F.when(F.size("_kept") > 0, F.transform("_kept", lambda x, i: passage(i + 1, x))).when(F.length(text) >= least, F.array(passage(F.lit(None), F.col(text))))
+    return rows.select(*keys, F.explode(own).alias("_x")).select(*keys, "_x.*")

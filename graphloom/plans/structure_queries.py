@@ -238,7 +238,7 @@ FROM named LEFT JOIN paths USING (doc_id, block_no) GROUP BY doc_id, block_no
 """
 )
 def token_blocks(spark: SparkSession, d: str) -> DataFrame:
-    return chunking.token_blocks(structure.units(legal(spark, d), ["doc_id"]), ["doc_id"])
+    return chunking.array_blocks(structure.unit_arrays(legal(spark, d), ["doc_id"]).where(F.size("u") > 0), ["doc_id"])
 
 
 @query(

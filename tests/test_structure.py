@@ -70,6 +70,23 @@ def test_a_long_text_of_short_runs_is_cleaned_in_linear_time(spark):
     assert time.time() - began < 60
 
 
+def test_parsing_shuffles_nothing(spark):
+    d = docs(spark, "Điều 1. a\n1. b", None)
+    for df in (structure.units(d, ["doc_id"]).where("level <> ''"), structure.passages(d, ["doc_id"]).where(F.length("content") > 0), structure.unit_arrays(d, ["doc_id"]).where(F.size("u") > 0)):
+        assert "Exchange" not in plan(df) and "Window" not in plan(df)
+
+
+def test_a_long_text_of_many_headings_is_parsed_in_linear_time(spark):
+    import time
+
+    n = 40_000
+    text = "\n".join(["Chương I"] + [f"Điều {i}. a\nb" for i in range(n)])
+    began = time.time()
+    rows = structure.units(docs(spark, text), ["doc_id"]).where(F.length("content") > 0).orderBy("unit_no").collect()
+    assert time.time() - began < 60
+    assert [(r["unit_no"], r["hierarchy_path"], r["content"]) for r in rows[1:]] == [(i + 2, f"Chương I > Điều {i}", f"Điều {i}. a\nb") for i in range(n)]
+
+
 def test_passages(spark):
     long = "Điều 9. " + "x" * 10_050
     text = "\n".join([f"Điều {i}. " + "y" * 4000 for i in range(5)] + [long, "Điều 10. z"])
