@@ -151,16 +151,56 @@ def keywords(chunks: DataFrame, k: int = 5, least: int = 3, words: int = 1, alik
     sentences = F.split("content", r"[.!?\n]+", -1)
     if words > 1:
         return _phrases(chunks.select("chunk_idx", sentences.alias("sentences")), k, least, words, alike)
-    rows = chunks.select("chunk_idx", F.posexplode(sentences).alias("s", "sentence"))
-    rows = rows.select("chunk_idx", "s", F.explode(T.tokenize(F.col("sentence"))).alias("w")).where(F.length("w") >= least)
-    f = rows.groupBy("chunk_idx", "w").agg(F.count("*").alias("tf"), F.count_distinct("s").alias("spread"), F.min("s").alias("first"))
-    place = F.row_number().over(Window.partitionBy("chunk_idx").orderBy("score", "w"))
-    f = f.withColumn("score", _word_score()).withColumn("place", place).where(F.col("place") <= k)
-    return f.withColumn("pos", 1_000_000 + F.col("place")).select("chunk_idx", "pos", F.upper("w").alias("name"), "score")
+    found = chunks.select(F.col("chunk_idx").cast("long"), F.transform(sentences, T.tokenize).alias("sentences")).mapInArrow(_likely_words(k, least), f"chunk_idx long, found {_COUNTED}")
+    scored = F.array_sort(F.transform("found", lambda x: F.struct(_word_score(x).alias("score"), x["w"].alias("w"))))
+    best = found.select("chunk_idx", F.posexplode(F.slice(scored, 1, k)).alias("at", "x"))
+    return best.select("chunk_idx", (1_000_001 + F.col("at")).alias("pos"), F.upper("x.w").alias("name"), F.col("x.score").alias("score"))
 
 
-def _word_score() -> Column:
-    return F.round(F.log(F.log(3.0 + F.col("first")) + 1) / (F.col("tf") * (1 + F.col("spread"))), 9)
+def _word_score(x: Column) -> Column:
+    return F.round(F.log(F.log(3.0 + x["first"]) + 1) / (x["tf"] * (1 + x["spread"])), 9)
+
+
+_COUNTED = "array<struct<w:string,tf:bigint,spread:bigint,first:bigint>>"
+
+
+def _likely_words(k: int, least: int) -> Callable:
+    """Chunks (chunk_idx, sentences) to the counts of the words that may be among their k best; Spark's own scores decide. Nothing is shuffled."""
+    def run(batches: Iterator[pa.RecordBatch]):
+        for b in (b.slice(lo, ROWS) for b in batches for lo in range(0, b.num_rows, ROWS)):
+            # some chunks' words are numbered once, and counted by chunk and number
+            column = b.column("sentences")
+            inner, many = column.flatten(), pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+            sizes = pc.fill_null(pc.list_value_length(inner), 0).to_numpy(zero_copy_only=False)
+            coded = inner.flatten().dictionary_encode()
+            names, ids = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            chunk, place = np.repeat(np.arange(b.num_rows), many), np.arange(len(inner)) - np.repeat(np.cumsum(many) - many, many)
+            usable = pc.greater_equal(pc.utf8_length(names), least).to_numpy(zero_copy_only=False)[ids]
+            ids, sentence = ids[usable], np.repeat(np.arange(len(inner)), sizes)[usable]
+            n = max(1, len(names))
+            key = chunk[sentence] * n + ids
+            order = np.argsort(key, kind="stable")  # a word's sentences stay in order
+            key, sentence = key[order], sentence[order]
+            new = np.ones(len(key), bool)
+            new[1:] = key[1:] != key[:-1]
+            said = new.copy()
+            said[1:] |= sentence[1:] != sentence[:-1]
+            start = np.flatnonzero(new)
+            row, word, first = key[start] // n, key[start] % n, place[sentence[start]]
+            tf = np.diff(np.append(start, len(key)))
+            spread = np.diff(np.append(0, np.cumsum(said))[np.append(start, len(key))])
+            score = np.log(np.log(3.0 + first) + 1) / (tf * (1 + spread))
+            by = np.lexsort((score, row))
+            size = np.bincount(row, minlength=b.num_rows)
+            bound = np.full(b.num_rows, np.inf)
+            full = size > k
+            bound[full] = score[by][(np.cumsum(size) - size)[full] + k - 1] + 1e-8  # more than rounding moves a score
+            kept = np.flatnonzero(score <= bound[row])
+            counts = [names.take(pa.array(word[kept])), *(pa.array(x[kept].astype(np.int64)) for x in (tf, spread, first))]
+            ends = np.append(0, np.cumsum(np.bincount(row[kept], minlength=b.num_rows))).astype(np.int32)
+            yield pa.record_batch([b.column("chunk_idx"), pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(counts, names=["w", "tf", "spread", "first"]))], names=["chunk_idx", "found"])
+
+    return run
 
 
 #: Chunks whose words a task numbers at once.

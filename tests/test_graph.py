@@ -79,6 +79,35 @@ def test_phrases(spark):
     assert len(one) == 4 and all(" " not in r["name"] for r in one)
 
 
+def keywords_by_loop(text, k):
+    import math
+    import re
+    import string
+
+    seen = {}
+    for no, sentence in enumerate(re.split(r"[.!?\n]+", text)):
+        for w in sentence.lower().translate(str.maketrans(string.punctuation, " " * len(string.punctuation))).split():
+            if len(w) >= 3:
+                seen.setdefault(w, []).append(no)
+    scores = sorted((round(math.log(math.log(3.0 + s[0]) + 1) / (len(s) * (1 + len(set(s)))), 9), w) for w, s in seen.items())
+    return [w.upper() for _, w in scores[:k]]
+
+
+def test_keywords_are_counted_within_their_chunks(spark):
+    import random
+
+    rng = random.Random(3)
+    words = ["thu", "phí", "môi", "trường", "ab", "x", "Khoản", "điều", "khoản", "\U0001d538bc"]
+    texts = ["".join(rng.choice(words) + rng.choice([" ", " ", ", ", ". ", "\n", "?! "]) for _ in range(rng.choice([0, 1, 8, 60]))) for _ in range(700)] + ["", "...", " a b ", "\n\nthu"]
+    c = spark.createDataFrame([*enumerate(texts), (len(texts), None)], "chunk_idx long, content string").coalesce(1)
+    found = extract.keywords(c, 4)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    got = {}
+    for r in found.orderBy("chunk_idx", "pos").collect():
+        got.setdefault(r["chunk_idx"], []).append((r["pos"] - 1_000_001, r["name"]))
+    assert got == {i: list(enumerate(want)) for i, t in enumerate(texts) if (want := keywords_by_loop(t, 4))}
+
+
 @pytest.mark.parametrize("answer,n", [('```json\n[{"name": "a"}, 3]\n```', 1), ('Here: [{"name": "a"}, {"name": "b"}] done', 2), ("null", 0), ("5", 0), ('{"name": "a"}', 0), ("]x[", 0), ("", 0), (None, 0), ("[" * 5000 + "]", 0)])
 def test_entities_of_any_answer(answer, n):
     assert len(extract.known_entities(answer)) == n
