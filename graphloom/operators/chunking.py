@@ -289,7 +289,8 @@ def build_chunks(
     order = ["path", "passage_no", "chunk_index"]
     chunks = unique_ids(chunks, "base_id", *order).drop("base_id")
     tokens = T.n_tokens(F.col("content")) if count is count_words else F.pandas_udf(_counted(count), "int")("content")
-    return number(chunks.withColumn("tokens", tokens), "path", "passage_no", "chunk_index")
+    # counted last, as dealing by ranges works its rows out twice
+    return number(chunks, *order).select(*chunks.columns, tokens.alias("tokens"), "chunk_idx")
 
 
 def number(chunks: DataFrame, *order: str) -> DataFrame:
